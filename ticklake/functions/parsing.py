@@ -29,6 +29,10 @@ def payload_text(raw_payload: Column | str) -> Column:
     return F.get_json_object(_col(raw_payload), "$.data")
 
 
+# JSON insignificant whitespace: a text made only of these parses to NULL.
+_JSON_WHITESPACE = " \t\r\n"
+
+
 def parse_payload(raw_payload: Column | str, stream_type: str) -> Column:
     """Parse the ``data`` member of a raw frame with the stream's schema.
 
@@ -37,8 +41,21 @@ def parse_payload(raw_payload: Column | str, stream_type: str) -> Column:
     typed names of ``ticklake.schemas`` (positional rename), so ``e``/``E``
     never collide.
     """
+    return parse_payload_text(payload_text(raw_payload), stream_type)
+
+
+def parse_payload_text(data_text: Column | str, stream_type: str) -> Column:
+    """``parse_payload`` for an already extracted ``data`` text."""
     raw_schema, typed_schema = RAW_PAYLOADS[stream_type]
-    return _typed(F.from_json(payload_text(raw_payload), raw_schema), typed_schema)
+    return _typed(F.from_json(_col(data_text), raw_schema), typed_schema)
+
+
+def payload_present(data_text: Column | str) -> Column:
+    """True exactly when ``parse_payload_text(data_text)`` is not NULL:
+    ``from_json`` gives NULL only for NULL, empty or all-whitespace text.
+    Lets a filter decide without parsing the payload."""
+    c = _col(data_text)
+    return c.isNotNull() & (F.btrim(c, F.lit(_JSON_WHITESPACE)) != F.lit(""))
 
 
 def _typed(parsed: Column, typed_schema: StructType) -> Column:

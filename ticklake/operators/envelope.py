@@ -40,34 +40,30 @@ def stream_names(symbols: str | Iterable[str], stream_types: Sequence[str] = STR
     return [f"{s.lower()}@{t}" for t in stream_types for s in parse_symbols(symbols)]
 
 
-def _stream(frame: Column) -> Column:
-    return F.get_json_object(frame, "$.stream")
-
-
-def _stream_parts(frame: Column) -> Column:
-    return F.split(_stream(frame), "@")
-
-
 def _received(frames: DataFrame, received_col: str | None) -> Column:
     if received_col and received_col in frames.columns:
         return F.col(received_col).cast("timestamp")
     return F.current_timestamp()
 
 
-def _reason(frame: Column) -> Column:
-    parts = _stream_parts(frame)
+def _reason(frame: Column, stream: Column) -> Column:
+    parts = F.split(stream, "@")
     return (
         F.when(frame.isNull(), F.lit(NULL_FRAME))
-        .when(_stream(frame).isNull(), F.lit(MISSING_STREAM))
+        .when(stream.isNull(), F.lit(MISSING_STREAM))
         .when(F.size(parts) != 2, F.lit(BAD_STREAM_NAME))
         .when(~F.get(parts, 1).isin(*STREAM_TYPES), F.lit(UNKNOWN_STREAM_TYPE))
     )
 
 
 def _with_checks(frames: DataFrame, frame_col: str) -> DataFrame:
-    frame = F.col(frame_col)
-    return frames.withColumn("_stream_parts", _stream_parts(frame)).withColumn(
-        "_reason", _reason(frame)
+    """Add ``_stream_parts`` and ``_reason``.  ``$.stream`` is extracted once
+    per frame by ``json_tuple`` (a generator, so the checks below cannot be
+    pushed under it and re-parse the frame)."""
+    with_stream = frames.select("*", F.json_tuple(F.col(frame_col), "stream").alias("_stream"))
+    stream = F.col("_stream")
+    return with_stream.withColumn("_stream_parts", F.split(stream, "@")).withColumn(
+        "_reason", _reason(F.col(frame_col), stream)
     )
 
 
@@ -137,9 +133,10 @@ def subscription_filter(
     and applied with a left-semi join; the planner (AQE) broadcasts it only
     when its measured size is under the broadcast threshold.
     """
-    stream = _stream(F.col(frame_col))
+    with_stream = frames.select("*", F.json_tuple(F.col(frame_col), "stream").alias("_stream"))
     if not isinstance(symbols, DataFrame):
-        return frames.filter(stream.isin(*stream_names(symbols, stream_types)))
+        wanted = stream_names(symbols, stream_types)
+        return with_stream.filter(F.col("_stream").isin(*wanted)).drop("_stream")
     subscribed = symbols.select(
         F.explode(
             F.transform(
@@ -148,8 +145,4 @@ def subscription_filter(
             )
         ).alias("_stream")
     ).distinct()
-    return (
-        frames.withColumn("_stream", stream)
-        .join(subscribed, "_stream", "left_semi")
-        .drop("_stream")
-    )
+    return with_stream.join(subscribed, "_stream", "left_semi").drop("_stream")

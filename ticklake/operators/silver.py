@@ -19,7 +19,8 @@ from ticklake.functions.parsing import (
     decimal_from_text,
     level_price,
     level_quantity,
-    parse_payload,
+    parse_payload_text,
+    payload_present,
     timestamp_from_epoch_ms,
 )
 from ticklake.schemas import AGG_TRADE, ASK, BID, BOOK_TICKER, DEPTH10
@@ -32,14 +33,18 @@ def bronze(envelopes: DataFrame) -> DataFrame:
 
 
 def _parsed(bronze_df: DataFrame, stream_type: str) -> DataFrame:
+    """Rows of one stream type with the payload parsed once into ``p``.
+
+    ``json_tuple`` pulls ``data`` out of the frame in one pass and, being a
+    generator, keeps the optimizer from copying the parse into the filter;
+    the filter then decides on the extracted text (``payload_present``) and
+    ``from_json`` runs once per surviving row.
+    """
     return (
         bronze_df.filter(F.col("stream_type") == F.lit(stream_type))
-        .select(
-            "symbol",
-            "ingestion_timestamp",
-            parse_payload("raw_payload", stream_type).alias("p"),
-        )
-        .filter(F.col("p").isNotNull())
+        .select("symbol", "ingestion_timestamp", F.json_tuple("raw_payload", "data").alias("data"))
+        .filter(payload_present("data"))
+        .select("symbol", "ingestion_timestamp", parse_payload_text("data", stream_type).alias("p"))
     )
 
 

@@ -74,8 +74,11 @@ def _utc_instant(dt: datetime):
 # --- building blocks ------------------------------------------------------
 
 
-def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelope_from_frames(market_frames(spark, sf_dir))
+def _envelopes(spark: SparkSession, sf_dir: str, *stream_types: str) -> DataFrame:
+    """Envelopes of the whole feed, or only of the given stream types (what
+    a Silver job reads from a Bronze table partitioned by stream type)."""
+    frames = market_frames(spark, sf_dir, stream_types) if stream_types else market_frames(spark, sf_dir)
+    return envelope_from_frames(frames)
 
 
 def _gold(table: str, silver: DataFrame) -> DataFrame:
@@ -83,13 +86,16 @@ def _gold(table: str, silver: DataFrame) -> DataFrame:
     return to_serving_contract(build[table](silver), table)
 
 
+_SILVER_OF = {
+    "gold_volatility": ("aggTrade", silver_agg_trade),
+    "gold_spread": ("bookTicker", silver_book_ticker),
+    "gold_liquidity": ("depth10", silver_depth10),
+}
+
+
 def _silver_for(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    env = _envelopes(spark, sf_dir)
-    return {
-        "gold_volatility": silver_agg_trade,
-        "gold_spread": silver_book_ticker,
-        "gold_liquidity": silver_depth10,
-    }[table](env)
+    stream_type, transform = _SILVER_OF[table]
+    return transform(_envelopes(spark, sf_dir, stream_type))
 
 
 def _layout(spark: SparkSession, name: str) -> LakehouseLayout:
@@ -156,15 +162,15 @@ def q_bronze_partitioned(spark, sf_dir):
 
 
 def q_silver_agg_trade(spark, sf_dir):
-    return for_compare(silver_agg_trade(_envelopes(spark, sf_dir)))
+    return for_compare(_silver_for("gold_volatility", spark, sf_dir))
 
 
 def q_silver_book_ticker(spark, sf_dir):
-    return for_compare(silver_book_ticker(_envelopes(spark, sf_dir)))
+    return for_compare(_silver_for("gold_spread", spark, sf_dir))
 
 
 def q_silver_depth10(spark, sf_dir):
-    return for_compare(silver_depth10(_envelopes(spark, sf_dir)))
+    return for_compare(_silver_for("gold_liquidity", spark, sf_dir))
 
 
 def _q_gold(table: str) -> Query:
@@ -192,7 +198,7 @@ def q_late_trades_stream(spark, sf_dir):
     symbol's whole history.  Its rows in windows already closed by the
     watermark are dropped; the rest are counted."""
     layout = _layout(spark, "late_trades")
-    trades = silver_agg_trade(_envelopes(spark, sf_dir))
+    trades = _silver_for("gold_volatility", spark, sf_dir)
     arrivals = [trades.filter(F.col("symbol") != DELAYED_SYMBOL), trades.filter(F.col("symbol") == DELAYED_SYMBOL)]
     gold = LAYERS["gold_volatility"]
     for batch in arrivals:
@@ -229,7 +235,7 @@ def q_sync_twice(spark, sf_dir):
     root = scratch_dir(spark, "sync_twice")
     table = "gold_volatility"
     gold_path = f"{root}/gold/{table}"
-    gold_volatility(silver_agg_trade(_envelopes(spark, sf_dir))).write.parquet(gold_path)
+    gold_volatility(_silver_for(table, spark, sf_dir)).write.parquet(gold_path)
     target = f"{root}/serving/{table}"
     for run_no in (1, 2):
         spec = SyncSpec(table, gold_path, GOLD_SCHEMAS[table], target, f"{root}/checkpoints/{table}-{run_no}")

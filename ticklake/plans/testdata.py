@@ -33,7 +33,15 @@ SNAPSHOT_EVENTS = 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table.  A source that arrives as fewer splits than the
+    cluster has cores (a single small file) is spread round-robin, as a
+    topic's partitions would be; a large table already has enough splits
+    and is left alone (no extra shuffle at scale)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
