@@ -115,3 +115,18 @@ def test_dashboard_queries(spark):
         "window_start timestamp, window_end timestamp, symbol string, side string, avg_depth_quantity decimal(20,8)",
     )
     assert sorted(r.metric for r in liquidity_series(liq, ["A"]).collect()) == ["A - ", "A - bid"]
+
+
+def test_target_key_read_is_range_bounded_in_the_scan(spark, scratch):
+    from ticklake.operators.serving import _target_keys
+
+    path = scratch("serving") + "/vol"
+    insert_absent(spark, vol(spark, [(0, "A", "1", 1), (20, "A", "1", 1)]), path, "gold_volatility")
+    keys = _target_keys(
+        spark, path, SERVING_VOLATILITY_SCHEMA, ("symbol", "window_start"),
+        datetime(2026, 1, 1, 10, 0), datetime(2026, 1, 1, 10, 5), "parquet",
+    )
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(window_start" in plan and "LessThanOrEqual" in plan
+    assert "ReadSchema: struct<window_start:timestamp,symbol:string>" in plan
+    assert keys.count() == 1

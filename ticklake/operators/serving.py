@@ -9,7 +9,9 @@ write of a key wins, later versions are ignored (no update).
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass, field
 from datetime import datetime
+from typing import Union
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,19 @@ from ticklake.schemas import SERVING_TABLES
 from ticklake.sources.layers import DEFAULT_FORMAT, read_snapshot, table_available
 
 
+@dataclass(frozen=True)
+class JdbcTarget:
+    """A serving table in a database reached over JDBC (needs the driver
+    jar).  ``properties`` holds user, password, driver class, etc."""
+
+    url: str
+    dbtable: str
+    properties: dict[str, str] = field(default_factory=dict)
+
+
+Target = Union[str, JdbcTarget]
+
+
 class DuplicateKeyError(ValueError):
     """A batch holds the same key twice, or a NULL key (the target's primary
     key forbids both); nothing was written."""
@@ -61,22 +76,61 @@ def absent_rows(
     return rows.join(target_keys.select(*keys), list(keys), "left_anti")
 
 
+def _target_keys(
+    spark: SparkSession,
+    target: Target,
+    schema: StructType,
+    keys: tuple[str, ...],
+    lo: datetime,
+    hi: datetime,
+    fmt: str,
+) -> DataFrame | None:
+    """Keys already in the target within ``[lo, hi]`` of ``window_start``;
+    None when a file target does not exist yet."""
+    if isinstance(target, JdbcTarget):
+        cols = ", ".join(keys)
+        query = (
+            f"SELECT {cols} FROM {target.dbtable} "
+            f"WHERE window_start BETWEEN '{lo.isoformat(sep=' ')}' AND '{hi.isoformat(sep=' ')}'"
+        )
+        return spark.read.format("jdbc").option("url", target.url).option("query", query).options(**target.properties).load()
+    if not table_available(spark, target, schema, fmt):
+        return None
+    return (
+        read_snapshot(spark, target, schema, fmt)
+        .filter(F.col("window_start").between(F.lit(lo), F.lit(hi)))
+        .select(*keys)
+    )
+
+
+def _append(rows: DataFrame, target: Target, fmt: str) -> None:
+    if isinstance(target, JdbcTarget):
+        rows.write.format("jdbc").option("url", target.url).option("dbtable", target.dbtable).options(
+            **target.properties
+        ).mode("append").save()
+    else:
+        rows.write.format(fmt).mode("append").save(target)
+
+
 def insert_absent(
     spark: SparkSession,
     batch: DataFrame,
-    target_path: str,
+    target: Target,
     table: str,
     fmt: str = DEFAULT_FORMAT,
 ) -> bool:
     """Append the rows of ``batch`` whose key is not yet in the target.
 
-    Idempotent: replaying the same batch adds nothing.  The target's keys are
+    ``target`` is a table path (format ``fmt``) or a ``JdbcTarget``.
+    Idempotent: replaying the same batch adds nothing, and a retry after a
+    partly written attempt only adds the missing keys.  The target's keys are
     read only for the batch's ``window_start`` range (a filter pushed into
-    the scan, skipping files and row groups outside it), and joined with a
-    shuffle join on the keys; the adaptive planner switches to a broadcast
-    only when the measured key set is small.  A duplicate or NULL key inside
-    the batch raises ``DuplicateKeyError`` before anything is written.
-    Returns False for an empty batch.  One writer per target table.
+    the scan, skipping files and row groups outside it; a bounded query on a
+    database), and joined with a shuffle join on the keys; the adaptive
+    planner switches to a broadcast only when the measured key set is small.
+    A duplicate or NULL key inside the batch raises ``DuplicateKeyError``
+    before anything is written.  Returns False for an empty batch.  One
+    writer per target table.
     """
     schema, keys = contract_of(table)
     rows = to_serving_contract(batch, table).persist()
@@ -88,12 +142,8 @@ def insert_absent(
             return False
         if stats["max_per_key"] > 1:
             raise DuplicateKeyError(f"{table}: a key occurs {stats['max_per_key']} times in one batch")
-        target_keys = None
-        if table_available(spark, target_path, schema, fmt):
-            target_keys = read_snapshot(spark, target_path, schema, fmt).filter(
-                F.col("window_start").between(F.lit(stats["lo"]), F.lit(stats["hi"]))
-            )
-        absent_rows(rows, target_keys, keys).write.format(fmt).mode("append").save(target_path)
+        existing = _target_keys(spark, target, schema, keys, stats["lo"], stats["hi"], fmt)
+        _append(absent_rows(rows, existing, keys), target, fmt)
         return True
     finally:
         rows.unpersist()
@@ -102,7 +152,7 @@ def insert_absent(
 def sync_table(
     spark: SparkSession,
     gold_path: str,
-    target_path: str,
+    target: Target,
     table: str,
     gold_schema: StructType | None = None,
     fmt: str = DEFAULT_FORMAT,
@@ -111,7 +161,7 @@ def sync_table(
     nothing written) while the Gold table does not exist yet."""
     if not table_available(spark, gold_path, gold_schema, fmt):
         return False
-    insert_absent(spark, read_snapshot(spark, gold_path, gold_schema, fmt), target_path, table, fmt)
+    insert_absent(spark, read_snapshot(spark, gold_path, gold_schema, fmt), target, table, fmt)
     return True
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ticklake.operators.serving import insert_absent
+from ticklake.operators.serving import JdbcTarget, insert_absent
 from ticklake.schemas import (
     GOLD_LIQUIDITY_SCHEMA,
     GOLD_SPREAD_SCHEMA,
@@ -28,7 +28,7 @@ class SyncSpec:
     table: str  # serving table name (selects contract and key)
     gold_path: str
     gold_schema: StructType
-    target_path: str
+    target_path: "str | JdbcTarget"  # table path or database table
     checkpoint_path: str
 
 
