@@ -68,7 +68,10 @@ def _with_checks(frames: DataFrame, frame_col: str) -> DataFrame:
 
 
 def envelope_from_frames(
-    frames: DataFrame, frame_col: str = "frame", received_col: str | None = "received_at"
+    frames: DataFrame,
+    frame_col: str = "frame",
+    received_col: str | None = "received_at",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Valid frames -> ``(ingestion_timestamp, symbol, stream_type, raw_payload)``.
 
@@ -80,7 +83,7 @@ def envelope_from_frames(
     * raw_payload: the frame, verbatim.
 
     Frames that fail a check are dropped here; ``quarantine_frames`` returns
-    exactly those.
+    exactly those.  ``keep`` names input columns to carry along (lineage).
     """
     checked = _with_checks(frames, frame_col)
     parts = F.col("_stream_parts")
@@ -89,6 +92,7 @@ def envelope_from_frames(
         F.upper(F.get(parts, 0)).alias("symbol"),
         F.get(parts, 1).alias("stream_type"),
         F.col(frame_col).alias("raw_payload"),
+        *keep,
     )
 
 

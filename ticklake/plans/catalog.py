@@ -125,13 +125,17 @@ def noisy_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         ).alias("frame"),
         F.lit(None).cast("timestamp").alias("received_at"),
+        F.lit(None).cast("long").alias("seq"),
     )
     pages = read_table(spark, sf_dir, "pages").select(
         F.to_json(F.struct(F.col("url").alias("stream"))).alias("frame"),
         F.lit(None).cast("timestamp").alias("received_at"),
+        F.lit(None).cast("long").alias("seq"),
     )
     docs = read_table(spark, sf_dir, "documents").select(
-        F.col("text").alias("frame"), F.lit(None).cast("timestamp").alias("received_at")
+        F.col("text").alias("frame"),
+        F.lit(None).cast("timestamp").alias("received_at"),
+        F.lit(None).cast("long").alias("seq"),
     )
     return market_frames(spark, sf_dir).unionByName(conv).unionByName(pages).unionByName(docs)
 

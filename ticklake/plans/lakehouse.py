@@ -12,7 +12,7 @@ instead (``ticklake.sources.kafka.read_topic``); the decode step is the same.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.operators.envelope import envelope_from_frames
@@ -30,9 +30,6 @@ from ticklake.schemas import (
     SILVER_BOOK_TICKER_SCHEMA,
     SILVER_DEPTH10_SCHEMA,
     STREAM_TYPES,
-    AGG_TRADE,
-    BOOK_TICKER,
-    DEPTH10,
 )
 from ticklake.sources.kafka import decode_envelopes, encode_envelopes
 from ticklake.streaming.layers import LayerSpec
@@ -69,31 +66,18 @@ def chain(name: str) -> list[LayerSpec]:
     return out[::-1]
 
 
-def _stream_index(stream_type: Column) -> Column:
-    idx = F.lit(None).cast("long")
-    for i, t in reversed(list(enumerate(STREAM_TYPES))):
-        idx = F.when(stream_type == t, F.lit(i).cast("long")).otherwise(idx)
-    return idx
-
-
 def landing_records(frames: DataFrame) -> DataFrame:
     """Frames -> topic records as the producer would publish them.
 
     Lineage is synthetic but deterministic: partition = first byte of the key
-    mod 3; offset = the message's exchange sequence id (trade id, update id
-    or book update id) * 3 + stream index, so it grows with time within a
-    stream; timestamp = the receive time (CreateTime, type 0).
+    mod 3; offset = the producer's send sequence (``seq`` column of the
+    frames); timestamp = the receive time (CreateTime, type 0).
     """
-    env = envelope_from_frames(frames)
-    seq_path = {AGG_TRADE: "$.data.a", BOOK_TICKER: "$.data.u", DEPTH10: "$.data.lastUpdateId"}
-    seq = F.lit(None).cast("string")
-    for stream_type, path in seq_path.items():
-        seq = F.when(F.col("stream_type") == stream_type, F.get_json_object("raw_payload", path)).otherwise(seq)
-    seq = seq.try_cast("long")
+    env = envelope_from_frames(frames, keep=("seq",))
     enriched = env.select(
         "*",
         (F.ascii("symbol") % TOPIC_PARTITIONS).cast("int").alias("partition"),
-        (seq * len(STREAM_TYPES) + _stream_index(F.col("stream_type"))).alias("offset"),
+        F.col("seq").alias("offset"),
     )
     return encode_envelopes(enriched, keep=("partition", "offset", "ingestion_timestamp")).select(
         "key",

@@ -200,7 +200,7 @@ def oracle_sql() -> dict[str, str]:
     )
     streams = _in_list(stream_names(SUBSCRIBED_SYMBOLS, SUBSCRIBED_TYPES))
     subscription = _with(_M, _FRAMES) + (
-        f"SELECT frame, received_at FROM f WHERE json_extract_string(frame, '$.stream') IN ({streams})"
+        f"SELECT frame, received_at, seq FROM f WHERE json_extract_string(frame, '$.stream') IN ({streams})"
     )
     dash = _in_list(DASHBOARD_SYMBOLS)
     return {

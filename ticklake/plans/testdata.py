@@ -17,7 +17,9 @@ exchange JSON frames, which then go through the real parse path:
   is bounded work.
 
 ``received_at`` is the event time as an instant (``events.ts`` is read as
-UTC wall-clock time, independent of the session time zone).
+UTC wall-clock time, independent of the session time zone).  ``seq`` is the
+producer's send sequence: ``event_id * 3 + stream index`` (``lastUpdateId``
+for a book), used as the topic offset of the landing stand-in.
 """
 
 from __future__ import annotations
@@ -62,6 +64,10 @@ def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _seq(id_col: str, stream_index: int) -> Column:
+    return (F.col(id_col) * 3 + stream_index).alias("seq")
+
+
 def _text(c: Column) -> Column:
     return c.cast("string")
 
@@ -85,7 +91,7 @@ def agg_trade_frames(market: DataFrame) -> DataFrame:
         (F.col("event_id") % 2 == 0).alias("m"),
         F.lit(True).alias("M"),
     )
-    return market.select(_frame(AGG_TRADE, data).alias("frame"), "received_at")
+    return market.select(_frame(AGG_TRADE, data).alias("frame"), "received_at", _seq("event_id", 0))
 
 
 def book_ticker_frames(market: DataFrame) -> DataFrame:
@@ -98,7 +104,7 @@ def book_ticker_frames(market: DataFrame) -> DataFrame:
         _text(ask).alias("a"),
         _text(F.col("user_id")).alias("A"),
     )
-    return market.select(_frame(BOOK_TICKER, data).alias("frame"), "received_at")
+    return market.select(_frame(BOOK_TICKER, data).alias("frame"), "received_at", _seq("event_id", 1))
 
 
 def depth10_frames(market: DataFrame) -> DataFrame:
@@ -124,11 +130,11 @@ def depth10_frames(market: DataFrame) -> DataFrame:
         side(0).alias("bids"),
         side(1).alias("asks"),
     )
-    return books.select(_frame(DEPTH10, data).alias("frame"), "received_at")
+    return books.select(_frame(DEPTH10, data).alias("frame"), "received_at", _seq("last_update_id", 2))
 
 
 def market_frames(spark: SparkSession, sf_dir: str, stream_types=(AGG_TRADE, BOOK_TICKER, DEPTH10)) -> DataFrame:
-    """All frames of the requested stream types: ``(frame, received_at)``."""
+    """All frames of the requested stream types: ``(frame, received_at, seq)``."""
     market = market_events(spark, sf_dir)
     builders = {
         AGG_TRADE: agg_trade_frames,
