@@ -40,3 +40,27 @@ def test_pydantic_style_timestamp_without_fraction_parses(spark):
         "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int",
     )
     assert decode_envelopes(recs).collect()[0].ingestion_timestamp == datetime(2026, 1, 1, 10, 0)
+
+
+def test_null_stream_type_lands_in_default_partition_and_is_never_read(spark, scratch):
+    from ticklake.operators.silver import silver_agg_trade
+    from ticklake.plans.lakehouse import LAYERS
+    from ticklake.streaming.layers import LakehouseLayout, run_layers_once
+
+    layout = LakehouseLayout(scratch("nullpart"))
+    good = b'{"ingestion_timestamp":"2026-01-01T10:00:00Z","symbol":"A","stream_type":"aggTrade","raw_payload":"{\\"data\\":{\\"a\\":1}}"}'
+    recs = spark.createDataFrame(
+        [(b"A", good, "t", 0, 0, datetime(2026, 1, 1), 0), (b"A", b"garbage", "t", 0, 1, datetime(2026, 1, 1), 0)],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int",
+    )
+    recs.write.parquet(layout.table("landing"))
+    run_layers_once(spark, layout, [LAYERS["bronze"], LAYERS["silver_agg_trade"]])
+    import os
+
+    parts = sorted(os.listdir(layout.table("bronze").replace("file:", "")))
+    assert "stream_type=__HIVE_DEFAULT_PARTITION__" in parts and "stream_type=aggTrade" in parts
+    from ticklake.schemas import SILVER_AGG_TRADE_SCHEMA
+    from ticklake.sources.layers import read_snapshot
+
+    rows = read_snapshot(spark, layout.table("silver_agg_trade"), SILVER_AGG_TRADE_SCHEMA).collect()
+    assert [r.agg_trade_id for r in rows] == [1]

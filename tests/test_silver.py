@@ -149,3 +149,14 @@ def test_parsing_whole_frame_without_data_gives_null_fields(spark):
 def test_silver_plan_parses_each_frame_once(spark):
     plan = silver_agg_trade(bronze(spark, "aggTrade", [TRADE]))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_quarantine_invalid_strict_split(spark):
+    from ticklake.operators.silver import REQUIRED_FIELDS, quarantine_invalid, valid_rows
+
+    df = silver_agg_trade(bronze(spark, "aggTrade", [TRADE, '{"data":{}}', '{"data":{"p":"x","T":5,"q":"1"}}']))
+    req = REQUIRED_FIELDS["silver_agg_trade"]
+    bad = sorted(tuple(r.missing_fields) for r in quarantine_invalid(df, req).collect())
+    assert bad == [("price",), ("trade_timestamp", "price", "quantity")]
+    assert valid_rows(df, req).count() == 1
+    assert quarantine_invalid(df, req).count() + valid_rows(df, req).count() == df.count()

@@ -121,3 +121,31 @@ SILVER_TRANSFORMS = {
     BOOK_TICKER: silver_book_ticker,
     DEPTH10: silver_depth10,
 }
+
+
+# Columns a downstream consumer needs non-NULL, per Silver table.
+REQUIRED_FIELDS = {
+    "silver_agg_trade": ("symbol", "trade_timestamp", "price", "quantity"),
+    "silver_book_ticker": ("symbol", "ingestion_timestamp", "best_bid_price", "best_ask_price"),
+    "silver_depth10": ("symbol", "ingestion_timestamp", "side", "level", "price", "quantity"),
+}
+
+
+def _missing(required) -> "F.Column":
+    flags = F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
+    return F.filter(flags, lambda name: name.isNotNull())
+
+
+def quarantine_invalid(silver_df: DataFrame, required) -> DataFrame:
+    """Silver rows with a NULL in any ``required`` column, plus
+    ``missing_fields`` naming them (the strict view; the Silver transforms
+    themselves keep such rows, as the layer contract says)."""
+    return silver_df.withColumn("missing_fields", _missing(required)).filter(F.size("missing_fields") > 0)
+
+
+def valid_rows(silver_df: DataFrame, required) -> DataFrame:
+    """Silver rows with every ``required`` column present."""
+    cond = F.lit(True)
+    for c in required:
+        cond = cond & F.col(c).isNotNull()
+    return silver_df.filter(cond)

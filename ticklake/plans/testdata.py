@@ -55,7 +55,7 @@ def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     micros = epoch_micros_of_wall_clock("ts")
     return ev.select(
         "event_id",
-        F.floor(micros / 1000).cast("long").alias("event_ms"),
+        F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("ts")).alias("event_ms"),
         F.timestamp_micros(micros).alias("received_at"),
         F.upper("event_type").alias("symbol"),
         F.col("value").cast(PRICE_TYPE).alias("price"),
@@ -119,7 +119,7 @@ def depth10_frames(market: DataFrame) -> DataFrame:
         )
 
     books = market.groupBy(
-        "symbol", F.floor(F.col("event_id") / SNAPSHOT_EVENTS).alias("snapshot")
+        "symbol", F.expr(f"event_id div {SNAPSHOT_EVENTS}").alias("snapshot")
     ).agg(
         F.max("event_id").alias("last_update_id"),
         F.max("received_at").alias("received_at"),
