@@ -1,7 +1,7 @@
 """One table-driven entry point for every layer job.
 
     python -m ticklake.plans.jobs <layer> --root <shared folder> [--available-now]
-        [--trigger "10 seconds"] [--format parquet|delta]
+        [--trigger "10 seconds"] [--format parquet|delta] [--max-per-trigger N]
 
 ``<layer>`` is one of ``bronze``, ``silver_agg_trade``, ``silver_book_ticker``,
 ``silver_depth10``, ``gold_volatility``, ``gold_spread``, ``gold_liquidity``.
@@ -34,13 +34,18 @@ def run_layer(
     trigger_interval: str | None = None,
     bootstrap_servers: str | None = None,
     topic: str | None = None,
+    max_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start layer ``name`` and return its query handle (the caller waits)."""
+    """Start layer ``name`` and return its query handle (the caller waits).
+
+    ``max_per_trigger`` bounds each micro-batch (files of the upstream table,
+    or topic offsets for Bronze on a broker), so a backlog is worked off in
+    bounded batches instead of one huge first batch."""
     spec = LAYERS[name]
     if trigger_interval:
         spec = replace(spec, trigger_interval=trigger_interval)
     if name == "bronze" and bootstrap_servers and topic:
-        records = read_topic(spark, bootstrap_servers, topic)
+        records = read_topic(spark, bootstrap_servers, topic, max_offsets_per_trigger=max_per_trigger)
         return write_layer(
             bronze_from_records(records),
             layout.table(name),
@@ -50,7 +55,7 @@ def run_layer(
             fmt=layout.fmt,
             available_now=available_now,
         )
-    return start_layer(spark, layout, spec, available_now)
+    return start_layer(spark, layout, spec, available_now, max_files_per_trigger=max_per_trigger)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -62,10 +67,13 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--available-now", action="store_true")
     parser.add_argument("--bootstrap", default=None)
     parser.add_argument("--topic", default=None)
+    parser.add_argument("--max-per-trigger", type=int, default=None)
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"ticklake-{args.layer}").getOrCreate()
     layout = LakehouseLayout(args.root.rstrip("/"), args.format)
-    query = run_layer(spark, layout, args.layer, args.available_now, args.trigger, args.bootstrap, args.topic)
+    query = run_layer(
+        spark, layout, args.layer, args.available_now, args.trigger, args.bootstrap, args.topic, args.max_per_trigger
+    )
     query.awaitTermination()
     return 0 if query.exception() is None else 1
 
