@@ -1,8 +1,6 @@
 import json
 from datetime import datetime
 
-from pyspark.sql import functions as F
-
 from ticklake.operators.envelope import (
     envelope_from_frames,
     parse_symbols,

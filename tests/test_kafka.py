@@ -43,7 +43,6 @@ def test_pydantic_style_timestamp_without_fraction_parses(spark):
 
 
 def test_null_stream_type_lands_in_default_partition_and_is_never_read(spark, scratch):
-    from ticklake.operators.silver import silver_agg_trade
     from ticklake.plans.lakehouse import LAYERS
     from ticklake.streaming.layers import LakehouseLayout, run_layers_once
 

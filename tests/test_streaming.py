@@ -1,8 +1,6 @@
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from ticklake.operators.gold import gold_volatility
 from ticklake.schemas import SILVER_AGG_TRADE_SCHEMA, GOLD_VOLATILITY_SCHEMA
 from ticklake.sources.layers import read_snapshot

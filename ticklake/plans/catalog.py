@@ -35,11 +35,7 @@ from ticklake.operators.serving import (
 from ticklake.operators.silver import silver_agg_trade, silver_book_ticker, silver_depth10
 from ticklake.plans.lakehouse import LAYERS, chain, landing_records
 from ticklake.plans.testdata import market_frames, read_table
-from ticklake.schemas import (
-    BRONZE_SCHEMA,
-    SERVING_TABLES,
-    SILVER_AGG_TRADE_SCHEMA,
-)
+from ticklake.schemas import BRONZE_SCHEMA, SERVING_TABLES
 from ticklake.session import scratch_dir
 from ticklake.sources.layers import read_snapshot
 from ticklake.streaming.layers import LakehouseLayout, run_layers_once

@@ -29,7 +29,6 @@ from ticklake.schemas import (
     SILVER_AGG_TRADE_SCHEMA,
     SILVER_BOOK_TICKER_SCHEMA,
     SILVER_DEPTH10_SCHEMA,
-    STREAM_TYPES,
 )
 from ticklake.sources.kafka import decode_envelopes, encode_envelopes
 from ticklake.streaming.layers import LayerSpec
