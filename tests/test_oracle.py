@@ -56,3 +56,22 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns == ["window_start", "window_end", "symbol", "avg_price", "stddev_price", "total_volume", "trade_count"]
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["envelope_from_frames", "silver_agg_trade", "silver_book_ticker", "silver_depth10", "gold_spread", "kafka_round_trip"],
+)
+def test_query_matches_oracle_with_ansi_off_and_case_sensitive(spark, duck, name):
+    old = (spark.conf.get("spark.sql.ansi.enabled"), spark.conf.get("spark.sql.caseSensitive"))
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        df = entry.queries()[name](spark, SF)
+        got = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old[0])
+        spark.conf.set("spark.sql.caseSensitive", old[1])
+    res = duck.execute(entry.oracle_sql()[name])
+    want_cols = [c[0] for c in res.description]
+    assert _bag(df.columns, got) == _bag(want_cols, res.fetchall())

@@ -69,9 +69,19 @@ def _seq(id_col: str, stream_index: int) -> Column:
 
 
 def _text(c: Column) -> Column:
+    """Text of an integer column."""
     return c.cast("string")
 
 
+def _decimal_text(c: Column) -> Column:
+    """Plain text of a non-negative decimal(20,8) the way the exchange writes
+    it (``0.00000000``, never ``0E-8``), built from integer parts so it does
+    not depend on how the session's ANSI setting casts decimals to text."""
+    units = F.floor(c).cast("long")
+    eighths = ((c - units) * F.lit(100000000)).cast("long")
+    return F.when(c.isNotNull(), F.concat(units.cast("string"), F.lit("."), F.lpad(eighths.cast("string"), 8, "0")))
+
+
 def _frame(stream_type: str, data: Column) -> Column:
     stream = F.concat(F.lower(F.col("symbol")), F.lit("@" + stream_type))
     return F.to_json(F.struct(stream.alias("stream"), data.alias("data")))
@@ -83,8 +93,8 @@ def agg_trade_frames(market: DataFrame) -> DataFrame:
         F.col("event_ms").alias("E"),
         F.col("symbol").alias("s"),
         F.col("event_id").alias("a"),
-        _text(F.col("price")).alias("p"),
-        _text(F.col("qty")).alias("q"),
+        _decimal_text(F.col("price")).alias("p"),
+        _decimal_text(F.col("qty")).alias("q"),
         F.col("event_id").alias("f"),
         F.col("event_id").alias("l"),
         F.col("event_ms").alias("T"),
@@ -99,9 +109,9 @@ def book_ticker_frames(market: DataFrame) -> DataFrame:
     data = F.struct(
         F.col("event_id").alias("u"),
         F.col("symbol").alias("s"),
-        _text(F.col("price")).alias("b"),
-        _text(F.col("qty")).alias("B"),
-        _text(ask).alias("a"),
+        _decimal_text(F.col("price")).alias("b"),
+        _decimal_text(F.col("qty")).alias("B"),
+        _decimal_text(ask).alias("a"),
         _text(F.col("user_id")).alias("A"),
     )
     return market.select(_frame(BOOK_TICKER, data).alias("frame"), "received_at", _seq("event_id", 1))
@@ -109,7 +119,7 @@ def book_ticker_frames(market: DataFrame) -> DataFrame:
 
 def depth10_frames(market: DataFrame) -> DataFrame:
     entries = F.sort_array(
-        F.collect_list(F.struct("event_id", _text(F.col("price")).alias("p"), _text(F.col("qty")).alias("q")))
+        F.collect_list(F.struct("event_id", _decimal_text(F.col("price")).alias("p"), _decimal_text(F.col("qty")).alias("q")))
     )
 
     def side(parity: int) -> Column:
