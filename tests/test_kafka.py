@@ -63,3 +63,11 @@ def test_null_stream_type_lands_in_default_partition_and_is_never_read(spark, sc
 
     rows = read_snapshot(spark, layout.table("silver_agg_trade"), SILVER_AGG_TRADE_SCHEMA).collect()
     assert [r.agg_trade_id for r in rows] == [1]
+
+
+def test_envelope_json_fields_equal_the_envelope_schema(spark):
+    import json
+
+    env = spark.createDataFrame([(datetime(2026, 1, 1), "A", "aggTrade", "{}")], ENVELOPE_SCHEMA)
+    value = json.loads(bytes(encode_envelopes(env).first().value))
+    assert list(value) == ENVELOPE_SCHEMA.fieldNames()

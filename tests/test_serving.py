@@ -130,3 +130,24 @@ def test_target_key_read_is_range_bounded_in_the_scan(spark, scratch):
     assert "GreaterThanOrEqual(window_start" in plan and "LessThanOrEqual" in plan
     assert "ReadSchema: struct<window_start:timestamp,symbol:string>" in plan
     assert keys.count() == 1
+
+
+def test_one_failing_table_does_not_stop_the_others(spark, scratch):
+    from ticklake.streaming.sync import GOLD_SCHEMAS, SyncSpec, sync_all
+
+    root = scratch("isolation")
+    vol(spark, [(0, "A", "1", 1), (0, "A", "2", 1)]).write.parquet(root + "/gold_volatility")  # duplicate key
+    spread = spark.createDataFrame(
+        [(datetime(2026, 1, 1, 10, 0), datetime(2026, 1, 1, 10, 5), "A", Decimal("1"), Decimal("1"), Decimal("1"), Decimal("1"))],
+        GOLD_SCHEMAS["gold_spread"],
+    )
+    spread.write.parquet(root + "/gold_spread")
+    specs = [
+        SyncSpec("gold_volatility", root + "/gold_volatility", GOLD_SCHEMAS["gold_volatility"], root + "/t/vol", root + "/c/vol"),
+        SyncSpec("gold_spread", root + "/gold_spread", GOLD_SCHEMAS["gold_spread"], root + "/t/spread", root + "/c/spread"),
+    ]
+    handles = sync_all(spark, specs, available_now=True)
+    assert handles["gold_volatility"].exception() is not None
+    assert not table_available(spark, root + "/t/vol", SERVING_VOLATILITY_SCHEMA)
+    assert handles["gold_spread"].exception() is None
+    assert read_snapshot(spark, root + "/t/spread").count() == 1

@@ -8,6 +8,7 @@ applied with ``insert_absent``, so a replayed batch adds nothing.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,8 @@ class SyncSpec:
     checkpoint_path: str
 
 
+log = logging.getLogger(__name__)
+
 GOLD_SCHEMAS = {
     "gold_volatility": GOLD_VOLATILITY_SCHEMA,
     "gold_spread": GOLD_SPREAD_SCHEMA,
@@ -77,13 +80,14 @@ def sync_all(
     out: dict[str, StreamingQuery | None] = {}
     for spec in specs:
         if not table_available(spark, spec.gold_path, spec.gold_schema, fmt):
+            log.warning("gold table not available yet: %s", spec.gold_path)
             out[spec.table] = None
             continue
         query = start_sync(spark, spec, fmt, available_now)
         if available_now:
             try:
                 query.awaitTermination()
-            except Exception:  # the handle keeps the error; go on with the rest
-                pass
+            except Exception as err:  # the handle keeps the error; go on with the rest
+                log.error("sync of %s failed: %s", spec.table, err)
         out[spec.table] = query
     return out
