@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from ticklake.functions.parsing import utc_wall_clock
+from ticklake.functions.parsing import instant_from_utc_wall_clock, utc_wall_clock
 from ticklake.operators.envelope import (
     envelope_from_frames,
     quarantine_frames,
@@ -33,7 +33,7 @@ from ticklake.operators.serving import (
     volatility_series,
 )
 from ticklake.operators.silver import silver_agg_trade, silver_book_ticker, silver_depth10
-from ticklake.plans.lakehouse import LAYERS, chain, landing_records
+from ticklake.plans.lakehouse import LAYERS, bronze_from_records, chain, landing_records
 from ticklake.plans.testdata import market_frames, read_table
 from ticklake.schemas import BRONZE_SCHEMA, SERVING_TABLES
 from ticklake.session import scratch_dir
@@ -62,8 +62,6 @@ def for_compare(df: DataFrame) -> DataFrame:
 
 
 def _utc_instant(dt: datetime):
-    from ticklake.functions.parsing import instant_from_utc_wall_clock
-
     return instant_from_utc_wall_clock(F.lit(dt.isoformat(sep=" ")).cast("timestamp_ntz"))
 
 
@@ -146,8 +144,6 @@ def q_subscription_filter(spark, sf_dir):
 
 
 def q_kafka_round_trip(spark, sf_dir):
-    from ticklake.plans.lakehouse import bronze_from_records
-
     return for_compare(bronze_from_records(landing_records(market_frames(spark, sf_dir))))
 
 
