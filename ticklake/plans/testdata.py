@@ -87,7 +87,11 @@ def _frame(stream_type: str, data: Column) -> Column:
     return F.to_json(F.struct(stream.alias("stream"), data.alias("data")))
 
 
-def agg_trade_frames(market: DataFrame) -> DataFrame:
+def _row(stream_type: str, data: Column, seq: Column) -> Column:
+    return F.struct(_frame(stream_type, data).alias("frame"), F.col("received_at").alias("received_at"), seq)
+
+
+def _agg_trade_row() -> Column:
     data = F.struct(
         F.lit(AGG_TRADE).alias("e"),
         F.col("event_ms").alias("E"),
@@ -101,10 +105,10 @@ def agg_trade_frames(market: DataFrame) -> DataFrame:
         (F.col("event_id") % 2 == 0).alias("m"),
         F.lit(True).alias("M"),
     )
-    return market.select(_frame(AGG_TRADE, data).alias("frame"), "received_at", _seq("event_id", 0))
+    return _row(AGG_TRADE, data, _seq("event_id", 0))
 
 
-def book_ticker_frames(market: DataFrame) -> DataFrame:
+def _book_ticker_row() -> Column:
     ask = (F.col("price") + F.col("qty") * F.lit(0.01).cast("decimal(3,2)")).cast(PRICE_TYPE)
     data = F.struct(
         F.col("event_id").alias("u"),
@@ -114,7 +118,24 @@ def book_ticker_frames(market: DataFrame) -> DataFrame:
         _decimal_text(ask).alias("a"),
         _text(F.col("user_id")).alias("A"),
     )
-    return market.select(_frame(BOOK_TICKER, data).alias("frame"), "received_at", _seq("event_id", 1))
+    return _row(BOOK_TICKER, data, _seq("event_id", 1))
+
+
+_PER_EVENT_ROWS = {AGG_TRADE: _agg_trade_row, BOOK_TICKER: _book_ticker_row}
+
+
+def per_event_frames(market: DataFrame, stream_types=(AGG_TRADE, BOOK_TICKER)) -> DataFrame:
+    """aggTrade and/or bookTicker frames from one pass over the events: one
+    generator emits each event's frames."""
+    return market.select(F.inline(F.array(*[_PER_EVENT_ROWS[t]() for t in stream_types])))
+
+
+def agg_trade_frames(market: DataFrame) -> DataFrame:
+    return per_event_frames(market, (AGG_TRADE,))
+
+
+def book_ticker_frames(market: DataFrame) -> DataFrame:
+    return per_event_frames(market, (BOOK_TICKER,))
 
 
 def depth10_frames(market: DataFrame) -> DataFrame:
@@ -140,18 +161,18 @@ def depth10_frames(market: DataFrame) -> DataFrame:
         side(0).alias("bids"),
         side(1).alias("asks"),
     )
-    return books.select(_frame(DEPTH10, data).alias("frame"), "received_at", _seq("last_update_id", 2))
+    return books.select(F.inline(F.array(_row(DEPTH10, data, _seq("last_update_id", 2)))))
 
 
 def market_frames(spark: SparkSession, sf_dir: str, stream_types=(AGG_TRADE, BOOK_TICKER, DEPTH10)) -> DataFrame:
     """All frames of the requested stream types: ``(frame, received_at, seq)``."""
     market = market_events(spark, sf_dir)
-    builders = {
-        AGG_TRADE: agg_trade_frames,
-        BOOK_TICKER: book_ticker_frames,
-        DEPTH10: depth10_frames,
-    }
-    parts = [builders[t](market) for t in stream_types]
+    per_event = tuple(t for t in stream_types if t in _PER_EVENT_ROWS)
+    parts = []
+    if per_event:
+        parts.append(per_event_frames(market, per_event))
+    if DEPTH10 in stream_types:
+        parts.append(depth10_frames(market))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
