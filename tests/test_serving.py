@@ -2,6 +2,7 @@ from datetime import datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from ticklake.operators.serving import (
     DuplicateKeyError,
@@ -61,10 +62,18 @@ def test_null_key_raises(spark, scratch):
         insert_absent(spark, vol(spark, [(0, None, "1", 1)]), path, "gold_volatility")
 
 
-def test_overflowing_metric_fails_at_the_serving_edge(spark, scratch):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_overflowing_metric_fails_at_the_serving_edge(spark, scratch, ansi):
     path = scratch("serving") + "/vol"
-    with pytest.raises(Exception):
-        insert_absent(spark, vol(spark, [(0, "A", "1000000000000", 1)]), path, "gold_volatility")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        big = vol(spark, [(0, "A", "1", 1)]).withColumn("total_volume", F.lit("10000000000000").cast("decimal(30,8)"))
+        with pytest.raises(Exception, match="total_volume does not fit decimal"):
+            insert_absent(spark, big, path, "gold_volatility")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    assert not table_available(spark, path, SERVING_VOLATILITY_SCHEMA)
 
 
 def test_table_available_missing_empty_and_present(spark, scratch):

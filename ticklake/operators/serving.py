@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Union
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -45,10 +45,21 @@ def contract_of(table: str) -> tuple[StructType, tuple[str, ...]]:
 
 def to_serving_contract(gold: DataFrame, table: str) -> DataFrame:
     """Project ``gold`` onto the serving table's columns, in order, cast to
-    the contract types.  A plain cast: a metric that does not fit
-    decimal(20,8) fails under ANSI, as the serving database would."""
+    the contract types.  A value that does not fit its column (a metric
+    beyond decimal(20,8)) fails the job, as the serving database would,
+    whatever the session's ANSI setting (a plain cast would turn it into
+    NULL with ANSI off)."""
     schema, _ = contract_of(table)
-    return gold.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return gold.select(*[_fit(f.name, f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _fit(name: str, dtype) -> Column:
+    value = F.col(name)
+    narrowed = value.try_cast(dtype)
+    return F.when(
+        value.isNotNull() & narrowed.isNull(),
+        F.raise_error(F.concat(F.lit(f"{name} does not fit {dtype.simpleString()}: "), value.cast("string"))),
+    ).otherwise(narrowed)
 
 
 def _batch_stats(rows: DataFrame, keys: tuple[str, ...]):
