@@ -4,7 +4,7 @@ from decimal import Decimal
 from ticklake.operators.gold import gold_volatility
 from ticklake.schemas import SILVER_AGG_TRADE_SCHEMA, GOLD_VOLATILITY_SCHEMA
 from ticklake.sources.layers import read_snapshot
-from ticklake.streaming.layers import LakehouseLayout, LayerSpec, run_layers_once
+from ticklake.streaming.layers import LakehouseLayout, LayerSpec, rows_dropped_as_late, run_layers_once
 
 GOLD = LayerSpec("gold_volatility", "silver_agg_trade", SILVER_AGG_TRADE_SCHEMA, gold_volatility)
 
@@ -26,11 +26,13 @@ def test_watermark_late_data_scenario(spark, scratch):
     """5-minute windows, 10-minute watermark, one input per micro-batch."""
     layout = LakehouseLayout(scratch("late"))
     batches = [[(10, 1), (10, 6)], [(10, 16)], [(10, 2), (10, 7), (10, 20)], [(11, 0)]]
-    seen = []
+    seen, dropped = [], []
     for b in batches:
         trade_rows(spark, b).write.mode("append").parquet(layout.table("silver_agg_trade"))
-        run_layers_once(spark, layout, [GOLD])
+        (query,) = run_layers_once(spark, layout, [GOLD])
         seen.append(windows(spark, layout))
+        dropped.append(rows_dropped_as_late(query))
+    assert dropped == [0, 0, 1, 0]
     assert seen[0] == []
     assert seen[1] == [("10:00", 1)]
     assert seen[2] == [("10:00", 1), ("10:05", 2)]  # 10:02 dropped, late 10:07 accepted

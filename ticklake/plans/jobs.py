@@ -2,6 +2,7 @@
 
     python -m ticklake.plans.jobs <layer> --root <shared folder> [--available-now]
         [--trigger "10 seconds"] [--format parquet|delta] [--max-per-trigger N]
+        [--shuffle-partitions N] [--rocksdb]
 
 ``<layer>`` is one of ``bronze``, ``silver_agg_trade``, ``silver_book_ticker``,
 ``silver_depth10``, ``gold_volatility``, ``gold_spread``, ``gold_liquidity``.
@@ -68,8 +69,21 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--bootstrap", default=None)
     parser.add_argument("--topic", default=None)
     parser.add_argument("--max-per-trigger", type=int, default=None)
+    parser.add_argument(
+        "--shuffle-partitions", type=int, default=None,
+        help="state partitions of a Gold job; fixed in its checkpoint at first start",
+    )
+    parser.add_argument("--rocksdb", action="store_true", help="RocksDB state store (large key sets)")
     args = parser.parse_args(argv)
-    spark = SparkSession.builder.appName(f"ticklake-{args.layer}").getOrCreate()
+    builder = SparkSession.builder.appName(f"ticklake-{args.layer}")
+    if args.shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
+    if args.rocksdb:
+        builder = builder.config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
+    spark = builder.getOrCreate()
     layout = LakehouseLayout(args.root.rstrip("/"), args.format)
     query = run_layer(
         spark, layout, args.layer, args.available_now, args.trigger, args.bootstrap, args.topic, args.max_per_trigger

@@ -70,16 +70,30 @@ def start_layer(
     )
 
 
+def rows_dropped_as_late(query: StreamingQuery) -> int:
+    """Rows the query's stateful operators dropped because their window had
+    already closed (sum over the progress reports Spark keeps)."""
+    return sum(
+        op.get("numRowsDroppedByWatermark", 0)
+        for progress in query.recentProgress
+        for op in progress.get("stateOperators", [])
+    )
+
+
 def run_layers_once(
     spark: SparkSession,
     layout: LakehouseLayout,
     specs: Iterable[LayerSpec],
     max_files_per_trigger: int | None = None,
-) -> None:
+) -> list[StreamingQuery]:
     """Process everything available in each layer, upstream first, then stop
-    (``availableNow``).  Re-running continues from the checkpoints."""
+    (``availableNow``).  Re-running continues from the checkpoints.  Returns
+    the finished queries (progress reports, late-row counts)."""
+    done = []
     for spec in specs:
         query = start_layer(spark, layout, spec, True, max_files_per_trigger)
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()
+        done.append(query)
+    return done
