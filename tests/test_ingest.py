@@ -2,10 +2,10 @@ import json
 import os
 
 from ticklake.plans.ingest import read_frame_lines, start_ingestion
-from ticklake.plans.lakehouse import chain
+from ticklake.plans.medallion import chain
 from ticklake.schemas import KAFKA_RECORD_SCHEMA, SILVER_AGG_TRADE_SCHEMA
 from ticklake.sources.layers import read_snapshot
-from ticklake.streaming.layers import LakehouseLayout, run_layers_once
+from ticklake.streaming.layers import TableLayout, run_layers_once
 
 TRADE = {"stream": "aaausdt@aggTrade", "data": {"e": "aggTrade", "E": 1767261600123, "s": "AAAUSDT", "a": 7,
          "p": "10.5", "q": "2", "f": 11, "l": 12, "T": 1767261600120, "m": True, "M": True}}
@@ -19,7 +19,7 @@ def test_frames_stream_to_landing_quarantine_and_silver(spark, scratch):
         fh.write(json.dumps(TRADE) + "\n")
         fh.write("not-json\n")
         fh.write('{"stream":"aaausdt@kline_1m","data":{}}\n')
-    layout = LakehouseLayout(root)
+    layout = TableLayout(root)
     for q in start_ingestion(read_frame_lines(spark, inbox), layout, available_now=True):
         q.awaitTermination()
     landing = read_snapshot(spark, layout.table("landing"), KAFKA_RECORD_SCHEMA)

@@ -33,7 +33,7 @@ def test_non_json_value_keeps_lineage_with_null_envelope(spark):
     assert (row.partition, row.offset) == (2, 5)
 
 
-def test_pydantic_style_timestamp_without_fraction_parses(spark):
+def test_iso_timestamp_without_fraction_parses(spark):
     recs = spark.createDataFrame(
         [(b"k", b'{"ingestion_timestamp":"2026-01-01T10:00:00Z","symbol":"A","stream_type":"aggTrade","raw_payload":"{}"}',
           "t", 0, 0, datetime(2026, 1, 1), 0)],
@@ -43,10 +43,10 @@ def test_pydantic_style_timestamp_without_fraction_parses(spark):
 
 
 def test_null_stream_type_lands_in_default_partition_and_is_never_read(spark, scratch):
-    from ticklake.plans.lakehouse import LAYERS
-    from ticklake.streaming.layers import LakehouseLayout, run_layers_once
+    from ticklake.plans.medallion import LAYERS
+    from ticklake.streaming.layers import TableLayout, run_layers_once
 
-    layout = LakehouseLayout(scratch("nullpart"))
+    layout = TableLayout(scratch("nullpart"))
     good = b'{"ingestion_timestamp":"2026-01-01T10:00:00Z","symbol":"A","stream_type":"aggTrade","raw_payload":"{\\"data\\":{\\"a\\":1}}"}'
     recs = spark.createDataFrame(
         [(b"A", good, "t", 0, 0, datetime(2026, 1, 1), 0), (b"A", b"garbage", "t", 0, 1, datetime(2026, 1, 1), 0)],

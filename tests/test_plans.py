@@ -46,7 +46,7 @@ def test_bronze_read_of_one_stream_type_prunes_partitions(spark, scratch):
 
 def test_layer_job_entry_point(spark, scratch):
     from ticklake.plans.jobs import main
-    from ticklake.plans.lakehouse import landing_records
+    from ticklake.plans.medallion import landing_records
     from ticklake.plans.testdata import market_frames
     from ticklake.schemas import BRONZE_SCHEMA
     from ticklake.sources.layers import read_snapshot
@@ -63,12 +63,12 @@ def test_bounded_micro_batches_give_the_same_table(spark, scratch):
     from ticklake.plans.jobs import main
     from ticklake.schemas import SILVER_AGG_TRADE_SCHEMA
     from ticklake.sources.layers import read_snapshot
-    from ticklake.streaming.layers import LakehouseLayout
+    from ticklake.streaming.layers import TableLayout
 
     root = scratch("bounded")
     rows = [("S", None, "aggTrade", None, i, Decimal("1"), Decimal("1"), i, i, datetime(2026, 1, 1, 10, i), True, True) for i in range(0, 40, 3)]
     for i in range(0, len(rows), 4):
         spark.createDataFrame(rows[i : i + 4], SILVER_AGG_TRADE_SCHEMA).coalesce(1).write.mode("append").parquet(root + "/tables/silver_agg_trade")
     assert main(["gold_volatility", "--root", root, "--available-now", "--max-per-trigger", "1"]) == 0
-    streamed = read_snapshot(spark, LakehouseLayout(root).table("gold_volatility")).count()
+    streamed = read_snapshot(spark, TableLayout(root).table("gold_volatility")).count()
     assert streamed == 5  # watermark 10:39 - 10 min: windows ending 10:05..10:25 close

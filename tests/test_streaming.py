@@ -4,7 +4,7 @@ from decimal import Decimal
 from ticklake.operators.gold import gold_volatility
 from ticklake.schemas import SILVER_AGG_TRADE_SCHEMA, GOLD_VOLATILITY_SCHEMA
 from ticklake.sources.layers import read_snapshot
-from ticklake.streaming.layers import LakehouseLayout, LayerSpec, rows_dropped_as_late, run_layers_once
+from ticklake.streaming.layers import TableLayout, LayerSpec, rows_dropped_as_late, run_layers_once
 
 GOLD = LayerSpec("gold_volatility", "silver_agg_trade", SILVER_AGG_TRADE_SCHEMA, gold_volatility)
 
@@ -24,7 +24,7 @@ def windows(spark, layout):
 
 def test_watermark_late_data_scenario(spark, scratch):
     """5-minute windows, 10-minute watermark, one input per micro-batch."""
-    layout = LakehouseLayout(scratch("late"))
+    layout = TableLayout(scratch("late"))
     batches = [[(10, 1), (10, 6)], [(10, 16)], [(10, 2), (10, 7), (10, 20)], [(11, 0)]]
     seen, dropped = [], []
     for b in batches:
@@ -46,7 +46,7 @@ def test_batch_over_same_rows_returns_every_window(spark):
 
 
 def test_restart_from_checkpoint_adds_no_duplicates(spark, scratch):
-    layout = LakehouseLayout(scratch("restart"))
+    layout = TableLayout(scratch("restart"))
     trade_rows(spark, [(10, 1), (10, 30)]).write.parquet(layout.table("silver_agg_trade"))
     run_layers_once(spark, layout, [GOLD])
     first = windows(spark, layout)

@@ -1,4 +1,4 @@
-"""ticklake: a Spark-native market-data lakehouse.
+"""ticklake: a Spark-native market-data analytics library.
 
 Raw exchange frames -> envelopes (Bronze) -> typed Silver tables ->
 event-time windowed Gold risk metrics -> keyed serving tables.  Every

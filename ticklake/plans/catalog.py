@@ -33,12 +33,12 @@ from ticklake.operators.serving import (
     volatility_series,
 )
 from ticklake.operators.silver import silver_agg_trade, silver_book_ticker, silver_depth10
-from ticklake.plans.lakehouse import LAYERS, bronze_from_records, chain, landing_records
+from ticklake.plans.medallion import LAYERS, bronze_from_records, chain, landing_records
 from ticklake.plans.testdata import market_frames, read_table
 from ticklake.schemas import BRONZE_SCHEMA, SERVING_TABLES
 from ticklake.session import scratch_dir
 from ticklake.sources.layers import read_snapshot
-from ticklake.streaming.layers import LakehouseLayout, run_layers_once
+from ticklake.streaming.layers import TableLayout, run_layers_once
 from ticklake.streaming.sync import GOLD_SCHEMAS, SyncSpec, sync_all
 
 # Fixed parameters of the registered queries.
@@ -92,11 +92,11 @@ def _silver_for(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return transform(_envelopes(spark, sf_dir, stream_type))
 
 
-def _layout(spark: SparkSession, name: str) -> LakehouseLayout:
-    return LakehouseLayout(scratch_dir(spark, name))
+def _layout(spark: SparkSession, name: str) -> TableLayout:
+    return TableLayout(scratch_dir(spark, name))
 
 
-def _land(spark: SparkSession, sf_dir: str, layout: LakehouseLayout) -> None:
+def _land(spark: SparkSession, sf_dir: str, layout: TableLayout) -> None:
     landing_records(market_frames(spark, sf_dir)).write.format(layout.fmt).save(layout.table("landing"))
 
 

@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ticklake.operators.envelope import quarantine_frames
-from ticklake.plans.lakehouse import landing_records
+from ticklake.plans.medallion import landing_records
 from ticklake.sources.layers import write_layer
-from ticklake.streaming.layers import LakehouseLayout
+from ticklake.streaming.layers import TableLayout
 
 
 def read_frame_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -30,7 +30,7 @@ def read_frame_lines(spark: SparkSession, path: str, max_files_per_trigger: int
 
 def start_ingestion(
     frames: DataFrame,
-    layout: LakehouseLayout,
+    layout: TableLayout,
     available_now: bool = False,
     trigger_interval: str = "5 seconds",
 ) -> tuple[StreamingQuery, StreamingQuery]:

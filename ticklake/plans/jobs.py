@@ -21,15 +21,15 @@ from dataclasses import replace
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ticklake.plans.lakehouse import LAYERS, bronze_from_records
+from ticklake.plans.medallion import LAYERS, bronze_from_records
 from ticklake.sources.kafka import read_topic
 from ticklake.sources.layers import write_layer
-from ticklake.streaming.layers import LakehouseLayout, start_layer
+from ticklake.streaming.layers import TableLayout, start_layer
 
 
 def run_layer(
     spark: SparkSession,
-    layout: LakehouseLayout,
+    layout: TableLayout,
     name: str,
     available_now: bool = False,
     trigger_interval: str | None = None,
@@ -84,7 +84,7 @@ def main(argv: list[str] | None = None) -> int:
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
     spark = builder.getOrCreate()
-    layout = LakehouseLayout(args.root.rstrip("/"), args.format)
+    layout = TableLayout(args.root.rstrip("/"), args.format)
     query = run_layer(
         spark, layout, args.layer, args.available_now, args.trigger, args.bootstrap, args.topic, args.max_per_trigger
     )

@@ -1,4 +1,4 @@
-"""The lakehouse as a table of layers, and the landing topic stand-in.
+"""The medallion layers (Bronze, Silver, Gold) as a table, and the landing topic stand-in.
 
     landing (topic records) -> bronze (by stream_type)
         -> silver_agg_trade   -> gold_volatility

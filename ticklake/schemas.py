@@ -174,7 +174,7 @@ SILVER_DEPTH10_SCHEMA = _fields(
     ("quantity", PRICE_TYPE),
 )
 
-# --- Gold (lakehouse types: exact, wider than the serving contract) --------
+# --- Gold (exact types, wider than the serving contract) -------------------
 GOLD_VOLATILITY_SCHEMA = _fields(
     ("window_start", TimestampType()),
     ("window_end", TimestampType()),

@@ -30,7 +30,7 @@ class LayerSpec:
 
 
 @dataclass(frozen=True)
-class LakehouseLayout:
+class TableLayout:
     """Table and checkpoint paths under one root (on shared storage)."""
 
     root: str
@@ -45,7 +45,7 @@ class LakehouseLayout:
 
 def start_layer(
     spark: SparkSession,
-    layout: LakehouseLayout,
+    layout: TableLayout,
     spec: LayerSpec,
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
@@ -82,7 +82,7 @@ def rows_dropped_as_late(query: StreamingQuery) -> int:
 
 def run_layers_once(
     spark: SparkSession,
-    layout: LakehouseLayout,
+    layout: TableLayout,
     specs: Iterable[LayerSpec],
     max_files_per_trigger: int | None = None,
 ) -> list[StreamingQuery]:
