@@ -137,8 +137,9 @@ def insert_absent(
     partly written attempt only adds the missing keys.  The target's keys are
     read only for the batch's ``window_start`` range (a filter pushed into
     the scan, skipping files and row groups outside it; a bounded query on a
-    database), and joined with a shuffle join on the keys; the adaptive
-    planner switches to a broadcast only when the measured key set is small.
+    database), and joined on the keys without a broadcast hint: the planner
+    broadcasts them only when their estimated (or, with AQE, measured) size
+    is under the broadcast threshold, else it is a sort-merge join.
     A duplicate or NULL key inside the batch raises ``DuplicateKeyError``
     before anything is written.  Returns False for an empty batch.  One
     writer per target table.
