@@ -146,9 +146,15 @@ def test_parsing_whole_frame_without_data_gives_null_fields(spark):
     assert row[0] is None and row[4] is None
 
 
-def test_silver_plan_parses_each_frame_once(spark):
-    plan = silver_agg_trade(bronze(spark, "aggTrade", [TRADE]))._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize(
+    "transform,stream_type,frame",
+    [(silver_agg_trade, "aggTrade", TRADE), (silver_book_ticker, "bookTicker", TICKER), (silver_depth10, "depth10", DEPTH)],
+)
+def test_silver_plan_parses_each_frame_once(spark, transform, stream_type, frame):
+    plan = transform(bronze(spark, stream_type, [frame]))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("from_json") == 1
+    assert plan.count("json_tuple") == 1
+    assert "get_json_object" not in plan
 
 
 def test_quarantine_invalid_strict_split(spark):
