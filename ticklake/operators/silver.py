@@ -12,7 +12,7 @@ NULL for that field only; an unparseable number gives a NULL decimal.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.functions.parsing import (
@@ -131,7 +131,7 @@ REQUIRED_FIELDS = {
 }
 
 
-def _missing(required) -> "F.Column":
+def _missing(required) -> Column:
     flags = F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required])
     return F.filter(flags, lambda name: name.isNotNull())
 
