@@ -58,8 +58,8 @@ def main() -> None:
     early = gold.filter(F.col("window_start") < F.lit("2024-01-15").cast("timestamp"))
     insert_absent(spark, early, target, "gold_volatility")
     batch = to_serving_contract(gold.filter(F.col("window_start") >= F.lit("2024-01-20").cast("timestamp")), "gold_volatility")
-    keys = _target_keys(spark, target, SERVING_VOLATILITY_SCHEMA, ("symbol", "window_start"),
-                        __import__("datetime").datetime(2024, 1, 20), __import__("datetime").datetime(2024, 1, 31), "parquet")
+    jan20, jan31 = 1705708800 * 10**6, 1706659200 * 10**6  # 2024-01-20 / 2024-01-31 UTC, epoch us
+    keys = _target_keys(spark, target, SERVING_VOLATILITY_SCHEMA, ("symbol", "window_start"), jan20, jan31, "parquet")
     sections = [
         ("Silver aggTrade from partitioned Bronze",
          "Partition filter on stream_type in the scan; json_tuple extracts `data` once; from_json runs once per kept row.",

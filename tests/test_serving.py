@@ -133,7 +133,7 @@ def test_target_key_read_is_range_bounded_in_the_scan(spark, scratch):
     insert_absent(spark, vol(spark, [(0, "A", "1", 1), (20, "A", "1", 1)]), path, "gold_volatility")
     keys = _target_keys(
         spark, path, SERVING_VOLATILITY_SCHEMA, ("symbol", "window_start"),
-        datetime(2026, 1, 1, 10, 0), datetime(2026, 1, 1, 10, 5), "parquet",
+        _micros(datetime(2026, 1, 1, 10, 0)), _micros(datetime(2026, 1, 1, 10, 5)), "parquet",
     )
     plan = keys._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(window_start" in plan and "LessThanOrEqual" in plan
@@ -160,3 +160,45 @@ def test_one_failing_table_does_not_stop_the_others(spark, scratch):
     assert not table_available(spark, root + "/t/vol", SERVING_VOLATILITY_SCHEMA)
     assert handles["gold_spread"].exception() is None
     assert read_snapshot(spark, root + "/t/spread").count() == 1
+
+
+def _micros(dt):
+    from datetime import timezone
+
+    return int(dt.replace(tzinfo=timezone.utc).timestamp() * 1_000_000)
+
+
+def test_insert_absent_is_independent_of_the_driver_time_zone(spark, scratch):
+    """Windows inside a DST fall-back hour of the driver's local zone: the
+    replayed window must still be found in the target (no duplicate)."""
+    import os
+    import time
+
+    def batch(*utc):
+        return spark.createDataFrame(
+            [(i,) for i in range(len(utc))], "i int"
+        ).select(
+            F.timestamp_micros(F.element_at(F.array(*[F.lit(_micros(u)) for u in utc]), F.col("i") + 1)).alias("window_start"),
+            F.timestamp_micros(F.element_at(F.array(*[F.lit(_micros(u) + 300_000_000) for u in utc]), F.col("i") + 1)).alias("window_end"),
+            F.lit("A").alias("symbol"),
+            F.lit(1).cast("decimal(24,12)").alias("avg_price"),
+            F.lit(None).cast("double").alias("stddev_price"),
+            F.lit(1).cast("decimal(30,8)").alias("total_volume"),
+            F.lit(1).cast("long").alias("trade_count"),
+        )
+
+    first, second = datetime(2026, 11, 1, 5, 30), datetime(2026, 11, 1, 6, 30)  # 01:30 EDT, 01:30 EST
+    path = scratch("dst") + "/vol"
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        insert_absent(spark, batch(first, second), path, "gold_volatility")
+        insert_absent(spark, batch(second), path, "gold_volatility")
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
+    assert read_snapshot(spark, path, SERVING_VOLATILITY_SCHEMA).count() == 2

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 from typing import Union
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,8 +67,10 @@ def _batch_stats(rows: DataFrame, keys: tuple[str, ...]):
     key, NULL-key rows, and the window_start range of the batch."""
     null_key = F.greatest(*[F.col(k).isNull().cast("int") for k in keys])
     per_key = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("window_start").alias("ws")
+        F.count(F.lit(1)).alias("n"), F.min(F.unix_micros("window_start")).alias("ws")
     )
+    # The range travels as epoch microseconds: no driver-local time zone
+    # (and no DST ambiguity) between the batch and the target filter.
     return per_key.agg(
         F.max("n").alias("max_per_key"),
         F.sum(F.when(null_key == 1, F.col("n")).otherwise(0)).alias("null_keys"),
@@ -92,28 +94,32 @@ def _target_keys(
     target: Target,
     schema: StructType,
     keys: tuple[str, ...],
-    lo: datetime,
-    hi: datetime,
+    lo_micros: int,
+    hi_micros: int,
     fmt: str,
 ) -> DataFrame | None:
-    """Keys already in the target within ``[lo, hi]`` of ``window_start``;
-    None when a file target does not exist yet."""
+    """Keys already in the target with ``window_start`` in
+    ``[lo, hi]`` (epoch microseconds); None when a file target does not
+    exist yet."""
     if isinstance(target, JdbcTarget):
         cols = ", ".join(keys)
-        query = (
-            f"SELECT {cols} FROM {target.dbtable} "
-            f"WHERE window_start BETWEEN '{lo.isoformat(sep=' ')}' AND '{hi.isoformat(sep=' ')}'"
-        )
+        lo, hi = _utc_literal(lo_micros), _utc_literal(hi_micros)
+        query = f"SELECT {cols} FROM {target.dbtable} WHERE window_start BETWEEN '{lo}' AND '{hi}'"
         return spark.read.format("jdbc").option("url", target.url).option("query", query).options(**target.properties).load()
     if not table_available(spark, target, schema, fmt):
         return None
+    bounds = F.timestamp_micros(F.lit(lo_micros)), F.timestamp_micros(F.lit(hi_micros))
     return (
         read_snapshot(spark, target, schema, fmt)
-        .filter(F.col("window_start").between(F.lit(lo), F.lit(hi)))
+        .filter(F.col("window_start").between(*bounds))
         .select(*keys)
     )
 
 
+def _utc_literal(micros: int) -> str:
+    return datetime.fromtimestamp(micros / 1_000_000, tz=timezone.utc).isoformat(sep=" ")
+
+
 def _append(rows: DataFrame, target: Target, fmt: str) -> None:
     if isinstance(target, JdbcTarget):
         rows.write.format("jdbc").option("url", target.url).option("dbtable", target.dbtable).options(
