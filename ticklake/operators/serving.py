@@ -195,12 +195,19 @@ def _series(
     if symbols is not None:
         df = df.filter(F.col("symbol").isin(*list(symbols)))
     if start is not None:
-        df = df.filter(F.col("window_start") >= F.lit(start))
+        df = df.filter(F.col("window_start") >= _instant(start))
     if end is not None:
-        df = df.filter(F.col("window_start") < F.lit(end))
+        df = df.filter(F.col("window_start") < _instant(end))
     return df
 
 
+def _instant(dt: datetime) -> Column:
+    """A Python datetime as a TIMESTAMP literal; naive means UTC (never the
+    driver's local zone)."""
+    aware = dt if dt.tzinfo is not None else dt.replace(tzinfo=timezone.utc)
+    return F.timestamp_micros(F.lit(round(aware.timestamp() * 1_000_000)))
+
+
 def _pg_concat(*parts):
     """SQL ``CONCAT`` as the serving database defines it: NULL parts count
     as empty strings (Spark's ``concat`` would return NULL)."""
@@ -218,7 +225,8 @@ def volatility_series(
     start: datetime | None = None,
     end: datetime | None = None,
 ) -> DataFrame:
-    """``(time, symbol, stddev_price)`` for the chosen symbols, by window."""
+    """``(time, symbol, stddev_price)`` for the chosen symbols, by window;
+    optional ``[start, end)`` on ``window_start`` (naive datetimes are UTC)."""
     return (
         _series(volatility, symbols, start, end)
         .select(F.col("window_start").alias("time"), "symbol", "stddev_price")
