@@ -68,3 +68,21 @@ def test_stream_equals_batch_minus_open_windows(spark, scratch):
     # every streamed window is final and equal to the batch row
     assert stream.exceptAll(batch.select(*stream.columns)).count() == 0
     assert b - s <= 2  # the last windows are still open
+
+
+def test_processing_time_trigger_runs_until_stopped(spark, scratch):
+    from dataclasses import replace
+
+    from ticklake.streaming.layers import start_layer
+
+    layout = TableLayout(scratch("ptime"))
+    trade_rows(spark, [(10, 1), (10, 30)]).write.parquet(layout.table("silver_agg_trade"))
+    query = start_layer(spark, layout, replace(GOLD, trigger_interval="1 second"))
+    try:
+        query.processAllAvailable()
+        assert query.isActive
+        trade_rows(spark, [(10, 45)]).write.mode("append").parquet(layout.table("silver_agg_trade"))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert windows(spark, layout) == [("10:00", 1), ("10:30", 1)]
