@@ -194,12 +194,15 @@ def q_late_trades_stream(spark, sf_dir):
     symbol's whole history.  Its rows in windows already closed by the
     watermark are dropped; the rest are counted."""
     layout = _layout(spark, "late_trades")
-    trades = _silver_for("gold_volatility", spark, sf_dir)
+    trades = _silver_for("gold_volatility", spark, sf_dir).persist()  # split in two below
     arrivals = [trades.filter(F.col("symbol") != DELAYED_SYMBOL), trades.filter(F.col("symbol") == DELAYED_SYMBOL)]
     gold = LAYERS["gold_volatility"]
-    for batch in arrivals:
-        batch.write.format(layout.fmt).mode("append").save(layout.table(gold.source))
-        run_layers_once(spark, layout, [gold])
+    try:
+        for batch in arrivals:
+            batch.write.format(layout.fmt).mode("append").save(layout.table(gold.source))
+            run_layers_once(spark, layout, [gold])
+    finally:
+        trades.unpersist()
     out = read_snapshot(spark, layout.table("gold_volatility"), GOLD_SCHEMAS["gold_volatility"])
     return for_compare(to_serving_contract(out, "gold_volatility"))
 
@@ -213,11 +216,14 @@ _SEED_TIME = {
 
 def _q_insert_delta(table: str) -> Query:
     def run(spark, sf_dir):
-        silver = _silver_for(table, spark, sf_dir)
-        target = f"{scratch_dir(spark, 'serving_' + table)}/{table}"
-        seed = silver.filter(F.col(_SEED_TIME[table]) < _utc_instant(SEED_CUTOFF))
-        insert_absent(spark, _gold(table, seed), target, table)
-        insert_absent(spark, _gold(table, silver), target, table)
+        silver = _silver_for(table, spark, sf_dir).persist()  # read twice below
+        try:
+            target = f"{scratch_dir(spark, 'serving_' + table)}/{table}"
+            seed = silver.filter(F.col(_SEED_TIME[table]) < _utc_instant(SEED_CUTOFF))
+            insert_absent(spark, _gold(table, seed), target, table)
+            insert_absent(spark, _gold(table, silver), target, table)
+        finally:
+            silver.unpersist()
         schema, _ = SERVING_TABLES[table]
         return for_compare(read_snapshot(spark, target, schema))
 
