@@ -1,0 +1,63 @@
+"""Property-based checks (hypothesis); each example is one Spark job over a
+whole generated batch."""
+
+from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from ticklake.functions.parsing import decimal_from_text
+from ticklake.operators.envelope import envelope_from_frames, quarantine_frames
+
+SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+symbols = st.text(alphabet="abcxyz09", min_size=0, max_size=6)
+types = st.sampled_from(["aggTrade", "bookTicker", "depth10", "trade", "", "AGGTRADE"])
+frame_like = st.one_of(
+    st.builds(lambda s, t: '{"stream":"%s@%s","data":{}}' % (s, t), symbols, types),
+    st.builds(lambda s: '{"stream":"%s"}' % s, symbols),
+    st.text(max_size=30),
+    st.none(),
+)
+
+
+@SETTINGS
+@given(st.lists(frame_like, min_size=1, max_size=40))
+def test_envelopes_and_quarantine_partition_any_input(spark, frames):
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(frames)], "i int, frame string")
+    good = envelope_from_frames(df, keep=("i",), received_col=None)
+    bad = quarantine_frames(df.withColumn("received_at", F.lit(None).cast("timestamp")))
+    good_ids = sorted(r.i for r in good.select("i").collect())
+    bad_frames = [r.frame for r in bad.collect()]
+    assert len(good_ids) + len(bad_frames) == len(frames)
+    for r in good.collect():
+        assert r.stream_type in ("aggTrade", "bookTicker", "depth10")
+        assert r.symbol == r.raw_payload.split('"stream":"')[1].split("@")[0].upper()
+
+
+def _expected(text):
+    try:
+        d = Decimal(text.strip())
+    except (InvalidOperation, AttributeError):
+        return None
+    if not d.is_finite():
+        return None
+    q = d.quantize(Decimal("0.00000001"), rounding=ROUND_HALF_UP)
+    return q if abs(q) < Decimal(10) ** 12 else None
+
+
+numbers = st.one_of(
+    st.decimals(min_value=Decimal("-1e13"), max_value=Decimal("1e13"), allow_nan=False, allow_infinity=False, places=10).map(str),
+    st.integers(min_value=-(10**13), max_value=10**13).map(str),
+    st.sampled_from(["abc", "", " 1.5 ", "1e3", "-0.000000005", "0.000000005"]),
+)
+
+
+@SETTINGS
+@given(st.lists(numbers, min_size=1, max_size=60))
+def test_decimal_parse_is_exact_half_up_or_null(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r.i: r.d for r in df.select("i", decimal_from_text("t").alias("d")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == _expected(t), (t, got[i])
