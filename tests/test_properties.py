@@ -61,3 +61,50 @@ def test_decimal_parse_is_exact_half_up_or_null(spark, texts):
     got = {r.i: r.d for r in df.select("i", decimal_from_text("t").alias("d")).collect()}
     for i, t in enumerate(texts):
         assert got[i] == _expected(t), (t, got[i])
+
+
+_TRADE_FIELDS = {
+    "e": st.text(alphabet="aTdgre", max_size=8),
+    "E": st.integers(min_value=0, max_value=4_102_444_800_000),
+    "s": st.text(alphabet="ABCXYZ", max_size=8),
+    "a": st.integers(min_value=0, max_value=2**62),
+    "p": st.decimals(min_value=0, max_value=10**6, places=8, allow_nan=False).map(str),
+    "q": st.decimals(min_value=0, max_value=10**6, places=8, allow_nan=False).map(str),
+    "f": st.integers(min_value=0, max_value=2**62),
+    "l": st.integers(min_value=0, max_value=2**62),
+    "T": st.integers(min_value=0, max_value=4_102_444_800_000),
+    "m": st.booleans(),
+    "M": st.booleans(),
+}
+trade_payloads = st.fixed_dictionaries({}, optional={k: st.one_of(v, st.none()) for k, v in _TRADE_FIELDS.items()})
+
+
+@SETTINGS
+@given(st.lists(trade_payloads, min_size=1, max_size=25))
+def test_agg_trade_fields_round_trip(spark, payloads):
+    """Any subset of aggTrade fields (present, missing or null) comes back
+    field for field, case-clashing names kept apart."""
+    import json
+    from datetime import datetime, timezone
+
+    from ticklake.operators.silver import silver_agg_trade
+
+    # The row index travels in ``symbol`` so each output row finds its input.
+    rows = [(str(i), "aggTrade", json.dumps({"stream": "s@aggTrade", "data": p})) for i, p in enumerate(payloads)]
+    bronze = spark.createDataFrame(rows, "symbol string, stream_type string, raw_payload string").withColumn(
+        "ingestion_timestamp", F.lit(None).cast("timestamp")
+    )
+    out = silver_agg_trade(bronze).collect()
+    assert len(out) == len(payloads)
+
+    def ts(ms):
+        return None if ms is None else datetime.fromtimestamp(ms / 1000, tz=timezone.utc).replace(tzinfo=None)
+
+    for r in out:
+        p = payloads[int(r.symbol)]
+        assert r.event_type == p.get("e")
+        assert (r.agg_trade_id, r.first_trade_id, r.last_trade_id) == (p.get("a"), p.get("f"), p.get("l"))
+        assert (r.is_buyer_maker, r.is_best_match) == (p.get("m"), p.get("M"))
+        assert r.price == (None if p.get("p") is None else Decimal(p["p"]))
+        assert r.quantity == (None if p.get("q") is None else Decimal(p["q"]))
+        assert (r.event_timestamp, r.trade_timestamp) == (ts(p.get("E")), ts(p.get("T")))
