@@ -93,3 +93,26 @@ def test_liquidity_averages_all_levels_per_side(spark):
     assert_contract(out, GOLD_LIQUIDITY_SCHEMA)
     got = {r.side: r.avg_depth_quantity for r in out.collect()}
     assert got == {"bid": Decimal("4"), "ask": Decimal("1")}
+
+
+def test_ntz_event_time_is_read_as_utc(spark):
+    df = trades(spark, [("A", datetime(2026, 1, 1, 10, 1), "10", "1"), ("A", datetime(2026, 1, 1, 10, 2), "12", "1")])
+    ntz = df.withColumn("trade_timestamp", df["trade_timestamp"].cast("timestamp_ntz"))
+    a = sorted(tuple(r) for r in gold_volatility(df).collect())
+    b = sorted(tuple(r) for r in gold_volatility(ntz).collect())
+    assert a == b and len(a) == 1
+
+
+def test_ntz_event_time_in_a_stream(spark, scratch):
+    from ticklake.sources.layers import read_snapshot
+
+    root = scratch("ntz")
+    df = trades(spark, [("A", datetime(2026, 1, 1, 10, 1), "10", "1"), ("A", datetime(2026, 1, 1, 10, 30), "12", "1")])
+    df.withColumn("trade_timestamp", df["trade_timestamp"].cast("timestamp_ntz")).write.parquet(root + "/in")
+    stream = spark.readStream.schema(spark.read.parquet(root + "/in").schema).parquet(root + "/in")
+    q = gold_volatility(stream).writeStream.format("parquet").option("checkpointLocation", root + "/cp").trigger(
+        availableNow=True
+    ).start(root + "/out")
+    q.awaitTermination()
+    rows = read_snapshot(spark, root + "/out").collect()
+    assert [(r.window_start, r.trade_count) for r in rows] == [(datetime(2026, 1, 1, 10, 0), 1)]

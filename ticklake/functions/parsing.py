@@ -39,7 +39,9 @@ def parse_payload(raw_payload: Column | str, stream_type: str) -> Column:
     Result: NULL when the frame is not JSON or carries no ``data``; a struct
     (possibly with all fields NULL) otherwise.  Fields come back under the
     typed names of ``ticklake.schemas`` (positional rename), so ``e``/``E``
-    never collide.
+    never collide.  For ad hoc expressions; the Silver layer extracts
+    ``data`` with a generator instead, so a filter on the result cannot make
+    the optimizer parse the frame twice.
     """
     return parse_payload_text(payload_text(raw_payload), stream_type)
 

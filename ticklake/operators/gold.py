@@ -20,6 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import TimestampNTZType
+
+from ticklake.functions.parsing import instant_from_utc_wall_clock
 from ticklake.schemas import WATERMARK_DELAY, WINDOW_DURATION
 
 
@@ -31,6 +34,9 @@ def _windowed(
     window_duration: str,
     watermark_delay: str | None,
 ) -> DataFrame:
+    if isinstance(df.schema[time_col].dataType, TimestampNTZType):
+        # A watermark needs an instant; read wall-clock time as UTC.
+        df = df.withColumn(time_col, instant_from_utc_wall_clock(time_col))
     if watermark_delay is not None:
         df = df.withWatermark(time_col, watermark_delay)
     out = df.groupBy(F.window(time_col, window_duration).alias("window"), *keys).agg(
