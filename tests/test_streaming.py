@@ -86,3 +86,60 @@ def test_processing_time_trigger_runs_until_stopped(spark, scratch):
     finally:
         query.stop()
     assert windows(spark, layout) == [("10:00", 1), ("10:30", 1)]
+
+
+def test_start_all_runs_the_whole_stack_concurrently(spark, scratch):
+    import time
+    from dataclasses import replace
+
+    from ticklake.plans.catalog import _land
+    from ticklake.plans.medallion import LAYERS, chain
+    from ticklake.streaming.layers import start_all
+
+    reference = TableLayout(scratch("stack-ref"))
+    _land(spark, "/root/testdata/sf0.001", reference)
+    run_layers_once(spark, reference, chain("gold_volatility"))
+    want = read_snapshot(spark, reference.table("gold_volatility"), GOLD_VOLATILITY_SCHEMA).count()
+
+    layout = TableLayout(scratch("stack"))
+    _land(spark, "/root/testdata/sf0.001", layout)
+    specs = [replace(s, trigger_interval="1 second") for s in LAYERS.values()]
+    handles = start_all(spark, layout, specs, timeout_s=120)
+    try:
+        assert all(q.isActive for q in handles.values()) and len(handles) == 7
+        for name in LAYERS:  # upstream first: drain each layer in order
+            handles[name].processAllAvailable()
+        # Closed windows are emitted by the batch after the watermark moves.
+        deadline = time.monotonic() + 60
+        got = 0
+        while time.monotonic() < deadline:
+            handles["gold_volatility"].processAllAvailable()
+            got = read_snapshot(spark, layout.table("gold_volatility"), GOLD_VOLATILITY_SCHEMA).count()
+            if got == want:
+                break
+            time.sleep(1)
+    finally:
+        for q in handles.values():
+            q.stop()
+    assert got == want > 0
+
+
+def test_layer_does_not_start_on_an_empty_partitioned_source(spark, scratch):
+    import os
+
+    import pytest
+
+    from ticklake.plans.catalog import _land
+    from ticklake.plans.medallion import LAYERS
+    from ticklake.streaming.layers import SourceNotReady, source_ready, start_layer
+
+    layout = TableLayout(scratch("early"))
+    _land(spark, "/root/testdata/sf0.001", layout)
+    os.makedirs(layout.table("bronze") + "/_spark_metadata", exist_ok=True)  # upstream started, no data yet
+    silver = LAYERS["silver_agg_trade"]
+    assert not source_ready(spark, layout, silver)
+    with pytest.raises(SourceNotReady):
+        start_layer(spark, layout, silver)
+    assert run_layers_once(spark, layout, [silver]) == []  # nothing to read: skipped
+    run_layers_once(spark, layout, [LAYERS["bronze"], silver])
+    assert read_snapshot(spark, layout.table("silver_agg_trade")).count() == 1000

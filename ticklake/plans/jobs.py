@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ticklake.plans.medallion import LAYERS, bronze_from_records
 from ticklake.sources.kafka import read_topic
 from ticklake.sources.layers import write_layer
-from ticklake.streaming.layers import TableLayout, start_layer
+from ticklake.streaming.layers import TableLayout, start_layer, wait_for_source
 
 
 def run_layer(
@@ -36,12 +36,15 @@ def run_layer(
     bootstrap_servers: str | None = None,
     topic: str | None = None,
     max_per_trigger: int | None = None,
+    source_timeout_s: float = 300.0,
 ) -> StreamingQuery:
     """Start layer ``name`` and return its query handle (the caller waits).
 
     ``max_per_trigger`` bounds each micro-batch (files of the upstream table,
     or topic offsets for Bronze on a broker), so a backlog is worked off in
-    bounded batches instead of one huge first batch."""
+    bounded batches instead of one huge first batch.  A layer started before
+    its upstream has produced a readable table waits for it (up to
+    ``source_timeout_s``) rather than failing or misreading it."""
     spec = LAYERS[name]
     if trigger_interval:
         spec = replace(spec, trigger_interval=trigger_interval)
@@ -56,6 +59,7 @@ def run_layer(
             fmt=layout.fmt,
             available_now=available_now,
         )
+    wait_for_source(spark, layout, spec, timeout_s=source_timeout_s)
     return start_layer(spark, layout, spec, available_now, max_files_per_trigger=max_per_trigger)
 
 

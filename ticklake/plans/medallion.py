@@ -46,9 +46,9 @@ LAYERS: dict[str, LayerSpec] = {
     spec.name: spec
     for spec in [
         LayerSpec("bronze", "landing", KAFKA_RECORD_SCHEMA, bronze_from_records, "stream_type"),
-        LayerSpec("silver_agg_trade", "bronze", BRONZE_SCHEMA, silver_agg_trade),
-        LayerSpec("silver_book_ticker", "bronze", BRONZE_SCHEMA, silver_book_ticker),
-        LayerSpec("silver_depth10", "bronze", BRONZE_SCHEMA, silver_depth10),
+        LayerSpec("silver_agg_trade", "bronze", BRONZE_SCHEMA, silver_agg_trade, source_partitioned_by="stream_type"),
+        LayerSpec("silver_book_ticker", "bronze", BRONZE_SCHEMA, silver_book_ticker, source_partitioned_by="stream_type"),
+        LayerSpec("silver_depth10", "bronze", BRONZE_SCHEMA, silver_depth10, source_partitioned_by="stream_type"),
         LayerSpec("gold_volatility", "silver_agg_trade", SILVER_AGG_TRADE_SCHEMA, gold_volatility),
         LayerSpec("gold_spread", "silver_book_ticker", SILVER_BOOK_TICKER_SCHEMA, gold_spread),
         LayerSpec("gold_liquidity", "silver_depth10", SILVER_DEPTH10_SCHEMA, gold_liquidity),

@@ -8,13 +8,15 @@ without touching the others.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+import time
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ticklake.sources.layers import DEFAULT_FORMAT, read_layer, write_layer
+from ticklake.sources.layers import DEFAULT_FORMAT, read_layer, table_available, write_layer
 
 
 @dataclass(frozen=True)
@@ -27,6 +29,16 @@ class LayerSpec:
     transform: Callable[[DataFrame], DataFrame]
     partition_by: str | None = None
     trigger_interval: str = "10 seconds"
+    # Partition column of the source table, if any.  A streaming file source
+    # fixes its partition columns when it starts, from the files it sees then;
+    # started on a still-empty partitioned table it would read that column as
+    # NULL for ever after.  Such a layer starts only once the column exists.
+    source_partitioned_by: str | None = None
+
+
+class SourceNotReady(RuntimeError):
+    """The layer's source table does not exist yet, or is partitioned and
+    holds no partition yet."""
 
 
 @dataclass(frozen=True)
@@ -43,6 +55,31 @@ class TableLayout:
         return f"{self.root}/checkpoints/{name}"
 
 
+def source_ready(spark: SparkSession, layout: TableLayout, spec: LayerSpec) -> bool:
+    """True when the layer can start: its source table exists and, when it
+    is partitioned, its partition column can be discovered from the files."""
+    path = layout.table(spec.source)
+    if not table_available(spark, path, spec.source_schema, layout.fmt):
+        return False
+    if spec.source_partitioned_by is None:
+        return True
+    try:
+        return spec.source_partitioned_by in spark.read.format(layout.fmt).load(path).columns
+    except AnalysisException:  # no data files yet: nothing to infer from
+        return False
+
+
+def wait_for_source(
+    spark: SparkSession, layout: TableLayout, spec: LayerSpec, timeout_s: float = 300.0, poll_s: float = 1.0
+) -> None:
+    """Block until ``source_ready``; raise ``SourceNotReady`` after the timeout."""
+    deadline = time.monotonic() + timeout_s
+    while not source_ready(spark, layout, spec):
+        if time.monotonic() > deadline:
+            raise SourceNotReady(f"{spec.name}: source not ready: {layout.table(spec.source)}")
+        time.sleep(poll_s)
+
+
 def start_layer(
     spark: SparkSession,
     layout: TableLayout,
@@ -50,7 +87,10 @@ def start_layer(
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start one layer's streaming query and return its handle."""
+    """Start one layer's streaming query and return its handle.  Raises
+    ``SourceNotReady`` instead of starting on a source it would misread."""
+    if not source_ready(spark, layout, spec):
+        raise SourceNotReady(f"{spec.name}: source not ready: {layout.table(spec.source)}")
     stream = read_layer(
         spark,
         layout.table(spec.source),
@@ -70,6 +110,30 @@ def start_layer(
     )
 
 
+def start_all(
+    spark: SparkSession,
+    layout: TableLayout,
+    specs: Iterable[LayerSpec],
+    timeout_s: float = 300.0,
+) -> dict[str, StreamingQuery]:
+    """Start every layer as its own continuously running query, upstream
+    first.  Each layer starts only once its source is ready (exists; holds a
+    partition when partitioned), so no job fails on a path its upstream has
+    not created yet or misreads a partition column; the file source then
+    reads the upstream's sink log (committed files only).  Returns the
+    handles by layer name; the caller waits on or stops them."""
+    handles: dict[str, StreamingQuery] = {}
+    try:
+        for spec in specs:
+            wait_for_source(spark, layout, spec, timeout_s)
+            handles[spec.name] = start_layer(spark, layout, spec)
+    except Exception:
+        for query in handles.values():
+            query.stop()
+        raise
+    return handles
+
+
 def rows_dropped_as_late(query: StreamingQuery) -> int:
     """Rows the query's stateful operators dropped because their window had
     already closed (sum over the progress reports Spark keeps)."""
@@ -91,6 +155,8 @@ def run_layers_once(
     the finished queries (progress reports, late-row counts)."""
     done = []
     for spec in specs:
+        if not source_ready(spark, layout, spec):  # nothing to read yet
+            continue
         query = start_layer(spark, layout, spec, True, max_files_per_trigger)
         query.awaitTermination()
         if query.exception() is not None:
