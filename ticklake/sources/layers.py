@@ -24,7 +24,12 @@ def read_layer(
     fmt: str = DEFAULT_FORMAT,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Streaming scan of a layer table."""
+    """Streaming scan of a layer table.
+
+    A streaming file source fixes its partition columns when it starts, from
+    the files present then: start it on a partitioned table only once the
+    table holds a partition (``ticklake.streaming.layers.source_ready``), or
+    the partition column reads as NULL."""
     reader = spark.readStream.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
