@@ -130,6 +130,10 @@ def _gold_stream(table: str) -> str:
 
 
 def _late_trades() -> str:
+    # Batch 1 = every symbol but the delayed one; batch 2 = the delayed one.
+    # A batch-2 row is dropped when its window already ended at or before
+    # the watermark left by batch 1 (max event time - 10 min); a window is
+    # emitted once the final watermark (over all rows seen) reaches its end.
     t = "trade_timestamp"
     return _with(
         _M,
@@ -143,6 +147,9 @@ def _late_trades() -> str:
 
 
 def _insert_delta(table: str) -> str:
+    # The target is first seeded from Gold over rows before a mid-window
+    # cutoff, then the full Gold is inserted where its key is absent: seeded
+    # keys keep their (partial) first values.
     name, cte = _SILVER_CTE[table]
     keys = {"gold_volatility": ("symbol", "window_start"), "gold_spread": ("symbol", "window_start"), "gold_liquidity": ("symbol", "side", "window_start")}[table]
     cond = " AND ".join(f"s.{k} = g.{k}" for k in keys)
