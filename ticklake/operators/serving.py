@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ticklake.schemas import SERVING_TABLES
-from ticklake.sources.layers import DEFAULT_FORMAT, read_snapshot, table_available
+from ticklake.sources.layers import DEFAULT_FORMAT, read_snapshot, table_available, try_read_snapshot
 
 
 @dataclass(frozen=True)
@@ -106,14 +106,11 @@ def _target_keys(
         lo, hi = _utc_literal(lo_micros), _utc_literal(hi_micros)
         query = f"SELECT {cols} FROM {target.dbtable} WHERE window_start BETWEEN '{lo}' AND '{hi}'"
         return spark.read.format("jdbc").option("url", target.url).option("query", query).options(**target.properties).load()
-    if not table_available(spark, target, schema, fmt):
+    existing = try_read_snapshot(spark, target, schema, fmt)
+    if existing is None:
         return None
     bounds = F.timestamp_micros(F.lit(lo_micros)), F.timestamp_micros(F.lit(hi_micros))
-    return (
-        read_snapshot(spark, target, schema, fmt)
-        .filter(F.col("window_start").between(*bounds))
-        .select(*keys)
-    )
+    return existing.filter(F.col("window_start").between(*bounds)).select(*keys)
 
 
 def _utc_literal(micros: int) -> str:
@@ -177,9 +174,15 @@ def sync_table(
 ) -> bool:
     """Batch sync of a whole Gold table into its serving table.  False (and
     nothing written) while the Gold table does not exist yet."""
-    if not table_available(spark, gold_path, gold_schema, fmt):
+    if gold_schema is not None:
+        gold = try_read_snapshot(spark, gold_path, gold_schema, fmt)  # one listing
+    elif table_available(spark, gold_path, None, fmt):
+        gold = read_snapshot(spark, gold_path, None, fmt)
+    else:
+        gold = None
+    if gold is None:
         return False
-    insert_absent(spark, read_snapshot(spark, gold_path, gold_schema, fmt), target, table, fmt)
+    insert_absent(spark, gold, target, table, fmt)
     return True
 
 

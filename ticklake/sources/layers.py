@@ -49,6 +49,19 @@ def read_snapshot(
     return reader.load(path)
 
 
+def try_read_snapshot(
+    spark: SparkSession, path: str, schema: StructType, fmt: str = DEFAULT_FORMAT
+) -> DataFrame | None:
+    """``read_snapshot`` with an explicit schema, or None while the path does
+    not exist: the table is resolved (listed) once for both questions."""
+    try:
+        return read_snapshot(spark, path, schema, fmt)
+    except AnalysisException as err:
+        if err.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def table_available(
     spark: SparkSession, path: str, schema: StructType | None = None, fmt: str = DEFAULT_FORMAT
 ) -> bool:
