@@ -1 +1,29 @@
 """Structured Streaming wiring: layer runner and serving sync."""
+
+from ticklake.streaming.layers import (
+    LayerSpec,
+    SourceNotReady,
+    TableLayout,
+    rows_dropped_as_late,
+    run_layers_once,
+    source_ready,
+    start_all,
+    start_layer,
+    wait_for_source,
+)
+from ticklake.streaming.sync import SyncSpec, start_sync, sync_all
+
+__all__ = [
+    "LayerSpec",
+    "SourceNotReady",
+    "SyncSpec",
+    "TableLayout",
+    "rows_dropped_as_late",
+    "run_layers_once",
+    "source_ready",
+    "start_all",
+    "start_layer",
+    "start_sync",
+    "sync_all",
+    "wait_for_source",
+]
