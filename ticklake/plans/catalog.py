@@ -32,7 +32,13 @@ from ticklake.operators.serving import (
     to_serving_contract,
     volatility_series,
 )
-from ticklake.operators.silver import silver_agg_trade, silver_book_ticker, silver_depth10
+from ticklake.operators.silver import (
+    REQUIRED_FIELDS,
+    quarantine_invalid,
+    silver_agg_trade,
+    silver_book_ticker,
+    silver_depth10,
+)
 from ticklake.plans.medallion import LAYERS, bronze_from_records, chain, landing_records
 from ticklake.plans.testdata import market_frames, read_table
 from ticklake.schemas import BRONZE_SCHEMA, SERVING_TABLES
@@ -138,6 +144,34 @@ def q_quarantine_frames(spark, sf_dir):
     return for_compare(quarantine_frames(noisy_feed(spark, sf_dir)))
 
 
+def q_strict_silver_quotes(spark, sf_dir):
+    """Garbage inside valid envelopes: chat turns published as bookTicker
+    messages whose price fields carry text.  They pass the envelope and the
+    Silver parse (NULL prices); the strict split reports them with the
+    required fields they miss."""
+    conv = read_table(spark, sf_dir, "conversations").select(
+        F.to_json(
+            F.struct(
+                F.concat(F.col("role"), F.lit("@bookTicker")).alias("stream"),
+                F.struct(
+                    F.col("turn").alias("u"),
+                    F.upper("role").alias("s"),
+                    F.col("text").alias("b"),
+                    F.col("turn").cast("string").alias("B"),
+                    F.col("text").alias("a"),
+                    F.col("conv_id").cast("string").alias("A"),
+                ).alias("data"),
+            )
+        ).alias("frame"),
+        F.lit(None).cast("timestamp").alias("received_at"),
+        F.lit(None).cast("long").alias("seq"),
+    )
+    feed = market_frames(spark, sf_dir, ("bookTicker",)).unionByName(conv)
+    quotes = silver_book_ticker(envelope_from_frames(feed))
+    bad = quarantine_invalid(quotes, REQUIRED_FIELDS["silver_book_ticker"])
+    return for_compare(bad.withColumn("missing_fields", F.array_join("missing_fields", ",")))
+
+
 def q_subscription_filter(spark, sf_dir):
     frames = market_frames(spark, sf_dir)
     return for_compare(subscription_filter(frames, SUBSCRIBED_SYMBOLS, SUBSCRIBED_TYPES))
@@ -272,6 +306,7 @@ QUERIES: dict[str, Query] = {
     "envelope_from_frames": q_envelope_from_frames,
     "quarantine_frames": q_quarantine_frames,
     "subscription_filter": q_subscription_filter,
+    "strict_silver_quotes": q_strict_silver_quotes,
     "kafka_round_trip": q_kafka_round_trip,
     "bronze_partitioned": q_bronze_partitioned,
     "silver_agg_trade": q_silver_agg_trade,

@@ -195,6 +195,26 @@ WHERE frame IS NULL OR stream IS NULL OR len(string_split(stream, '@')) <> 2
    OR string_split(stream, '@')[2] NOT IN ({types})"""
 
 
+def _strict_quotes() -> str:
+    required = ("symbol", "ingestion_timestamp", "best_bid_price", "best_ask_price")
+    missing = ", ".join(f"CASE WHEN {c} IS NULL THEN '{c}' END" for c in required)
+    any_null = " OR ".join(f"{c} IS NULL" for c in required)
+    return _with(
+        _M,
+        """q AS (
+  SELECT symbol, ts AS ingestion_timestamp, event_id AS update_id,
+         price AS best_bid_price, qty AS best_bid_quantity,
+         CAST(price + qty * 0.01 AS DECIMAL(20,8)) AS best_ask_price,
+         CAST(user_id AS DECIMAL(20,8)) AS best_ask_quantity
+  FROM m
+  UNION ALL
+  SELECT upper(role), CAST(NULL AS TIMESTAMP), turn,
+         TRY_CAST(text AS DECIMAL(20,8)), TRY_CAST(CAST(turn AS VARCHAR) AS DECIMAL(20,8)),
+         TRY_CAST(text AS DECIMAL(20,8)), TRY_CAST(CAST(conv_id AS VARCHAR) AS DECIMAL(20,8))
+  FROM conversations)""",
+    ) + f"SELECT *, concat_ws(',', {missing}) AS missing_fields FROM q WHERE {any_null}"
+
+
 def _bronze_rows(where: str = "") -> str:
     return _with(_M, _FRAMES) + f"""SELECT received_at AS ingestion_timestamp, symbol, stream_type, frame AS raw_payload,
        CAST(ascii(symbol) % 3 AS INTEGER) AS "partition", seq AS "offset", received_at AS kafka_timestamp
@@ -214,6 +234,7 @@ def oracle_sql() -> dict[str, str]:
         "envelope_from_frames": envelope,
         "quarantine_frames": _quarantine(),
         "subscription_filter": subscription,
+        "strict_silver_quotes": _strict_quotes(),
         "kafka_round_trip": _bronze_rows(),
         "bronze_partitioned": _bronze_rows("WHERE stream_type = 'depth10'"),
         "silver_agg_trade": _with(_M, _TRADES) + "SELECT * FROM trades",
