@@ -1,0 +1,23 @@
+import json
+import os
+import subprocess
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver test data not present")
+def test_bench_prints_one_json_line():
+    env = dict(os.environ, BENCH_SF_DIR="/root/testdata/sf0.001", BENCH_CPUS="2", BENCH_WARMUP="0",
+               BENCH_QUERIES="dash_symbols,silver_book_ticker")
+    out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env, capture_output=True,
+                         text=True, timeout=600, check=True)
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1
+    result = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(result)
+    assert result["unit"] == "sec" and result["sf"] == 0.001
+    assert set(result["queries"]) == {"dash_symbols", "silver_book_ticker"}
+    assert result["value"] == pytest.approx(sum(result["queries"].values()), abs=0.01)
