@@ -40,10 +40,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     topic's partitions would be; a large table already has enough splits
     and is left alone (no extra shuffle at scale)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (e.g. a Spark Connect session): leave as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
