@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
 from pyspark.sql.types import TimestampNTZType
 
 from ticklake.functions.parsing import instant_from_utc_wall_clock
