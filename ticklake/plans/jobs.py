@@ -92,7 +92,11 @@ def main(argv: list[str] | None = None) -> int:
     query = run_layer(
         spark, layout, args.layer, args.available_now, args.trigger, args.bootstrap, args.topic, args.max_per_trigger
     )
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    except Exception as err:  # the query failed: report and exit non-zero
+        print(f"{args.layer} failed: {err}", file=sys.stderr)
+        return 1
     return 0 if query.exception() is None else 1
 
 
