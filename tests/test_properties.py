@@ -108,3 +108,44 @@ def test_agg_trade_fields_round_trip(spark, payloads):
         assert r.price == (None if p.get("p") is None else Decimal(p["p"]))
         assert r.quantity == (None if p.get("q") is None else Decimal(p["q"]))
         assert (r.event_timestamp, r.trade_timestamp) == (ts(p.get("E")), ts(p.get("T")))
+
+
+_level_text = st.one_of(
+    st.decimals(min_value=0, max_value=10**6, places=4, allow_nan=False).map(str),
+    st.sampled_from(["abc", "", "1e2"]),
+)
+_level = st.lists(_level_text, min_size=0, max_size=3)
+_side = st.one_of(st.none(), st.lists(_level, min_size=0, max_size=10))
+books = st.fixed_dictionaries({"lastUpdateId": st.integers(min_value=0, max_value=2**62), "bids": _side, "asks": _side})
+
+
+def _dec(text):
+    try:
+        d = Decimal(text)
+    except InvalidOperation:
+        return None
+    return d.quantize(Decimal("0.00000001"), rounding=ROUND_HALF_UP) if d.is_finite() else None
+
+
+@SETTINGS
+@given(st.lists(books, min_size=1, max_size=12))
+def test_depth_levels_match_a_python_explode(spark, snapshots):
+    import json
+
+    from ticklake.operators.silver import silver_depth10
+
+    rows = [(str(i), "depth10", json.dumps({"data": b})) for i, b in enumerate(snapshots)]
+    bronze = spark.createDataFrame(rows, "symbol string, stream_type string, raw_payload string").withColumn(
+        "ingestion_timestamp", F.lit(None).cast("timestamp")
+    )
+    got = sorted(
+        (int(r.symbol), r.last_update_id, r.side, r.level, r.price, r.quantity)
+        for r in silver_depth10(bronze).collect()
+    )
+    want = sorted(
+        (i, b["lastUpdateId"], side, pos, _dec(lv[0]) if len(lv) > 0 else None, _dec(lv[1]) if len(lv) > 1 else None)
+        for i, b in enumerate(snapshots)
+        for side, key in (("bid", "bids"), ("ask", "asks"))
+        for pos, lv in enumerate(b[key] or [])
+    )
+    assert got == want
