@@ -172,3 +172,46 @@ def test_envelope_encode_decode_round_trip(spark, rows):
     )
     back = decode_envelopes(records).select(*ENVELOPE_SCHEMA.fieldNames())
     assert sorted(map(repr, back.collect())) == sorted(map(repr, env.collect()))
+
+
+_batch = st.dictionaries(
+    st.tuples(st.sampled_from(["A", "B", "C"]), st.integers(min_value=0, max_value=5)),  # (symbol, window index)
+    st.integers(min_value=1, max_value=99),  # trade_count as the metric
+    min_size=0,
+    max_size=8,
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_batch, min_size=1, max_size=3))
+def test_keyed_insert_is_first_write_wins(spark, scratch, batches):
+    from datetime import timedelta
+
+    from ticklake.operators.serving import insert_absent
+    from ticklake.schemas import SERVING_VOLATILITY_SCHEMA
+    from ticklake.sources.layers import read_snapshot, table_available
+
+    t0 = datetime(2026, 1, 1, 10, 0)
+    path = scratch("fww") + "/vol"
+    for batch in batches:
+        rows = [
+            (t0 + timedelta(minutes=5 * w), t0 + timedelta(minutes=5 * w + 5), s, Decimal(1), None, Decimal(1), n)
+            for (s, w), n in batch.items()
+        ]
+        df = spark.createDataFrame(
+            rows,
+            "window_start timestamp, window_end timestamp, symbol string, avg_price decimal(24,12), "
+            "stddev_price double, total_volume decimal(30,8), trade_count long",
+        )
+        insert_absent(spark, df, path, "gold_volatility")
+    want = {}
+    for batch in batches:
+        for key, n in batch.items():
+            want.setdefault(key, n)
+    got = {}
+    if table_available(spark, path, SERVING_VOLATILITY_SCHEMA):
+        for r in read_snapshot(spark, path, SERVING_VOLATILITY_SCHEMA).collect():
+            key = (r.symbol, (r.window_start - t0) // timedelta(minutes=5))
+            assert key not in got  # never a duplicate key
+            got[key] = r.trade_count
+    assert got == want
