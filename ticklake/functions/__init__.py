@@ -7,6 +7,8 @@ from ticklake.functions.parsing import (
     level_price,
     level_quantity,
     parse_payload,
+    parse_payload_text,
+    payload_present,
     payload_text,
     timestamp_from_epoch_ms,
     utc_wall_clock,
@@ -19,6 +21,8 @@ __all__ = [
     "level_price",
     "level_quantity",
     "parse_payload",
+    "parse_payload_text",
+    "payload_present",
     "payload_text",
     "timestamp_from_epoch_ms",
     "utc_wall_clock",
