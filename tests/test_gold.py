@@ -116,3 +116,18 @@ def test_ntz_event_time_in_a_stream(spark, scratch):
     q.awaitTermination()
     rows = read_snapshot(spark, root + "/out").collect()
     assert [(r.window_start, r.trade_count) for r in rows] == [(datetime(2026, 1, 1, 10, 0), 1)]
+
+
+def test_serving_contract_order_and_types_for_every_table(spark):
+    from ticklake.schemas import GOLD_LIQUIDITY_SCHEMA, GOLD_SPREAD_SCHEMA, SERVING_LIQUIDITY_SCHEMA, SERVING_SPREAD_SCHEMA
+
+    t0, t1 = datetime(2026, 1, 1, 10, 0), datetime(2026, 1, 1, 10, 5)
+    spread = spark.createDataFrame(
+        [(t0, t1, "A", Decimal("0.5"), Decimal("0.1"), Decimal("1"), Decimal("10.123456789"))], GOLD_SPREAD_SCHEMA
+    )
+    liq = spark.createDataFrame([(t0, t1, "A", "bid", Decimal("2.5"))], GOLD_LIQUIDITY_SCHEMA)
+    # shuffled column order on input: the contract fixes order and types
+    s = assert_contract(to_serving_contract(spread.select(*reversed(spread.columns)), "gold_spread"), SERVING_SPREAD_SCHEMA)
+    l_ = assert_contract(to_serving_contract(liq.select(*reversed(liq.columns)), "gold_liquidity"), SERVING_LIQUIDITY_SCHEMA)
+    assert s.first().avg_mid_price == Decimal("10.12345679")  # HALF_UP at the 8th digit
+    assert l_.first().avg_depth_quantity == Decimal("2.5")
