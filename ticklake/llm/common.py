@@ -7,7 +7,10 @@ import atexit
 import os
 import shutil
 import tempfile
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,6 +56,24 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The runs of rows with equal keys of a partition that is sorted by them,
+    each as one frame; a run may go on over batches."""
+    rest: pd.DataFrame | None = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        if rest is not None:
+            batch = pd.concat([rest, batch], ignore_index=True)
+        values = batch[keys].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (values[1:] != values[:-1]).any(axis=1)])
+        for a, b in zip(starts[:-1], starts[1:]):
+            yield batch.iloc[a:b]
+        rest = batch.iloc[starts[-1] :]
+    if rest is not None:
+        yield rest
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return tuple(row)

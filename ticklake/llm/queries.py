@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticklake.llm import bpe, minhash, mixing, sharding
+from ticklake.llm import bpe, embedding_dedup, minhash, mixing, sharding, topk, toxicity, warc
 from ticklake.llm.common import ship_package, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -46,8 +46,40 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@_query
+def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
+@_query
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+@_query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"), least_bytes=0)
+
+
+@_query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.toxicity(docs, table(spark, sf_dir, "labels"), threshold=0.7)
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_byte_bpe, op2_minhash_near_dedup, op3_sharding, op4_source_mixing)
+    f.__name__: f
+    for f in (
+        op1_byte_bpe,
+        op2_minhash_near_dedup,
+        op3_sharding,
+        op4_source_mixing,
+        op5_embedding_near_dedup,
+        op6_exact_top_k,
+        op7_warc,
+        op9_toxicity,
+    )
 }
 
 #: The same targets and the same hashes as op4; there the rows of a source are
@@ -93,4 +125,20 @@ from sized s join budgets b on s.source is not distinct from b.source
      join taken_more t on s.source is not distinct from t.source and s.hash = t.hash
 """
 
-ORACLE: dict[str, str] = {"op4_source_mixing": _OP4}
+_OP6 = """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: floor(x::double * 1024)::bigint) as v
+  from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.vec_id as query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from whole q join whole c on q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+  where q.vec_id % 100 = 0),
+ranked as (
+  select *, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op4_source_mixing": _OP4, "op6_exact_top_k": _OP6}
