@@ -7,11 +7,14 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticklake.llm import bpe, embedding_dedup, minhash, mixing, sharding, topk, toxicity, warc
+from ticklake.llm import bpe, embedding_dedup, minhash, mixing, pii, sharding, suffix_dedup, topk, toxicity, warc
 from ticklake.llm.common import ship_package, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: Of the registered query; a deployment passes its own secret.
+PSEUDONYM_KEY = b"registered query"
 
 
 def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -61,6 +64,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"), least_bytes=0)
 
 
+@_query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -68,6 +76,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "score", "predicted")
 
 
+@_query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.without_personal_data(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+    kinds = F.array_join(F.array_sort(F.transform(F.map_entries("found"), lambda e: F.concat(e["key"], F.lit(":"), e["value"].cast("string")))), ",")
+    values = F.aggregate(F.map_values("found"), F.lit(0).cast("long"), lambda a, b: a + b)
+    return out.select("doc_id", "text", values.alias("n_values"), kinds.alias("kinds"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -78,7 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_embedding_near_dedup,
         op6_exact_top_k,
         op7_warc,
+        op8_suffix_dedup,
         op9_toxicity,
+        op10_pii,
     )
 }
 
