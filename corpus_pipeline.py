@@ -10,11 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from ticklake.llm import bpe, minhash, mixing
+from ticklake.llm import bpe, minhash, mixing, pii, toxicity
 from ticklake.llm.common import ship_package, staged, table
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: Documents with this toxicity score or more go.
+TOXIC = 0.7
+#: Of the registered pipeline; a deployment passes its own secret.
+PSEUDONYM_KEY = b"registered pipeline"
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score stays under TOXIC, with their columns."""
+    ship_package(spark)
+    out = toxicity.toxicity(docs, table(spark, sf_dir, "labels"), threshold=TOXIC)
+    return out.where("predicted = 0").select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,6 +35,13 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(kept.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id")
 
 
+def pseudonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with pseudonyms for personal data; n_chars follows the text."""
+    ship_package(spark)
+    out = pii.without_personal_data(docs, PSEUDONYM_KEY).drop("found")
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's target asks for, 0 to 3 times."""
     ship_package(spark)
@@ -39,7 +56,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", without_toxic),
     ("minhash_near_dedup", one_of_each_group),
+    ("pii", pseudonymous),
     ("source_mixing", target_mix),
     ("byte_bpe", tokens),
 ]
