@@ -1,6 +1,8 @@
 import json
 from datetime import datetime
 
+import pytest
+
 from ticklake.operators.envelope import (
     envelope_from_frames,
     parse_symbols,
@@ -63,13 +65,30 @@ def test_quarantine_reasons(spark):
     reasons = {r.frame: r.reason for r in rows}
     assert len(rows) == len(bad)
     assert reasons[None] == "null_frame"
-    for f in ["not-json", '{"stream":"aaausdt@aggTrade","data":{', '{"data":{}}', "[1,2]", '"scalar"']:
-        assert reasons[f] == "missing_stream", f
+    for f in ["not-json", '{"stream":"aaausdt@aggTrade","data":{', "[1,2]", '"scalar"']:
+        assert reasons[f] == "invalid_json", f
+    assert reasons['{"data":{}}'] == "missing_stream"
     assert reasons['{"stream":"aaausdt"}'] == "bad_stream_name"
     assert reasons['{"stream":"a@b@aggTrade"}'] == "bad_stream_name"
     assert reasons['{"stream":"aaausdt@trade"}'] == "unknown_stream_type"
 
 
+def test_frames_that_are_not_exactly_one_json_object_are_rejected(spark):
+    good = '{"stream":"a@aggTrade","data":{"p":"1"}}'
+    bad = [good + " trailing", good + good, good + "," + good, good.replace('"', "'"), good[:-1], f"[{good}]", "5", "", " ", '{"stream":"a@aggTrade",}']
+    rows = quarantine_frames(frames(spark, [*bad, good, f"  {good}\n"])).collect()
+    assert {r.frame: r.reason for r in rows} == {f: "invalid_json" for f in bad}
+
+
+def test_fixed_stream_type_takes_any_stream_name(spark):
+    named = ['{"stream":"btcusdt@depth10@100ms","data":{}}', '{"stream":"btcusdt","data":{}}', '{"data":{}}']
+    good, bad = split_frames(frames(spark, named), stream_type="depth10")
+    assert [(r.symbol, r.stream_type) for r in good.collect()] == [("BTCUSDT", "depth10")] * 2
+    assert [r.reason for r in bad.collect()] == ["missing_stream"]
+    with pytest.raises(ValueError):
+        envelope_from_frames(frames(spark, named), stream_type="kline")
+
+
 def test_split_is_a_partition_of_the_input(spark):
     df = frames(spark, [TRADE, "junk", TICKER, '{"stream":"x@y"}'])
     good, bad = split_frames(df)

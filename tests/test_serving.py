@@ -202,3 +202,41 @@ def test_insert_absent_is_independent_of_the_driver_time_zone(spark, scratch):
             os.environ["TZ"] = old
         time.tzset()
     assert read_snapshot(spark, path, SERVING_VOLATILITY_SCHEMA).count() == 2
+
+
+def test_an_error_at_the_start_of_one_table_does_not_stop_the_others(spark, scratch):
+    from ticklake.streaming.sync import GOLD_SCHEMAS, SyncSpec, sync_all
+
+    root = scratch("start_error")
+    vol(spark, [(0, "A", "1", 1)]).write.parquet(root + "/gold_volatility")
+    specs = [
+        SyncSpec("gold_spread", "nosuchstore://x/gold", GOLD_SCHEMAS["gold_spread"], root + "/t/spread", root + "/c/spread"),
+        SyncSpec("gold_volatility", root + "/gold_volatility", GOLD_SCHEMAS["gold_volatility"], root + "/t/vol", root + "/c/vol"),
+    ]
+    handles = sync_all(spark, specs, available_now=True)
+    assert handles["gold_spread"] is None and handles["gold_volatility"].exception() is None
+    assert len(target_rows(spark, root + "/t/vol")) == 1
+
+
+def test_sync_until_stopped_picks_up_a_gold_table_that_appears_later(spark, scratch):
+    import threading
+    import time
+
+    from ticklake.streaming.sync import GOLD_SCHEMAS, SyncSpec, sync_until_stopped
+
+    root, stop = scratch("later"), threading.Event()
+    spec = SyncSpec("gold_volatility", root + "/gold", GOLD_SCHEMAS["gold_volatility"], root + "/t", root + "/c")
+    loop = threading.Thread(target=sync_until_stopped, args=(spark, [spec]), kwargs={"interval_s": 0.2, "stop": stop})
+    loop.start()
+    try:
+        time.sleep(1)
+        assert not table_available(spark, root + "/t", SERVING_VOLATILITY_SCHEMA)
+        rows = vol(spark, [(0, "A", "1", 1)])
+        rows.select(*[rows[f.name].cast(f.dataType) for f in GOLD_SCHEMAS["gold_volatility"].fields]).write.parquet(root + "/gold")
+        deadline = time.monotonic() + 60
+        while time.monotonic() < deadline and not table_available(spark, root + "/t", SERVING_VOLATILITY_SCHEMA):
+            time.sleep(0.3)
+    finally:
+        stop.set()
+        loop.join(60)
+    assert len(target_rows(spark, root + "/t")) == 1

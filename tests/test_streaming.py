@@ -4,7 +4,7 @@ from decimal import Decimal
 from ticklake.operators.gold import gold_volatility
 from ticklake.schemas import SILVER_AGG_TRADE_SCHEMA, GOLD_VOLATILITY_SCHEMA
 from ticklake.sources.layers import read_snapshot
-from ticklake.streaming.layers import TableLayout, LayerSpec, rows_dropped_as_late, run_layers_once
+from ticklake.streaming.layers import TableLayout, LayerSpec, recent_rows_dropped_as_late, run_layers_once
 
 GOLD = LayerSpec("gold_volatility", "silver_agg_trade", SILVER_AGG_TRADE_SCHEMA, gold_volatility)
 
@@ -31,7 +31,7 @@ def test_watermark_late_data_scenario(spark, scratch):
         trade_rows(spark, b).write.mode("append").parquet(layout.table("silver_agg_trade"))
         (query,) = run_layers_once(spark, layout, [GOLD])
         seen.append(windows(spark, layout))
-        dropped.append(rows_dropped_as_late(query))
+        dropped.append(recent_rows_dropped_as_late(query))
     assert dropped == [0, 0, 1, 0]
     assert seen[0] == []
     assert seen[1] == [("10:00", 1)]

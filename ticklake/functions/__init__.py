@@ -6,10 +6,8 @@ from ticklake.functions.parsing import (
     instant_from_utc_wall_clock,
     level_price,
     level_quantity,
-    parse_payload,
     parse_payload_text,
     payload_present,
-    payload_text,
     timestamp_from_epoch_ms,
     utc_wall_clock,
 )
@@ -20,10 +18,8 @@ __all__ = [
     "instant_from_utc_wall_clock",
     "level_price",
     "level_quantity",
-    "parse_payload",
     "parse_payload_text",
     "payload_present",
-    "payload_text",
     "timestamp_from_epoch_ms",
     "utc_wall_clock",
 ]

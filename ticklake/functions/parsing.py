@@ -23,31 +23,15 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def payload_text(raw_payload: Column | str) -> Column:
-    """The ``data`` member of a frame as JSON text; NULL when the frame is
-    not JSON or has no ``data``."""
-    return F.get_json_object(_col(raw_payload), "$.data")
-
-
 # JSON insignificant whitespace: a text made only of these parses to NULL.
 _JSON_WHITESPACE = " \t\r\n"
 
 
-def parse_payload(raw_payload: Column | str, stream_type: str) -> Column:
-    """Parse the ``data`` member of a raw frame with the stream's schema.
-
-    Result: NULL when the frame is not JSON or carries no ``data``; a struct
-    (possibly with all fields NULL) otherwise.  Fields come back under the
-    typed names of ``ticklake.schemas`` (positional rename), so ``e``/``E``
-    never collide.  For ad hoc expressions; the Silver layer extracts
-    ``data`` with a generator instead, so a filter on the result cannot make
-    the optimizer parse the frame twice.
-    """
-    return parse_payload_text(payload_text(raw_payload), stream_type)
-
-
 def parse_payload_text(data_text: Column | str, stream_type: str) -> Column:
-    """``parse_payload`` for an already extracted ``data`` text."""
+    """Parse an extracted ``data`` text with the stream's schema: NULL for
+    NULL or blank text, else a struct (possibly with all fields NULL) under
+    the typed names of ``ticklake.schemas`` (positional rename), so
+    ``e``/``E`` never collide."""
     raw_schema, typed_schema = RAW_PAYLOADS[stream_type]
     return _typed(F.from_json(_col(data_text), raw_schema), typed_schema)
 

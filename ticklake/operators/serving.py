@@ -34,6 +34,10 @@ class JdbcTarget:
 Target = Union[str, JdbcTarget]
 
 
+# Connections that read a database target's keys at once, at most.
+JDBC_SLICES = 16
+
+
 class DuplicateKeyError(ValueError):
     """A batch holds the same key twice, or a NULL key (the target's primary
     key forbids both); nothing was written."""
@@ -45,12 +49,18 @@ def contract_of(table: str) -> tuple[StructType, tuple[str, ...]]:
 
 def to_serving_contract(gold: DataFrame, table: str) -> DataFrame:
     """Project ``gold`` onto the serving table's columns, in order, cast to
-    the contract types.  A value that does not fit its column (a metric
+    the contract types.  A column that has its contract type passes through
+    as it is, so filters on it reach the scan.  A value that does not fit its column (a metric
     beyond decimal(20,8)) fails the job, as the serving database would,
     whatever the session's ANSI setting (a plain cast would turn it into
     NULL with ANSI off)."""
     schema, _ = contract_of(table)
-    return gold.select(*[_fit(f.name, f.dataType).alias(f.name) for f in schema.fields])
+    return gold.select(
+        *[
+            F.col(f.name) if gold.schema[f.name].dataType == f.dataType else _fit(f.name, f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
 
 
 def _fit(name: str, dtype) -> Column:
@@ -104,8 +114,8 @@ def _target_keys(
     if isinstance(target, JdbcTarget):
         cols = ", ".join(keys)
         lo, hi = _utc_literal(lo_micros), _utc_literal(hi_micros)
-        query = f"SELECT {cols} FROM {target.dbtable} WHERE window_start BETWEEN '{lo}' AND '{hi}'"
-        return spark.read.format("jdbc").option("url", target.url).option("query", query).options(**target.properties).load()
+        table = f"(SELECT {cols} FROM {target.dbtable} WHERE window_start BETWEEN '{lo}' AND '{hi}') keys"
+        return spark.read.jdbc(target.url, table, predicates=key_slices(lo_micros, hi_micros), properties=target.properties)
     existing = try_read_snapshot(spark, target, schema, fmt)
     if existing is None:
         return None
@@ -113,6 +123,14 @@ def _target_keys(
     return existing.filter(F.col("window_start").between(*bounds)).select(*keys)
 
 
+def key_slices(lo_micros: int, hi_micros: int, slices: int = JDBC_SLICES) -> list[str]:
+    """Predicates that cut ``[lo, hi]`` into time slices, one connection and
+    task each, that together hold every window once."""
+    step = max(1, -(-(hi_micros + 1 - lo_micros) // slices))
+    starts = range(lo_micros, hi_micros + 1, step)
+    return [f"window_start >= '{_utc_literal(s)}' AND window_start < '{_utc_literal(s + step)}'" for s in starts]
+
+
 def _utc_literal(micros: int) -> str:
     return datetime.fromtimestamp(micros / 1_000_000, tz=timezone.utc).isoformat(sep=" ")
 
@@ -148,7 +166,8 @@ def insert_absent(
     writer per target table.
     """
     schema, keys = contract_of(table)
-    rows = to_serving_contract(batch, table).persist()
+    # dealt by key once: the duplicate check and the anti-join both use it
+    rows = to_serving_contract(batch, table).repartition(*keys).persist()
     try:
         stats = _batch_stats(rows, keys)
         if stats["null_keys"]:

@@ -35,16 +35,18 @@ def bronze(envelopes: DataFrame) -> DataFrame:
 def _parsed(bronze_df: DataFrame, stream_type: str) -> DataFrame:
     """Rows of one stream type with the payload parsed once into ``p``.
 
-    ``json_tuple`` pulls ``data`` out of the frame in one pass and, being a
-    generator, keeps the optimizer from copying the parse into the filter;
-    the filter then decides on the extracted text (``payload_present``) and
-    ``from_json`` runs once per surviving row.
+    ``$.data`` is the path extraction of the layer contract (of repeated
+    ``data`` members the first).  Both it and the parse come out of a
+    generator, so no filter above can be pushed under them with a copy: each
+    frame is scanned once and each surviving payload parsed once.
     """
+    data = F.get_json_object("raw_payload", "$.data").alias("data")
+    parsed = parse_payload_text("data", stream_type).alias("p")
     return (
         bronze_df.filter(F.col("stream_type") == F.lit(stream_type))
-        .select("symbol", "ingestion_timestamp", F.json_tuple("raw_payload", "data").alias("data"))
+        .select("symbol", "ingestion_timestamp", F.inline(F.array(F.struct(data))))
         .filter(payload_present("data"))
-        .select("symbol", "ingestion_timestamp", parse_payload_text("data", stream_type).alias("p"))
+        .select("symbol", "ingestion_timestamp", F.inline(F.array(F.struct(parsed))))
     )
 
 
@@ -116,13 +118,6 @@ def silver_depth10(bronze_df: DataFrame) -> DataFrame:
     )
 
 
-SILVER_TRANSFORMS = {
-    AGG_TRADE: silver_agg_trade,
-    BOOK_TICKER: silver_book_ticker,
-    DEPTH10: silver_depth10,
-}
-
-
 # Columns a downstream consumer needs non-NULL, per Silver table.
 REQUIRED_FIELDS = {
     "silver_agg_trade": ("symbol", "trade_timestamp", "price", "quantity"),

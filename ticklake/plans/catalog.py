@@ -11,16 +11,17 @@ Gold metrics are returned under the serving contract (decimal(20,8)).
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from ticklake.functions.parsing import instant_from_utc_wall_clock, utc_wall_clock
+from ticklake.functions.parsing import utc_wall_clock
 from ticklake.operators.envelope import (
     envelope_from_frames,
     quarantine_frames,
+    split_frames,
     subscription_filter,
 )
 from ticklake.operators.gold import gold_liquidity, gold_spread, gold_volatility
@@ -41,7 +42,7 @@ from ticklake.operators.silver import (
 )
 from ticklake.plans.medallion import LAYERS, bronze_from_records, chain, landing_records
 from ticklake.plans.testdata import market_frames, read_table
-from ticklake.schemas import BRONZE_SCHEMA, SERVING_TABLES
+from ticklake.schemas import BRONZE_SCHEMA, SERVING_TABLES, STREAM_TYPES
 from ticklake.session import scratch_dir
 from ticklake.sources.layers import read_snapshot
 from ticklake.streaming.layers import TableLayout, run_layers_once
@@ -51,8 +52,18 @@ from ticklake.streaming.sync import GOLD_SCHEMAS, SyncSpec, sync_all
 SUBSCRIBED_SYMBOLS = "CLICK, view"
 SUBSCRIBED_TYPES = ("aggTrade", "depth10")
 DASHBOARD_SYMBOLS = ("CLICK", "VIEW")
+DASHBOARD_FROM, DASHBOARD_TO = datetime(2024, 1, 5), datetime(2024, 1, 25, 12, 2)  # UTC
+SHORT_SYMBOL = 6  # the symbol table of the semi join: event types up to so many letters
 DELAYED_SYMBOL = "SIGNUP"
-SEED_CUTOFF = datetime(2024, 1, 15, 0, 2, 30)  # UTC, mid-window on purpose
+# Late trades are replayed so many times as fast, from this instant on, so that
+# ten minutes of watermark hold hundreds of trades.
+REPLAY_SPEED, REPLAY_FROM = 500, datetime(2024, 1, 1)
+
+# What follows the stream name in an odd frame.
+ODD_DATA = ("", ',"data":null', ',"data":{}', ',"data":"text"')
+# Not exactly one JSON object: text behind it, single quotes, cut off, an array, a scalar, two objects.
+_FRAME = '{"stream":"user@aggTrade","data":{"p":"1.5","T":1}}'
+BROKEN_FRAMES = (_FRAME + " trailing", _FRAME.replace('"', "'"), _FRAME[:30], f"[{_FRAME}]", '"user@aggTrade"', _FRAME + _FRAME)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -67,18 +78,31 @@ def for_compare(df: DataFrame) -> DataFrame:
     )
 
 
-def _utc_instant(dt: datetime):
-    return instant_from_utc_wall_clock(F.lit(dt.isoformat(sep=" ")).cast("timestamp_ntz"))
+# --- building blocks ------------------------------------------------------
+
 
+def _no_time(*columns) -> list:
+    """A frame without receive time and send sequence."""
+    return [*columns, F.lit(None).cast("timestamp").alias("received_at"), F.lit(None).cast("long").alias("seq")]
 
-# --- building blocks ------------------------------------------------------
+
+def odd_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid frames without usable payload, one per conversation turn: of any
+    stream type, with no ``data``, or ``data`` that is null, {} or a text."""
+    types = F.element_at(F.array(*map(F.lit, STREAM_TYPES)), (F.col("conv_id") % 3 + 1).cast("int"))
+    data = F.element_at(F.array(*map(F.lit, ODD_DATA)), (F.col("turn") % len(ODD_DATA) + 1).cast("int"))
+    frame = F.concat(F.lit('{"stream":"'), F.lower("role"), F.lit("@"), types, F.lit('"'), data, F.lit("}"))
+    return read_table(spark, sf_dir, "conversations").select(*_no_time(frame.alias("frame")))
+
+
+def mixed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stream types in one feed, with odd frames among them."""
+    return market_frames(spark, sf_dir).unionByName(odd_frames(spark, sf_dir))
 
 
-def _envelopes(spark: SparkSession, sf_dir: str, *stream_types: str) -> DataFrame:
-    """Envelopes of the whole feed, or only of the given stream types (what
-    a Silver job reads from a Bronze table partitioned by stream type)."""
-    frames = market_frames(spark, sf_dir, stream_types) if stream_types else market_frames(spark, sf_dir)
-    return envelope_from_frames(frames)
+def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes of the whole mixed feed; a Silver transform picks its type."""
+    return envelope_from_frames(mixed_feed(spark, sf_dir))
 
 
 def _gold(table: str, silver: DataFrame) -> DataFrame:
@@ -87,15 +111,14 @@ def _gold(table: str, silver: DataFrame) -> DataFrame:
 
 
 _SILVER_OF = {
-    "gold_volatility": ("aggTrade", silver_agg_trade),
-    "gold_spread": ("bookTicker", silver_book_ticker),
-    "gold_liquidity": ("depth10", silver_depth10),
+    "gold_volatility": silver_agg_trade,
+    "gold_spread": silver_book_ticker,
+    "gold_liquidity": silver_depth10,
 }
 
 
 def _silver_for(table: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream_type, transform = _SILVER_OF[table]
-    return transform(_envelopes(spark, sf_dir, stream_type))
+    return _SILVER_OF[table](_envelopes(spark, sf_dir))
 
 
 def _layout(spark: SparkSession, name: str) -> TableLayout:
@@ -106,6 +129,42 @@ def _land(spark: SparkSession, sf_dir: str, layout: TableLayout) -> None:
     landing_records(market_frames(spark, sf_dir)).write.format(layout.fmt).save(layout.table("landing"))
 
 
+_built: dict[tuple, object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable):
+    """What ``build`` makes, made once per application and input folder: the
+    queries that read one Bronze or serving table share it, as jobs would."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _built:
+        _built[key] = build()
+    return _built[key]
+
+
+def _bronze_layout(spark: SparkSession, sf_dir: str) -> TableLayout:
+    """A layout whose landing and Bronze tables hold the whole feed."""
+
+    def build() -> TableLayout:
+        layout = _layout(spark, "bronze")
+        _land(spark, sf_dir, layout)
+        run_layers_once(spark, layout, chain("bronze"))
+        return layout
+
+    return _once(spark, sf_dir, "bronze", build)
+
+
+def _serving_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The serving table, written by the keyed insert."""
+
+    def build() -> str:
+        target = f"{scratch_dir(spark, 'dashboard')}/{table}"
+        insert_absent(spark, _gold(table, _silver_for(table, spark, sf_dir)), target, table)
+        return target
+
+    schema, _ = SERVING_TABLES[table]
+    return read_snapshot(spark, _once(spark, sf_dir, f"serving {table}", build), schema)
+
+
 # --- queries ----------------------------------------------------------------
 
 
@@ -115,29 +174,27 @@ def q_envelope_from_frames(spark, sf_dir):
 
 def noisy_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Market frames mixed with other messages from the same feed: chat
-    turns on an unknown stream type, page URLs as stream names, and raw
-    document texts (not JSON)."""
-    conv = read_table(spark, sf_dir, "conversations").select(
-        F.to_json(
-            F.struct(
-                F.concat(F.col("role"), F.lit("@chat")).alias("stream"),
-                F.struct(F.col("conv_id").alias("conv"), F.col("turn").alias("turn")).alias("data"),
-            )
-        ).alias("frame"),
-        F.lit(None).cast("timestamp").alias("received_at"),
-        F.lit(None).cast("long").alias("seq"),
-    )
-    pages = read_table(spark, sf_dir, "pages").select(
-        F.to_json(F.struct(F.col("url").alias("stream"))).alias("frame"),
-        F.lit(None).cast("timestamp").alias("received_at"),
-        F.lit(None).cast("long").alias("seq"),
-    )
-    docs = read_table(spark, sf_dir, "documents").select(
-        F.col("text").alias("frame"),
-        F.lit(None).cast("timestamp").alias("received_at"),
-        F.lit(None).cast("long").alias("seq"),
-    )
-    return market_frames(spark, sf_dir).unionByName(conv).unionByName(pages).unionByName(docs)
+    turns on an unknown stream type, page URLs as stream names, raw document
+    texts (not JSON), and almost-frames that a lax parser would take."""
+    conv = read_table(spark, sf_dir, "conversations")
+    stream = F.concat(F.col("role"), F.lit("@chat")).alias("stream")
+    said = F.struct(F.col("conv_id").alias("conv"), F.col("turn").alias("turn")).alias("data")
+    chat = conv.select(*_no_time(F.to_json(F.struct(stream, said)).alias("frame")))
+    broken = F.element_at(F.array(*map(F.lit, BROKEN_FRAMES)), (F.col("turn") % len(BROKEN_FRAMES) + 1).cast("int"))
+    almost = conv.select(*_no_time(broken.alias("frame")))
+    pages = read_table(spark, sf_dir, "pages").select(*_no_time(F.to_json(F.struct(F.col("url").alias("stream"))).alias("frame")))
+    docs = read_table(spark, sf_dir, "documents").select(*_no_time(F.col("text").alias("frame")))
+    out = mixed_feed(spark, sf_dir)
+    for part in (chat, almost, pages, docs):
+        out = out.unionByName(part)
+    return out
+
+
+def q_split_frames(spark, sf_dir):
+    """Every frame of the noisy feed, and the one side it lands on."""
+    good, bad = split_frames(noisy_feed(spark, sf_dir))
+    good = good.select(F.col("raw_payload").alias("frame"), F.lit("envelope").alias("side"))
+    return good.unionByName(bad.select("frame", F.lit("quarantine").alias("side")))
 
 
 def q_quarantine_frames(spark, sf_dir):
@@ -166,7 +223,7 @@ def q_strict_silver_quotes(spark, sf_dir):
         F.lit(None).cast("timestamp").alias("received_at"),
         F.lit(None).cast("long").alias("seq"),
     )
-    feed = market_frames(spark, sf_dir, ("bookTicker",)).unionByName(conv)
+    feed = market_frames(spark, sf_dir).unionByName(conv)
     quotes = silver_book_ticker(envelope_from_frames(feed))
     bad = quarantine_invalid(quotes, REQUIRED_FIELDS["silver_book_ticker"])
     return for_compare(bad.withColumn("missing_fields", F.array_join("missing_fields", ",")))
@@ -181,13 +238,24 @@ def q_kafka_round_trip(spark, sf_dir):
     return for_compare(bronze_from_records(landing_records(market_frames(spark, sf_dir))))
 
 
+def q_subscription_semi(spark, sf_dir):
+    """Frames whose symbol is in a symbol table (a left-semi join)."""
+    symbols = read_table(spark, sf_dir, "events").select(F.col("event_type").alias("symbol"))
+    symbols = symbols.where(F.length("symbol") <= SHORT_SYMBOL).distinct()
+    return for_compare(subscription_filter(mixed_feed(spark, sf_dir), symbols, SUBSCRIBED_TYPES))
+
+
+def _bronze(spark, sf_dir):
+    return read_snapshot(spark, _bronze_layout(spark, sf_dir).table("bronze"), BRONZE_SCHEMA)
+
+
+def q_bronze_all(spark, sf_dir):
+    return for_compare(_bronze(spark, sf_dir).select(*BRONZE_SCHEMA.fieldNames()))
+
+
 def q_bronze_partitioned(spark, sf_dir):
-    layout = _layout(spark, "bronze_partitioned")
-    _land(spark, sf_dir, layout)
-    run_layers_once(spark, layout, chain("bronze"))
-    depth = read_snapshot(spark, layout.table("bronze"), BRONZE_SCHEMA).filter(
-        F.col("stream_type") == "depth10"
-    )
+    """One partition of Bronze (the feature is the pruning)."""
+    depth = _bronze(spark, sf_dir).filter(F.col("stream_type") == "depth10")
     return for_compare(depth.select(*BRONZE_SCHEMA.fieldNames()))
 
 
@@ -213,9 +281,8 @@ def _q_gold(table: str) -> Query:
 
 def _q_gold_stream(table: str) -> Query:
     def run(spark, sf_dir):
-        layout = _layout(spark, f"{table}_stream")
-        _land(spark, sf_dir, layout)
-        run_layers_once(spark, layout, chain(table))
+        layout = _bronze_layout(spark, sf_dir)
+        run_layers_once(spark, layout, chain(table)[1:])
         gold = read_snapshot(spark, layout.table(table), GOLD_SCHEMAS[table])
         return for_compare(to_serving_contract(gold, table))
 
@@ -223,13 +290,22 @@ def _q_gold_stream(table: str) -> Query:
     return run
 
 
-def q_late_trades_stream(spark, sf_dir):
+def _replayed(trades: DataFrame) -> DataFrame:
+    """Trades with their event time compressed by REPLAY_SPEED."""
+    start = int(REPLAY_FROM.replace(tzinfo=timezone.utc).timestamp() * 1000)
+    ms = F.unix_millis("trade_timestamp")
+    return trades.withColumn("trade_timestamp", F.timestamp_millis(F.lit(start) + F.floor((ms - start) / REPLAY_SPEED)))
+
+
+def q_late_trades_stream(spark, sf_dir, late: Callable | None = None):
     """Trades arrive in two batches: every symbol but one, then the delayed
     symbol's whole history.  Its rows in windows already closed by the
-    watermark are dropped; the rest are counted."""
+    watermark are dropped, those in the open ones are counted.  ``late``
+    (tests) changes the second batch."""
     layout = _layout(spark, "late_trades")
-    trades = _silver_for("gold_volatility", spark, sf_dir).persist()  # split in two below
-    arrivals = [trades.filter(F.col("symbol") != DELAYED_SYMBOL), trades.filter(F.col("symbol") == DELAYED_SYMBOL)]
+    trades = _replayed(_silver_for("gold_volatility", spark, sf_dir)).where("trade_timestamp is not null").persist()
+    delayed = trades.filter(F.col("symbol") == DELAYED_SYMBOL)
+    arrivals = [trades.filter(F.col("symbol") != DELAYED_SYMBOL), late(delayed) if late else delayed]
     gold = LAYERS["gold_volatility"]
     try:
         for batch in arrivals:
@@ -241,11 +317,8 @@ def q_late_trades_stream(spark, sf_dir):
     return for_compare(to_serving_contract(out, "gold_volatility"))
 
 
-_SEED_TIME = {
-    "gold_volatility": "trade_timestamp",
-    "gold_spread": "ingestion_timestamp",
-    "gold_liquidity": "ingestion_timestamp",
-}
+# Rows of the first insert: half of what most windows with several rows hold, so its values differ from the full ones.
+_SEED_ROWS = {"gold_volatility": "agg_trade_id % 2 = 0", "gold_spread": "update_id % 2 = 0", "gold_liquidity": "level % 2 = 0"}
 
 
 def _q_insert_delta(table: str) -> Query:
@@ -253,8 +326,7 @@ def _q_insert_delta(table: str) -> Query:
         silver = _silver_for(table, spark, sf_dir).persist()  # read twice below
         try:
             target = f"{scratch_dir(spark, 'serving_' + table)}/{table}"
-            seed = silver.filter(F.col(_SEED_TIME[table]) < _utc_instant(SEED_CUTOFF))
-            insert_absent(spark, _gold(table, seed), target, table)
+            insert_absent(spark, _gold(table, silver.filter(_SEED_ROWS[table])), target, table)
             insert_absent(spark, _gold(table, silver), target, table)
         finally:
             silver.unpersist()
@@ -265,49 +337,50 @@ def _q_insert_delta(table: str) -> Query:
     return run
 
 
-def q_sync_twice(spark, sf_dir):
-    """Gold volatility synced by the streaming sync, then replayed from a
-    fresh checkpoint: the serving table must not change."""
-    root = scratch_dir(spark, "sync_twice")
-    table = "gold_volatility"
-    gold_path = f"{root}/gold/{table}"
-    gold_volatility(_silver_for(table, spark, sf_dir)).write.parquet(gold_path)
-    target = f"{root}/serving/{table}"
-    for run_no in (1, 2):
-        spec = SyncSpec(table, gold_path, GOLD_SCHEMAS[table], target, f"{root}/checkpoints/{table}-{run_no}")
-        handle = sync_all(spark, [spec], available_now=True)[table]
-        if handle is None or handle.exception() is not None:
-            raise RuntimeError(f"sync run {run_no} failed: {handle and handle.exception()}")
-    schema, _ = SERVING_TABLES[table]
-    return for_compare(read_snapshot(spark, target, schema))
+def _q_sync(table: str) -> Query:
+    """Gold synced by the streaming sync, then replayed from a fresh
+    checkpoint: the serving table must not change."""
 
+    def run(spark, sf_dir):
+        root = scratch_dir(spark, f"sync_{table}")
+        gold_path = f"{root}/gold/{table}"
+        build = {"gold_volatility": gold_volatility, "gold_spread": gold_spread, "gold_liquidity": gold_liquidity}[table]
+        build(_silver_for(table, spark, sf_dir)).write.parquet(gold_path)
+        target = f"{root}/serving/{table}"
+        for run_no in (1, 2):
+            spec = SyncSpec(table, gold_path, GOLD_SCHEMAS[table], target, f"{root}/checkpoints/{table}-{run_no}")
+            handle = sync_all(spark, [spec], available_now=True)[table]
+            if handle is None or handle.exception() is not None:
+                raise RuntimeError(f"sync run {run_no} failed: {handle and handle.exception()}")
+        schema, _ = SERVING_TABLES[table]
+        return for_compare(read_snapshot(spark, target, schema))
 
-def _gold_batch(spark, sf_dir, table):
-    return _gold(table, _silver_for(table, spark, sf_dir))
+    run.__name__ = f"q_sync_{table}"
+    return run
 
 
 def q_dash_symbols(spark, sf_dir):
-    return dashboard_symbols(_gold_batch(spark, sf_dir, "gold_volatility"))
-
-
-def q_dash_volatility(spark, sf_dir):
-    return for_compare(volatility_series(_gold_batch(spark, sf_dir, "gold_volatility"), DASHBOARD_SYMBOLS))
+    return dashboard_symbols(_serving_table(spark, sf_dir, "gold_volatility"))
 
 
-def q_dash_spread(spark, sf_dir):
-    return for_compare(spread_series(_gold_batch(spark, sf_dir, "gold_spread"), DASHBOARD_SYMBOLS))
-
+def _q_dash(table: str, series: Callable) -> Query:
+    def run(spark, sf_dir):
+        served = _serving_table(spark, sf_dir, table)
+        return for_compare(series(served, DASHBOARD_SYMBOLS, DASHBOARD_FROM, DASHBOARD_TO))
 
-def q_dash_liquidity(spark, sf_dir):
-    return for_compare(liquidity_series(_gold_batch(spark, sf_dir, "gold_liquidity"), DASHBOARD_SYMBOLS))
+    run.__name__ = f"q_dash_{table}"
+    return run
 
 
 QUERIES: dict[str, Query] = {
     "envelope_from_frames": q_envelope_from_frames,
     "quarantine_frames": q_quarantine_frames,
+    "split_frames": q_split_frames,
     "subscription_filter": q_subscription_filter,
+    "subscription_semi": q_subscription_semi,
     "strict_silver_quotes": q_strict_silver_quotes,
     "kafka_round_trip": q_kafka_round_trip,
+    "bronze_all": q_bronze_all,
     "bronze_partitioned": q_bronze_partitioned,
     "silver_agg_trade": q_silver_agg_trade,
     "silver_book_ticker": q_silver_book_ticker,
@@ -322,9 +395,11 @@ QUERIES: dict[str, Query] = {
     "insert_delta_volatility": _q_insert_delta("gold_volatility"),
     "insert_delta_spread": _q_insert_delta("gold_spread"),
     "insert_delta_liquidity": _q_insert_delta("gold_liquidity"),
-    "sync_twice": q_sync_twice,
+    "sync_twice": _q_sync("gold_volatility"),
+    "sync_spread": _q_sync("gold_spread"),
+    "sync_liquidity": _q_sync("gold_liquidity"),
     "dash_symbols": q_dash_symbols,
-    "dash_volatility": q_dash_volatility,
-    "dash_spread": q_dash_spread,
-    "dash_liquidity": q_dash_liquidity,
+    "dash_volatility": _q_dash("gold_volatility", volatility_series),
+    "dash_spread": _q_dash("gold_spread", spread_series),
+    "dash_liquidity": _q_dash("gold_liquidity", liquidity_series),
 }

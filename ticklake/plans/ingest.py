@@ -1,23 +1,34 @@
-"""Ingestion as a Spark job: raw frames -> landing topic + quarantine.
+"""Ingestion as a Spark job: raw frames -> landing records and quarantine.
 
 Frames arrive as a stream of text lines (one JSON frame per line; in
-production a socket/topic source yields the same column).  Valid frames
-become envelopes published as topic records; rejected frames go, with their
-reason, to a quarantine table.  Two streaming queries over one input, each
-with its own checkpoint.
+production a socket/topic source yields the same column).  One query reads
+and checks each frame once and writes one table partitioned by ``status``:
+``landing`` rows are topic records, ``quarantine`` rows the rejected frames
+with their reason.  Both views are reads of that table, so source and JSON
+work are paid once and a frame has one receive time.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ticklake.operators.envelope import quarantine_frames
-from ticklake.plans.medallion import landing_records
-from ticklake.sources.layers import write_layer
+from ticklake.operators.envelope import checked_frames
+from ticklake.plans.medallion import LAYERS, bronze_from_records, records_of
+from ticklake.schemas import KAFKA_RECORD_SCHEMA
+from ticklake.sources.layers import read_snapshot, write_layer
 from ticklake.streaming.layers import TableLayout
 
+LANDING, QUARANTINE = "landing", "quarantine"
+INGESTED_SCHEMA = StructType(
+    KAFKA_RECORD_SCHEMA.fields
+    + [StructField(name, StringType(), True) for name in ("frame", "reason", "status")]
+)
+
 
 def read_frame_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming scan of text files holding one frame per line; the receive
@@ -28,32 +39,66 @@ def read_frame_lines(spark: SparkSession, path: str, max_files_per_trigger: int
     return reader.load(path).select(F.col("value").alias("frame"), F.current_timestamp().alias("received_at"))
 
 
+def ingested_rows(frames: DataFrame, stream_type: str | None = None) -> DataFrame:
+    """Frames -> rows of the ingested table, one each.  Without a ``seq``
+    column the landing offset is NULL (a broker assigns offsets on publish)."""
+    if "seq" not in frames.columns:
+        frames = frames.withColumn("seq", F.lit(None).cast("long"))
+    checked = checked_frames(frames, keep=("seq",), stream_type=stream_type)
+    rows = records_of(checked, keep=("raw_payload", "reason"))
+    accepted = F.col("reason").isNull()
+    return rows.select(
+        F.when(accepted, F.col("key")).alias("key"),
+        F.when(accepted, F.col("value")).alias("value"),
+        "topic",
+        F.when(accepted, F.col("partition")).alias("partition"),
+        "offset",
+        "timestamp",
+        "timestampType",
+        F.when(~accepted, F.col("raw_payload")).alias("frame"),
+        "reason",
+        F.when(accepted, LANDING).otherwise(QUARANTINE).alias("status"),
+    )
+
+
 def start_ingestion(
     frames: DataFrame,
     layout: TableLayout,
     available_now: bool = False,
     trigger_interval: str = "5 seconds",
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start (envelopes -> ``landing``, rejects -> ``quarantine``); returns
-    both handles.  Without a ``seq`` column the landing offset is NULL (a
-    broker assigns offsets on publish)."""
-    if "seq" not in frames.columns:
-        frames = frames.withColumn("seq", F.lit(None).cast("long"))
-    trigger = None if available_now else trigger_interval
-    landing = write_layer(
-        landing_records(frames),
-        layout.table("landing"),
-        layout.checkpoint("landing"),
-        trigger_interval=trigger,
-        fmt=layout.fmt,
-        available_now=available_now,
-    )
-    quarantine = write_layer(
-        quarantine_frames(frames),
-        layout.table("quarantine"),
-        layout.checkpoint("quarantine"),
-        trigger_interval=trigger,
+    stream_type: str | None = None,
+) -> StreamingQuery:
+    """Start frames -> the ``ingested`` table; returns the running query."""
+    return write_layer(
+        ingested_rows(frames, stream_type),
+        layout.table("ingested"),
+        layout.checkpoint("ingested"),
+        trigger_interval=None if available_now else trigger_interval,
+        partition_by="status",
         fmt=layout.fmt,
         available_now=available_now,
     )
-    return landing, quarantine
+
+
+def landing_of(ingested: DataFrame) -> DataFrame:
+    """The topic records of the ingested table (a partition filter)."""
+    return ingested.filter(F.col("status") == LANDING).select(*KAFKA_RECORD_SCHEMA.fieldNames())
+
+
+def quarantine_of(ingested: DataFrame) -> DataFrame:
+    """The rejected frames of the ingested table (a partition filter)."""
+    return ingested.filter(F.col("status") == QUARANTINE).select(F.col("timestamp").alias("received_at"), "frame", "reason")
+
+
+def read_ingested(spark: SparkSession, layout: TableLayout) -> DataFrame:
+    return read_snapshot(spark, layout.table("ingested"), INGESTED_SCHEMA, layout.fmt)
+
+
+# Bronze behind the ingestion job instead of a topic.
+BRONZE_FROM_INGESTED = replace(
+    LAYERS["bronze"],
+    source="ingested",
+    source_schema=INGESTED_SCHEMA,
+    source_partitioned_by="status",
+    transform=lambda ingested: bronze_from_records(landing_of(ingested)),
+)

@@ -5,7 +5,10 @@
         [--shuffle-partitions N] [--rocksdb]
 
 ``<layer>`` is one of ``bronze``, ``silver_agg_trade``, ``silver_book_ticker``,
-``silver_depth10``, ``gold_volatility``, ``gold_spread``, ``gold_liquidity``.
+``silver_depth10``, ``gold_volatility``, ``gold_spread``, ``gold_liquidity``,
+or ``ingest`` (frames as text lines from ``--frames``, then ``--from-ingested``
+for Bronze), or ``serving`` (all Gold tables into their serving tables, every
+``--interval`` seconds, once with ``--available-now``).
 Each runs as its own streaming query with its own checkpoint under
 ``<root>/checkpoints/<layer>``; tables live under ``<root>/tables``.  With a
 broker, Bronze's source is the topic (``--topic``/``--bootstrap``) instead of
@@ -21,10 +24,12 @@ from dataclasses import replace
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ticklake.plans.ingest import BRONZE_FROM_INGESTED, read_frame_lines, start_ingestion
 from ticklake.plans.medallion import LAYERS, bronze_from_records
 from ticklake.sources.kafka import read_topic
 from ticklake.sources.layers import write_layer
 from ticklake.streaming.layers import TableLayout, start_layer, wait_for_source
+from ticklake.streaming.sync import serving_specs, sync_all, sync_until_stopped
 
 
 def run_layer(
@@ -37,6 +42,7 @@ def run_layer(
     topic: str | None = None,
     max_per_trigger: int | None = None,
     source_timeout_s: float = 300.0,
+    from_ingested: bool = False,
 ) -> StreamingQuery:
     """Start layer ``name`` and return its query handle (the caller waits).
 
@@ -45,7 +51,7 @@ def run_layer(
     bounded batches instead of one huge first batch.  A layer started before
     its upstream has produced a readable table waits for it (up to
     ``source_timeout_s``) rather than failing or misreading it."""
-    spec = LAYERS[name]
+    spec = BRONZE_FROM_INGESTED if name == "bronze" and from_ingested else LAYERS[name]
     if trigger_interval:
         spec = replace(spec, trigger_interval=trigger_interval)
     if name == "bronze" and bootstrap_servers and topic:
@@ -60,12 +66,12 @@ def run_layer(
             available_now=available_now,
         )
     wait_for_source(spark, layout, spec, timeout_s=source_timeout_s)
-    return start_layer(spark, layout, spec, available_now, max_files_per_trigger=max_per_trigger)
+    return start_layer(spark, layout, spec, available_now, max_files_per_trigger=max_per_trigger, known_ready=True)
 
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    parser.add_argument("layer", choices=sorted(LAYERS))
+    parser.add_argument("layer", choices=[*sorted(LAYERS), "ingest", "serving"])
     parser.add_argument("--root", required=True)
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--trigger", default=None)
@@ -73,6 +79,9 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--bootstrap", default=None)
     parser.add_argument("--topic", default=None)
     parser.add_argument("--max-per-trigger", type=int, default=None)
+    parser.add_argument("--frames", default=None, help="folder of text files with a frame per line (ingest)")
+    parser.add_argument("--from-ingested", action="store_true", help="Bronze reads what ingest has written")
+    parser.add_argument("--interval", type=float, default=30.0, help="seconds between serving cycles")
     parser.add_argument(
         "--shuffle-partitions", type=int, default=None,
         help="state partitions of a Gold job; fixed in its checkpoint at first start",
@@ -89,9 +98,23 @@ def main(argv: list[str] | None = None) -> int:
         )
     spark = builder.getOrCreate()
     layout = TableLayout(args.root.rstrip("/"), args.format)
-    query = run_layer(
-        spark, layout, args.layer, args.available_now, args.trigger, args.bootstrap, args.topic, args.max_per_trigger
-    )
+    if args.layer == "serving":
+        if not args.available_now:
+            sync_until_stopped(spark, serving_specs(layout), layout.fmt, args.interval)
+            return 0
+        handles = sync_all(spark, serving_specs(layout), layout.fmt, available_now=True)
+        failed = [t for t, q in handles.items() if q is not None and q.exception() is not None]
+        return 1 if failed else 0
+    if args.layer == "ingest":
+        if not args.frames:
+            parser.error("ingest needs --frames")
+        lines = read_frame_lines(spark, args.frames, args.max_per_trigger)
+        query = start_ingestion(lines, layout, args.available_now, args.trigger or "5 seconds")
+    else:
+        query = run_layer(
+            spark, layout, args.layer, args.available_now, args.trigger, args.bootstrap, args.topic, args.max_per_trigger,
+            from_ingested=args.from_ingested,
+        )
     try:
         query.awaitTermination()
     except Exception as err:  # the query failed: report and exit non-zero

@@ -25,6 +25,9 @@ from ticklake.operators.silver import (
 )
 from ticklake.schemas import (
     BRONZE_SCHEMA,
+    GOLD_LIQUIDITY_SCHEMA,
+    GOLD_SPREAD_SCHEMA,
+    GOLD_VOLATILITY_SCHEMA,
     KAFKA_RECORD_SCHEMA,
     SILVER_AGG_TRADE_SCHEMA,
     SILVER_BOOK_TICKER_SCHEMA,
@@ -45,13 +48,13 @@ def bronze_from_records(records: DataFrame) -> DataFrame:
 LAYERS: dict[str, LayerSpec] = {
     spec.name: spec
     for spec in [
-        LayerSpec("bronze", "landing", KAFKA_RECORD_SCHEMA, bronze_from_records, "stream_type"),
-        LayerSpec("silver_agg_trade", "bronze", BRONZE_SCHEMA, silver_agg_trade, source_partitioned_by="stream_type"),
-        LayerSpec("silver_book_ticker", "bronze", BRONZE_SCHEMA, silver_book_ticker, source_partitioned_by="stream_type"),
-        LayerSpec("silver_depth10", "bronze", BRONZE_SCHEMA, silver_depth10, source_partitioned_by="stream_type"),
-        LayerSpec("gold_volatility", "silver_agg_trade", SILVER_AGG_TRADE_SCHEMA, gold_volatility),
-        LayerSpec("gold_spread", "silver_book_ticker", SILVER_BOOK_TICKER_SCHEMA, gold_spread),
-        LayerSpec("gold_liquidity", "silver_depth10", SILVER_DEPTH10_SCHEMA, gold_liquidity),
+        LayerSpec("bronze", "landing", KAFKA_RECORD_SCHEMA, bronze_from_records, "stream_type", output_schema=BRONZE_SCHEMA),
+        LayerSpec("silver_agg_trade", "bronze", BRONZE_SCHEMA, silver_agg_trade, source_partitioned_by="stream_type", output_schema=SILVER_AGG_TRADE_SCHEMA),
+        LayerSpec("silver_book_ticker", "bronze", BRONZE_SCHEMA, silver_book_ticker, source_partitioned_by="stream_type", output_schema=SILVER_BOOK_TICKER_SCHEMA),
+        LayerSpec("silver_depth10", "bronze", BRONZE_SCHEMA, silver_depth10, source_partitioned_by="stream_type", output_schema=SILVER_DEPTH10_SCHEMA),
+        LayerSpec("gold_volatility", "silver_agg_trade", SILVER_AGG_TRADE_SCHEMA, gold_volatility, output_schema=GOLD_VOLATILITY_SCHEMA),
+        LayerSpec("gold_spread", "silver_book_ticker", SILVER_BOOK_TICKER_SCHEMA, gold_spread, output_schema=GOLD_SPREAD_SCHEMA),
+        LayerSpec("gold_liquidity", "silver_depth10", SILVER_DEPTH10_SCHEMA, gold_liquidity, output_schema=GOLD_LIQUIDITY_SCHEMA),
     ]
 }
 
@@ -72,13 +75,17 @@ def landing_records(frames: DataFrame) -> DataFrame:
     mod 3; offset = the producer's send sequence (``seq`` column of the
     frames); timestamp = the receive time (CreateTime, type 0).
     """
-    env = envelope_from_frames(frames, keep=("seq",))
-    enriched = env.select(
+    return records_of(envelope_from_frames(frames, keep=("seq",)))
+
+
+def records_of(envelopes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Envelopes with ``seq`` -> topic records, with the ``keep`` columns."""
+    enriched = envelopes.select(
         "*",
         (F.ascii("symbol") % TOPIC_PARTITIONS).cast("int").alias("partition"),
         F.col("seq").alias("offset"),
     )
-    return encode_envelopes(enriched, keep=("partition", "offset", "ingestion_timestamp")).select(
+    return encode_envelopes(enriched, keep=("partition", "offset", "ingestion_timestamp", *keep)).select(
         "key",
         "value",
         F.lit(TOPIC).alias("topic"),
@@ -86,4 +93,5 @@ def landing_records(frames: DataFrame) -> DataFrame:
         "offset",
         F.col("ingestion_timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
+        *keep,
     )

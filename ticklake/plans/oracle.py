@@ -9,9 +9,15 @@ wall-clock ``TIMESTAMP`` values; Gold metrics are cast to DECIMAL(20,8).
 from __future__ import annotations
 
 from ticklake.plans.catalog import (
+    BROKEN_FRAMES,
+    DASHBOARD_FROM,
     DASHBOARD_SYMBOLS,
+    DASHBOARD_TO,
     DELAYED_SYMBOL,
-    SEED_CUTOFF,
+    ODD_DATA,
+    REPLAY_FROM,
+    REPLAY_SPEED,
+    SHORT_SYMBOL,
     SUBSCRIBED_SYMBOLS,
     SUBSCRIBED_TYPES,
 )
@@ -79,6 +85,20 @@ _LEVELS = """levels AS (
   WINDOW snap AS (PARTITION BY symbol, event_id // 20))"""
 
 
+def _sql_list(texts) -> str:
+    return "[" + ", ".join("'" + t.replace("'", "''") + "'" for t in texts) + "]"
+
+
+# Valid frames without usable payload.
+_ODD = f"""odd AS (
+  SELECT '{{"stream":"' || lower(role) || '@' || stream_type || '"' || {_sql_list(ODD_DATA)}[turn % {len(ODD_DATA)} + 1] || '}}' AS frame,
+         CAST(NULL AS TIMESTAMP) AS received_at, upper(role) AS symbol, stream_type, CAST(NULL AS BIGINT) AS seq,
+         turn % {len(ODD_DATA)} >= 2 AS parses
+  FROM (SELECT *, ['aggTrade', 'bookTicker', 'depth10'][conv_id % 3 + 1] AS stream_type FROM conversations)),
+all_frames AS (SELECT frame, received_at, symbol, stream_type, seq FROM f
+               UNION ALL SELECT frame, received_at, symbol, stream_type, seq FROM odd)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -135,29 +155,32 @@ def _late_trades() -> str:
     # the watermark left by batch 1 (max event time - 10 min); a window is
     # emitted once the final watermark (over all rows seen) reaches its end.
     t = "trade_timestamp"
+    start = f"TIMESTAMP '{REPLAY_FROM.isoformat(sep=' ')}'"
     return _with(
         _M,
         _TRADES,
-        f"b1 AS (SELECT * FROM trades WHERE symbol <> '{DELAYED_SYMBOL}')",
-        f"b2 AS (SELECT * FROM trades WHERE symbol = '{DELAYED_SYMBOL}')",
+        f"""replayed AS (
+  SELECT * REPLACE ({start} + to_milliseconds(CAST(floor((epoch_ms({t}) - epoch_ms({start})) / {REPLAY_SPEED}) AS BIGINT)) AS {t})
+  FROM trades)""",
+        f"b1 AS (SELECT * FROM replayed WHERE symbol <> '{DELAYED_SYMBOL}')",
+        f"b2 AS (SELECT * FROM replayed WHERE symbol = '{DELAYED_SYMBOL}')",
         f"wm1 AS (SELECT max({t}) - INTERVAL '10 minutes' AS wm FROM b1)",
         f"kept AS (SELECT * FROM b1 UNION ALL SELECT b2.* FROM b2, wm1 WHERE {_wstart(t)} + INTERVAL '5 minutes' > wm1.wm)",
         f"g AS ({_gold_sql('gold_volatility', 'kept')})",
-    ) + f"SELECT * FROM g WHERE window_end <= (SELECT max({t}) FROM trades) - INTERVAL '10 minutes'"
+    ) + f"SELECT * FROM g WHERE window_end <= (SELECT max({t}) FROM replayed) - INTERVAL '10 minutes'"
 
 
 def _insert_delta(table: str) -> str:
-    # The target is first seeded from Gold over rows before a mid-window
-    # cutoff, then the full Gold is inserted where its key is absent: seeded
-    # keys keep their (partial) first values.
+    # The target is first seeded from Gold over every other row, then the full
+    # Gold is inserted where its key is absent: seeded keys keep their first values.
     name, cte = _SILVER_CTE[table]
     keys = {"gold_volatility": ("symbol", "window_start"), "gold_spread": ("symbol", "window_start"), "gold_liquidity": ("symbol", "side", "window_start")}[table]
     cond = " AND ".join(f"s.{k} = g.{k}" for k in keys)
-    cutoff = SEED_CUTOFF.isoformat(sep=" ")
+    seeded = {"gold_volatility": "agg_trade_id", "gold_spread": "update_id", "gold_liquidity": "level"}[table]
     return _with(
         _M,
         cte,
-        f"seed AS ({_gold_sql(table, f'(SELECT * FROM {name} WHERE {_TIME_COL[table]} < TIMESTAMP {cutoff!r})')})",
+        f"seed AS ({_gold_sql(table, f'(SELECT * FROM {name} WHERE {seeded} % 2 = 0)')})",
         f"full_gold AS ({_gold_sql(table, name)})",
     ) + f"SELECT * FROM seed UNION ALL SELECT g.* FROM full_gold g WHERE NOT EXISTS (SELECT 1 FROM seed s WHERE {cond})"
 
@@ -166,33 +189,38 @@ def _in_list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
-def _quarantine() -> str:
+def _checked() -> str:
     types = _in_list(("aggTrade", "bookTicker", "depth10"))
     return _with(
         _M,
         _FRAMES,
-        """feed AS (
-  SELECT frame, received_at FROM f
+        _ODD,
+        f"""feed AS (
+  SELECT frame, received_at FROM all_frames
   UNION ALL
   SELECT CAST(json_object('stream', role || '@chat', 'data', json_object('conv', conv_id, 'turn', turn)) AS VARCHAR),
          CAST(NULL AS TIMESTAMP) FROM conversations
   UNION ALL
+  SELECT {_sql_list(BROKEN_FRAMES)}[turn % {len(BROKEN_FRAMES)} + 1], CAST(NULL AS TIMESTAMP) FROM conversations
+  UNION ALL
   SELECT CAST(json_object('stream', url) AS VARCHAR), CAST(NULL AS TIMESTAMP) FROM pages
   UNION ALL
   SELECT text, CAST(NULL AS TIMESTAMP) FROM documents)""",
-        """checked AS (
+        """parsed AS (
   SELECT frame, received_at,
+         CASE WHEN json_valid(frame) THEN json_type(frame) = 'OBJECT' ELSE false END AS valid,
          CASE WHEN json_valid(frame) THEN json_extract_string(frame, '$.stream') END AS stream
   FROM feed)""",
-    ) + f"""SELECT received_at, frame,
-       CASE WHEN frame IS NULL THEN 'null_frame'
-            WHEN stream IS NULL THEN 'missing_stream'
-            WHEN len(string_split(stream, '@')) <> 2 THEN 'bad_stream_name'
-            WHEN string_split(stream, '@')[2] NOT IN ({types}) THEN 'unknown_stream_type'
-       END AS reason
-FROM checked
-WHERE frame IS NULL OR stream IS NULL OR len(string_split(stream, '@')) <> 2
-   OR string_split(stream, '@')[2] NOT IN ({types})"""
+        f"""checked AS (
+  SELECT received_at, frame,
+         CASE WHEN frame IS NULL THEN 'null_frame'
+              WHEN NOT valid THEN 'invalid_json'
+              WHEN stream IS NULL THEN 'missing_stream'
+              WHEN len(string_split(stream, '@')) <> 2 THEN 'bad_stream_name'
+              WHEN string_split(stream, '@')[2] NOT IN ({types}) THEN 'unknown_stream_type'
+         END AS reason
+  FROM parsed)""",
+    )
 
 
 def _strict_quotes() -> str:
@@ -222,23 +250,31 @@ FROM f {where}"""
 
 
 def oracle_sql() -> dict[str, str]:
-    envelope = _with(_M, _FRAMES) + (
-        "SELECT received_at AS ingestion_timestamp, symbol, stream_type, frame AS raw_payload FROM f"
+    envelope = _with(_M, _FRAMES, _ODD) + (
+        "SELECT received_at AS ingestion_timestamp, symbol, stream_type, frame AS raw_payload FROM all_frames"
     )
+    types = ", ".join(f"('{t}')" for t in SUBSCRIBED_TYPES)
+    semi = _with(_M, _FRAMES, _ODD) + f"""SELECT frame, received_at, seq FROM all_frames
+WHERE json_extract_string(frame, '$.stream') IN (
+  SELECT lower(event_type) || '@' || t FROM events, (VALUES {types}) v(t) WHERE length(event_type) <= {SHORT_SYMBOL})"""
     streams = _in_list(stream_names(SUBSCRIBED_SYMBOLS, SUBSCRIBED_TYPES))
     subscription = _with(_M, _FRAMES) + (
         f"SELECT frame, received_at, seq FROM f WHERE json_extract_string(frame, '$.stream') IN ({streams})"
     )
-    dash = _in_list(DASHBOARD_SYMBOLS)
+    span = f"window_start >= TIMESTAMP '{DASHBOARD_FROM.isoformat(sep=' ')}' AND window_start < TIMESTAMP '{DASHBOARD_TO.isoformat(sep=' ')}'"
+    dash = f"symbol IN ({_in_list(DASHBOARD_SYMBOLS)}) AND {span}"
     return {
         "envelope_from_frames": envelope,
-        "quarantine_frames": _quarantine(),
+        "quarantine_frames": _checked() + "SELECT received_at, frame, reason FROM checked WHERE reason IS NOT NULL",
+        "split_frames": _checked() + "SELECT frame, CASE WHEN reason IS NULL THEN 'envelope' ELSE 'quarantine' END AS side FROM checked",
         "subscription_filter": subscription,
+        "subscription_semi": semi,
         "strict_silver_quotes": _strict_quotes(),
         "kafka_round_trip": _bronze_rows(),
+        "bronze_all": _bronze_rows(),
         "bronze_partitioned": _bronze_rows("WHERE stream_type = 'depth10'"),
-        "silver_agg_trade": _with(_M, _TRADES) + "SELECT * FROM trades",
-        "silver_book_ticker": _with(_M, _QUOTES) + "SELECT * FROM quotes",
+        "silver_agg_trade": _with(_M, _FRAMES, _ODD, _TRADES) + "SELECT * FROM trades UNION ALL BY NAME SELECT symbol FROM odd WHERE parses AND stream_type = 'aggTrade'",
+        "silver_book_ticker": _with(_M, _FRAMES, _ODD, _QUOTES) + "SELECT * FROM quotes UNION ALL BY NAME SELECT symbol FROM odd WHERE parses AND stream_type = 'bookTicker'",
         "silver_depth10": _with(_M, _LEVELS) + "SELECT * FROM levels",
         "gold_volatility": _gold("gold_volatility"),
         "gold_spread": _gold("gold_spread"),
@@ -251,12 +287,14 @@ def oracle_sql() -> dict[str, str]:
         "insert_delta_spread": _insert_delta("gold_spread"),
         "insert_delta_liquidity": _insert_delta("gold_liquidity"),
         "sync_twice": _gold("gold_volatility"),
+        "sync_spread": _gold("gold_spread"),
+        "sync_liquidity": _gold("gold_liquidity"),
         "dash_symbols": _with(_M, _TRADES, f"g AS ({_gold_sql('gold_volatility', 'trades')})")
         + "SELECT DISTINCT symbol FROM g ORDER BY symbol",
         "dash_volatility": _with(_M, _TRADES, f"g AS ({_gold_sql('gold_volatility', 'trades')})")
-        + f"SELECT window_start AS time, symbol, stddev_price FROM g WHERE symbol IN ({dash}) ORDER BY window_start",
+        + f"SELECT window_start AS time, symbol, stddev_price FROM g WHERE {dash} ORDER BY window_start",
         "dash_spread": _with(_M, _QUOTES, f"g AS ({_gold_sql('gold_spread', 'quotes')})")
-        + f"SELECT window_start AS time, symbol, avg_spread FROM g WHERE symbol IN ({dash}) ORDER BY window_start",
+        + f"SELECT window_start AS time, symbol, avg_spread FROM g WHERE {dash} ORDER BY window_start",
         "dash_liquidity": _with(_M, _LEVELS, f"g AS ({_gold_sql('gold_liquidity', 'levels')})")
-        + f"SELECT window_start AS time, CONCAT(symbol, ' - ', side) AS metric, avg_depth_quantity FROM g WHERE symbol IN ({dash}) ORDER BY window_start",
+        + f"SELECT window_start AS time, CONCAT(symbol, ' - ', side) AS metric, avg_depth_quantity FROM g WHERE {dash} ORDER BY window_start",
     }

@@ -35,17 +35,8 @@ SNAPSHOT_EVENTS = 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table.  A source that arrives as fewer splits than the
-    cluster has cores (a single small file) is spread round-robin, as a
-    topic's partitions would be; a large table already has enough splits
-    and is left alone (no extra shuffle at scale)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API (e.g. a Spark Connect session): leave as is
-        return df
-    return df.repartition(cores) if splits < cores else df
+    """One driver table, in the splits that the scan gives it."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:

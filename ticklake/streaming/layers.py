@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ticklake.contracts import assert_contract
 from ticklake.sources.layers import DEFAULT_FORMAT, read_layer, table_available, write_layer
 
 
@@ -34,6 +35,7 @@ class LayerSpec:
     # started on a still-empty partitioned table it would read that column as
     # NULL for ever after.  Such a layer starts only once the column exists.
     source_partitioned_by: str | None = None
+    output_schema: StructType | None = None  # the transform's contract, checked before the layer starts
 
 
 class SourceNotReady(RuntimeError):
@@ -59,13 +61,11 @@ def source_ready(spark: SparkSession, layout: TableLayout, spec: LayerSpec) -> b
     """True when the layer can start: its source table exists and, when it
     is partitioned, its partition column can be discovered from the files."""
     path = layout.table(spec.source)
-    if not table_available(spark, path, spec.source_schema, layout.fmt):
-        return False
     if spec.source_partitioned_by is None:
-        return True
+        return table_available(spark, path, spec.source_schema, layout.fmt)
     try:
         return spec.source_partitioned_by in spark.read.format(layout.fmt).load(path).columns
-    except AnalysisException:  # no data files yet: nothing to infer from
+    except AnalysisException:  # no table, or no data files yet to infer from
         return False
 
 
@@ -86,10 +86,13 @@ def start_layer(
     spec: LayerSpec,
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
+    known_ready: bool = False,
 ) -> StreamingQuery:
     """Start one layer's streaming query and return its handle.  Raises
-    ``SourceNotReady`` instead of starting on a source it would misread."""
-    if not source_ready(spark, layout, spec):
+    ``SourceNotReady`` instead of starting on a source it would misread
+    (``known_ready``: the caller has just looked), and ``ContractError`` if
+    the transform breaks the layer's output contract."""
+    if not known_ready and not source_ready(spark, layout, spec):
         raise SourceNotReady(f"{spec.name}: source not ready: {layout.table(spec.source)}")
     stream = read_layer(
         spark,
@@ -98,8 +101,11 @@ def start_layer(
         layout.fmt,
         max_files_per_trigger=max_files_per_trigger,
     )
+    out = spec.transform(stream)
+    if spec.output_schema is not None:
+        assert_contract(out, spec.output_schema)
     return write_layer(
-        spec.transform(stream),
+        out,
         layout.table(spec.name),
         layout.checkpoint(spec.name),
         trigger_interval=None if available_now else spec.trigger_interval,
@@ -126,7 +132,7 @@ def start_all(
     try:
         for spec in specs:
             wait_for_source(spark, layout, spec, timeout_s)
-            handles[spec.name] = start_layer(spark, layout, spec)
+            handles[spec.name] = start_layer(spark, layout, spec, known_ready=True)
     except Exception:
         for query in handles.values():
             query.stop()
@@ -134,9 +140,10 @@ def start_all(
     return handles
 
 
-def rows_dropped_as_late(query: StreamingQuery) -> int:
+def recent_rows_dropped_as_late(query: StreamingQuery) -> int:
     """Rows the query's stateful operators dropped because their window had
-    already closed (sum over the progress reports Spark keeps)."""
+    already closed, over the progress reports that Spark keeps (the last 100
+    unless configured): no total of a long-running query."""
     return sum(
         op.get("numRowsDroppedByWatermark", 0)
         for progress in query.recentProgress
@@ -157,7 +164,7 @@ def run_layers_once(
     for spec in specs:
         if not source_ready(spark, layout, spec):  # nothing to read yet
             continue
-        query = start_layer(spark, layout, spec, True, max_files_per_trigger)
+        query = start_layer(spark, layout, spec, True, max_files_per_trigger, known_ready=True)
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()

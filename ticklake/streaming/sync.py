@@ -9,6 +9,7 @@ applied with ``insert_absent``, so a replayed batch adds nothing.
 from __future__ import annotations
 
 import logging
+import threading
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from ticklake.schemas import (
     GOLD_VOLATILITY_SCHEMA,
 )
 from ticklake.sources.layers import DEFAULT_FORMAT, read_layer, table_available
+from ticklake.streaming.layers import TableLayout
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,10 @@ class SyncSpec:
 
 log = logging.getLogger(__name__)
 
+# Gold files in one micro-batch, so that a cold start works the backlog off in
+# bounded batches.
+MAX_FILES_PER_TRIGGER = 256
+
 GOLD_SCHEMAS = {
     "gold_volatility": GOLD_VOLATILITY_SCHEMA,
     "gold_spread": GOLD_SPREAD_SCHEMA,
@@ -48,6 +54,7 @@ def start_sync(
     fmt: str = DEFAULT_FORMAT,
     available_now: bool = False,
     trigger_interval: str = "30 seconds",
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
 ) -> StreamingQuery:
     """Start the sync of one Gold table; returns the running query."""
 
@@ -55,7 +62,7 @@ def start_sync(
         insert_absent(batch.sparkSession, batch, spec.target_path, spec.table, fmt)
 
     writer = (
-        read_layer(spark, spec.gold_path, spec.gold_schema, fmt)
+        read_layer(spark, spec.gold_path, spec.gold_schema, fmt, max_files_per_trigger)
         .writeStream.foreachBatch(apply)
         .option("checkpointLocation", spec.checkpoint_path)
     )
@@ -73,21 +80,47 @@ def sync_all(
     fmt: str = DEFAULT_FORMAT,
     available_now: bool = False,
 ) -> dict[str, StreamingQuery | None]:
-    """Start one sync per table whose Gold table exists; ``None`` for a Gold
-    table that is not there yet (retry later).  With ``available_now`` each
-    query is awaited and a failure is reported in its handle, not raised,
-    so the other tables still sync."""
+    """Start one sync per table; ``None`` for a table whose Gold table is not
+    there yet or whose sync can't start (``sync_until_stopped`` tries again).
+    With ``available_now`` each query is awaited and its failure stays in its
+    handle.  An error of one table, at its start or later, never keeps the
+    others from syncing."""
     out: dict[str, StreamingQuery | None] = {}
     for spec in specs:
-        if not table_available(spark, spec.gold_path, spec.gold_schema, fmt):
-            log.warning("gold table not available yet: %s", spec.gold_path)
-            out[spec.table] = None
-            continue
-        query = start_sync(spark, spec, fmt, available_now)
-        if available_now:
-            try:
+        out[spec.table] = None
+        try:
+            if not table_available(spark, spec.gold_path, spec.gold_schema, fmt):
+                log.warning("gold table not available yet: %s", spec.gold_path)
+                continue
+            query = out[spec.table] = start_sync(spark, spec, fmt, available_now)
+            if available_now:
                 query.awaitTermination()
-            except Exception as err:  # the handle keeps the error; go on with the rest
-                log.error("sync of %s failed: %s", spec.table, err)
-        out[spec.table] = query
+        except Exception as err:  # of this table only; the handle, if there is one, keeps it
+            log.error("sync of %s failed: %s", spec.table, err)
     return out
+
+
+def sync_until_stopped(
+    spark: SparkSession,
+    specs: list[SyncSpec],
+    fmt: str = DEFAULT_FORMAT,
+    interval_s: float = 30.0,
+    stop: threading.Event | None = None,
+) -> None:
+    """Sync every table again and again until ``stop`` is set: a cycle takes
+    what Gold has appended since the last one (each table's checkpoint knows),
+    tries tables that were missing, and tries again those that failed."""
+    stop = stop or threading.Event()
+    while not stop.is_set():
+        sync_all(spark, specs, fmt, available_now=True)
+        stop.wait(interval_s)
+
+
+def serving_specs(layout: TableLayout, targets: dict[str, "str | JdbcTarget"] | None = None) -> list[SyncSpec]:
+    """The syncs of all Gold tables of a layout; a target is a table of the
+    same layout unless given."""
+    targets = targets or {}
+    return [
+        SyncSpec(t, layout.table(t), schema, targets.get(t, layout.table(f"serving_{t}")), layout.checkpoint(f"serving_{t}"))
+        for t, schema in GOLD_SCHEMAS.items()
+    ]
