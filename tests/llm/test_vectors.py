@@ -1,0 +1,87 @@
+import math
+
+import numpy as np
+import pytest
+
+from ticklake.llm import embedding_dedup, topk
+from ticklake.llm.embedding_dedup import near_duplicate_vectors
+from ticklake.llm.topk import segment_bounds, top_k
+
+SCHEMA = "vec_id long, embedding array<double>, label int, node int, score int, cell int"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame([(*r, 1, 2, 3) for r in rows], SCHEMA)
+
+
+def sample():
+    r = np.random.default_rng(5)
+    rows, i = [], 0
+    for label in (0, 1, 2):
+        for _ in range(15):
+            x = r.standard_normal(16)
+            for _ in range(r.integers(1, 7)):
+                rows.append((i, [float(v) for v in x], label))
+                i += 1
+                x = x + 0.13 * r.standard_normal(16)
+    rows += [(i + 100, rows[0][1], 0), (i + 101, rows[0][1], 0), (i + 102, [2 * v for v in rows[0][1]], 0), (i + 103, rows[0][1], 1)]
+    odd = [None, [], [0.0] * 16, [None] + [1.0] * 15, [math.nan] + [1.0] * 15, [math.inf] + [1.0] * 15, [1.0] * 3, [1.0] * 3]
+    return rows + [(i + 200 + n, v, 0) for n, v in enumerate(odd)] + [(i + 300, rows[0][1], None)]
+
+
+def usable(v):
+    return v and all(x is not None and math.isfinite(x) for x in v)
+
+
+@pytest.mark.parametrize("block", [1024, 2])
+def test_links_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", block)
+    rows = sample()
+
+    def linked(a, b):
+        if a[0] == b[0] or a[2] is None or a[2] != b[2] or not usable(a[1]) or not usable(b[1]) or len(a[1]) != len(b[1]) or not any(a[1]) or not any(b[1]):
+            return False
+        x, y = np.array(a[1]), np.array(b[1])
+        return x @ y / math.sqrt(x @ x) / math.sqrt(y @ y) >= 0.98
+
+    links = {a[0]: [b[0] for b in rows if linked(a, b)] for a in rows}
+    low = {i: i for i in links}
+    for _ in rows:
+        for i, others in links.items():
+            low[i] = min([low[i], *(low[j] for j in others)])
+    out = near_duplicate_vectors(vectors(spark, rows)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out} == {i: (len(links[i]), low[i]) for i in links}
+    assert sum(map(len, links.values())) > 50 and all(r.kept == (r.vec_id == r.component_id) for r in out)
+
+
+def test_links_of_repeats_null_ids_and_an_empty_table(spark):
+    rows = [(5, [1.0, 0.0], 1), (5, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (9, [-0.0, 1.0], 1), (8, [0.0, 2.0], 1)]
+    out = near_duplicate_vectors(vectors(spark, rows)).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in out), key=str) == sorted(
+        [(5, 1, 5, True), (5, 1, 5, True), (None, 0, None, True), (9, 1, 8, False), (8, 1, 8, True)], key=str
+    )
+    assert near_duplicate_vectors(vectors(spark, [])).count() == 0
+
+
+def test_segment_bounds_hold():
+    r = np.random.default_rng(6)
+    x, y = np.floor(1000 * r.standard_normal((2, 200, 30)))
+    exact = (x * y).sum(axis=1)
+    coarse, fine = ((segment_bounds(x, s) * segment_bounds(y, s)).sum(axis=1) for s in (3, 15))
+    assert (exact <= fine + 1e-6).all() and (exact <= coarse + 1e-6).all() and fine.mean() < coarse.mean()
+
+
+@pytest.mark.parametrize("every, queries", [(3, 8192), (7, 8)])
+def test_top_k_equals_brute_force(spark, monkeypatch, every, queries):
+    monkeypatch.setattr(topk, "QUERIES", queries)
+    rows = [(i, v, label) for i, v, label in sample()]
+    rows += [(900 + i, [1.0] * 16, 0) for i in range(12)] + [(None, [1.0] * 16, 0), (-30, [-1e6] * 16, 0)]  # ties
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v, _ in rows if i is not None and usable(v)]
+    expected = []
+    for i, v in whole:
+        if i % every == 0:
+            found = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in whole if j != i and len(w) == len(v))
+            expected += [(i, n + 1, j, -s) for n, (s, j) in enumerate(found[:10])]
+    out = top_k(vectors(spark, rows), every=every).collect()
+    assert sorted(map(tuple, out)) == sorted(expected)
+    assert top_k(vectors(spark, [])).count() == 0

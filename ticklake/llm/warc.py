@@ -168,13 +168,15 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: ArchivePartition | None) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         schema = to_arrow_schema(self.schema)
         names = schema.names
         rows: list[dict] = []
         held = 0
+        if partition is None:  # no archives
+            return
         for record in self.records(partition.path, "payload" in names):
             rows.append(record)
             held += len(record.get("payload") or b"")
