@@ -240,3 +240,20 @@ def test_sync_until_stopped_picks_up_a_gold_table_that_appears_later(spark, scra
         stop.set()
         loop.join(60)
     assert len(target_rows(spark, root + "/t")) == 1
+
+
+def test_file_targets_list_only_the_days_of_the_batch(spark, scratch):
+    from ticklake.operators.serving import _target_keys, read_serving
+
+    path = scratch("days") + "/vol"
+    days = vol(spark, [(0, "A", "1", 1)])
+    for n in range(3):
+        shifted = days.withColumns({c: F.col(c) + F.make_dt_interval(F.lit(n)) for c in ("window_start", "window_end")})
+        assert insert_absent(spark, shifted, path, "gold_volatility")
+    day = _micros(datetime(2026, 1, 2, 10, 0))
+    keys = _target_keys(spark, path, SERVING_VOLATILITY_SCHEMA, ("symbol", "window_start"), day, day, "parquet")
+    assert len(keys.inputFiles()) == 1 and keys.count() == 1
+    absent = _micros(datetime(2026, 2, 2))
+    assert _target_keys(spark, path, SERVING_VOLATILITY_SCHEMA, ("symbol", "window_start"), absent, absent, "parquet") is None
+    assert _target_keys(spark, path, SERVING_VOLATILITY_SCHEMA, ("symbol", "window_start"), 0, absent, "parquet").count() == 3
+    assert read_serving(spark, path, "gold_volatility").columns == SERVING_VOLATILITY_SCHEMA.fieldNames()

@@ -10,13 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from typing import Union
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
+from ticklake.functions.parsing import utc_wall_clock
 from ticklake.schemas import SERVING_TABLES
 from ticklake.sources.layers import DEFAULT_FORMAT, read_snapshot, table_available, try_read_snapshot
 
@@ -34,6 +36,10 @@ class JdbcTarget:
 Target = Union[str, JdbcTarget]
 
 
+# File targets are partitioned by the UTC day of window_start.
+DAY = "window_day"
+# Days of a batch whose folders are named one by one.
+LISTED_DAYS = 400
 # Connections that read a database target's keys at once, at most.
 JDBC_SLICES = 16
 
@@ -116,13 +122,37 @@ def _target_keys(
         lo, hi = _utc_literal(lo_micros), _utc_literal(hi_micros)
         table = f"(SELECT {cols} FROM {target.dbtable} WHERE window_start BETWEEN '{lo}' AND '{hi}') keys"
         return spark.read.jdbc(target.url, table, predicates=key_slices(lo_micros, hi_micros), properties=target.properties)
-    existing = try_read_snapshot(spark, target, schema, fmt)
+    existing = _read_days(spark, target, schema, fmt, *(_utc(m).date() for m in (lo_micros, hi_micros)))
     if existing is None:
         return None
     bounds = F.timestamp_micros(F.lit(lo_micros)), F.timestamp_micros(F.lit(hi_micros))
     return existing.filter(F.col("window_start").between(*bounds)).select(*keys)
 
 
+def _read_days(spark: SparkSession, path: str, schema: StructType, fmt: str, first: date, last: date) -> DataFrame | None:
+    """The rows of a file table whose window starts on the given days, None if
+    there is no such table.  Of a Parquet table only those days' folders are
+    listed and opened; a longer range is a partition filter on the table."""
+    with_day = StructType([*schema.fields, StructField(DAY, DateType())])
+    n = (last - first).days + 1
+    if fmt == "parquet" and n <= LISTED_DAYS:
+        days = ",".join(str(first + timedelta(days=i)) for i in range(n))
+        try:
+            return spark.read.schema(with_day).option("basePath", path).parquet(f"{path}/{DAY}={{{days}}}")
+        except AnalysisException as err:
+            if err.getCondition() == "PATH_NOT_FOUND":  # none of these days, or no table yet
+                return None
+            raise
+    existing = try_read_snapshot(spark, path, with_day, fmt)
+    return existing and existing.filter(F.col(DAY).between(F.lit(first), F.lit(last)))
+
+
+def read_serving(spark: SparkSession, path: str, table: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
+    """A serving table kept in files, with its contract's columns."""
+    schema, _ = contract_of(table)
+    return read_snapshot(spark, path, StructType([*schema.fields, StructField(DAY, DateType())]), fmt).select(*schema.fieldNames())
+
+
 def key_slices(lo_micros: int, hi_micros: int, slices: int = JDBC_SLICES) -> list[str]:
     """Predicates that cut ``[lo, hi]`` into time slices, one connection and
     task each, that together hold every window once."""
@@ -131,8 +161,12 @@ def key_slices(lo_micros: int, hi_micros: int, slices: int = JDBC_SLICES) -> lis
     return [f"window_start >= '{_utc_literal(s)}' AND window_start < '{_utc_literal(s + step)}'" for s in starts]
 
 
+def _utc(micros: int) -> datetime:
+    return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=micros)
+
+
 def _utc_literal(micros: int) -> str:
-    return datetime.fromtimestamp(micros / 1_000_000, tz=timezone.utc).isoformat(sep=" ")
+    return _utc(micros).isoformat(sep=" ")
 
 
 def _append(rows: DataFrame, target: Target, fmt: str) -> None:
@@ -141,7 +175,8 @@ def _append(rows: DataFrame, target: Target, fmt: str) -> None:
             **target.properties
         ).mode("append").save()
     else:
-        rows.write.format(fmt).mode("append").save(target)
+        day = F.to_date(utc_wall_clock("window_start")).alias(DAY)
+        rows.select("*", day).write.format(fmt).partitionBy(DAY).mode("append").save(target)
 
 
 def insert_absent(
@@ -156,9 +191,9 @@ def insert_absent(
     ``target`` is a table path (format ``fmt``) or a ``JdbcTarget``.
     Idempotent: replaying the same batch adds nothing, and a retry after a
     partly written attempt only adds the missing keys.  The target's keys are
-    read only for the batch's ``window_start`` range (a filter pushed into
-    the scan, skipping files and row groups outside it; a bounded query on a
-    database), and joined on the keys without a broadcast hint: the planner
+    read only for the batch's ``window_start`` range (of a file target the
+    folders of its days, and a filter pushed into the scan; time slices of a
+    bounded query on a database), and joined on the keys without a broadcast hint: the planner
     broadcasts them only when their estimated (or, with AQE, measured) size
     is under the broadcast threshold, else it is a sort-merge join.
     A duplicate or NULL key inside the batch raises ``DuplicateKeyError``

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
-from ticklake.functions.parsing import utc_wall_clock
+from ticklake.functions.parsing import instant_from_utc_wall_clock, utc_wall_clock
 from ticklake.operators.envelope import (
     envelope_from_frames,
     quarantine_frames,
@@ -29,6 +29,7 @@ from ticklake.operators.serving import (
     dashboard_symbols,
     insert_absent,
     liquidity_series,
+    read_serving,
     spread_series,
     to_serving_contract,
     volatility_series,
@@ -42,7 +43,7 @@ from ticklake.operators.silver import (
 )
 from ticklake.plans.medallion import LAYERS, bronze_from_records, chain, landing_records
 from ticklake.plans.testdata import market_frames, read_table
-from ticklake.schemas import BRONZE_SCHEMA, SERVING_TABLES, STREAM_TYPES
+from ticklake.schemas import BRONZE_SCHEMA, STREAM_TYPES
 from ticklake.session import scratch_dir
 from ticklake.sources.layers import read_snapshot
 from ticklake.streaming.layers import TableLayout, run_layers_once
@@ -58,6 +59,7 @@ DELAYED_SYMBOL = "SIGNUP"
 # Late trades are replayed so many times as fast, from this instant on, so that
 # ten minutes of watermark hold hundreds of trades.
 REPLAY_SPEED, REPLAY_FROM = 500, datetime(2024, 1, 1)
+REPLAY_CUT = datetime(2024, 1, 1, 1, 10)  # the last arrival begins here
 
 # What follows the stream name in an odd frame.
 ODD_DATA = ("", ',"data":null', ',"data":{}', ',"data":"text"')
@@ -161,8 +163,7 @@ def _serving_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
         insert_absent(spark, _gold(table, _silver_for(table, spark, sf_dir)), target, table)
         return target
 
-    schema, _ = SERVING_TABLES[table]
-    return read_snapshot(spark, _once(spark, sf_dir, f"serving {table}", build), schema)
+    return read_serving(spark, _once(spark, sf_dir, f"serving {table}", build), table)
 
 
 # --- queries ----------------------------------------------------------------
@@ -298,14 +299,20 @@ def _replayed(trades: DataFrame) -> DataFrame:
 
 
 def q_late_trades_stream(spark, sf_dir, late: Callable | None = None):
-    """Trades arrive in two batches: every symbol but one, then the delayed
-    symbol's whole history.  Its rows in windows already closed by the
-    watermark are dropped, those in the open ones are counted.  ``late``
-    (tests) changes the second batch."""
+    """Trades arrive in three batches: up to a cut every symbol but one, then
+    the delayed symbol up to the cut, then all that follows.  The delayed
+    rows in windows already closed by the watermark are dropped, those in the
+    open ones are counted.  ``late`` (tests) changes the second batch."""
     layout = _layout(spark, "late_trades")
     trades = _replayed(_silver_for("gold_volatility", spark, sf_dir)).where("trade_timestamp is not null").persist()
-    delayed = trades.filter(F.col("symbol") == DELAYED_SYMBOL)
-    arrivals = [trades.filter(F.col("symbol") != DELAYED_SYMBOL), late(delayed) if late else delayed]
+    cut = instant_from_utc_wall_clock(F.lit(REPLAY_CUT.isoformat(sep=" ")).cast("timestamp_ntz"))
+    early = trades.filter(F.col("trade_timestamp") < cut)
+    delayed = early.filter(F.col("symbol") == DELAYED_SYMBOL)
+    arrivals = [
+        early.filter(F.col("symbol") != DELAYED_SYMBOL),
+        late(delayed) if late else delayed,
+        trades.filter(F.col("trade_timestamp") >= cut),
+    ]
     gold = LAYERS["gold_volatility"]
     try:
         for batch in arrivals:
@@ -330,8 +337,7 @@ def _q_insert_delta(table: str) -> Query:
             insert_absent(spark, _gold(table, silver), target, table)
         finally:
             silver.unpersist()
-        schema, _ = SERVING_TABLES[table]
-        return for_compare(read_snapshot(spark, target, schema))
+        return for_compare(read_serving(spark, target, table))
 
     run.__name__ = f"q_insert_delta_{table}"
     return run
@@ -352,8 +358,7 @@ def _q_sync(table: str) -> Query:
             handle = sync_all(spark, [spec], available_now=True)[table]
             if handle is None or handle.exception() is not None:
                 raise RuntimeError(f"sync run {run_no} failed: {handle and handle.exception()}")
-        schema, _ = SERVING_TABLES[table]
-        return for_compare(read_snapshot(spark, target, schema))
+        return for_compare(read_serving(spark, target, table))
 
     run.__name__ = f"q_sync_{table}"
     return run

@@ -15,6 +15,7 @@ from ticklake.plans.catalog import (
     DASHBOARD_TO,
     DELAYED_SYMBOL,
     ODD_DATA,
+    REPLAY_CUT,
     REPLAY_FROM,
     REPLAY_SPEED,
     SHORT_SYMBOL,
@@ -150,11 +151,13 @@ def _gold_stream(table: str) -> str:
 
 
 def _late_trades() -> str:
-    # Batch 1 = every symbol but the delayed one; batch 2 = the delayed one.
+    # Batch 1 = every symbol but the delayed one up to the cut; batch 2 = the
+    # delayed one up to there; batch 3 = the rest.
     # A batch-2 row is dropped when its window already ended at or before
     # the watermark left by batch 1 (max event time - 10 min); a window is
     # emitted once the final watermark (over all rows seen) reaches its end.
     t = "trade_timestamp"
+    cut = f"TIMESTAMP '{REPLAY_CUT.isoformat(sep=' ')}'"
     start = f"TIMESTAMP '{REPLAY_FROM.isoformat(sep=' ')}'"
     return _with(
         _M,
@@ -162,10 +165,11 @@ def _late_trades() -> str:
         f"""replayed AS (
   SELECT * REPLACE ({start} + to_milliseconds(CAST(floor((epoch_ms({t}) - epoch_ms({start})) / {REPLAY_SPEED}) AS BIGINT)) AS {t})
   FROM trades)""",
-        f"b1 AS (SELECT * FROM replayed WHERE symbol <> '{DELAYED_SYMBOL}')",
-        f"b2 AS (SELECT * FROM replayed WHERE symbol = '{DELAYED_SYMBOL}')",
+        f"b1 AS (SELECT * FROM replayed WHERE {t} < {cut} AND symbol <> '{DELAYED_SYMBOL}')",
+        f"b2 AS (SELECT * FROM replayed WHERE {t} < {cut} AND symbol = '{DELAYED_SYMBOL}')",
+        f"b3 AS (SELECT * FROM replayed WHERE {t} >= {cut})",
         f"wm1 AS (SELECT max({t}) - INTERVAL '10 minutes' AS wm FROM b1)",
-        f"kept AS (SELECT * FROM b1 UNION ALL SELECT b2.* FROM b2, wm1 WHERE {_wstart(t)} + INTERVAL '5 minutes' > wm1.wm)",
+        f"kept AS (SELECT * FROM b1 UNION ALL SELECT * FROM b3 UNION ALL SELECT b2.* FROM b2, wm1 WHERE {_wstart(t)} + INTERVAL '5 minutes' > wm1.wm)",
         f"g AS ({_gold_sql('gold_volatility', 'kept')})",
     ) + f"SELECT * FROM g WHERE window_end <= (SELECT max({t}) FROM replayed) - INTERVAL '10 minutes'"
 
