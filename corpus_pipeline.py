@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from ticklake.llm import bpe, minhash, mixing, pii, toxicity
-from ticklake.llm.common import ship_package, staged, table
+from ticklake.llm.common import broadcast_if_small, ship_package, staged, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Documents with this toxicity score or more go.
@@ -31,8 +31,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Of documents that are near copies (five-word shingles, similarity of
     0.8 or more) the one with the smallest id stays."""
     ship_package(spark)
-    kept = minhash.near_duplicates(docs, shingle=5, percent=80).where("kept").select("doc_id").distinct()
-    return docs.join(kept.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id"))).drop("__id")
+    gone = minhash.near_duplicates(docs, shingle=5, percent=80).where("not kept").select("doc_id").distinct()
+    gone = broadcast_if_small(staged(gone, "pipeline_copies"), 2_000_000)
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def pseudonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
