@@ -28,6 +28,8 @@ QUERIES = 8192
 SEGMENTS = (4, 16)
 #: Rows and queries whose bounds are held at once.
 ROWS, ROUND = 2048, 512
+#: Pairs whose components are held at once.
+PAIRS = 1 << 15
 
 
 def segment_bounds(vectors: np.ndarray, segments: int) -> np.ndarray:
@@ -42,14 +44,17 @@ def segment_bounds(vectors: np.ndarray, segments: int) -> np.ndarray:
     return np.stack(parts, axis=1)
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact row-by-row inner products of float64 arrays of integers."""
+def products(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Exact inner products of rows x of a with rows y of b (float64 arrays of
+    integers): all at once if most are asked for, else pair by pair."""
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
-    if most < 2**53:
-        return np.einsum("ij,ij->i", a, b).astype(np.int64)
-    kind = np.int64 if most < 2**63 else object
-    whole = [np.array([[int(v) for v in row] for row in x], dtype=kind) for x in (a, b)]
-    return (whole[0] * whole[1]).sum(axis=1)
+    if most < 2**53 and 16 * len(x) > len(a) * len(b):
+        return (a @ b.T)[x, y].astype(np.int64)  # sums of integers under 2**53 are exact in any order
+    if most >= 2**53:
+        kind = np.int64 if most < 2**63 else object
+        a, b = (np.array([[int(v) for v in row] for row in m], dtype=kind).reshape(m.shape) for m in (a, b))
+    found = [(a[x[i : i + PAIRS]] * b[y[i : i + PAIRS]]).sum(axis=1) for i in range(0, len(x), PAIRS)]
+    return np.concatenate(found).astype(np.int64) if found else np.empty(0, np.int64)
 
 
 class _Best:
@@ -69,14 +74,13 @@ class _Best:
             part = slice(at, at + ROUND)
             least = self.least[part, None]
             slack = 1e-9 * np.linalg.norm(self.vectors[part], axis=1)[:, None] * np.linalg.norm(vectors, axis=1)[None, :]
-            q, x = np.nonzero(self.bounds[0][part] @ bounds[0].T + slack >= least)
+            near = self.bounds[0][part] @ bounds[0].T + slack >= least
             for mine, theirs in zip(self.bounds[1:], bounds[1:]):
-                near = np.einsum("ij,ij->i", mine[at + q], theirs[x]) + slack[q, x] >= self.least[at + q]
-                q, x = q[near], x[near]
-            q = at + q
-            other = self.ids[q] != ids[x]
-            q, x = q[other], x[other]
-            found.append((q, ids[x], products(self.vectors[q], vectors[x])))
+                some = np.flatnonzero(near.any(axis=0))  # rows that the coarser bound leaves to a query
+                near[:, some] &= mine[part] @ theirs[some].T + slack[:, some] >= least
+            near &= self.ids[part, None] != ids[None, :]
+            q, x = np.nonzero(near)
+            found.append((at + q, ids[x], products(self.vectors[part], vectors, q, x)))
         query, row, score = (np.concatenate(c) for c in zip(*found))
         order = np.lexsort((row, -score, query))
         query, row, score = query[order], row[order], score[order]
