@@ -8,14 +8,14 @@ as often as their Jaccard similarity says.
 
 1. One pass over the texts makes registers and a digest of the shingle set;
    rows of equal sets are one class from here on (copies are never paired).
-2. Runs of ROWS registers are band keys.  In a bucket each class is
-   compared with the bucket's smallest, not with every other.
+2. Runs of ROWS registers are band keys.  In a bucket each class is paired
+   with one hub, not with every other.
 3. The similarity of a pair is first estimated by joint likelihood from the
    register order counts; pairs that can't reach the threshold go, the rest
    are confirmed on full shingle sets.
-4. Connected components.  Classes that share a bucket and are not yet in one
-   component are then paired as well, so no link between components is lost;
-   pairs within a component can't change it and are never made.
+4. Connected components.  Classes that share a bucket but no component are then
+   compared on full sets, block by block, so no link between components is
+   lost; pairs within a component can't change it and are left out.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import broadcast_if_small, connected_components, staged
+from ticklake.llm.common import broadcast_if_small, connected_components, runs, staged
 from ticklake.llm.shingles import WordHashes, mixed, shingle_set, word_array
 
 #: SetSketch scale: base, rate, largest register; and bands x rows registers.
@@ -36,6 +36,8 @@ BASE, RATE, LARGEST = 1.001, 20.0, 65_534
 BANDS, ROWS = 32, 5
 #: Six standard errors of the estimate from BANDS * ROWS registers at 0.8.
 MARGIN = 0.19
+#: Shingles of a block of a bucket, and hashes whose matrix is held at once.
+BLOCK, COLUMNS = 1 << 17, 1 << 13
 #: Ids (8 bytes each) that may be broadcast to pick their texts.
 BROADCAST_IDS = 2_000_000
 
@@ -130,6 +132,14 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("text").mapInPandas(sets, "node binary, shingles array<long>")
 
 
+def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int, name: str) -> DataFrame:
+    """node and its whole set for the given nodes (and maybe some others)."""
+    needed = staged(nodes.join(classes.select("node", "rep"), "node").select(F.col("rep").alias("id")).distinct(), f"{name}_ids")
+    # of a repeated id all texts are read; a set that nobody needs joins with nothing
+    sets = _sets(docs.join(broadcast_if_small(needed, BROADCAST_IDS), "id", "left_semi"), k)
+    return staged(sets, f"{name}_sets").dropDuplicates(["node"])
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets reach the threshold."""
     near = pairs
@@ -138,22 +148,90 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, pe
     near = near.where(_sizes_allow("n_a", "n_b", percent))
     near = near.withColumn("estimate", F.pandas_udf(_estimate, "double")("n_a", "n_b", "regs_a", "regs_b")).where(F.col("estimate") >= percent / 100 - MARGIN)
     near = staged(near.select("a", "b", "n_a", "n_b"), f"{name}_near")
-    needed = near.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "rep"), "node")
-    needed = staged(needed, f"{name}_needed")
-    ids = broadcast_if_small(needed.select(F.col("rep").alias("id")).distinct(), BROADCAST_IDS)
-    # of a repeated id all texts are read; a set that is not needed joins with no pair
-    sets = staged(_sets(docs.join(ids, "id", "left_semi"), k), f"{name}_sets").dropDuplicates(["node"])
+    sets = _sets_of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes, docs, k, name)
     for side in ("a", "b"):
         near = near.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"set_{side}")), side)
     both = F.size(F.array_intersect("set_a", "set_b"))
     return staged(near.where(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)).select("a", "b"), f"{name}_links")
 
 
-def _sizes_allow(a: str, b: str, percent: int):
+def _sizes_allow(a, b, percent: int):
     """Sets of sizes a and b can reach the threshold at all."""
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
+def _cell_links(cell: pd.DataFrame, percent: int) -> pd.DataFrame | None:
+    """Links that join the components of a cell: a forest of pairs whose full
+    sets reach the threshold.  Intersections of all rows come from products of
+    row-by-shingle matrices."""
+    component = pd.factorize(cell["component"])[0]
+    sets = [np.asarray(x, np.int64) for x in cell["shingles"]]
+    sizes = np.array([len(x) for x in sets])
+    rows = np.flatnonzero(cell["outside"].to_numpy() & (cell["block"] == cell["low"]).to_numpy())
+    cols = np.flatnonzero((cell["block"] == cell["high"]).to_numpy())
+    if not len(rows) or not len(cols):
+        return None
+    hashes, place = np.unique(np.concatenate(sets), return_inverse=True)
+    of = np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(place, kind="stable")
+    place, of = place[order], of[order]
+    both = np.zeros((len(rows), len(cols)))
+    for at in range(0, len(hashes), COLUMNS):
+        a, b = np.searchsorted(place, (at, at + COLUMNS))
+        held = np.zeros((len(sets), min(COLUMNS, len(hashes) - at)), np.float32)
+        held[of[a:b], place[a:b] - at] = 1
+        both += held[rows] @ held[cols].T
+    linked = 100 * both >= percent * (sizes[rows][:, None] + sizes[cols][None, :] - both)
+    linked &= component[rows][:, None] != component[cols][None, :]
+    root, nodes, forest = list(range(len(cell))), cell["node"].to_numpy(), []
+    for x, y in zip(*np.nonzero(linked)):
+        ends = [component[rows[x]], component[cols[y]]]
+        for i in (0, 1):
+            while root[ends[i]] != ends[i]:
+                root[ends[i]] = root[root[ends[i]]]
+                ends[i] = root[ends[i]]
+        if ends[0] != ends[1]:
+            root[ends[0]] = ends[1]
+            forest.append((nodes[rows[x]], nodes[cols[y]]))
+    return pd.DataFrame(forest, columns=["a", "b"]) if forest else None
+
+
+def _rest(banded: DataFrame, classes: DataFrame, component: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) between components whose classes share a bucket.
+
+    Of each bucket, classes outside its largest component meet all classes.
+    A bucket is cut into blocks of about BLOCK shingles, apart for those
+    outside and the others, and each pair of blocks with an outside one is a
+    cell: bounded work for a task, and only joining links leave it."""
+    members = banded.join(classes.select("node", "n"), "node").join(component, "node", "left")
+    members = members.withColumn("component", F.coalesce("component", "node"))
+    sizes = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+    main = sizes.groupBy("band").agg(
+        F.max_by(F.struct("component", "shingles"), F.struct("size", "component")).alias("main"), F.sum("shingles").alias("shingles"), F.count(F.lit(1)).alias("components")
+    )
+    inside, outer = F.col("main.shingles"), F.col("shingles") - F.col("main.shingles")
+    blocks = [F.ceil(x / BLOCK).cast("int") for x in (outer, inside)]
+    main = main.where("components > 1").select("band", F.col("main.component").alias("main"), blocks[0].alias("outer"), blocks[1].alias("inner"))
+    members = members.join(main, "band").withColumn("outside", F.col("component") != F.col("main"))
+    hashed = F.xxhash64("node", F.lit(3))
+    block = F.when(F.col("outside"), F.pmod(hashed, "outer")).otherwise(F.col("outer") + F.pmod(hashed, "inner")).cast("int")
+    members = staged(members.select("band", "node", "component", "outside", block.alias("block"), "outer", "inner"), "minhash_members")
+
+    sets = _sets_of(members.select("node").distinct(), classes, docs, k, "minhash_outside")
+    members = members.join(sets, "node")
+    last = F.when(F.col("outside"), F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1
+    cells = members.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    cells = cells.select("band", "node", "component", "outside", "block", "shingles", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    cells = cells.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for cell in runs(batches, ["band", "low", "high"]):
+            if len(cell) > 1 and (found := _cell_links(cell, percent)) is not None:
+                yield found
+
+    return cells.mapInPandas(compare, "a binary, b binary").distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
     """One row (id_col, n_shingles, component_id, kept) per row of `docs`:
     texts whose shingle sets have 100 * intersection >= percent * union are
@@ -172,25 +250,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.slice("regs", i * ROWS + 1, ROWS)))
     in_bands = classes.select("node", F.explode(keys).alias("band"))
-    shared = in_bands.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    banded = staged(in_bands.join(shared.drop("size"), "band"), "minhash_bands")
-
-    hubs = banded.where("node != hub").groupBy("node").agg(F.min("hub").alias("b"))
-    first = _confirmed(hubs.withColumnRenamed("node", "a"), classes, docs, shingle, percent, "minhash_hub")
-    so_far = connected_components(first)
-
-    # members of a bucket that lie outside the component of its hub
-    placed = classes.select("node", "n").join(so_far, "node", "left")
-    placed = placed.select("node", "n", F.coalesce("component", "node").alias("component"))
-    members = banded.join(placed, "node")
-    members = members.join(placed.select(F.col("node").alias("hub"), F.col("component").alias("main")), "hub")
-    members = staged(members.select("band", "node", "n", "component", "main"), "minhash_members")
-    outside = members.where("component != main").select("band", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("component_a"))
-    rest = outside.join(members, "band").where("component != component_a and (component = main or component > component_a)")
-    rest = rest.where(_sizes_allow("n_a", "n", percent)).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-    second = _confirmed(rest, classes, docs, shingle, percent, "minhash_rest")
+    shared = in_bands.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("band")
+    banded = staged(in_bands.join(shared, "band"), "minhash_bands")
+
+    hub = F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("hub")
+    pairs = banded.join(classes.select("node", "n"), "node")
+    pairs = pairs.join(pairs.groupBy("band").agg(hub), "band").where((F.col("node") != F.col("hub.node")) & _sizes_allow("n", "hub.n", percent))
+    pairs = pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    first = _confirmed(pairs, classes, docs, shingle, percent, "minhash_hubs")
 
+    component = connected_components(first)
+    second = staged(_rest(banded, classes, component, docs, shingle, percent), "minhash_rest")
     component = connected_components(first.unionByName(second))
+
     named = classes.select("node", "rep").join(component, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = named.join(smallest, "component").select("node", "component_id")
