@@ -34,7 +34,7 @@ def formatted(df) -> str:
     with contextlib.redirect_stdout(buf):
         df.explain("formatted")
     text = re.sub(r"#\d+L?", "", buf.getvalue())
-    text = re.sub(r"file:/\S+?/ticklake/[^/\]]+", "<scratch>", text)
+    text = re.sub(r"(?:file:)?/\S+?/ticklake/[^/\]]+", "<scratch>", text)
     return text.strip()
 
 
