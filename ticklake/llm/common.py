@@ -7,7 +7,7 @@ import atexit
 import os
 import shutil
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -50,6 +50,29 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(spark: SparkSession, path: str) -> None:
+    """Remove a written table that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Work:
+    """Intermediate tables of one run of an operator, removed at its end: the
+    result must not read them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths.append(scratch_dir(self.spark, name))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def end(self) -> None:
+        while self.paths:
+            dropped(self.spark, self.paths.pop())
+
+
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """`df`, with a broadcast hint if it is counted to hold at most `rows`
     rows; a larger side is left to the shuffle join."""
@@ -79,7 +102,7 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = staged) -> DataFrame:
     """Connected components of the edges (columns `a`, `b`, any orderable
     type): one row (node, component) per node that has an edge to another
     node; the component is its smallest node.
@@ -89,9 +112,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     node, whose large partitions Spark can split: a hub costs no task more
     than its share.  Each round is a written table, so rounds don't chain.
     Null nodes and self-loops are ignored; an empty input gives no rows.
+    `keep` writes the result (Work: until the caller ends).
     """
     a, b = F.col("a"), F.col("b")
-    current = staged(
+    work = Work(edges.sparkSession)
+    current = work(
         edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges"
     )
     before = _fingerprint(current)
@@ -99,17 +124,22 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = staged(large.where("u != v").distinct(), "edges")
+        large = work(large.where("u != v").distinct(), "edges")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
-        current = staged(small.unionByName(low.withColumnRenamed("m", "v")).distinct(), "edges")
+        current = work(small.unionByName(low.withColumnRenamed("m", "v")).distinct(), "edges")
         after = _fingerprint(current)
+        for path in work.paths[:-1]:  # rounds before
+            dropped(work.spark, path)
+        del work.paths[:-1]
         if after == before:
             break
         before = after
     stars = current.groupBy("u").agg(F.min("v").alias("component"))
     roots = current.select(F.col("v").alias("u"), F.col("v").alias("component")).distinct()
-    return stars.unionByName(roots).withColumnRenamed("u", "node")
+    out = keep(stars.unionByName(roots).withColumnRenamed("u", "node"), "components")
+    work.end()
+    return out
 
 
 def words(text: str | Column) -> Column:

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import broadcast_if_small, connected_components, runs, staged
+from ticklake.llm.common import Work, broadcast_if_small, connected_components, runs, staged
 
 #: At cosine 0.98 a pair shares no key with probability 5e-7.  More bits make
 #: buckets smaller (for more vectors per label) and need more tables.
@@ -125,11 +125,12 @@ def near_duplicate_vectors(
     Extra columns are ignored; an empty table gives no rows.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"), F.col(vector_col).alias("vec"))
-    signed = staged(_signed(rows), "vectors_signed")
+    work = Work(vectors.sparkSession)
+    signed = work(_signed(rows), "vectors_signed")
     classes = signed.where("node is not null").groupBy("node").agg(
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("label").alias("label"), F.first("vec").alias("vec"), F.first("keys").alias("keys")
     )
-    classes = staged(classes, "vectors_classes")
+    classes = work(classes, "vectors_classes")
 
     tables = F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))).alias("table")
     keyed = classes.select("node", "n", "label", "vec", "keys", tables)
@@ -137,16 +138,16 @@ def near_duplicate_vectors(
     keyed = keyed.withColumn("cell", key)
     large = keyed.groupBy("cell").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > BLOCK)
     large = large.select("cell", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    keyed = keyed.join(broadcast_if_small(staged(large, "vectors_large"), BROADCAST_BUCKETS), "cell", "left")
+    keyed = keyed.join(broadcast_if_small(work(large, "vectors_large"), BROADCAST_BUCKETS), "cell", "left")
     blocks = F.coalesce("blocks", F.lit(1))
     block = F.pmod(F.xxhash64("node", F.lit(7)), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
     cells = keyed.withColumn("block", block).withColumn("other", other)
     cells = cells.select("cell", "table", "node", "n", "vec", "keys", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     cells = cells.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high")
-    links = staged(_linked(cells, threshold), "vectors_links")
+    links = work(_linked(cells, threshold), "vectors_links")
 
-    component = connected_components(links.select(F.col("node").alias("a"), F.col("to").alias("b")))
+    component = connected_components(links.select(F.col("node").alias("a"), F.col("to").alias("b")), work)
     counted = links.groupBy("node").agg(F.sum("links").alias("links"))
     known = classes.select("node", "rep", "n").join(counted, "node", "left").join(component, "node", "left")
     known = known.select("node", "rep", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), F.coalesce("component", "node").alias("component"))
@@ -154,7 +155,10 @@ def near_duplicate_vectors(
     known = known.join(smallest, "component").select("node", "links", "component_id")
     out = signed.select("id", "node").join(known, "node", "left")
     reached = F.coalesce("component_id", "id")
-    return out.select(
+    out = out.select(
         F.col("id").alias(id_col), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), reached.alias("component_id"),
         F.coalesce(F.col("id") == reached, F.lit(True)).alias("kept"),
     )
+    out = staged(out, "vectors_result")
+    work.end()
+    return out

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import broadcast_if_small, connected_components, runs, staged
+from ticklake.llm.common import Work, broadcast_if_small, connected_components, runs, staged
 from ticklake.llm.shingles import WordHashes, mixed, shingle_set, word_array
 
 #: SetSketch scale: base, rate, largest register; and bands x rows registers.
@@ -132,27 +132,27 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
     return docs.select("text").mapInPandas(sets, "node binary, shingles array<long>")
 
 
-def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int, name: str) -> DataFrame:
+def _sets_of(work: Work, nodes: DataFrame, classes: DataFrame, docs: DataFrame, k: int, name: str) -> DataFrame:
     """node and its whole set for the given nodes (and maybe some others)."""
-    needed = staged(nodes.join(classes.select("node", "rep"), "node").select(F.col("rep").alias("id")).distinct(), f"{name}_ids")
+    needed = work(nodes.join(classes.select("node", "rep"), "node").select(F.col("rep").alias("id")).distinct(), f"{name}_ids")
     # of a repeated id all texts are read; a set that nobody needs joins with nothing
     sets = _sets(docs.join(broadcast_if_small(needed, BROADCAST_IDS), "id", "left_semi"), k)
-    return staged(sets, f"{name}_sets").dropDuplicates(["node"])
+    return work(sets, f"{name}_sets").dropDuplicates(["node"])
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
+def _confirmed(work: Work, pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int, name: str) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets reach the threshold."""
     near = pairs
     for side in ("a", "b"):
         near = near.join(classes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("regs").alias(f"regs_{side}")), side)
     near = near.where(_sizes_allow("n_a", "n_b", percent))
     near = near.withColumn("estimate", F.pandas_udf(_estimate, "double")("n_a", "n_b", "regs_a", "regs_b")).where(F.col("estimate") >= percent / 100 - MARGIN)
-    near = staged(near.select("a", "b", "n_a", "n_b"), f"{name}_near")
-    sets = _sets_of(near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes, docs, k, name)
+    near = work(near.select("a", "b", "n_a", "n_b"), f"{name}_near")
+    sets = _sets_of(work, near.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes, docs, k, name)
     for side in ("a", "b"):
         near = near.join(sets.select(F.col("node").alias(side), F.col("shingles").alias(f"set_{side}")), side)
     both = F.size(F.array_intersect("set_a", "set_b"))
-    return staged(near.where(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)).select("a", "b"), f"{name}_links")
+    return work(near.where(100 * both >= percent * (F.col("n_a") + F.col("n_b") - both)).select("a", "b"), f"{name}_links")
 
 
 def _sizes_allow(a, b, percent: int):
@@ -196,7 +196,7 @@ def _cell_links(cell: pd.DataFrame, percent: int) -> pd.DataFrame | None:
     return pd.DataFrame(forest, columns=["a", "b"]) if forest else None
 
 
-def _rest(banded: DataFrame, classes: DataFrame, component: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+def _rest(work: Work, banded: DataFrame, classes: DataFrame, component: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) between components whose classes share a bucket.
 
     Of each bucket, classes outside its largest component meet all classes.
@@ -215,9 +215,9 @@ def _rest(banded: DataFrame, classes: DataFrame, component: DataFrame, docs: Dat
     members = members.join(main, "band").withColumn("outside", F.col("component") != F.col("main"))
     hashed = F.xxhash64("node", F.lit(3))
     block = F.when(F.col("outside"), F.pmod(hashed, "outer")).otherwise(F.col("outer") + F.pmod(hashed, "inner")).cast("int")
-    members = staged(members.select("band", "node", "component", "outside", block.alias("block"), "outer", "inner"), "minhash_members")
+    members = work(members.select("band", "node", "component", "outside", block.alias("block"), "outer", "inner"), "minhash_members")
 
-    sets = _sets_of(members.select("node").distinct(), classes, docs, k, "minhash_outside")
+    sets = _sets_of(work, members.select("node").distinct(), classes, docs, k, "minhash_outside")
     members = members.join(sets, "node")
     last = F.when(F.col("outside"), F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1
     cells = members.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
@@ -244,30 +244,34 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     returned.  Extra columns are ignored; an empty table gives no rows.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = staged(_signatures(docs, shingle), "minhash_signatures")
+    work = Work(docs.sparkSession)
+    signed = work(_signatures(docs, shingle), "minhash_signatures")
     classes = signed.where("node is not null").groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("regs").alias("regs"))
-    classes = staged(classes, "minhash_classes")
+    classes = work(classes, "minhash_classes")
 
     keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.slice("regs", i * ROWS + 1, ROWS)))
     in_bands = classes.select("node", F.explode(keys).alias("band"))
     shared = in_bands.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("band")
-    banded = staged(in_bands.join(shared, "band"), "minhash_bands")
+    banded = work(in_bands.join(shared, "band"), "minhash_bands")
 
     hub = F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("hub")
     pairs = banded.join(classes.select("node", "n"), "node")
     pairs = pairs.join(pairs.groupBy("band").agg(hub), "band").where((F.col("node") != F.col("hub.node")) & _sizes_allow("n", "hub.n", percent))
     pairs = pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
-    first = _confirmed(pairs, classes, docs, shingle, percent, "minhash_hubs")
+    first = _confirmed(work, pairs, classes, docs, shingle, percent, "minhash_hubs")
 
-    component = connected_components(first)
-    second = staged(_rest(banded, classes, component, docs, shingle, percent), "minhash_rest")
-    component = connected_components(first.unionByName(second))
+    component = connected_components(first, work)
+    second = work(_rest(work, banded, classes, component, docs, shingle, percent), "minhash_rest")
+    component = connected_components(first.unionByName(second), work)
 
     named = classes.select("node", "rep").join(component, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     named = named.join(smallest, "component").select("node", "component_id")
     out = signed.select("id", "n", "node").join(named, "node", "left")
     reached = F.coalesce("component_id", "id")
-    return out.select(
+    out = out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), reached.alias("component_id"), F.coalesce(F.col("id") == reached, F.lit(True)).alias("kept")
     )
+    out = staged(out, "minhash_result")
+    work.end()
+    return out

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import staged, words
+from ticklake.llm.common import Work, staged, words
 
 #: A document's hash has LEVELS * LEVEL_BITS bits; a histogram has 2**LEVEL_BITS buckets.
 LEVELS, LEVEL_BITS = 4, 12
@@ -69,7 +69,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return weighed.select("source", "source_size", target.alias("target"))
 
 
-def thresholds(sized: DataFrame, plans: DataFrame) -> DataFrame:
+def thresholds(work: Work, sized: DataFrame, plans: DataFrame) -> DataFrame:
     """One row (source, source_size, target, base, threshold) per source: its
     documents are taken `base` times, those with hash < threshold once more.
     `sized` has (source, size, hash); `plans` is the result of targets()."""
@@ -98,7 +98,7 @@ def thresholds(sized: DataFrame, plans: DataFrame) -> DataFrame:
             F.coalesce("end.bucket", beyond).alias("prefix"),
             F.coalesce("end.words", F.lit(0)).alias("words"),
         )
-        state = staged(state, "mixing_level")
+        state = work(state, "mixing_level")
     # the last bucket is one hash value: it is taken if that is nearer to the budget
     nearer = (F.col("words") > 0) & (F.col("words") - F.col("budget") < F.col("budget"))
     return state.select("source", "source_size", "target", "base", (F.col("prefix") + nearer.cast("long")).alias("threshold"))
@@ -117,8 +117,10 @@ def mixture(docs: DataFrame, size: Column | None = None, id_col: str = "doc_id",
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
     size = words(text_col) if size is None else size
     full = docs.select(*kept, size.cast("long").alias("size"), document_hash(F.col(id_col)).alias("__hash"))
-    sized = staged(full.select(F.col(source_col).alias("source"), "size", F.col("__hash").alias("hash")), "mixing_sizes")
-    found = thresholds(sized, targets(sized))
+    work = Work(docs.sparkSession)
+    sized = work(full.select(F.col(source_col).alias("source"), "size", F.col("__hash").alias("hash")), "mixing_sizes")
+    found = staged(thresholds(work, sized, targets(sized)), "mixing_thresholds")
+    work.end()
     found = F.broadcast(found.withColumnRenamed("source", "__source"))
     times = F.col("base") + (F.col("__hash") < F.col("threshold")).cast("long")
     out = full.join(found, F.col(source_col).eqNullSafe(F.col("__source")))

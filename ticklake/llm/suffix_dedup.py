@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import broadcast_if_small, runs, staged
+from ticklake.llm.common import Work, broadcast_if_small, runs, staged
 from ticklake.llm.shingles import WordHashes, mixed, window_hashes, word_array
 
 #: Words of a passage, places of a minimiser window, words of a seed.
@@ -179,36 +179,40 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     one document.  Extra columns are ignored; an empty table gives no rows.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
-    texts = staged(docs.select("id", F.md5("text").alias("md5")), "suffix_texts")
+    work = Work(docs.sparkSession)
+    texts = work(docs.select("id", F.md5("text").alias("md5")), "suffix_texts")
     groups = texts.groupBy("md5").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep != last")
-    copies = staged(texts.join(groups.drop("last"), "md5").where("id != rep").select("id", "rep").distinct(), "suffix_copies")
+    copies = work(texts.join(groups.drop("last"), "md5").where("id != rep").select("id", "rep").distinct(), "suffix_copies")
     copied = copies.select(F.col("rep").alias("id")).distinct()
     others = docs.join(broadcast_if_small(copies.select("id").distinct(), BROADCAST_IDS), "id", "left_anti")
 
-    suffixes = staged(_suffixes(others), "suffixes")
+    suffixes = work(_suffixes(others), "suffixes")
     keys = suffixes.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n")).where("low != high")
-    keys = staged(keys.select("key", "n"), "suffix_keys")
+    keys = work(keys.select("key", "n"), "suffix_keys")
     places = suffixes.join(keys, "key").groupBy("id").agg(F.collect_set(F.struct("key", "pos")).alias("places"))  # of one document
-    places = broadcast_if_small(staged(places, "suffix_places"), BROADCAST_PLACES)
+    places = broadcast_if_small(work(places, "suffix_places"), BROADCAST_PLACES)
     contexts = _contexts(others.join(places, "id")).dropDuplicates(["key", "id", "pos"])
     hot = keys.where(F.col("n") > HELD).select("key")
-    found = _passages(staged(contexts, "suffix_contexts"), hot)
+    found = _passages(work(contexts, "suffix_contexts"), hot)
 
     # a text with copies is a passage as a whole
     size = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
     whole = docs.join(broadcast_if_small(copied, BROADCAST_IDS), "id", "left_semi").groupBy("id").agg(F.max(size).cast("int").alias("end"))
     whole = whole.where(F.col("end") >= LENGTH).select("id", F.lit(0).alias("start"), "end", F.col("id").alias("first"))
-    found = staged(found.unionByName(whole), "suffix_windows")
+    found = work(found.unionByName(whole), "suffix_windows")
 
     by_start = Window.partitionBy("id").orderBy("start", "end")
     reached = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
     parts = found.distinct().withColumn("new", F.coalesce(F.col("start") > reached, F.lit(True)).cast("int"))
     parts = parts.withColumn("part", F.sum("new").over(by_start))
     merged = parts.groupBy("id", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("first").alias("first")).drop("part")
-    merged = staged(merged, "suffix_merged")
+    merged = work(merged, "suffix_merged")
     of_copies = merged.join(copies.select(F.col("id").alias("copy"), F.col("rep").alias("id")), "id")
     out = merged.unionByName(of_copies.select(F.col("copy").alias("id"), "start", "end", "first"))
-    return out.select(
+    out = out.select(
         F.col("id").alias(id_col), F.col("start").alias("start_word"), F.col("end").alias("end_word"),
         (F.col("end") - F.col("start")).alias("n_words"), F.col("first").alias("first_id"),
     )
+    out = staged(out, "suffix_result")
+    work.end()
+    return out

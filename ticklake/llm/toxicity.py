@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import staged
+from ticklake.llm.common import Work
 from ticklake.llm.shingles import WordHashes, mixed
 
 #: Hashed feature space.
@@ -89,10 +89,10 @@ def fit(rows: list[tuple[np.ndarray, float]], epochs: int = EPOCHS) -> tuple[np.
     return at.astype(np.int64), model.weights(at)
 
 
-def _training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def _training_rows(work: Work, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(id, label, text) of the sample."""
     labels = labels.where("id is not null and label in (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
-    labels = staged(labels, "toxicity_labels")
+    labels = work(labels, "toxicity_labels")
     counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(0.0)
     for label, n in counts.items():
@@ -117,9 +117,12 @@ def train(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
             at, weight = fit(rows)
             yield pd.DataFrame({"at": at, "weight": weight})
 
-    sample = _training_rows(docs, labels).mapInPandas(featurize, "id long, label int, features array<int>")
+    work = Work(docs.sparkSession)
+    sample = _training_rows(work, docs, labels).mapInPandas(featurize, "id long, label int, features array<int>")
     one = sample.repartition(1).sortWithinPartitions("id")  # the bounded sample
-    return one.mapInPandas(learn, "at long, weight double").toPandas()
+    weights = one.mapInPandas(learn, "at long, weight double").toPandas()
+    work.end()
+    return weights
 
 
 def scored(docs: DataFrame, weights: pd.DataFrame, into: str = "score", text_col: str = "text") -> DataFrame:
