@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 from ticklake.llm import bpe, minhash, mixing, pii, toxicity
-from ticklake.llm.common import broadcast_if_small, ship_package, staged, table
+from ticklake.llm.common import Work, broadcast_if_small, ship_package, staged, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Documents with this toxicity score or more go.
@@ -69,7 +69,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline_{name}")
-    return docs
+    docs, work = table(spark, sf_dir, "documents"), Work(spark)
+    for name, stage in STAGES[:-1]:
+        docs = work(stage(spark, docs, sf_dir), f"pipeline_{name}")
+    name, stage = STAGES[-1]
+    out = staged(stage(spark, docs, sf_dir), f"pipeline_{name}")
+    work.end()
+    return out
