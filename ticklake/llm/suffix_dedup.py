@@ -26,15 +26,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import Work, broadcast_if_small, runs, staged
+from ticklake.llm.common import Work, broadcast_if_small, sliced, staged, whole_runs
 from ticklake.llm.shingles import WordHashes, mixed, window_hashes, word_array
 
 #: Words of a passage, places of a minimiser window, words of a seed.
 LENGTH, WINDOW, SEED = 50, 20, 5
 DEPTH = LENGTH - WINDOW + 1
+#: Texts whose results are handed to Spark together.
+SLICE = 1000
 #: Rows of one suffix that a task compares at once (500 bytes each).
 HELD = 100_000
-#: Documents whose ids, or suffix places, may be broadcast.
+#: Documents whose ids (8 bytes), or suffix places (4 bytes each), may be broadcast.
 BROADCAST_IDS, BROADCAST_PLACES = 2_000_000, 100_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -72,7 +74,7 @@ def _suffixes(docs: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in sliced(batches, SLICE):
             keys, ids, places = [], [], []
             for key, text in zip(batch["id"], batch["text"]):
                 words = word_array(text, hashes)
@@ -87,22 +89,22 @@ def _suffixes(docs: DataFrame) -> DataFrame:
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
-    """The words around given places (column `places` of key and pos): 32-bit
+    """The words around given places (column `places`): 32-bit
     hashes of the WINDOW - 1 words before and the LENGTH from there on, and the
     number of words there are on the left and on the right."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes, before = WordHashes(), WINDOW - 1
-        for batch in batches:
+        for batch in sliced(batches, SLICE):
             rows = []
             for key, text, places in zip(batch["id"], batch["text"], batch["places"]):
                 words = word_array(text, hashes)
                 small = np.concatenate([np.zeros(before, np.uint32), (words >> np.uint64(32)).astype(np.uint32), np.zeros(LENGTH, np.uint32)])
-                for place in places:
-                    pos = place["pos"]
-                    if pos < len(words):  # else of another text with this id
-                        around = small[pos : pos + before + LENGTH].tobytes()
-                        rows.append((place["key"], key, pos, min(before, pos), min(LENGTH, len(words) - pos), around))
+                places = np.asarray(places, np.int64)
+                places = places[places + DEPTH <= len(words)]  # others are of another text with this id
+                for pos, suffix in zip(places.tolist(), run_hashes(words, places, DEPTH).view(np.int64).tolist()):
+                    around = small[pos : pos + before + LENGTH].tobytes()
+                    rows.append((suffix, key, pos, min(before, pos), min(LENGTH, len(words) - pos), around))
             yield pd.DataFrame(rows, columns=["key", "id", "pos", "left", "right", "around"])
 
     return docs.mapInPandas(cut, "key long, id long, pos int, left int, right int, around binary")
@@ -121,7 +123,8 @@ def _windows(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _compare(rows: pd.DataFrame) -> pd.DataFrame | None:
-    """Passages (id, start, end, first) of the rows of one suffix."""
+    """Passages (id, start, end, first) of the rows of some suffixes (equal
+    windows are of one suffix, so many suffixes are compared at once)."""
     hashes, there = _windows(rows)
     ids, pos = rows["id"].to_numpy(), rows["pos"].to_numpy()
     least, most, first = np.full(len(rows), WINDOW), np.full(len(rows), -1), ids.copy()
@@ -147,7 +150,7 @@ def _passages(contexts: DataFrame, hot: DataFrame) -> DataFrame:
     """(id, start, end, first): repeated windows, joined for each suffix."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in runs(batches, ["key"]):
+        for rows in whole_runs(batches, ["key"]):
             if len(rows) > 1 and (found := _compare(rows)) is not None:
                 yield found
 
@@ -189,7 +192,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     suffixes = work(_suffixes(others), "suffixes")
     keys = suffixes.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n")).where("low != high")
     keys = work(keys.select("key", "n"), "suffix_keys")
-    places = suffixes.join(keys, "key").groupBy("id").agg(F.collect_set(F.struct("key", "pos")).alias("places"))  # of one document
+    places = suffixes.join(keys, "key").groupBy("id").agg(F.collect_set("pos").alias("places"))  # of one document
     places = broadcast_if_small(work(places, "suffix_places"), BROADCAST_PLACES)
     contexts = _contexts(others.join(places, "id")).dropDuplicates(["key", "id", "pos"])
     hot = keys.where(F.col("n") > HELD).select("key")
