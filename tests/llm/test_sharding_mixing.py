@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import duckdb
 import pytest
 
-from ticklake.llm import sharding
+from ticklake.llm import mixing, sharding
 from ticklake.llm.mixing import mixed_documents, mixture
 from ticklake.llm.queries import ORACLE
 from ticklake.llm.sharding import _Tree, best_fit, pack, sharded
@@ -87,7 +87,9 @@ ROWS = (
 )
 
 
-def test_mix_equals_sql(docs):
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_mix_equals_sql(docs, monkeypatch, broadcast):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", broadcast)
     df = docs(ROWS)
     out = mixture(df.select("doc_id", "source", "text", "hash"))
     got = sorted(map(str, out.select("doc_id", "size", "source_size", "target", "taken").toPandas().astype(object).where(lambda x: x.notna(), None).itertuples(index=False, name=None)))

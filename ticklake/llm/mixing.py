@@ -12,6 +12,8 @@ takes the documents of a smaller one and more.  DataFrame operations only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from ticklake.llm.common import Work, staged, words
 LEVELS, LEVEL_BITS = 4, 12
 HASH_BITS = LEVELS * LEVEL_BITS
 WEIGHTS = (1, 2, 3)
+#: Sources (under 200 bytes each) whose thresholds may be broadcast.
+BROADCAST_SOURCES = 100_000
 MOST_REPEATS = 3
 
 
@@ -69,10 +73,11 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return weighed.select("source", "source_size", target.alias("target"))
 
 
-def thresholds(work: Work, sized: DataFrame, plans: DataFrame) -> DataFrame:
+def thresholds(work: Work, sized: DataFrame, plans: DataFrame, hint: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """One row (source, source_size, target, base, threshold) per source: its
     documents are taken `base` times, those with hash < threshold once more.
-    `sized` has (source, size, hash); `plans` is the result of targets()."""
+    `sized` has (source, size, hash); `plans` is the result of targets(),
+    `hint` marks a table with a row for each source for its joins."""
     size = F.col("source_size")
     base = F.when(size > 0, F.floor(F.col("target") / size)).otherwise(0).cast("long")
     state = plans.withColumn("base", base).withColumns(
@@ -83,11 +88,11 @@ def thresholds(work: Work, sized: DataFrame, plans: DataFrame) -> DataFrame:
     )
     for level in range(LEVELS):
         shift = HASH_BITS - LEVEL_BITS * (level + 1)
-        found = F.broadcast(state.select(F.col("source").alias("of"), "prefix"))  # a row for each source
+        found = hint(state.select(F.col("source").alias("of"), "prefix"))
         inside = sized.join(found, F.col("source").eqNullSafe(F.col("of")) & (F.shiftright("hash", shift + LEVEL_BITS) == F.col("prefix")))
         buckets = inside.groupBy("source", F.shiftright("hash", shift).alias("bucket")).agg(F.sum("size").alias("words"))
         upto = F.sum("words").over(Window.partitionBy("source").orderBy("bucket"))
-        joined = buckets.withColumn("upto", upto).join(F.broadcast(state.select(F.col("source").alias("of"), "budget")), F.col("source").eqNullSafe(F.col("of")))
+        joined = buckets.withColumn("upto", upto).join(hint(state.select(F.col("source").alias("of"), "budget")), F.col("source").eqNullSafe(F.col("of")))
         # the first bucket that the budget doesn't cover, and what goes before it
         first = joined.where(F.col("upto") > F.col("budget")).groupBy("of").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("gone"), "words")).alias("end"))
         nxt = state.join(first, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
@@ -119,9 +124,11 @@ def mixture(docs: DataFrame, size: Column | None = None, id_col: str = "doc_id",
     full = docs.select(*kept, size.cast("long").alias("size"), document_hash(F.col(id_col)).alias("__hash"))
     work = Work(docs.sparkSession)
     sized = work(full.select(F.col(source_col).alias("source"), "size", F.col("__hash").alias("hash")), "mixing_sizes")
-    found = staged(thresholds(work, sized, targets(sized)), "mixing_thresholds")
+    plans = work(targets(sized), "mixing_targets")
+    hint = F.broadcast if plans.count() <= BROADCAST_SOURCES else lambda df: df
+    found = staged(thresholds(work, sized, plans, hint), "mixing_thresholds")
     work.end()
-    found = F.broadcast(found.withColumnRenamed("source", "__source"))
+    found = hint(found.withColumnRenamed("source", "__source"))
     times = F.col("base") + (F.col("__hash") < F.col("threshold")).cast("long")
     out = full.join(found, F.col(source_col).eqNullSafe(F.col("__source")))
     return out.select(*kept, "size", "source_size", "target", (F.col("size") * times).alias("taken"))
