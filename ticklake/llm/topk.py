@@ -9,19 +9,22 @@ what is left without the mean) are known.  With L components in a segment,
 segments bound closer.  Queries meet all rows in blocks: a block of queries is
 broadcast, each task keeps the k best so far for each of them, bounds its rows at 4 and
 then at 16 segments, and computes exact products only for the pairs that could still
-enter.  What tasks have kept, k rows a query each, is merged by a ranking.
+enter.  What tasks have kept, k rows a query each, is merged by a ranking and
+written before the next block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticklake.session import scratch_dir
+
 #: Queries in a block: with d components a broadcast of at most 8 * (d + 1) * QUERIES bytes.
 QUERIES = 8192
 #: Segments, coarse to fine.
@@ -106,10 +109,8 @@ def _whole(row_ids: pd.Series, vectors: pd.Series, scale: float) -> Iterator[tup
         yield np.array(ids, np.int64), np.stack(stack)
 
 
-def _block_top(rows: DataFrame, queries: DataFrame, k: int, scale: float) -> DataFrame:
-    """The k best of each partition of `rows` for one block of queries."""
-    block = queries.toPandas()  # at most QUERIES rows
-    held = rows.sparkSession.sparkContext.broadcast([x for x in _whole(block["id"], block["vec"], scale)])
+def _search(rows: DataFrame, held: Broadcast, k: int, scale: float) -> DataFrame:
+    """The k best of each partition of `rows` for the broadcast queries."""
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = {q.shape[1]: _Best(ids, q, k) for ids, q in held.value}
@@ -141,7 +142,13 @@ def top_k(vectors: DataFrame, k: int = 10, every: int = 100, scale: float = 1024
     rows = rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
     queries = rows.where(F.col("id") % every == 0).dropDuplicates(["id"])
     blocks = max(1, -(-queries.count() // (QUERIES // 2)))  # blocks by hash: half full on average, so none runs over
-    parts = [_block_top(rows, queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i), k, scale) for i in range(blocks)]
-    merged = reduce(DataFrame.unionByName, parts)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return merged.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int")
+    spark = vectors.sparkSession
+    path = scratch_dir(spark, "top_k")
+    for i in range(blocks):  # one block of queries is held at a time
+        block = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i).toPandas()
+        held = spark.sparkContext.broadcast(list(_whole(block["id"], block["vec"], scale)))
+        best = _search(rows, held, k, scale).withColumn("rank", rank).where(F.col("rank") <= k)
+        best.select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(path)
+        held.destroy()
+    return spark.read.schema("query_id long, rank int, vec_id long, score long").parquet(path)
