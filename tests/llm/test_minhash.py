@@ -39,7 +39,7 @@ def family(seed, n, size, changes):
 
 @pytest.mark.parametrize("k", [2, 5])
 def test_components_equal_brute_force(docs, k, monkeypatch):
-    monkeypatch.setattr(minhash, "BLOCK", 300)  # several blocks of a bucket
+    monkeypatch.setattr(minhash, "BLOCK", 900)  # several blocks of a bucket
     texts = family(1, 40, 60, 3) + family(2, 30, 150, 2) + family(3, 20, 12, 1)
     texts += ["one two three", "One  TWO\tthree", "one two three four", "solo", "SOLO", "", None, " \n ", "É x", "é x", "ü " * 20_000 + "end"]
     ids = list(range(len(texts)))

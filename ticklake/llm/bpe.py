@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 #: Characters of look-ahead by which the pattern may decide on a piece's end.
 LOOKAHEAD = 3
 #: Short pieces that a task remembers; memory only, results are the same.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 64
+REMEMBERED, REMEMBERED_CHARS = 250_000, 64
 
 
 def read_ranks(path: str) -> bytes:
@@ -104,6 +104,11 @@ class Bpe:
                     filled = end + 1
                     yield filled
 
+    def forget(self) -> None:
+        """Free what has been remembered: workers live on after a task."""
+        self.known.clear()
+        self.stable.clear()
+
     def tokens(self, last: list[int]) -> list[int]:
         out, end, bytes_of = [], len(last), self.bytes_of
         while end:
@@ -244,6 +249,7 @@ def bpe_digests(docs: DataFrame, text: str, rank_path: str, pattern: str) -> Dat
         for texts in batches:
             rows = [_digest(bpe, x or "") for x in texts]
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.forget()
 
     names = ("n_tokens", "ids_sha256", "decoded_sha256")
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
@@ -260,6 +266,7 @@ def encoded(docs: DataFrame, text: str, rank_path: str, pattern: str, into: str
         bpe = bpe_of(ranks.value, pattern)
         for texts in batches:
             yield pd.Series([bpe.encode(x or "") for x in texts])
+        bpe.forget()
 
     return docs.withColumn(into, encode(F.col(text)))
 

@@ -20,12 +20,20 @@ from ticklake.session import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows in a batch that Spark sends to a Python worker.
+BATCH_ROWS = 2000
+
 _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once for each application, so
-    that they need not have it on their path."""
+    that they need not have it on their path.  Also lowers Spark's batches for
+    Python, 10,000 rows unless the session says otherwise, to BATCH_ROWS:
+    documents are long rows, and a worker holds a batch several times."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) == 10_000:
+        spark.conf.set(key, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -79,24 +87,44 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
-    """The runs of rows with equal keys of a partition that is sorted by them,
-    each as one frame; a run may go on over batches."""
+def sliced(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """The batches in frames of at most `rows` rows, so that little of what is
+    made of them is held at once."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows]
+
+
+def _starts(frame: pd.DataFrame, keys: list[str]) -> np.ndarray:
+    values = frame[keys].to_numpy()
+    return np.flatnonzero(np.r_[True, (values[1:] != values[:-1]).any(axis=1)])
+
+
+def whole_runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of a partition that is sorted by the keys, batch by batch, but
+    with all rows of equal keys in one frame."""
     rest: pd.DataFrame | None = None
     for batch in batches:
         if not len(batch):
             continue
         if rest is not None:
             batch = pd.concat([rest, batch], ignore_index=True)
-        values = batch[keys].to_numpy()
-        starts = np.flatnonzero(np.r_[True, (values[1:] != values[:-1]).any(axis=1)])
-        for a, b in zip(starts[:-1], starts[1:]):
-            yield batch.iloc[a:b]
-        rest = batch.iloc[starts[-1] :]
+        last = _starts(batch, keys)[-1]  # its run may go on
+        if last:
+            yield batch.iloc[:last]
+        rest = batch.iloc[last:]
     if rest is not None:
         yield rest
 
 
+def runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The runs of rows with equal keys, each as one frame."""
+    for frame in whole_runs(batches, keys):
+        starts = _starts(frame, keys)
+        for a, b in zip(starts, [*starts[1:], len(frame)]):
+            yield frame.iloc[a:b]
+
+
 def _fingerprint(edges: DataFrame) -> tuple:
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return tuple(row)

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import Work, broadcast_if_small, connected_components, runs, staged
+from ticklake.llm.common import Work, broadcast_if_small, connected_components, runs, sliced, staged
 from ticklake.llm.shingles import WordHashes, mixed, shingle_set, word_array
 
 #: SetSketch scale: base, rate, largest register; and bands x rows registers.
@@ -36,8 +36,11 @@ BASE, RATE, LARGEST = 1.001, 20.0, 65_534
 BANDS, ROWS = 32, 5
 #: Six standard errors of the estimate from BANDS * ROWS registers at 0.8.
 MARGIN = 0.19
-#: Shingles of a block of a bucket, and hashes whose matrix is held at once.
-BLOCK, COLUMNS = 1 << 17, 1 << 13
+#: Size of a block of a bucket (shingles, and ROW_SIZE for each class), and
+#: shingles whose matrix is held at once.
+BLOCK, ROW_SIZE, COLUMNS = 1 << 16, 64, 1 << 11
+#: Texts whose results are handed to Spark together.
+SLICE = 1000
 #: Ids (8 bytes each) that may be broadcast to pick their texts.
 BROADCAST_IDS = 2_000_000
 
@@ -107,7 +110,7 @@ def _signatures(docs: DataFrame, k: int) -> DataFrame:
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in sliced(batches, SLICE):
             rows = []
             for key, text in zip(batch["id"], batch["text"]):
                 shingles = shingle_set(word_array(text, hashes), k)
@@ -125,7 +128,7 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
 
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in sliced(batches, SLICE):
             found = [x for x in (shingle_set(word_array(t, hashes), k) for t in batch["text"]) if len(x)]
             yield pd.DataFrame({"node": [_node(x) for x in found], "shingles": [x.view(np.int64) for x in found]})
 
@@ -200,12 +203,12 @@ def _rest(work: Work, banded: DataFrame, classes: DataFrame, component: DataFram
     """Links (a, b) between components whose classes share a bucket.
 
     Of each bucket, classes outside its largest component meet all classes.
-    A bucket is cut into blocks of about BLOCK shingles, apart for those
+    A bucket is cut into blocks of about size BLOCK, apart for those
     outside and the others, and each pair of blocks with an outside one is a
     cell: bounded work for a task, and only joining links leave it."""
     members = banded.join(classes.select("node", "n"), "node").join(component, "node", "left")
     members = members.withColumn("component", F.coalesce("component", "node"))
-    sizes = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
+    sizes = members.groupBy("band", "component").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("n") + ROW_SIZE).alias("shingles"))
     main = sizes.groupBy("band").agg(
         F.max_by(F.struct("component", "shingles"), F.struct("size", "component")).alias("main"), F.sum("shingles").alias("shingles"), F.count(F.lit(1)).alias("components")
     )

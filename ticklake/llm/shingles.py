@@ -6,7 +6,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-REMEMBERED = 500_000  # word hashes that a task remembers; memory only
+REMEMBERED = 200_000  # word hashes that a task remembers; memory only
 
 _MASK = (1 << 64) - 1
 

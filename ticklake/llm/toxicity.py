@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import Work
+from ticklake.llm.common import Work, sliced
 from ticklake.llm.shingles import WordHashes, mixed
 
 #: Hashed feature space.
@@ -29,6 +29,8 @@ DIM_BITS = 22
 #: Rows of each class that the model is fitted on, at most (about).
 TRAIN_ROWS = 10_000
 EPOCHS = 6
+#: Texts whose features are handed to Spark together.
+SLICE = 500
 #: Bytes of a word's stem.
 STEM = 4
 
@@ -85,7 +87,7 @@ def fit(rows: list[tuple[np.ndarray, float]], epochs: int = EPOCHS) -> tuple[np.
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
             model.learn(np.concatenate([rows[i][0], bias]), rows[i][1])
-    at = np.flatnonzero(np.abs(model.z) > model.l1)
+    at = np.flatnonzero((model.z > model.l1) | (model.z < -model.l1))
     return at.astype(np.int64), model.weights(at)
 
 
@@ -107,9 +109,9 @@ def train(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
 
     def featurize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for batch in batches:
-            batch["features"] = [np.unique(features(t, hashes)) for t in batch["text"]]
-            yield batch[["id", "label", "features"]]
+        for batch in sliced(batches, SLICE):
+            found = [np.unique(features(t, hashes)) for t in batch["text"]]
+            yield pd.DataFrame({"id": batch["id"].to_numpy(), "label": batch["label"].to_numpy(), "features": found})
 
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [(np.asarray(f), float(y)) for batch in batches for f, y in zip(batch["features"], batch["label"])]
