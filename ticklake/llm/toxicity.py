@@ -13,6 +13,7 @@ in parallel.  Scoring reads every whole text once, without a shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -91,21 +92,30 @@ def fit(rows: list[tuple[np.ndarray, float]], epochs: int = EPOCHS) -> tuple[np.
     return at.astype(np.int64), model.weights(at)
 
 
-def _training_rows(work: Work, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(id, label, text) of the sample."""
+def _class_counts(labels: DataFrame) -> dict[int, int]:
+    return {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _training_rows(work: Work, docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
+    """(id, label, text) of the sample, and the log odds to add to those of a
+    model fitted on it: log of the toxic rows a sampled one stands for, less
+    that of the clean ones."""
     labels = labels.where("id is not null and label in (0, 1)").groupBy("id").agg(F.max("label").alias("label"))
     labels = work(labels, "toxicity_labels")
-    counts = {r["label"]: r["n"] for r in labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = _class_counts(labels)
     share = F.lit(0.0)
     for label, n in counts.items():
         share = F.when(F.col("label") == label, F.lit(min(1.0, TRAIN_ROWS / n))).otherwise(share)
     chosen = labels.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))
-    return docs.join(F.broadcast(chosen), "id").dropDuplicates(["id"])  # about 2 * TRAIN_ROWS ids
+    sampled = _class_counts(chosen) if max(counts.values(), default=0) > TRAIN_ROWS else counts
+    shift = math.log(counts[1] / sampled[1]) - math.log(counts[0] / sampled[0]) if len(sampled) == 2 else 0.0
+    return docs.join(F.broadcast(chosen), "id").dropDuplicates(["id"]), shift  # about 2 * TRAIN_ROWS ids
 
 
 def train(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
     """Weights (at, weight) that aren't zero, from documents (id, text) and
-    labels (id, label); without rows of both classes there are none."""
+    labels (id, label), and that of the bias; without rows of both classes
+    there are none."""
 
     def featurize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
@@ -117,10 +127,13 @@ def train(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
         rows = [(np.asarray(f), float(y)) for batch in batches for f, y in zip(batch["features"], batch["label"])]
         if len({y for _, y in rows}) == 2:
             at, weight = fit(rows)
+            bias = at == 1 << DIM_BITS
+            at, weight = np.append(at[~bias], 1 << DIM_BITS), np.append(weight[~bias], weight[bias].sum() + shift)
             yield pd.DataFrame({"at": at, "weight": weight})
 
     work = Work(docs.sparkSession)
-    sample = _training_rows(work, docs, labels).mapInPandas(featurize, "id long, label int, features array<int>")
+    sample, shift = _training_rows(work, docs, labels)
+    sample = sample.mapInPandas(featurize, "id long, label int, features array<int>")
     one = sample.repartition(1).sortWithinPartitions("id")  # the bounded sample
     weights = one.mapInPandas(learn, "at long, weight double").toPandas()
     work.end()
