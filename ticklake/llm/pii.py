@@ -36,6 +36,17 @@ CANDIDATE = "[0-9@=:]"
 DIGITS, HEX = "0123456789", "0123456789abcdef"
 LOWER, UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 IBAN_LENGTHS = range(15, 35)
+#: By country, as registered.
+IBAN_LENGTH = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 
 
 class Feistel:
@@ -111,6 +122,10 @@ def luhn_digit(digits: str) -> str:
     return str(-total % 10)
 
 
+def _luhn_valid(digits: str) -> bool:
+    return 13 <= len(digits) <= 19 and luhn_digit(digits[:-1]) == digits[-1]
+
+
 def mod97(text: str) -> int:
     """ISO 7064 MOD 97-10 of letters and digits."""
     return int("".join(str(int(c, 36)) for c in text)) % 97
@@ -121,11 +136,15 @@ def mod97(text: str) -> int:
 
 
 def _card(m: re.Match, f: Feistel, back: bool) -> str | None:
-    d = _only_digits(m.group())
-    if not 13 <= len(d) <= 19 or luhn_digit(d[:-1]) != d[-1]:
+    d = new = _only_digits(m.group())
+    if not _luhn_valid(d):
         return None
-    body = d[0] + f.symbols(d[1:-1], b"card" + d[0].encode(), back)  # the first digit, its network, stays
-    return _fill(m.group(), body + luhn_digit(body))
+    while True:  # about ten walks
+        body = d[0] + f.symbols(new[1:-1], b"card" + d[0].encode(), back)  # the first digit, its network, stays
+        new = body + luhn_digit(body)
+        # so does the check digit that a longer number would need: with digits behind it the card is found again
+        if luhn_digit(new) == luhn_digit(d):
+            return _fill(m.group(), new)
 
 
 def _phone(m: re.Match, f: Feistel, back: bool) -> str | None:
@@ -156,13 +175,67 @@ def _ipv4(m: re.Match, f: Feistel, back: bool) -> str | None:
 
 def _iban(m: re.Match, f: Feistel, back: bool) -> str | None:
     plain = m.group().replace(" ", "")
-    if len(plain) not in IBAN_LENGTHS or mod97(plain[4:] + plain[:4]) != 1:
+    if not _iban_valid(plain):
         return None
     body = f.symbols(plain[4:], b"iban" + plain[:2].encode(), back)
     new = iter(plain[:2] + f"{98 - mod97(body + plain[:2] + '00'):02d}" + body)
     return "".join(c if c == " " else next(new) for c in m.group())
 
 
+def _iban_valid(plain: str) -> bool:
+    return len(plain) in IBAN_LENGTHS and mod97(plain[4:] + plain[:4]) == 1
+
+
+def _ends(m: re.Match, marks: str) -> list[int]:
+    """Where groups of the match end, last first."""
+    return [m.end(), *(i for i in range(m.end() - 1, m.start(), -1) if m.string[i] in marks)]
+
+
+def _ibans(pattern: re.Pattern, text: str) -> Iterator[re.Match]:
+    """Valid IBANs.  What follows may look like a part of one: of a country
+    with a fixed length that length is tried first and then all of the match,
+    of others each end of a group, the last first.  If none is valid the search
+    goes on with the next group."""
+    at = 0
+    while m := pattern.search(text, at):
+        at = _next_group(text, m.start())
+        ends = _ends(m, " ")
+        if length := IBAN_LENGTH.get(m.group()[:2]):
+            ends = [e for e in ends if len(text[m.start() : e].replace(" ", "")) == length] + ends[:1]
+        for end in ends:
+            if _iban_valid(text[m.start() : end].replace(" ", "")):
+                yield pattern.fullmatch(text, m.start(), end)
+                at = end
+                break
+
+
+def _next_group(text: str, at: int) -> int:
+    return m.end() if (m := _GROUP.match(text, at)) else len(text)
+
+
+def _cards(pattern: re.Pattern, text: str) -> Iterator[re.Match]:
+    """Valid cards in runs of digit groups, from each group on the longest
+    first: those in one group or grouped as cards are, then those in other
+    groups of four digits or more.  Smaller groups, as in tables of numbers,
+    count only as a whole match."""
+    taken = []
+
+    def free(start: int, end: int) -> bool:
+        return _luhn_valid(_only_digits(text[start:end])) and not any(a < end and start < b for a, b in taken)
+
+    for shape in _CARD_SHAPES:
+        at = 0
+        while m := pattern.search(text, at):
+            at = _next_group(text, m.start())
+            for end in _ends(m, " -"):
+                if shape.fullmatch(text, m.start(), end) and free(m.start(), end):
+                    taken.append((m.start(), end))
+                    at = end
+                    break
+    taken += [m.span() for m in pattern.finditer(text) if free(*m.span())]
+    return (pattern.fullmatch(text, *span) for span in taken)
+
+
 def _date(m: re.Match, f: Feistel, back: bool) -> str | None:
     a, b, c = (int(x) for x in re.split(r"[-./]", m.group()))
     year_first = a > 99
@@ -219,7 +292,7 @@ KINDS: list[tuple[str, re.Pattern, Callable]] = [
     ("access_key", re.compile(r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b"), _access_key),
     ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}\b"), _email),
     ("iban", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b"), _iban),
-    ("card", re.compile(r"(?<![\w.+-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])"), _card),
+    ("card", re.compile(r"(?:(?<![\w.+-])|(?<=[0-9]-))[0-9](?:[ -]?[0-9]){12,18}(?!\w|-(?![0-9]))"), _card),
     ("ssn", re.compile(r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])"), _ssn),
     (
         "phone",
@@ -233,6 +306,13 @@ KINDS: list[tuple[str, re.Pattern, Callable]] = [
 #: What a text must hold for a kind's pattern to be tried; kinds not named need a digit.
 _NEEDS = {"email": ("@",), "access_key": ("AKIA", "ASIA"), "secret": ("=", ":")}
 _DIGIT = re.compile(r"[0-9]")
+_GROUP = re.compile(r"[A-Za-z0-9]+")
+_CARD_SHAPES = [
+    re.compile(r"[0-9]{13,19}|[0-9]{4}([ -])(?:[0-9]{4}\1[0-9]{4}\1[0-9]{1,4}(?:(?<=[0-9]{4})\1[0-9]{1,3})?|[0-9]{6}\1[0-9]{4,5}|[0-9]{3}\1[0-9]{3}\1[0-9]{3})"),
+    re.compile(r"[0-9]{4,}(?:[ -][0-9]{4,})*(?:[ -][0-9]{1,3})?"),
+]
+#: Kinds of which a match may hold too much or too little: valid values in a text.
+_SEARCH = {"iban": _ibans, "card": _cards}
 
 
 def pseudonymized(text: str, f: Feistel, back: bool = False) -> tuple[str, Counter]:
@@ -241,7 +321,8 @@ def pseudonymized(text: str, f: Feistel, back: bool = False) -> tuple[str, Count
     found = []
     for order, (kind, pattern, replace) in enumerate(KINDS):
         if any(x in text for x in _NEEDS[kind]) if kind in _NEEDS else has_digit:
-            found += [(m.start(), order, m, kind, replace) for m in pattern.finditer(text)]
+            matches = _SEARCH[kind](pattern, text) if kind in _SEARCH else pattern.finditer(text)
+            found += [(m.start(), order, m, kind, replace) for m in matches]
     out, at, counts = [], 0, Counter()
     for start, _, m, kind, replace in sorted(found, key=lambda x: x[:2]):
         if start >= at and (new := replace(m, f, back)) is not None:
