@@ -41,3 +41,12 @@ def test_digits_behind_a_card_do_not_change_what_is_found():
 def test_numbers_that_are_not_valid_stay():
     for text in ("DE88370400440532013000 EUR 500", "1234 4111 1111 1111 1112", "4111111111111112 12/25", "1 2 3 4 5 6 7 8 9 10 11 12"):
         assert pseudonymized(text, F) == (text, Counter())
+
+
+def test_phones_in_full_format_with_any_area():
+    old = [f"+1 ({area:03d}) 555-{1000 + area}" for area in range(0, 1000, 7)] + ["+1 (258) 155-6182"]
+    new = [pseudonymized(t, F)[0] for t in old]
+    assert all(pseudonymized(t, F) == (n, {"phone": 1}) and n != t for t, n in zip(old, new))
+    assert len(set(new)) == len(old) and [pseudonymized(n, F, back=True)[0] for n in new] == old
+    assert pseudonymized("+1 (258) 555-6182", F)[0][4:] == pseudonymized("(258) 555-6182", F)[0][1:]
+    assert pseudonymized("(017) 555-7713 or 017-555-7713", F)[1] == {}

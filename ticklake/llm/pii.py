@@ -157,6 +157,15 @@ def _phone(m: re.Match, f: Feistel, back: bool) -> str | None:
     return m.group()[:start] + _fill(m.group()[start:], digits)
 
 
+def _phone_in_full(m: re.Match, f: Feistel, back: bool) -> str | None:
+    """Of area and office at least one begins with 0 or 1, and then too."""
+    start, digits = m.start("number") - m.start(), _only_digits(m["number"])
+    while True:  # about three walks
+        digits = f.symbols(digits, b"phone in full", back)
+        if digits[0] in "01" or digits[3] in "01":
+            return m.group()[:start] + _fill(m["number"], digits)
+
+
 def _ssn(m: re.Match, f: Feistel, back: bool) -> str | None:
     area, group, serial = (int(x) for x in m.group().split("-"))
     if area in (0, 666) or area > 899 or not group or not serial:
@@ -299,6 +308,11 @@ KINDS: list[tuple[str, re.Pattern, Callable]] = [
         re.compile(r"(?<![\w+-])(?:\+?1[ .-]?)?\(?(?P<area>[2-9][0-9]{2})(?:\) ?|[ .-])(?P<office>[2-9][0-9]{2})[ .-](?P<line>[0-9]{4})(?![\w-])"),
         _phone,
     ),
+    (
+        "phone",
+        re.compile(r"(?<![\w+-])\+1[ .-]?\((?![2-9][0-9]{2}\) ?[2-9])(?P<number>[0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4})(?![\w-])"),
+        _phone_in_full,
+    ),
     ("ipv4", re.compile(r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![\w]|\.[0-9])"), _ipv4),
     ("date", re.compile(r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{4})(?![\w/-]|\.[0-9])"), _date),
 ]
