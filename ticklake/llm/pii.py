@@ -30,7 +30,7 @@ PIECE = 64
 #: Dates are permuted within these years.
 FIRST_DAY, LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 #: A text without any of these holds no value that is looked for.
-CANDIDATE = "[0-9@=:]"
+CANDIDATE = "[0-9@=:]|AKIA|ASIA"
 
 # Alphabets, and lengths of an IBAN.
 DIGITS, HEX = "0123456789", "0123456789abcdef"
