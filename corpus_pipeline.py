@@ -16,6 +16,8 @@ from ticklake.llm.common import Work, broadcast_if_small, ship_package, staged,
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Documents with this toxicity score or more go.
 TOXIC = 0.7
+#: Rows to drop, told by two numbers, that may be broadcast.
+KEYS = 1_000_000
 #: Of the registered pipeline; a deployment passes its own secret.
 PSEUDONYM_KEY = b"registered pipeline"
 
@@ -29,11 +31,30 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are near copies (five-word shingles, similarity of
-    0.8 or more) the one with the smallest id stays."""
+    0.8 or more) one row stays, that with the smallest id.
+
+    Rows are told apart by id and text.  If the smallest id has several texts
+    in the group, that with the smallest digest stays, of equal texts the row
+    whose columns are smallest.  An id's texts that aren't near copies are each
+    decided on in their own group.  Rows without id or words all stay.
+    """
     ship_package(spark)
-    gone = minhash.near_duplicates(docs, shingle=5, percent=80).where("not kept").select("doc_id").distinct()
-    gone = broadcast_if_small(staged(gone, "pipeline_copies"), 2_000_000)
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    found = minhash.near_duplicates(docs, shingle=5, percent=80, by_row=True).where("component is not null")
+    kept = found.where("kept")
+    several = kept.groupBy("component").agg(F.min("doc_id").alias("doc_id"), F.min("digest").alias("digest"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    several = staged(several, "pipeline_repeated")
+    keys = ["doc_id", "digest"]
+    gone = found.where("not kept").select(keys)
+    if not (none := several.isEmpty()):
+        gone = gone.unionByName(kept.join(broadcast_if_small(several.select("component"), KEYS), "component", "left_semi").select(keys))
+    gone = broadcast_if_small(staged(gone.distinct(), "pipeline_copies"), KEYS)
+    told = docs.withColumn("digest", minhash.text_digest(F.col("text")))
+    out = told.join(gone, keys, "left_anti").select(*docs.columns)
+    if none:
+        return out
+    again = told.join(broadcast_if_small(several.select(keys), KEYS), keys, "left_semi")
+    again = again.groupBy(keys).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return out.unionByName(again.select("row.*"))
 
 
 def pseudonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticklake.llm.common import Work, broadcast_if_small, connected_components, runs, sliced, staged
@@ -106,7 +106,9 @@ def _node(shingles: np.ndarray) -> bytes:
 
 
 def _signatures(docs: DataFrame, k: int) -> DataFrame:
-    """id, n, node (null for empty sets and null ids), registers."""
+    """id, n, node (null for empty sets and null ids), registers; and the
+    texts' digests if `docs` has them."""
+    extra = [c for c in docs.columns if c == "digest"]
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
@@ -118,9 +120,11 @@ def _signatures(docs: DataFrame, k: int) -> DataFrame:
                 rows.append((len(shingles), _node(shingles) if linked else None, registers(shingles) if linked else None))
             out = pd.DataFrame(rows, columns=["n", "node", "regs"])
             out["id"] = batch["id"].astype("Int64").to_numpy()
-            yield out[["id", "n", "node", "regs"]]
+            for c in extra:
+                out[c] = batch[c].to_numpy()
+            yield out[["id", "n", "node", "regs", *extra]]
 
-    return docs.mapInPandas(sign, "id long, n long, node binary, regs array<int>")
+    return docs.mapInPandas(sign, "id long, n long, node binary, regs array<int>" + "".join(f", {c} long" for c in extra))
 
 
 def _sets(docs: DataFrame, k: int) -> DataFrame:
@@ -235,7 +239,12 @@ def _rest(work: Work, banded: DataFrame, classes: DataFrame, component: DataFram
     return cells.mapInPandas(compare, "a binary, b binary").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
+def text_digest(text: Column) -> Column:
+    """Tells apart the texts of one id."""
+    return F.coalesce(F.xxhash64(text), F.lit(0))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80, by_row: bool = False) -> DataFrame:
     """One row (id_col, n_shingles, component_id, kept) per row of `docs`:
     texts whose shingle sets have 100 * intersection >= percent * union are
     linked, component_id is the smallest id that links reach, kept marks it.
@@ -245,8 +254,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     null) link with nothing.  Rows without id link with nothing: their
     component is null and they are kept.  Rows that repeat an id are all
     returned.  Extra columns are ignored; an empty table gives no rows.
+
+    With by_row there are two more columns, for ids that repeat: digest, the
+    text_digest of the row's text, and component, which is null for rows that
+    link with nothing by rule; unlike component_id it differs between
+    components that have the same smallest id.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    text = F.col(text_col)
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), *[text_digest(text).alias("digest")] * by_row)
     work = Work(docs.sparkSession)
     signed = work(_signatures(docs, shingle), "minhash_signatures")
     classes = signed.where("node is not null").groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("regs").alias("regs"))
@@ -269,11 +284,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     named = classes.select("node", "rep").join(component, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("component"))
     smallest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    named = named.join(smallest, "component").select("node", "component_id")
-    out = signed.select("id", "n", "node").join(named, "node", "left")
+    more = ["digest", "component"] if by_row else []
+    named = named.join(smallest, "component").select("node", "component_id", *more[1:])
+    out = signed.select("id", "n", "node", *more[:1]).join(named, "node", "left")
     reached = F.coalesce("component_id", "id")
     out = out.select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), reached.alias("component_id"), F.coalesce(F.col("id") == reached, F.lit(True)).alias("kept")
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), reached.alias("component_id"), F.coalesce(F.col("id") == reached, F.lit(True)).alias("kept"), *more
     )
     out = staged(out, "minhash_result")
     work.end()
