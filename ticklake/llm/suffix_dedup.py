@@ -13,7 +13,7 @@ and the suffixes agree for at least LENGTH - WINDOW + 1 words (the depth).
    a window over the suffix are the same in another document.
 3. The windows of a document join to maximal passages.
 
-Equal texts are one document until the end.  A suffix shared by more rows than
+Equal texts of ids with one text are one document until the end.  A suffix shared by more rows than
 one task should hold goes window by window through a count instead.
 """
 
@@ -184,8 +184,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
     work = Work(docs.sparkSession)
     texts = work(docs.select("id", F.md5("text").alias("md5")), "suffix_texts")
-    groups = texts.groupBy("md5").agg(F.min("id").alias("rep"), F.max("id").alias("last")).where("rep != last")
-    copies = work(texts.join(groups.drop("last"), "md5").where("id != rep").select("id", "rep").distinct(), "suffix_copies")
+    shared = texts.groupBy("md5").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("md5")
+    members = work(texts.join(shared, "md5").distinct(), "suffix_members")
+    # an id with several texts is neither left out nor stands for others
+    of_members = texts.join(broadcast_if_small(members.select("id").distinct(), BROADCAST_IDS), "id", "left_semi")
+    several = work(of_members.groupBy("id").agg(F.min("md5").alias("low"), F.max("md5").alias("high")).where("low != high").select("id"), "suffix_several")
+    members = members.join(broadcast_if_small(several, BROADCAST_IDS), "id", "left_anti")
+    groups = members.groupBy("md5").agg(F.min("id").alias("rep"))
+    copies = work(members.join(groups, "md5").where("id != rep").select("id", "rep"), "suffix_copies")
     copied = copies.select(F.col("rep").alias("id")).distinct()
     others = docs.join(broadcast_if_small(copies.select("id").distinct(), BROADCAST_IDS), "id", "left_anti")
 
