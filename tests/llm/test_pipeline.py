@@ -49,4 +49,4 @@ def test_run_is_registered(spark):
 
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     ops = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in ops) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in ops) == list(range(1, 14))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 from functools import wraps
 
@@ -9,12 +10,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticklake.llm import bpe, embedding_dedup, minhash, mixing, pii, sharding, suffix_dedup, topk, toxicity, warc
+from ticklake.llm import bpe, embedding_dedup, hard_negatives, merkle, minhash, mixing, pii, sharding, suffix_dedup, token_ids, topk, toxicity, warc
 from ticklake.llm.common import ship_package, table
+from ticklake.session import scratch_dir
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Of the registered query; a deployment passes its own secret.
 PSEUDONYM_KEY = b"registered query"
+TOKENIZER, END_ID = "word_bpe_49k.json", 1
 
 
 def _query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -84,6 +87,32 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "text", values.alias("n_values"), kinds.alias("kinds"))
 
 
+@_query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.withColumn("label", moved), every=50, positives=5, negatives=3, low=50, high=95, scale=256.0)
+
+
+@_query
+def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "token_ids")
+    token_ids.write_token_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID)
+    return token_ids.read_token_ids(spark, path, ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@_query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lowered = {"text": F.translate("text", string.ascii_uppercase, string.ascii_lowercase)}
+    tampered = merkle.leaf(*[lowered.get(c, F.col(c)) for c in fields])
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    out = merkle.manifest(docs, fields, id_col="doc_id", tree_col="lang", carry={"tampered": F.when(changed, tampered)})
+    out = out.withColumn("folded_root", merkle.folded(F.coalesce("tampered", "leaf")))
+    return out.select("doc_id", "leaf", "subroot", "root", merkle.proof().alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -97,6 +126,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_dedup,
         op9_toxicity,
         op10_pii,
+        op11_hard_negatives,
+        op12_token_ids,
+        op13_merkle_manifest,
     )
 }
 
@@ -159,4 +191,86 @@ ranked as (
 select query_id, rank, vec_id, score from ranked where rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op4_source_mixing": _OP4, "op6_exact_top_k": _OP6}
+_OP11 = """
+with usable as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(x::double * 256)::bigint) as v
+  from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+         list_sum(list_transform(list_zip(a.v, r.v), lambda p: p[1] * p[2]))::bigint as score
+  from usable a join usable r on a.vec_id <> r.vec_id and len(a.v) = len(r.v)
+  where a.vec_id % 50 = 0),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score
+  from (select *, row_number() over (partition by anchor_id order by score desc, vec_id) as n from scored where same)
+  where n <= 5),
+negatives as (
+  select p.*, s.vec_id as negative_id, s.score as negative_score,
+         (row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id))::int as rank
+  from positives p join scored s on s.anchor_id = p.anchor_id and not s.same
+   and 50 * p.positive_score <= 100 * s.score and 100 * s.score <= 95 * p.positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negatives where rank <= 3
+"""
+
+#: Levels that the SQL of op13 has: trees of up to 8**8 documents of a language, 8**4 languages.
+_TREE_LEVELS, _TOP_LEVELS = 8, 4
+
+
+def _levels(name: str, leaves: str, members: str, levels: int) -> list[str]:
+    """Node levels <name>0.. over `leaves` (tree, pos, n, digest), and what
+    `members` (tree, pos, acc, proof and other columns) become level by level."""
+    ctes = [f"{name}0 as (select tree, pos, n, digest from {leaves})", f"{name}_up0 as (select * from {members})"]
+    for k in range(levels):
+        runs = f"select tree, pos // 8 as run, n, list(digest order by pos) as ds from {name}{k} group by tree, pos // 8, n"
+        ctes.append(f"{name}_runs{k} as ({runs})")
+        ctes.append(
+            f"{name}{k + 1} as (select tree, run as pos, case when n > 1 then (n + 7) // 8 else 1 end as n, "
+            f"case when n > 1 then sha256(array_to_string(ds, '')) else ds[1] end as digest from {name}_runs{k})"
+        )
+        left, right = "array_to_string(r.ds[1:m.pos % 8], '')", "array_to_string(r.ds[m.pos % 8 + 2:], '')"
+        ctes.append(
+            f"{name}_up{k + 1} as (select m.* replace (m.pos // 8 as pos, "
+            f"case when r.n > 1 then sha256({left} || m.acc || {right}) else m.acc end as acc, "
+            f"case when r.n > 1 then m.proof || {left} || {right} else m.proof end as proof) "
+            f"from {name}_up{k} m join {name}_runs{k} r on r.tree = m.tree and r.run = m.pos // 8)"
+        )
+    return ctes
+
+
+def _op13() -> str:
+    parts = lambda text: " || ".join(
+        f"coalesce(strlen({c}::varchar)::varchar || ':' || {c}::varchar, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)
+    )
+    lowered = f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    digits = "list_transform(range(1, length(doc_id::varchar) + 1), lambda i: ascii(substr(doc_id::varchar, i::bigint, 1))::bigint)"
+    # CRC-32 bit by bit
+    crc = (
+        f"xor(4294967295, list_reduce(list_concat([4294967295::bigint], {digits}), lambda c, b: "
+        "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, _: xor(x >> 1, 3988292384 * (x & 1)))))"
+    )
+    ctes = [
+        f"leaves as (select doc_id, lang, sha256({parts('text')}) as leaf, case when {crc} % 3 = 0 then sha256({parts(lowered)}) end as tampered from documents)",
+        """placed as (
+  select *, coalesce('=' || lang, '') as tree,
+         row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by lang) as n
+  from leaves)""",
+        *_levels(
+            "t", "(select tree, pos, n, leaf as digest from placed)",
+            "(select tree, pos, doc_id, leaf, coalesce(tampered, leaf) as acc, '' as proof from placed)", _TREE_LEVELS,
+        ),
+        f"""subroots as (
+  select '' as tree, tree as of, digest, row_number() over (order by encode(tree)) - 1 as pos, count(*) over () as n from t{_TREE_LEVELS})""",
+        *_levels(
+            "s", "subroots",
+            f"(select s.tree, s.pos, m.doc_id, m.leaf, s.digest as subroot, m.acc, m.proof from t_up{_TREE_LEVELS} m join subroots s on s.of = m.tree)", _TOP_LEVELS,
+        ),
+    ]
+    return f"""with {", ".join(ctes)}
+select m.doc_id, m.leaf, m.subroot, r.digest as root, sha256(m.proof) as proof_sha256, m.acc as folded_root, m.acc = r.digest as verified
+from s_up{_TOP_LEVELS} m, s{_TOP_LEVELS} r"""
+
+
+ORACLE: dict[str, str] = {"op4_source_mixing": _OP4, "op6_exact_top_k": _OP6, "op11_hard_negatives": _OP11, "op13_merkle_manifest": _op13()}
