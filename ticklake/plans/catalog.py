@@ -1,8 +1,9 @@
 """Registered queries over the driver's tables, each with a DuckDB oracle.
 
-Every query reads ``events`` (and, for the quarantine feed, ``conversations``
-and ``pages``) in full and runs the library's real operators on data Spark
-derives from them.  ``oracle_sql`` recomputes the same result independently
+Every query reads ``events`` and ``conversations`` (for the quarantine feed
+also ``pages`` and ``documents``) in full and runs the library's real operators
+on data Spark derives from them.  The feed, Bronze and the dashboard's serving
+tables are made once per application; every run builds its own layers.  ``oracle_sql`` recomputes the same result independently
 in DuckDB from the raw tables.  Timestamps are returned as TIMESTAMP_NTZ in
 UTC wall-clock time so both engines compare equal regardless of time zone;
 Gold metrics are returned under the serving contract (decimal(20,8)).
@@ -13,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -41,13 +43,16 @@ from ticklake.operators.silver import (
     silver_book_ticker,
     silver_depth10,
 )
+from ticklake.plans.ingest import BRONZE_LINEAGE_SCHEMA, BRONZE_WITH_LINEAGE, read_frame_files, start_ingestion
 from ticklake.plans.medallion import LAYERS, bronze_from_records, chain, landing_records
 from ticklake.plans.testdata import market_frames, read_table
 from ticklake.schemas import BRONZE_SCHEMA, STREAM_TYPES
 from ticklake.session import scratch_dir
 from ticklake.sources.layers import read_snapshot
 from ticklake.streaming.layers import TableLayout, run_layers_once
-from ticklake.streaming.sync import GOLD_SCHEMAS, SyncSpec, sync_all
+from ticklake.streaming.progress import ProgressLog, totals
+from ticklake.streaming.state import open_windows
+from ticklake.streaming.sync import GOLD_SCHEMAS, SyncSpec, start_sync, sync_all
 
 # Fixed parameters of the registered queries.
 SUBSCRIBED_SYMBOLS = "CLICK, view"
@@ -56,6 +61,8 @@ DASHBOARD_SYMBOLS = ("CLICK", "VIEW")
 DASHBOARD_FROM, DASHBOARD_TO = datetime(2024, 1, 5), datetime(2024, 1, 25, 12, 2)  # UTC
 SHORT_SYMBOL = 6  # the symbol table of the semi join: event types up to so many letters
 DELAYED_SYMBOL = "SIGNUP"
+FRAME_FILES = 32  # files of the feed
+_FEED_SCHEMA = "frame string, received_at timestamp, seq long"
 # Late trades are replayed so many times as fast, from this instant on, so that
 # ten minutes of watermark hold hundreds of trades.
 REPLAY_SPEED, REPLAY_FROM = 500, datetime(2024, 1, 1)
@@ -97,9 +104,27 @@ def odd_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "conversations").select(*_no_time(frame.alias("frame")))
 
 
+def frame_files(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as a collector would have dropped it: Parquet files that hold
+    a frame per row, of all stream types, with odd frames among them."""
+
+    def build() -> str:
+        path = scratch_dir(spark, "frames")
+        feed = market_frames(spark, sf_dir).unionByName(odd_frames(spark, sf_dir))
+        feed.repartition(FRAME_FILES).write.parquet(path)
+        return path
+
+    return _once(spark, sf_dir, "frames", build)
+
+
 def mixed_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stream types in one feed, with odd frames among them."""
-    return market_frames(spark, sf_dir).unionByName(odd_frames(spark, sf_dir))
+    return spark.read.schema(_FEED_SCHEMA).parquet(frame_files(spark, sf_dir))
+
+
+def market_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed without its odd frames, which have no send sequence."""
+    return mixed_feed(spark, sf_dir).where("seq is not null")
 
 
 def _envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,30 +152,31 @@ def _layout(spark: SparkSession, name: str) -> TableLayout:
     return TableLayout(scratch_dir(spark, name))
 
 
-def _land(spark: SparkSession, sf_dir: str, layout: TableLayout) -> None:
-    landing_records(market_frames(spark, sf_dir)).write.format(layout.fmt).save(layout.table("landing"))
+def _land(spark: SparkSession, sf_dir: str, layout: TableLayout, frames: DataFrame | None = None) -> None:
+    records = landing_records(market_frames(spark, sf_dir) if frames is None else frames)
+    records.write.format(layout.fmt).save(layout.table("landing"))
 
 
 _built: dict[tuple, object] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, build: Callable):
-    """What ``build`` makes, made once per application and input folder: the
-    queries that read one Bronze or serving table share it, as jobs would."""
+    """What ``build`` makes, made once per application and input folder: input
+    that queries share, as jobs would (``prepare`` makes all of it)."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _built:
         _built[key] = build()
     return _built[key]
 
 
-def _bronze_layout(spark: SparkSession, sf_dir: str) -> TableLayout:
-    """A layout whose landing and Bronze tables hold the whole feed."""
+def _bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Paths of a landing and a Bronze table that hold the whole feed."""
 
-    def build() -> TableLayout:
+    def build() -> dict[str, str]:
         layout = _layout(spark, "bronze")
-        _land(spark, sf_dir, layout)
+        _land(spark, sf_dir, layout, mixed_feed(spark, sf_dir))
         run_layers_once(spark, layout, chain("bronze"))
-        return layout
+        return {name: layout.table(name) for name in ("landing", "bronze")}
 
     return _once(spark, sf_dir, "bronze", build)
 
@@ -166,6 +192,15 @@ def _serving_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return read_serving(spark, _once(spark, sf_dir, f"serving {table}", build), table)
 
 
+def prepare(spark: SparkSession, sf_dir: str) -> None:
+    """Make the tables that queries share: frame files, landing, Bronze and
+    what the dashboard reads.  A query makes those it needs itself if this
+    hasn't been called; its own layers it builds anew in each run."""
+    _bronze_tables(spark, sf_dir)
+    for table in _SILVER_OF:
+        _serving_table(spark, sf_dir, table)
+
+
 # --- queries ----------------------------------------------------------------
 
 
@@ -224,19 +259,18 @@ def q_strict_silver_quotes(spark, sf_dir):
         F.lit(None).cast("timestamp").alias("received_at"),
         F.lit(None).cast("long").alias("seq"),
     )
-    feed = market_frames(spark, sf_dir).unionByName(conv)
+    feed = market_feed(spark, sf_dir).drop("seq").unionByName(conv.drop("seq"))
     quotes = silver_book_ticker(envelope_from_frames(feed))
     bad = quarantine_invalid(quotes, REQUIRED_FIELDS["silver_book_ticker"])
     return for_compare(bad.withColumn("missing_fields", F.array_join("missing_fields", ",")))
 
 
 def q_subscription_filter(spark, sf_dir):
-    frames = market_frames(spark, sf_dir)
-    return for_compare(subscription_filter(frames, SUBSCRIBED_SYMBOLS, SUBSCRIBED_TYPES))
+    return for_compare(subscription_filter(mixed_feed(spark, sf_dir), SUBSCRIBED_SYMBOLS, SUBSCRIBED_TYPES))
 
 
 def q_kafka_round_trip(spark, sf_dir):
-    return for_compare(bronze_from_records(landing_records(market_frames(spark, sf_dir))))
+    return for_compare(bronze_from_records(landing_records(mixed_feed(spark, sf_dir))))
 
 
 def q_subscription_semi(spark, sf_dir):
@@ -246,18 +280,42 @@ def q_subscription_semi(spark, sf_dir):
     return for_compare(subscription_filter(mixed_feed(spark, sf_dir), symbols, SUBSCRIBED_TYPES))
 
 
-def _bronze(spark, sf_dir):
-    return read_snapshot(spark, _bronze_layout(spark, sf_dir).table("bronze"), BRONZE_SCHEMA)
-
-
 def q_bronze_all(spark, sf_dir):
-    return for_compare(_bronze(spark, sf_dir).select(*BRONZE_SCHEMA.fieldNames()))
+    """The Bronze layer's streaming query over the landed feed."""
+    layout = TableLayout(scratch_dir(spark, "bronze_all"), at={"landing": _bronze_tables(spark, sf_dir)["landing"]})
+    run_layers_once(spark, layout, chain("bronze"))
+    bronze = read_snapshot(spark, layout.table("bronze"), BRONZE_SCHEMA)
+    return for_compare(bronze.select(*BRONZE_SCHEMA.fieldNames()))
 
 
 def q_bronze_partitioned(spark, sf_dir):
     """One partition of Bronze (the feature is the pruning)."""
-    depth = _bronze(spark, sf_dir).filter(F.col("stream_type") == "depth10")
-    return for_compare(depth.select(*BRONZE_SCHEMA.fieldNames()))
+    bronze = read_snapshot(spark, _bronze_tables(spark, sf_dir)["bronze"], BRONZE_SCHEMA)
+    return for_compare(bronze.filter(F.col("stream_type") == "depth10").select(*BRONZE_SCHEMA.fieldNames()))
+
+
+def q_bronze_lineage(spark, sf_dir):
+    """Frame files -> ingestion -> Bronze with the lineage that Spark's file
+    metadata gives; each Bronze row, and whether the frame that lies at its
+    place (file and row) is its own and the file was written when it says.
+    Looked up in scans that know nothing of the ingestion."""
+    files, layout = frame_files(spark, sf_dir), _layout(spark, "lineage")
+    start_ingestion(read_frame_files(spark, files), layout, available_now=True).awaitTermination()
+    run_layers_once(spark, layout, [BRONZE_WITH_LINEAGE])
+    bronze = read_snapshot(spark, layout.table("bronze"), BRONZE_LINEAGE_SCHEMA)
+    place = ["source_file", "offset"]
+    frames = spark.read.schema(_FEED_SCHEMA).parquet(files)
+    frames = frames.select("frame", F.col("_metadata.file_path").alias(place[0]), F.col("_metadata.row_index").alias(place[1]))
+    listed = spark.read.format("binaryFile").load(files).select(F.col("path").alias(place[0]), F.col("modificationTime").alias("modified"))
+    found = bronze.join(frames, place, "left").join(F.broadcast(listed), place[0], "left")  # FRAME_FILES rows
+    number = F.regexp_extract(F.col("source_file"), r"part-([0-9]+)", 1).cast("int")
+    return found.select(
+        "symbol",
+        "stream_type",
+        "raw_payload",
+        F.coalesce(F.col("frame") == F.col("raw_payload"), F.lit(False)).alias("frame_found"),
+        F.coalesce((F.col("modified") == F.col("kafka_timestamp")) & (F.col("partition") == number), F.lit(False)).alias("file_found"),
+    )
 
 
 def q_silver_agg_trade(spark, sf_dir):
@@ -282,7 +340,7 @@ def _q_gold(table: str) -> Query:
 
 def _q_gold_stream(table: str) -> Query:
     def run(spark, sf_dir):
-        layout = _bronze_layout(spark, sf_dir)
+        layout = TableLayout(scratch_dir(spark, table), at={"bronze": _bronze_tables(spark, sf_dir)["bronze"]})
         run_layers_once(spark, layout, chain(table)[1:])
         gold = read_snapshot(spark, layout.table(table), GOLD_SCHEMAS[table])
         return for_compare(to_serving_contract(gold, table))
@@ -298,11 +356,12 @@ def _replayed(trades: DataFrame) -> DataFrame:
     return trades.withColumn("trade_timestamp", F.timestamp_millis(F.lit(start) + F.floor((ms - start) / REPLAY_SPEED)))
 
 
-def q_late_trades_stream(spark, sf_dir, late: Callable | None = None):
+def _late_trades(spark, sf_dir, late: Callable | None = None, log: ProgressLog | None = None) -> TableLayout:
     """Trades arrive in three batches: up to a cut every symbol but one, then
     the delayed symbol up to the cut, then all that follows.  The delayed
     rows in windows already closed by the watermark are dropped, those in the
-    open ones are counted.  ``late`` (tests) changes the second batch."""
+    open ones are counted.  ``late`` (tests) changes the second batch.  Returns
+    the layout with the Gold table and its checkpoint."""
     layout = _layout(spark, "late_trades")
     trades = _replayed(_silver_for("gold_volatility", spark, sf_dir)).where("trade_timestamp is not null").persist()
     cut = instant_from_utc_wall_clock(F.lit(REPLAY_CUT.isoformat(sep=" ")).cast("timestamp_ntz"))
@@ -317,13 +376,38 @@ def q_late_trades_stream(spark, sf_dir, late: Callable | None = None):
     try:
         for batch in arrivals:
             batch.write.format(layout.fmt).mode("append").save(layout.table(gold.source))
-            run_layers_once(spark, layout, [gold])
+            run_layers_once(spark, layout, [gold], log=log)
     finally:
         trades.unpersist()
+    return layout
+
+
+def q_late_trades_stream(spark, sf_dir, late: Callable | None = None):
+    """What the Gold table holds after the three arrivals of ``_late_trades``."""
+    layout = _late_trades(spark, sf_dir, late)
     out = read_snapshot(spark, layout.table("gold_volatility"), GOLD_SCHEMAS["gold_volatility"])
     return for_compare(to_serving_contract(out, "gold_volatility"))
 
 
+def q_gold_open_windows(spark, sf_dir):
+    """The windows that stay open after the arrivals, with their metrics so
+    far, read from the layer's state."""
+    layout = _late_trades(spark, sf_dir)
+    return for_compare(to_serving_contract(open_windows(spark, layout, "gold_volatility"), "gold_volatility"))
+
+
+def q_late_trades_dropped(spark, sf_dir):
+    """Rows that the Gold layer dropped as late over all of its runs: of each
+    batch one for each closed window and symbol (trades are added up first)."""
+    log = ProgressLog(scratch_dir(spark, "late_trades_progress"))
+    spark.streams.addListener(log)
+    try:
+        _late_trades(spark, sf_dir, log=log)
+    finally:
+        spark.streams.removeListener(log)
+    return totals(spark, log.path).select("layer", "rows_dropped")
+
+
 # Rows of the first insert: half of what most windows with several rows hold, so its values differ from the full ones.
 _SEED_ROWS = {"gold_volatility": "agg_trade_id % 2 = 0", "gold_spread": "update_id % 2 = 0", "gold_liquidity": "level % 2 = 0"}
 
@@ -364,6 +448,28 @@ def _q_sync(table: str) -> Query:
     return run
 
 
+def q_sync_recovered(spark, sf_dir):
+    """A sync that ends after its batch is applied and before it is committed,
+    and a second one from the same checkpoint: Spark replays the batch, which
+    must add nothing and lose nothing."""
+    root, table = scratch_dir(spark, "sync_recovered"), "gold_volatility"
+    gold_volatility(_silver_for(table, spark, sf_dir)).write.parquet(f"{root}/gold")
+    spec = SyncSpec(table, f"{root}/gold", GOLD_SCHEMAS[table], f"{root}/serving/{table}", f"{root}/checkpoint")
+
+    def lost(epoch_id: int) -> None:
+        raise RuntimeError(f"lost after batch {epoch_id}")
+
+    first = start_sync(spark, spec, available_now=True, on_applied=lost)
+    try:
+        first.awaitTermination()
+    except StreamingQueryException:
+        pass
+    if first.exception() is None:
+        raise RuntimeError("the first sync should have been lost")
+    start_sync(spark, spec, available_now=True).awaitTermination()
+    return for_compare(read_serving(spark, spec.target_path, table))
+
+
 def q_dash_symbols(spark, sf_dir):
     return dashboard_symbols(_serving_table(spark, sf_dir, "gold_volatility"))
 
@@ -387,6 +493,7 @@ QUERIES: dict[str, Query] = {
     "kafka_round_trip": q_kafka_round_trip,
     "bronze_all": q_bronze_all,
     "bronze_partitioned": q_bronze_partitioned,
+    "bronze_lineage": q_bronze_lineage,
     "silver_agg_trade": q_silver_agg_trade,
     "silver_book_ticker": q_silver_book_ticker,
     "silver_depth10": q_silver_depth10,
@@ -397,12 +504,15 @@ QUERIES: dict[str, Query] = {
     "gold_spread_stream": _q_gold_stream("gold_spread"),
     "gold_liquidity_stream": _q_gold_stream("gold_liquidity"),
     "late_trades_stream": q_late_trades_stream,
+    "late_trades_dropped": q_late_trades_dropped,
+    "gold_open_windows": q_gold_open_windows,
     "insert_delta_volatility": _q_insert_delta("gold_volatility"),
     "insert_delta_spread": _q_insert_delta("gold_spread"),
     "insert_delta_liquidity": _q_insert_delta("gold_liquidity"),
     "sync_twice": _q_sync("gold_volatility"),
     "sync_spread": _q_sync("gold_spread"),
     "sync_liquidity": _q_sync("gold_liquidity"),
+    "sync_recovered": q_sync_recovered,
     "dash_symbols": q_dash_symbols,
     "dash_volatility": _q_dash("gold_volatility", volatility_series),
     "dash_spread": _q_dash("gold_spread", spread_series),

@@ -12,18 +12,21 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ticklake.operators.envelope import checked_frames
 from ticklake.plans.medallion import LAYERS, bronze_from_records, records_of
-from ticklake.schemas import KAFKA_RECORD_SCHEMA
-from ticklake.sources.layers import read_snapshot, write_layer
+from ticklake.schemas import BRONZE_SCHEMA, KAFKA_RECORD_SCHEMA
+from ticklake.sources.kafka import decode_envelopes
+from ticklake.sources.layers import read_layer, read_snapshot, write_layer
 from ticklake.streaming.layers import TableLayout
 
 LANDING, QUARANTINE = "landing", "quarantine"
+FRAMES_SCHEMA = StructType([StructField("frame", StringType()), StructField("received_at", TimestampType())])
+LINEAGE = ("source_file", "source_row", "source_modified")
 INGESTED_SCHEMA = StructType(
     KAFKA_RECORD_SCHEMA.fields
     + [StructField(name, StringType(), True) for name in ("frame", "reason", "status")]
@@ -39,14 +42,50 @@ def read_frame_lines(spark: SparkSession, path: str, max_files_per_trigger: int
     return reader.load(path).select(F.col("value").alias("frame"), F.current_timestamp().alias("received_at"))
 
 
+def file_lineage() -> list[Column]:
+    """Where a row of a Parquet source lies and when its file was written, from
+    Spark's hidden file metadata: the LINEAGE columns."""
+    return [
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.row_index").alias("source_row"),
+        F.col("_metadata.file_modification_time").alias("source_modified"),
+    ]
+
+
+def read_frame_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming scan of Parquet files with a frame and its receive time per
+    row, as a collector drops them, with the LINEAGE of each."""
+    return read_layer(spark, path, FRAMES_SCHEMA, "parquet", max_files_per_trigger).select(*FRAMES_SCHEMA.names, *file_lineage())
+
+
+def _with_lineage(rows: DataFrame, accepted: Column) -> DataFrame:
+    """The files of a source are its log: the file is the topic, the number in
+    its name (if any) the partition, the row in it the offset, and its
+    modification time the record's timestamp (of accepted frames)."""
+    number = F.regexp_extract(F.element_at(F.split("source_file", "/"), -1), r"([0-9]+)", 1)
+    return rows.withColumns(
+        {
+            "topic": F.col("source_file"),
+            "partition": number.try_cast("int"),
+            "offset": F.col("source_row"),
+            "timestamp": F.when(accepted, F.col("source_modified")).otherwise(F.col("timestamp")),
+        }
+    )
+
+
 def ingested_rows(frames: DataFrame, stream_type: str | None = None) -> DataFrame:
-    """Frames -> rows of the ingested table, one each.  Without a ``seq``
-    column the landing offset is NULL (a broker assigns offsets on publish)."""
+    """Frames -> rows of the ingested table, one each.  With the LINEAGE
+    columns (``read_frame_files``) topic, partition, offset and timestamp say
+    where the frame lies.  Otherwise, without a ``seq`` column, the landing
+    offset is NULL (a broker assigns offsets on publish)."""
+    lineage = LINEAGE if set(LINEAGE) <= set(frames.columns) else ()
     if "seq" not in frames.columns:
         frames = frames.withColumn("seq", F.lit(None).cast("long"))
-    checked = checked_frames(frames, keep=("seq",), stream_type=stream_type)
-    rows = records_of(checked, keep=("raw_payload", "reason"))
+    checked = checked_frames(frames, keep=("seq", *lineage), stream_type=stream_type)
+    rows = records_of(checked, keep=("raw_payload", "reason", *lineage))
     accepted = F.col("reason").isNull()
+    if lineage:
+        rows = _with_lineage(rows, accepted)
     return rows.select(
         F.when(accepted, F.col("key")).alias("key"),
         F.when(accepted, F.col("value")).alias("value"),
@@ -102,3 +141,11 @@ BRONZE_FROM_INGESTED = replace(
     source_partitioned_by="status",
     transform=lambda ingested: bronze_from_records(landing_of(ingested)),
 )
+
+# The same with the frame's file beside partition (its number), offset (row in it) and kafka_timestamp (its modification).
+BRONZE_LINEAGE_SCHEMA = StructType([*BRONZE_SCHEMA.fields, StructField("source_file", StringType())])
+BRONZE_WITH_LINEAGE = replace(
+    BRONZE_FROM_INGESTED,
+    transform=lambda ingested: decode_envelopes(landing_of(ingested), keep={"topic": "source_file"}),
+    output_schema=BRONZE_LINEAGE_SCHEMA,
+)

@@ -150,7 +150,7 @@ def _gold_stream(table: str) -> str:
     )
 
 
-def _late_trades() -> str:
+def _late_trades(select: str = "SELECT * FROM g WHERE window_end <= (SELECT max({t}) FROM replayed) - INTERVAL '10 minutes'") -> str:
     # Batch 1 = every symbol but the delayed one up to the cut; batch 2 = the
     # delayed one up to there; batch 3 = the rest.
     # A batch-2 row is dropped when its window already ended at or before
@@ -171,7 +171,7 @@ def _late_trades() -> str:
         f"wm1 AS (SELECT max({t}) - INTERVAL '10 minutes' AS wm FROM b1)",
         f"kept AS (SELECT * FROM b1 UNION ALL SELECT * FROM b3 UNION ALL SELECT b2.* FROM b2, wm1 WHERE {_wstart(t)} + INTERVAL '5 minutes' > wm1.wm)",
         f"g AS ({_gold_sql('gold_volatility', 'kept')})",
-    ) + f"SELECT * FROM g WHERE window_end <= (SELECT max({t}) FROM replayed) - INTERVAL '10 minutes'"
+    ) + select.format(t=t, window=_wstart(t))
 
 
 def _insert_delta(table: str) -> str:
@@ -248,9 +248,9 @@ def _strict_quotes() -> str:
 
 
 def _bronze_rows(where: str = "") -> str:
-    return _with(_M, _FRAMES) + f"""SELECT received_at AS ingestion_timestamp, symbol, stream_type, frame AS raw_payload,
+    return _with(_M, _FRAMES, _ODD) + f"""SELECT received_at AS ingestion_timestamp, symbol, stream_type, frame AS raw_payload,
        CAST(ascii(symbol) % 3 AS INTEGER) AS "partition", seq AS "offset", received_at AS kafka_timestamp
-FROM f {where}"""
+FROM all_frames {where}"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -277,6 +277,7 @@ WHERE json_extract_string(frame, '$.stream') IN (
         "kafka_round_trip": _bronze_rows(),
         "bronze_all": _bronze_rows(),
         "bronze_partitioned": _bronze_rows("WHERE stream_type = 'depth10'"),
+        "bronze_lineage": _with(_M, _FRAMES, _ODD) + "SELECT symbol, stream_type, frame AS raw_payload, true AS frame_found, true AS file_found FROM all_frames",
         "silver_agg_trade": _with(_M, _FRAMES, _ODD, _TRADES) + "SELECT * FROM trades UNION ALL BY NAME SELECT symbol FROM odd WHERE parses AND stream_type = 'aggTrade'",
         "silver_book_ticker": _with(_M, _FRAMES, _ODD, _QUOTES) + "SELECT * FROM quotes UNION ALL BY NAME SELECT symbol FROM odd WHERE parses AND stream_type = 'bookTicker'",
         "silver_depth10": _with(_M, _LEVELS) + "SELECT * FROM levels",
@@ -287,12 +288,17 @@ WHERE json_extract_string(frame, '$.stream') IN (
         "gold_spread_stream": _gold_stream("gold_spread"),
         "gold_liquidity_stream": _gold_stream("gold_liquidity"),
         "late_trades_stream": _late_trades(),
+        "gold_open_windows": _late_trades("SELECT * FROM g WHERE window_end > (SELECT max({t}) FROM replayed) - INTERVAL '10 minutes'"),
+        "late_trades_dropped": _late_trades(
+            "SELECT 'gold_volatility' AS layer, count(DISTINCT {window}) AS rows_dropped FROM b2, wm1 WHERE {window} + INTERVAL '5 minutes' <= wm1.wm"
+        ),
         "insert_delta_volatility": _insert_delta("gold_volatility"),
         "insert_delta_spread": _insert_delta("gold_spread"),
         "insert_delta_liquidity": _insert_delta("gold_liquidity"),
         "sync_twice": _gold("gold_volatility"),
         "sync_spread": _gold("gold_spread"),
         "sync_liquidity": _gold("gold_liquidity"),
+        "sync_recovered": _gold("gold_volatility"),
         "dash_symbols": _with(_M, _TRADES, f"g AS ({_gold_sql('gold_volatility', 'trades')})")
         + "SELECT DISTINCT symbol FROM g ORDER BY symbol",
         "dash_volatility": _with(_M, _TRADES, f"g AS ({_gold_sql('gold_volatility', 'trades')})")

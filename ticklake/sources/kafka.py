@@ -42,8 +42,9 @@ def read_topic(
     return reader.load()
 
 
-def decode_envelopes(records: DataFrame) -> DataFrame:
-    """Topic records -> Bronze rows.
+def decode_envelopes(records: DataFrame, keep: dict[str, str] | None = None) -> DataFrame:
+    """Topic records -> Bronze rows, with the record columns that ``keep``
+    names (column -> name in Bronze).
 
     ``value`` bytes are decoded as UTF-8 JSON into the envelope columns and
     the broker lineage is carried along (``partition``, ``offset``,
@@ -56,7 +57,8 @@ def decode_envelopes(records: DataFrame) -> DataFrame:
         "partition",
         "offset",
         F.col("timestamp").alias("kafka_timestamp"),
-    ).select("envelope.*", "partition", "offset", "kafka_timestamp")
+        *[F.col(c).alias(name) for c, name in (keep or {}).items()],
+    ).select("envelope.*", "partition", "offset", "kafka_timestamp", *(keep or {}).values())
 
 
 def encode_envelopes(envelopes: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

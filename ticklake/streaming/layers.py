@@ -7,9 +7,9 @@ without touching the others.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
 import time
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 
 from ticklake.contracts import assert_contract
 from ticklake.sources.layers import DEFAULT_FORMAT, read_layer, table_available, write_layer
+from ticklake.streaming.progress import ProgressLog
 
 
 @dataclass(frozen=True)
@@ -45,13 +46,15 @@ class SourceNotReady(RuntimeError):
 
 @dataclass(frozen=True)
 class TableLayout:
-    """Table and checkpoint paths under one root (on shared storage)."""
+    """Table and checkpoint paths under one root (on shared storage); ``at``
+    gives the path of tables that lie elsewhere."""
 
     root: str
     fmt: str = DEFAULT_FORMAT
+    at: Mapping[str, str] = field(default_factory=dict)
 
     def table(self, name: str) -> str:
-        return f"{self.root}/tables/{name}"
+        return self.at.get(name, f"{self.root}/tables/{name}")
 
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
@@ -143,7 +146,8 @@ def start_all(
 def recent_rows_dropped_as_late(query: StreamingQuery) -> int:
     """Rows the query's stateful operators dropped because their window had
     already closed, over the progress reports that Spark keeps (the last 100
-    unless configured): no total of a long-running query."""
+    unless configured): no total of a long-running query, for which there is
+    ``ticklake.streaming.progress.ProgressLog``."""
     return sum(
         op.get("numRowsDroppedByWatermark", 0)
         for progress in query.recentProgress
@@ -156,16 +160,22 @@ def run_layers_once(
     layout: TableLayout,
     specs: Iterable[LayerSpec],
     max_files_per_trigger: int | None = None,
+    log: ProgressLog | None = None,
 ) -> list[StreamingQuery]:
     """Process everything available in each layer, upstream first, then stop
     (``availableNow``).  Re-running continues from the checkpoints.  Returns
-    the finished queries (progress reports, late-row counts)."""
+    the finished queries (progress reports, late-row counts); ``log``, a
+    registered listener, takes over what their batches report."""
     done = []
     for spec in specs:
         if not source_ready(spark, layout, spec):  # nothing to read yet
             continue
         query = start_layer(spark, layout, spec, True, max_files_per_trigger, known_ready=True)
-        query.awaitTermination()
+        try:
+            query.awaitTermination()
+        finally:
+            if log is not None:
+                log.settle(spark, query, spec.name)
         if query.exception() is not None:
             raise query.exception()
         done.append(query)
