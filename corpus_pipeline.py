@@ -6,7 +6,7 @@ kept; between stages the documents are a Parquet table in the shared folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
@@ -22,11 +22,19 @@ KEYS = 1_000_000
 PSEUDONYM_KEY = b"registered pipeline"
 
 
+def renamed(docs: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """`docs` with private names for the columns that an operator doesn't use,
+    and the columns under their old names: no name can meet one of its own."""
+    names = {c: c if c in used else f"__own_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), [F.col(n).alias(c) for c, n in names.items()]
+
+
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score stays under TOXIC, with their columns."""
     ship_package(spark)
-    out = toxicity.toxicity(docs, table(spark, sf_dir, "labels"), threshold=TOXIC)
-    return out.where("predicted = 0").select(*docs.columns)
+    own, columns = renamed(docs, "doc_id", "text")
+    out = toxicity.toxicity(own, table(spark, sf_dir, "labels"), threshold=TOXIC)
+    return out.where("predicted = 0").select(*columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,20 +56,22 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if not (none := several.isEmpty()):
         gone = gone.unionByName(kept.join(broadcast_if_small(several.select("component"), KEYS), "component", "left_semi").select(keys))
     gone = broadcast_if_small(staged(gone.distinct(), "pipeline_copies"), KEYS)
-    told = docs.withColumn("digest", minhash.text_digest(F.col("text")))
-    out = told.join(gone, keys, "left_anti").select(*docs.columns)
+    own, columns = renamed(docs, "doc_id", "text")
+    told = own.withColumn("digest", minhash.text_digest(F.col("text")))
+    out = told.join(gone, keys, "left_anti").select(*columns)
     if none:
         return out
     again = told.join(broadcast_if_small(several.select(keys), KEYS), keys, "left_semi")
-    again = again.groupBy(keys).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    again = again.groupBy(keys).agg(F.min(F.struct(*columns)).alias("row"))
     return out.unionByName(again.select("row.*"))
 
 
 def pseudonymous(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with pseudonyms for personal data; n_chars follows the text."""
     ship_package(spark)
-    out = pii.without_personal_data(docs, PSEUDONYM_KEY).drop("found")
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    own, columns = renamed(docs, "text", "n_chars")
+    out = pii.without_personal_data(own, PSEUDONYM_KEY)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*columns)
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -91,9 +101,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, work = table(spark, sf_dir, "documents"), Work(spark)
-    for name, stage in STAGES[:-1]:
-        docs = work(stage(spark, docs, sf_dir), f"pipeline_{name}")
-    name, stage = STAGES[-1]
-    out = staged(stage(spark, docs, sf_dir), f"pipeline_{name}")
-    work.end()
-    return out
+    try:
+        for name, stage in STAGES[:-1]:
+            docs = work(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        name, stage = STAGES[-1]
+        return staged(stage(spark, docs, sf_dir), f"pipeline_{name}")
+    finally:
+        work.end()
