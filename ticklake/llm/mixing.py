@@ -118,26 +118,34 @@ def mixture(docs: DataFrame, size: Column | None = None, id_col: str = "doc_id",
     last; rows of one id in a source are all taken or all left, so a source
     ends nearer to its target than its largest id; an empty table gives none.
     """
-    names = ("size", "source_size", "target", "taken", "__hash")
+    names = ("size", "source_size", "target", "taken")
+    out = _mixed(docs, size, id_col, text_col, source_col)
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
-    size = words(text_col) if size is None else size
-    full = docs.select(*kept, size.cast("long").alias("size"), document_hash(F.col(id_col)).alias("__hash"))
+    return out.select(*kept, *[F.col(f"__{c}").alias(c) for c in names])
+
+
+def _mixed(docs: DataFrame, size: Column | None, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """`docs` with __size, __source_size, __target and __taken."""
+    size = words(F.col(f"`{text_col}`")) if size is None else size
+    id_of, source = F.col(f"`{id_col}`"), F.col(f"`{source_col}`")
+    full = docs.select(*[F.col(f"`{c}`") for c in docs.columns], size.cast("long").alias("__size"), document_hash(id_of).alias("__hash"))
     work = Work(docs.sparkSession)
-    sized = work(full.select(F.col(source_col).alias("source"), "size", F.col("__hash").alias("hash")), "mixing_sizes")
-    plans = work(targets(sized), "mixing_targets")
-    hint = F.broadcast if plans.count() <= BROADCAST_SOURCES else lambda df: df
-    found = staged(thresholds(work, sized, plans, hint), "mixing_thresholds")
-    work.end()
-    found = hint(found.withColumnRenamed("source", "__source"))
-    times = F.col("base") + (F.col("__hash") < F.col("threshold")).cast("long")
-    out = full.join(found, F.col(source_col).eqNullSafe(F.col("__source")))
-    return out.select(*kept, "size", "source_size", "target", (F.col("size") * times).alias("taken"))
-
-
-def mixed_documents(docs: DataFrame, **columns: str) -> DataFrame:
+    try:
+        sized = work(full.select(source.alias("source"), F.col("__size").alias("size"), F.col("__hash").alias("hash")), "mixing_sizes")
+        plans = work(targets(sized), "mixing_targets")
+        hint = F.broadcast if plans.count() <= BROADCAST_SOURCES else lambda df: df
+        found = staged(thresholds(work, sized, plans, hint), "mixing_thresholds")
+    finally:
+        work.end()
+    found = hint(found.select(*[F.col(c).alias(f"__{c}") for c in found.columns]))
+    times = F.col("__base") + (F.col("__hash") < F.col("__threshold")).cast("long")
+    return full.join(found, source.eqNullSafe(F.col("__source"))).withColumn("__taken", F.col("__size") * times)
+
+
+def mixed_documents(docs: DataFrame, size: Column | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The rows of `docs` as often as the mix takes them (none to
-    MOST_REPEATS times), with their own columns only."""
-    out = mixture(docs, **columns)
-    times = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(0)
+    MOST_REPEATS times), with their own columns only, whatever their names."""
+    out = _mixed(docs, size, id_col, text_col, source_col)
+    times = F.when(F.col("__size") > 0, (F.col("__taken") / F.col("__size")).cast("int")).otherwise(0)
     repeated = out.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), times)))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

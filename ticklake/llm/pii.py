@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator
 from datetime import date
@@ -227,22 +228,27 @@ def _cards(pattern: re.Pattern, text: str) -> Iterator[re.Match]:
     first: those in one group or grouped as cards are, then those in other
     groups of four digits or more.  Smaller groups, as in tables of numbers,
     count only as a whole match."""
-    taken = []
+    starts, ends = [], []  # of the cards taken, in the order of the text: they don't overlap
 
-    def free(start: int, end: int) -> bool:
-        return _luhn_valid(_only_digits(text[start:end])) and not any(a < end and start < b for a, b in taken)
+    def take(start: int, end: int) -> bool:
+        after = bisect_right(ends, start)  # the first card that ends behind the start
+        if after < len(starts) and starts[after] < end or not _luhn_valid(_only_digits(text[start:end])):
+            return False
+        starts.insert(after, start)
+        ends.insert(after, end)
+        return True
 
     for shape in _CARD_SHAPES:
         at = 0
         while m := pattern.search(text, at):
             at = _next_group(text, m.start())
             for end in _ends(m, " -"):
-                if shape.fullmatch(text, m.start(), end) and free(m.start(), end):
-                    taken.append((m.start(), end))
+                if shape.fullmatch(text, m.start(), end) and take(m.start(), end):
                     at = end
                     break
-    taken += [m.span() for m in pattern.finditer(text) if free(*m.span())]
-    return (pattern.fullmatch(text, *span) for span in taken)
+    for m in pattern.finditer(text):
+        take(*m.span())
+    return (pattern.fullmatch(text, *span) for span in zip(starts, ends))
 
 
 def _date(m: re.Match, f: Feistel, back: bool) -> str | None:
