@@ -23,10 +23,12 @@ are bounded; a small index gives the ids before each file.
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -42,8 +44,8 @@ MAGIC = b"TLTOKENS"
 HEADER = struct.Struct(">8sQQQQqQ")
 #: Ids and documents in a file, at most (a longer document has a file of its own).
 FILE_IDS, FILE_DOCS = 1 << 22, 1 << 18
-#: Bytes of remembered chunks and their ids in a worker, at most twice that.
-REMEMBERED_BYTES = 96 << 20
+#: Bytes that remembered chunks take in a worker, about.
+REMEMBERED_BYTES = 200 << 20
 #: Characters whose chunks are looked up together.
 WINDOW = 1 << 22
 #: Files (under 100 bytes each in the index) whose starts may be broadcast.
@@ -176,16 +178,31 @@ class ChunkEncoder:
     """Ids of texts by the tokenizers library, each different chunk between
     blanks once.  For a tokenizer whose pieces never hold white space, a text's
     ids are those of its chunks one after the other; `safe` says whether the
-    tokenizer is known to be such, else whole texts are encoded.  Chunks are
-    remembered in two generations of bounded size: what is met again moves on.
+    tokenizer is known to be such, else whole texts are encoded.  A task
+    remembers the ids of chunks; when they take REMEMBERED_BYTES it starts anew.
+
+    Chunks are made alike where the tokenizer would make them alike anyway: a
+    full stop or the like behind a letter and before a blank is cut off, and
+    A to Z are lowered, if `cuts_marks` and `lowers` hold (`plain` says of which
+    texts: those without added tokens and without marks to compose with).
     """
 
     def __init__(self, tokenizer_file: str, width: int):
         self.tokenizer, self.type = Tokenizer.from_str(tokenizer_file), np.dtype(f"<u{width}")
-        self.safe = splits_at_blanks(self.tokenizer)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.held = 0
+        added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.safe = not _whole_differs(self.tokenizer, lambda text: text.replace("\n", " ").split(" "))
+        self.cuts_marks = not _whole_differs(self.tokenizer, lambda text: [re.sub(_MARK, r"\1 \2 ", text)])
+        self.lowers = not _whole_differs(self.tokenizer, lambda text: [text if "<|" in text else text.translate(_LOWER)])
+        # what texts must hold for an added token to be in them, whatever the case of its letters
+        starts = [re.match(r"[^A-Za-z]*", x).group() for x in added]
+        self.lowers &= all(starts)
+        self.cuts_marks &= not any(c in x for x in added for c in ".,;:!?")
+        self.not_plain = "|".join([*map(re.escape, starts), "[A-Z][\u0300-\u036f]"])
+        self._start()
+
+    def _start(self) -> None:
+        self.places: dict[str, int] = {}
+        self.ends, self.ids, self.held = np.zeros(1, np.int64), np.empty(0, self.type), 0
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, WINDOW characters or a longer text at a time."""
@@ -196,64 +213,67 @@ class ChunkEncoder:
                 size += len(texts[end])
                 end += 1
             if not self.safe:
-                yield from self._encoded(texts[at:end])
+                yield from (x.tobytes() for x in self._encoded(texts[at:end]))
             elif size > WINDOW:
                 yield b"".join(x for part in _windows(texts[at], WINDOW) for x in self._by_chunk([part]))
             else:
                 yield from self._by_chunk(texts[at:end])
             at = end
 
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, self.type).tobytes() for x in found]
+    def _encoded(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.type) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _by_chunk(self, texts: list[str]) -> list[bytes]:
-        cut = pc.split_pattern(pc.replace_substring(pa.array(texts, pa.string()), "\n", " "), " ")
+        data = pc.replace_substring(pa.array(texts, pa.string()), "\n", " ")
+        if self.cuts_marks:
+            data = pc.replace_substring_regex(data, _MARK, r"\1 \2 ")
+        if self.lowers and not pc.any(pc.match_substring_regex(data, self.not_plain)).as_py():
+            data = pc.ascii_lower(data)
+        cut = pc.split_pattern(data, " ")
         coded = cut.flatten().dictionary_encode()
-        known = self._known(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // self.type.itemsize
-        first, index = np.cumsum(sizes) - sizes, coded.indices.to_numpy()
-        counts = sizes[index]
-        ends = np.r_[0, np.cumsum(counts)]
-        source = np.arange(ends[-1]) + np.repeat(first[index] - ends[:-1], counts)
-        ids = np.frombuffer(b"".join(known), self.type)[source]
+        places = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        first, last = self.ends[places], self.ends[places + 1]
+        ends = np.r_[0, np.cumsum(last - first)]
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(first - ends[:-1], last - first)]
         bounds = ends[cut.offsets.to_numpy()]
         return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
 
-    def _known(self, chunks: list[str]) -> list[bytes]:
-        """The ids of different chunks."""
+    def _places(self, chunks: list[str]) -> np.ndarray:
+        """Where the ids of different chunks are: place i has ids[ends[i] : ends[i + 1]]."""
         if self.held > REMEMBERED_BYTES:
-            self.old, self.young, self.held = self.young, {}, 0
-        found = list(map(self.young.get, chunks))
-        new = []
-        for i, ids in enumerate(found):
-            if ids is None:
-                if (ids := self.old.get(chunks[i])) is None:
-                    new.append(i)
-                else:
-                    found[i] = self._keep(chunks[i], ids)
+            self._start()
+        known = self.places
+        new = [chunk for chunk in chunks if chunk not in known]
+        ids, sizes = [self.ids], []
         for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for i, ids in zip(part, self._encoded([chunks[i] for i in part])):
-                found[i] = self._keep(chunks[i], ids)
-        return found
-
-    def _keep(self, chunk: str, ids: bytes) -> bytes:
-        self.young[chunk] = ids
-        self.held += len(chunk) + len(ids) + 150
-        return ids
-
-
-def splits_at_blanks(tokenizer: Tokenizer) -> bool:
-    """Whether a text's ids are those of its chunks between blanks and line
-    feeds: no added token holds or takes in white space, and probes agree."""
-    for token in tokenizer.get_added_tokens_decoder().values():
-        if token.lstrip or token.rstrip or any(c.isspace() for c in token.content):
-            return False
-    probes = ["a b", "a  b", " a", "a ", "a\nb", "a \n b", "1 2", ". .", "a .", "\u00e9 e", " \u0301a", "a \u0301", "don 't", "x\t y"]
-    whole = [x.ids for x in tokenizer.encode_batch(probes, add_special_tokens=False)]
-    cut = [[i for part in p.replace("\n", " ").split(" ") for i in tokenizer.encode(part, add_special_tokens=False).ids] for p in probes]
-    return whole == cut
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(new[at : at + 10_000], add_special_tokens=False)]
+            part = np.fromiter(map(len, found), np.int64, len(found))
+            ids.append(np.fromiter(chain.from_iterable(found), self.type, part.sum()))
+            sizes.append(part)
+        if new:
+            known.update(zip(new, range(len(known), len(known) + len(new))))
+            self.ids = np.concatenate(ids)
+            self.ends = np.r_[self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))]
+            self.held += sum(map(len, new)) + 190 * len(new)
+        return np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+
+
+_MARK = r"([A-Za-z])([.,;:!?]) "
+_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+_PROBES = [
+    "a b", "a  b", " a", "a ", "a\nb", "a \n b", "1 2", ". .", "a .", "\u00e9 e", " \u0301a", "a \u0301", "don 't", "x\t y",
+    "Yes. No, we; so: it! is? X", "a., b.. c .d 'a, b' 1. 2, \u00e9. e", "It'S I'LL \u00c9A A\u0301 ABC xYz 1A-B", "<|startoftext|> a <|x|> B",
+]
+
+
+def _whole_differs(tokenizer: Tokenizer, parts) -> bool:
+    """Whether some probe has other ids than its `parts` one after the other, or
+    an added token holds or takes in white space."""
+    added = tokenizer.get_added_tokens_decoder().values()
+    if any(token.lstrip or token.rstrip or any(c.isspace() for c in token.content) for token in added):
+        return True
+    ids = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    return any(ids(p) != [i for part in parts(p) for i in ids(part)] for p in _PROBES)
 
 
 @lru_cache(maxsize=1)
