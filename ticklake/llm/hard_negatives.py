@@ -33,8 +33,10 @@ from ticklake.llm.topk import products
 
 #: Bytes of anchors and their windows that are broadcast in one scan of the rows.
 SCAN_BYTES = 32 << 20
-#: Dimensions in a group, rows and anchors that are compared at once.
-GROUP, ROWS, ANCHORS = 8, 2048, 512
+#: Dimensions in the first two groups (each later one doubles them), rows and anchors that are compared at once.
+GROUP, ROWS, ANCHORS = 16, 4096, 256
+#: Of so many pairs at most one is left: exact scores at once.
+SPARSE = 64
 #: Thresholds tried before a window's lower end, as shares of its upper end.
 TRIES = (0.95, 0.8)
 FLOOR, TOP = -(1 << 63), (1 << 63) - 1
@@ -46,17 +48,23 @@ class Index:
 
     def __init__(self, rows: np.ndarray, anchors: np.ndarray, least: np.ndarray):
         order = np.argsort(-(rows * rows).sum(axis=0), kind="stable")
-        starts = range(0, rows.shape[1], GROUP)
-        self.groups = [order[a : a + GROUP] for a in starts]
+        cuts = [0, GROUP]
+        while cuts[-1] < len(order):
+            cuts.append(2 * cuts[-1])
+        self.groups = [order[a:b] for a, b in zip(cuts, cuts[1:])]
         self.rows, self.anchors = rows, anchors
-        self.row_rest, self.anchor_rest = self._rest(rows), self._rest(anchors)
+        row_rest, anchor_rest = self._rest(rows), self._rest(anchors)
         # groups of each row that are indexed: the first at whose end all that is left can't reach a threshold
         with np.errstate(divide="ignore", invalid="ignore"):
-            share = np.where(least[:, None] > 0, self.anchor_rest / least[:, None], np.inf).max(axis=0)
-            left = np.where(self.row_rest == 0, 0.0, self.row_rest * share[None, :]) * (1 + 1e-9)
+            share = np.where(least[:, None] > 0, anchor_rest / least[:, None], np.inf).max(axis=0)
+            left = np.where(row_rest == 0, 0.0, row_rest * share[None, :]) * (1 + 1e-6)
         self.indexed = np.minimum((left >= 1).sum(axis=1), len(self.groups))
-        self.by_length = np.argsort(-self.indexed, kind="stable")
-        self.postings = [self.by_length[: np.count_nonzero(self.indexed > g)] for g in range(len(self.groups))]
+        # the rows of a posting are the first in this order; partial scores are single precision, with slack
+        self.order = np.argsort(-self.indexed, kind="stable")[: np.count_nonzero(self.indexed)]
+        self.postings = [np.count_nonzero(self.indexed > g) for g in range(len(self.groups))]
+        self.parts = [rows[np.ix_(self.order[:n], dims)].astype(np.float32) for n, dims in zip(self.postings, self.groups)]
+        self.row_rest, self.anchor_rest = row_rest[self.order].astype(np.float32), anchor_rest.astype(np.float32)
+        self.slack = np.float32(2e-7 * (len(order) + 8))
 
     def _rest(self, vectors: np.ndarray) -> np.ndarray:
         """Norm of what is left of each vector from each group on."""
@@ -67,21 +75,31 @@ class Index:
     def join(self, which: np.ndarray, least: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pairs (anchor, row, score) of the anchors `which` with a score of at
         least `least` (one for each of them) where `allowed` (a row for each)."""
-        anchors = self.anchors[which]
-        rest = self.anchor_rest[which]
-        scores, alive = np.zeros(allowed.shape), allowed.copy()
-        slack = 1e-9 * rest[:, :1] * self.row_rest[None, :, 0] + 1e-6
-        alive[:, self.indexed == 0] = False  # omitted altogether
-        for g, posting in enumerate(self.postings):
-            rows = posting[alive[:, posting].any(axis=0)]
-            if not len(rows):
+        anchors, rest = self.anchors[which], self.anchor_rest[which]
+        at = np.arange(len(self.order))  # rows that are left, in the order of the postings
+        alive = allowed[:, self.order]
+        scores = np.zeros(alive.shape, np.float32)
+        goal = (least - 1e-6 * np.abs(least) - 1).astype(np.float32)[:, None]
+        found = []
+        for g, (posting, part) in enumerate(zip(self.postings, self.parts)):
+            n = np.searchsorted(at, posting)
+            found.append((at[n:], alive[:, n:]))  # not under this group: what is left can't decide
+            at, alive, scores = at[:n], alive[:, :n], scores[:, :n]
+            kept = alive.any(axis=0)
+            if 2 * np.count_nonzero(kept) < n:
+                at, alive, scores = at[kept], alive[:, kept], scores[:, kept]
+            if not len(at):
                 break
-            dims = self.groups[g]
-            part = scores[:, rows] + anchors[:, dims] @ self.rows[np.ix_(rows, dims)].T
-            scores[:, rows] = part
-            bound = part + rest[:, g + 1, None] * self.row_rest[None, rows, g + 1] + slack[:, rows]
-            alive[:, rows] &= bound >= least[:, None]
-        a, x = np.nonzero(alive)
+            scores += anchors[:, self.groups[g]].astype(np.float32) @ part[at].T
+            left = (rest[:, g + 1, None] + self.slack * rest[:, :1]) * (self.row_rest[None, at, g + 1] + self.slack * self.row_rest[None, at, 0])
+            left += self.slack * rest[:, :1] * self.row_rest[None, at, 0]
+            alive &= scores + left >= goal
+            if SPARSE * np.count_nonzero(alive) < alive.size:
+                break
+        found.append((at, alive))
+        pairs = [np.nonzero(mask) for _, mask in found]
+        a = np.concatenate([p for p, _ in pairs])
+        x = np.concatenate([self.order[rows[q]] for (rows, _), (_, q) in zip(found, pairs)])
         score = products(anchors, self.rows, a, x)
         enough = score >= (least - 1e-9 * np.abs(least))[a]  # callers compare integers
         return which[a[enough]], x[enough], score[enough]
@@ -96,6 +114,7 @@ class _Windows:
         self.low, self.high, self.same, self.k = low, high, same_label, k
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
         self.least = low.copy()  # score to reach: the k-th so far
+        self.full = np.zeros(low.shape, bool)  # there is a k-th
         self.kept = pd.DataFrame({c: np.empty(0, np.int64) for c in ("anchor", "window", "score", "id", "row")})
 
     def add(self, ids: np.ndarray, labels: np.ndarray, places: np.ndarray, rows: np.ndarray) -> None:
@@ -118,7 +137,9 @@ class _Windows:
         index = Index(rows, self.vectors[part], lowest)
         out, before = [], np.full(low.shape, np.inf)
         for share in (*TRIES, None):
-            least = low.astype(float) if share is None else np.maximum(low, np.where(top > 0, share * top, top))
+            least = low.astype(float)
+            if share is not None:  # a window that has been full before is joined once
+                least = np.where(self.full[part], least, np.maximum(least, np.where(top > 0, share * top, top)))
             tried = np.where(todo, least, np.inf).min(axis=1)
             which = np.flatnonzero(tried < np.inf)
             if not len(which):
@@ -145,6 +166,7 @@ class _Windows:
         self.kept = all_found.iloc[order[rank < self.k]].reset_index(drop=True)
         last = order[rank == self.k - 1]
         self.least[columns[4][last], columns[3][last]] = columns[2][last]
+        self.full[columns[4][last], columns[3][last]] = True
 
     def rows(self) -> pd.DataFrame:
         out = self.kept
