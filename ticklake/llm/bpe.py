@@ -40,20 +40,28 @@ def read_ranks(path: str) -> bytes:
 
 
 class _Remembered(dict):
-    """A dictionary that computes absent entries and starts anew when full."""
+    """A dictionary that computes absent entries, in two generations: when the
+    new one is full the one before goes, and what is met again moves on."""
 
     def __init__(self, compute, key_fits=lambda key: True):
         super().__init__()
-        self.compute, self.key_fits = compute, key_fits
+        self.compute, self.key_fits, self.before = compute, key_fits, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
+        value = self.before.get(key)
+        if value is None:
+            value = self.compute(key)
         if self.key_fits(key):
-            if len(self) >= REMEMBERED:
+            if 2 * len(self) >= REMEMBERED:
+                self.before = dict(self)
                 self.clear()
             self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.before = {}
+        self.clear()
+
 
 class Bpe:
     """Tokens and pair rules of one rank file."""
@@ -65,30 +73,69 @@ class Bpe:
         self.text_of = {rank: str(rank) for rank in self.bytes_of}
         self.pattern = regex.compile(pattern)
         self.ending, self.whole = ahocorasick.Automaton(), {}
+        halves: dict[bytes, tuple[bytes, bytes]] = {}  # what a token's last merge joins
         for token, rank in self.ranks.items():
-            if len(token) == 1 or self._merge(token) == [rank]:  # others no encoding can contain
+            if len(token) == 1 or (parts := self._parts(token, 2)) and b"".join(parts) in self.ranks and len(parts) == 2:
+                if len(token) > 1:
+                    halves[token] = (parts[0], parts[1])
                 self.ending.add_word(token.decode("latin-1"), (rank, len(token)))
-                self.whole[token.decode("latin-1")] = (rank,)
+                self.whole[token.decode("latin-1")] = (rank,)  # others no encoding can contain
         self.ending.make_automaton()
+        self.halves = halves
+        # the rule of _follows needs parts that are merged before what they are part of
+        self.ordered = all(len(h) == 1 or self.ranks[h] < self.ranks[token] for token, parts in halves.items() for h in parts)
+        self.edges = _Remembered(self._edge)
         self.longest = max(map(len, self.ranks))
         self.stable = _Remembered(self._follows)
         self.known = _Remembered(self._piece, lambda piece: len(piece) <= REMEMBERED_CHARS)
         self.piece = self.known.__getitem__
 
-    def _merge(self, data: bytes) -> list[int]:
+    def _parts(self, data: bytes, least: int = 1) -> list[bytes]:
         """The encoding by its definition: join the adjacent parts of lowest
-        rank, the first of equals, until no two adjacent parts are a token."""
+        rank, the first of equals, until no two adjacent parts are a token (or
+        `least` parts are left)."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while True:
+        while len(parts) > least:
             found = [(self.ranks[x + y], i) for i, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in self.ranks]
             if not found:
-                return [self.ranks[x] for x in parts]
+                break
             _, i = min(found)
             parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        return parts
+
+    def _edge(self, key: tuple[int, bool]) -> list[tuple[bytes, float]]:
+        """The parts of a token that are at its end (or its start), from a
+        single byte to the whole, each with the rank of the merge that ends it."""
+        token, at_end = self.bytes_of[key[0]], key[1]
+        out, until = [], float("inf")
+        while True:
+            out.append((token, until))
+            if len(token) == 1:
+                return out[::-1]
+            until = self.ranks[token]
+            token = self.halves[token][at_end]
 
     def _follows(self, pair: tuple[int, int]) -> bool:
-        """Whether the two tokens may stand next to each other."""
-        return self._merge(self.bytes_of[pair[0]] + self.bytes_of[pair[1]]) == [*pair]
+        """Whether the two tokens may stand next to each other: while both are
+        built, no part at the end of the first and part at the start of the
+        second that stand side by side may be joined before either is joined
+        inside its own token.  Of equal ranks the left is joined first."""
+        if not self.ordered:
+            data = self.bytes_of[pair[0]] + self.bytes_of[pair[1]]
+            return [self.ranks[x] for x in self._parts(data)] == [*pair]
+        left, right = self.edges[pair[0], True], self.edges[pair[1], False]
+        i = j = 0
+        while True:
+            (a, a_until), (b, b_until) = left[i], right[j]
+            joined = self.ranks.get(a + b)
+            if joined is not None and joined < a_until and joined <= b_until:
+                return False
+            if a_until <= b_until:
+                i += 1
+                if i == len(left):  # both are whole
+                    return True
+            else:
+                j += 1
 
     def extend(self, data: str, last: list[int], start: int) -> Iterator[int]:
         """Fill `last` (of the prefixes of `data`, bytes as latin-1) from
@@ -106,8 +153,8 @@ class Bpe:
 
     def forget(self) -> None:
         """Free what has been remembered: workers live on after a task."""
-        self.known.clear()
-        self.stable.clear()
+        for remembered in (self.known, self.stable, self.edges):
+            remembered.forget()
 
     def tokens(self, last: list[int]) -> list[int]:
         out, end, bytes_of = [], len(last), self.bytes_of
