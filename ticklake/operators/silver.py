@@ -144,3 +144,13 @@ def valid_rows(silver_df: DataFrame, required) -> DataFrame:
     for c in required:
         cond = cond & F.col(c).isNotNull()
     return silver_df.filter(cond)
+
+
+def payload_columns(silver_df_columns: list[str]) -> list[str]:
+    """The columns that come from the payload."""
+    return [c for c in silver_df_columns if c not in ("symbol", "ingestion_timestamp")]
+
+
+def empty_payloads(silver_df_columns: list[str]) -> Column:
+    """How many rows have a payload without any usable field."""
+    return F.count_if(F.coalesce(*[F.col(c).cast("string") for c in payload_columns(silver_df_columns)]).isNull())

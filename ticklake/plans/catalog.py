@@ -50,7 +50,7 @@ from ticklake.schemas import BRONZE_SCHEMA, STREAM_TYPES
 from ticklake.session import scratch_dir
 from ticklake.sources.layers import read_snapshot
 from ticklake.streaming.layers import TableLayout, run_layers_once
-from ticklake.streaming.progress import ProgressLog, totals
+from ticklake.streaming.progress import ProgressLog, observed_counts, totals
 from ticklake.streaming.state import open_windows
 from ticklake.streaming.sync import GOLD_SCHEMAS, SyncSpec, start_sync, sync_all
 
@@ -349,6 +349,19 @@ def _q_gold_stream(table: str) -> Query:
     return run
 
 
+def q_silver_quality(spark, sf_dir):
+    """What the Silver layers' batches counted: frames of each type that came
+    in, rows made of them (levels of a book), and rows with an empty payload."""
+    layout = TableLayout(scratch_dir(spark, "quality"), at={"bronze": _bronze_tables(spark, sf_dir)["bronze"]})
+    log = ProgressLog(scratch_dir(spark, "quality_progress"))
+    spark.streams.addListener(log)
+    try:
+        run_layers_once(spark, layout, [s for s in LAYERS.values() if s.source == "bronze"], log=log)
+    finally:
+        spark.streams.removeListener(log)
+    return observed_counts(spark, log.path).select("layer", "name", "total")
+
+
 def _replayed(trades: DataFrame) -> DataFrame:
     """Trades with their event time compressed by REPLAY_SPEED."""
     start = int(REPLAY_FROM.replace(tzinfo=timezone.utc).timestamp() * 1000)
@@ -503,6 +516,7 @@ QUERIES: dict[str, Query] = {
     "gold_volatility_stream": _q_gold_stream("gold_volatility"),
     "gold_spread_stream": _q_gold_stream("gold_spread"),
     "gold_liquidity_stream": _q_gold_stream("gold_liquidity"),
+    "silver_quality": q_silver_quality,
     "late_trades_stream": q_late_trades_stream,
     "late_trades_dropped": q_late_trades_dropped,
     "gold_open_windows": q_gold_open_windows,

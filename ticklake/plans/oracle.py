@@ -287,6 +287,18 @@ WHERE json_extract_string(frame, '$.stream') IN (
         "gold_volatility_stream": _gold_stream("gold_volatility"),
         "gold_spread_stream": _gold_stream("gold_spread"),
         "gold_liquidity_stream": _gold_stream("gold_liquidity"),
+        "silver_quality": _with(_M, _FRAMES, _ODD, _LEVELS).rstrip()
+        + """, named AS (
+  SELECT 'silver_' || CASE stream_type WHEN 'aggTrade' THEN 'agg_trade' WHEN 'bookTicker' THEN 'book_ticker' ELSE 'depth10' END AS layer,
+         stream_type, 1 AS frame, CASE WHEN stream_type = 'depth10' THEN 0 ELSE 1 END AS made, 0 AS empty FROM f
+  UNION ALL
+  SELECT 'silver_' || CASE stream_type WHEN 'aggTrade' THEN 'agg_trade' WHEN 'bookTicker' THEN 'book_ticker' ELSE 'depth10' END,
+         stream_type, 1, CASE WHEN parses AND stream_type <> 'depth10' THEN 1 ELSE 0 END, CASE WHEN parses AND stream_type <> 'depth10' THEN 1 ELSE 0 END FROM odd
+  UNION ALL SELECT 'silver_depth10', 'depth10', 0, 1, 0 FROM levels),
+counted AS (SELECT layer, sum(frame)::BIGINT AS frames, sum(made)::BIGINT AS rows, sum(empty)::BIGINT AS empty FROM named GROUP BY layer)
+SELECT layer, 'frames' AS name, frames AS total FROM counted
+UNION ALL SELECT layer, 'rows', rows FROM counted
+UNION ALL SELECT layer, 'empty', empty FROM counted""",
         "late_trades_stream": _late_trades(),
         "gold_open_windows": _late_trades("SELECT * FROM g WHERE window_end > (SELECT max({t}) FROM replayed) - INTERVAL '10 minutes'"),
         "late_trades_dropped": _late_trades(

@@ -7,12 +7,14 @@ without touching the others.
 
 from __future__ import annotations
 
+import logging
+import threading
 import time
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException, StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -21,6 +23,9 @@ from ticklake.sources.layers import DEFAULT_FORMAT, read_layer, table_available,
 from ticklake.streaming.progress import ProgressLog
 
 
+logger = logging.getLogger(__name__)
+
+
 @dataclass(frozen=True)
 class LayerSpec:
     """One layer: where it reads, how it transforms, how it is laid out."""
@@ -37,6 +42,8 @@ class LayerSpec:
     # NULL for ever after.  Such a layer starts only once the column exists.
     source_partitioned_by: str | None = None
     output_schema: StructType | None = None  # the transform's contract, checked before the layer starts
+    # Makes the counts of the layer's rows that each batch reports with its progress (see ProgressLog).
+    counts: Callable[[], Mapping[str, Column]] = dict
 
 
 class SourceNotReady(RuntimeError):
@@ -107,6 +114,8 @@ def start_layer(
     out = spec.transform(stream)
     if spec.output_schema is not None:
         assert_contract(out, spec.output_schema)
+    if counted := spec.counts():
+        out = out.observe(spec.name, *[c.alias(name) for name, c in counted.items()])
     return write_layer(
         out,
         layout.table(spec.name),
@@ -143,6 +152,63 @@ def start_all(
     return handles
 
 
+def supervise(
+    spark: SparkSession,
+    layout: TableLayout,
+    specs: Iterable[LayerSpec],
+    stop: threading.Event,
+    first_wait_s: float = 1.0,
+    longest_wait_s: float = 300.0,
+    poll_s: float = 1.0,
+    log: ProgressLog | None = None,
+) -> dict[str, int]:
+    """Keep every layer running until ``stop`` is set; returns how often each
+    was restarted.  A layer whose source isn't there yet is looked at again; one
+    that fails, at its start or later, is started again from its checkpoint
+    after a pause that doubles with each failure in a row (a committed batch
+    ends the row).  The others run on meanwhile."""
+    by_name = {spec.name: spec for spec in specs}
+    running: dict[str, StreamingQuery] = {}
+    in_a_row, restarts, due = dict.fromkeys(by_name, 0), dict.fromkeys(by_name, 0), dict.fromkeys(by_name, 0.0)
+
+    def failed(name: str, why: object) -> None:
+        pause = min(longest_wait_s, first_wait_s * 2 ** in_a_row[name])
+        in_a_row[name], restarts[name], due[name] = in_a_row[name] + 1, restarts[name] + 1, time.monotonic() + pause
+        logger.error("layer %s failed (started again in %.1f s): %s", name, pause, why)
+
+    try:
+        while not stop.is_set():
+            for name, spec in by_name.items():
+                query = running.get(name)
+                if query is not None and query.isActive:
+                    if query.lastProgress is not None:
+                        in_a_row[name] = 0
+                elif query is not None:
+                    del running[name]
+                    if log is not None:
+                        log.settle(spark, query, name)
+                    failed(name, query.exception())
+                elif time.monotonic() >= due[name]:
+                    try:
+                        if source_ready(spark, layout, spec):
+                            running[name] = start_layer(spark, layout, spec, known_ready=True)
+                    except Exception as err:
+                        failed(name, err)
+            spark.streams.resetTerminated()
+            try:
+                spark.streams.awaitAnyTermination(poll_s) if running else stop.wait(poll_s)
+            except StreamingQueryException:  # looked at above
+                pass
+            if log is not None:
+                log.flush(spark)
+    finally:
+        for name, query in running.items():
+            query.stop()
+            if log is not None:
+                log.settle(spark, query, name)
+    return restarts
+
+
 def recent_rows_dropped_as_late(query: StreamingQuery) -> int:
     """Rows the query's stateful operators dropped because their window had
     already closed, over the progress reports that Spark keeps (the last 100

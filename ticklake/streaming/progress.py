@@ -111,3 +111,11 @@ def totals(spark: SparkSession, path: str) -> DataFrame:
     return batches(spark, path).groupBy("layer").agg(
         F.count(F.lit(1)).alias("batches"), F.sum("rows_read").alias("rows_read"), F.sum("rows_dropped").alias("rows_dropped")
     )
+
+
+def observed_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The counts that layers observe (``LayerSpec.counts`` and others), added
+    up over all batches: one row (layer, observed, name, total) each."""
+    counts = F.from_json("observed", "map<string, map<string, bigint>>")
+    rows = batches(spark, path).select("layer", F.explode(counts).alias("observed", "of"))
+    return rows.select("layer", "observed", F.explode("of").alias("name", "n")).groupBy("layer", "observed", "name").agg(F.sum("n").alias("total"))
