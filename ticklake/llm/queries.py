@@ -215,6 +215,54 @@ negatives as (
 select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from negatives where rank <= 3
 """
 
+#: All pairs that share a shingle, then whatever links reach.
+_OP2 = r"""
+with recursive worded as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') as w from documents),
+shingles as (
+  select distinct doc_id, unnest(case when len(w) < 2 then w else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as s from worded),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+links as (
+  select p.a, p.b from shared p join sizes x on x.doc_id = p.a join sizes y on y.doc_id = p.b where 100 * p.n >= 80 * (x.n + y.n - p.n)),
+reach as (
+  select doc_id, doc_id as r from documents
+  union select reach.doc_id, links.b from reach join links on links.a = reach.r)
+select d.doc_id, coalesce(any_value(s.n), 0) as n_shingles, min(reach.r) as component_id, min(reach.r) = d.doc_id as kept
+from documents d join reach on reach.doc_id = d.doc_id left join sizes s on s.doc_id = d.doc_id group by d.doc_id
+""".format(upper=string.ascii_uppercase, lower=string.ascii_lowercase)
+
+_OP5 = """
+with recursive usable as (
+  select vec_id, label, embedding::double[] as v from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from usable a join usable b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v)) / sqrt(list_dot_product(b.v, b.v)) >= 0.98),
+counted as (select a, count(*) as n from links group by a),
+reach as (
+  select vec_id, vec_id as r from embeddings
+  union select reach.vec_id, links.b from reach join links on links.a = reach.r)
+select e.vec_id, coalesce(any_value(c.n), 0) as n_links, min(reach.r) as component_id, min(reach.r) = e.vec_id as kept
+from embeddings e join reach on reach.vec_id = e.vec_id left join counted c on c.a = e.vec_id group by e.vec_id
+"""
+
+#: 40 hex digits are 8 times 20 bits, each 4 digits of base 32.
+_OP7 = """
+with hashed as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
+digested as (
+  select page_id, html, array_to_string(list_transform(range(0, 8), lambda i: array_to_string(list_transform([15, 10, 5, 0], lambda b:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, 5 * i + 1, 5))::bigint >> b::int) & 31) + 1, 1)), '')), '') as payload_digest
+  from hashed),
+last as (select *, max(page_id) over (partition by html) as response from digested)
+select page_id, strlen(html)::bigint as payload_bytes, payload_digest, case when page_id = response then 'response' else 'revisit' end as record_type,
+       case when page_id <> response then response end as refers_to
+from last
+"""
+
 #: Levels that the SQL of op13 has: trees of up to 8**8 documents of a language, 8**4 languages.
 _TREE_LEVELS, _TOP_LEVELS = 8, 4
 
@@ -273,4 +321,12 @@ select m.doc_id, m.leaf, m.subroot, r.digest as root, sha256(m.proof) as proof_s
 from s_up{_TOP_LEVELS} m, s{_TOP_LEVELS} r"""
 
 
-ORACLE: dict[str, str] = {"op4_source_mixing": _OP4, "op6_exact_top_k": _OP6, "op11_hard_negatives": _OP11, "op13_merkle_manifest": _op13()}
+ORACLE: dict[str, str] = {
+    "op2_minhash_near_dedup": _OP2,
+    "op4_source_mixing": _OP4,
+    "op5_embedding_near_dedup": _OP5,
+    "op6_exact_top_k": _OP6,
+    "op7_warc": _OP7,
+    "op11_hard_negatives": _OP11,
+    "op13_merkle_manifest": _op13(),
+}
