@@ -6,7 +6,8 @@ symbol, the stream type and the time it was received.  Malformed frames are
 split off into a quarantine with a reason instead of failing the job.
 
 All functions take and return DataFrames (batch or streaming) and run as
-narrow, per-row expressions: no shuffle, no action.
+narrow, per-row expressions, without shuffle or action; only a subscription
+given as a DataFrame is counted and joined (see ``subscription_filter``).
 """
 
 from __future__ import annotations

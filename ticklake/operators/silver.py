@@ -12,6 +12,9 @@ NULL for that field only; an unparseable number gives a NULL decimal.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -153,4 +156,4 @@ def payload_columns(silver_df_columns: list[str]) -> list[str]:
 
 def empty_payloads(silver_df_columns: list[str]) -> Column:
     """How many rows have a payload without any usable field."""
-    return F.count_if(F.coalesce(*[F.col(c).cast("string") for c in payload_columns(silver_df_columns)]).isNull())
+    return F.count_if(reduce(and_, [F.col(c).isNull() for c in payload_columns(silver_df_columns)]))
