@@ -8,7 +8,7 @@ import pytest
 from ticklake.llm import mixing, sharding
 from ticklake.llm.mixing import mixed_documents, mixture
 from ticklake.llm.queries import ORACLE
-from ticklake.llm.sharding import _Tree, best_fit, pack, sharded
+from ticklake.llm.sharding import _Tree, best_fit, bins_of, pack, pack_into, sharded
 
 
 def test_tree_gives_the_tightest_bin():
@@ -24,29 +24,56 @@ def test_tree_gives_the_tightest_bin():
             plain.remove(min(fit))
 
 
-def test_best_fit_and_pack():
-    sizes = sorted((random.Random(2).randrange(1, 100) for _ in range(300)), reverse=True)
+def histogram(sizes):
+    return sorted(Counter(sizes).items(), reverse=True)
+
+
+def bins_by_item(packed):
+    """The bin of each item, in the order of the sizes."""
+    return [first + i // per for runs in packed for n, per, first in runs for i in range(n)]
+
+
+def plain_best_fit(sizes, capacity, bins):
+    left, out = [], []
+    for s in sorted(sizes, reverse=True):
+        fit = [(c, i) for i, c in enumerate(left) if c >= s]
+        if s > capacity or (not fit and len(left) == bins):
+            return None
+        i = min(fit)[1] if fit else len(left)
+        left[i:] = left[i:] if fit else [capacity]
+        left[i] -= s
+        out.append(i)
+    return out
+
 
-    def plain(capacity, bins):
-        left, out = [], []
-        for s in sizes:
-            fit = [(c, i) for i, c in enumerate(left) if c >= s]
-            if not fit and len(left) == bins:
-                return None
-            i = min(fit)[1] if fit else len(left)
-            left[i:] = left[i:] if fit else [capacity]
-            left[i] -= s
-            out.append(i)
-        return out
-
-    for capacity in (120, 1000, 2000):
-        for bins in (8, 16, 200):
-            assert best_fit(sizes, capacity, bins) == plain(capacity, bins)
-    for given in (sizes, [10_000, *sizes], [5] * 3, [7], [9, 9, 1, 1, 1, 1]):
-        loads = Counter()
-        for s, b in zip(given, pack(given, 4)):
+@pytest.mark.parametrize("most", [5, 100])
+def test_best_fit_of_a_histogram_is_that_of_each_item(most):
+    sizes = [random.Random(2).randrange(1, most) for _ in range(300)]
+    sizes += [random.Random(most).randrange(1, most) for _ in range(100)]
+    for capacity in (120, 131, 1000, 2000):
+        for bins in (8, 16, 400):
+            found, plain = best_fit(histogram(sizes), capacity, bins), plain_best_fit(sizes, capacity, bins)
+            assert (found is None) == (plain is None)
+            if found is not None:  # equal sizes are interchangeable
+                items = sorted(sizes, reverse=True)
+                assert sorted(zip(items, bins_by_item(found))) == sorted(zip(items, plain))
+
+
+def test_pack_and_pack_into():
+    sizes = sorted((random.Random(2).randrange(1, 100) for _ in range(300)), reverse=True)
+    for given in (sizes, [10_000, *sizes], [5] * 3, [7], [9, 9, 1, 1, 1, 1], [50] * 2 + [1] * 40):
+        loads, packed = Counter(), pack(histogram(given), 4)
+        for s, b in zip(given, bins_by_item(packed), strict=True):
             loads[b] += s
         assert max(loads) < 4 and max(loads.values()) <= max(given[0], sum(given) / 4 + max(given[-1], 1) + 9)
+    for capacity in (99, 150, 1000):
+        loads, packed = Counter(), pack_into(histogram([10_000, 5_000, *sizes]), capacity)
+        for s, b in zip([10_000, 5_000, *sizes], bins_by_item(packed), strict=True):
+            loads[b] += s
+        assert sorted(loads) == list(range(bins_of(packed))) and sorted(loads.values())[-2:] == [5_000, 10_000]
+        assert sorted(loads.values())[-3] <= capacity
+        assert len(loads) - 2 <= -(-sum(sizes) // capacity) * 11 // 9 + 1  # what best fit decreasing guarantees
+    assert pack([], 4) == [] and pack_into([], 10) == [] and bins_of([]) == 0
 
 
 def test_shards_keep_groups_and_number_rows(docs):
@@ -71,12 +98,42 @@ def test_shards_keep_groups_and_number_rows(docs):
     assert sharded(docs([])).count() == 0
 
 
-def test_many_small_groups_come_out_alike(docs, monkeypatch):
-    monkeypatch.setattr(sharding, "LARGE_SHARE", 1)
-    monkeypatch.setattr(sharding, "BUNDLES", 64)
-    out = sharded(docs([(i, f"text {i}") for i in range(3000)]), shards=4).groupBy("shard").sum("size").collect()
-    loads = [r[1] for r in out]
-    assert len(loads) == 4 and max(loads) < 1.1 * min(loads)
+@pytest.mark.parametrize("part_groups", [100_000, 7])
+def test_shards_are_those_of_packing_each_group(docs, monkeypatch, part_groups):
+    monkeypatch.setattr(sharding, "PART_GROUPS", part_groups)
+    r = random.Random(5)
+    rows = [(i, f"{i:05d}" + "z" * r.choice([0, 3, 40, 700])) for i in range(300)] + [(900 + i, "copies") for i in range(60)]
+    groups = Counter()
+    for _, text in rows:
+        groups[text] += len(text) + 1
+    out = sharded(docs(rows), capacity=5000).collect()
+    assert {x.law for x in out} == {"capacity"}
+    loads, text = Counter(), dict(rows)
+    for x in out:
+        loads[x.shard] += x.size
+    plain = Counter()
+    items = sorted(groups.values(), reverse=True)
+    for size, b in zip(items, plain_best_fit(items, 5000, None)):
+        plain[b] += size
+    assert sorted(loads.values()) == sorted(plain.values()) and max(loads.values()) <= 5000
+    assert len({x.shard for x in out if text[x.doc_id] == "copies"}) == 1
+    with pytest.raises(ValueError):
+        sharded(docs(rows), capacity=0)
+
+
+def test_beyond_the_exact_sizes_bundles_come_out_alike(docs, monkeypatch):
+    rows = [(i, f"text {i} " + "v" * (i % 211)) for i in range(3000)] + [(5000 + i, "hot") for i in range(1500)]
+    loads = {}
+    for most in (sharding.MAX_SIZES, 10):
+        monkeypatch.setattr(sharding, "MAX_SIZES", most)
+        monkeypatch.setattr(sharding, "LARGE_SHARE", 100)
+        monkeypatch.setattr(sharding, "BUNDLES", 64)
+        out = sharded(docs(rows), shards=4)
+        assert out.count() == len(rows) and out.where("size = 4").select("shard").distinct().count() == 1
+        loads[most] = [r[1] for r in out.groupBy("shard").sum("size").collect()]
+    assert all(len(x) == 4 for x in loads.values())
+    assert max(loads[sharding.MAX_SIZES]) < 1.1 * min(loads[sharding.MAX_SIZES])
+    assert max(loads[100_000]) - min(loads[100_000]) < len("text 0 ") + 1  # the smallest group
 
 
 ROWS = (
