@@ -46,11 +46,12 @@ from ticklake.operators.silver import (
 from ticklake.plans.ingest import BRONZE_LINEAGE_SCHEMA, BRONZE_WITH_LINEAGE, read_frame_files, start_ingestion
 from ticklake.plans.medallion import LAYERS, bronze_from_records, chain, landing_records
 from ticklake.plans.testdata import market_frames, read_table
-from ticklake.schemas import BRONZE_SCHEMA, STREAM_TYPES
+from ticklake.schemas import BRONZE_SCHEMA, KAFKA_RECORD_SCHEMA, SILVER_AGG_TRADE_SCHEMA, STREAM_TYPES
 from ticklake.session import scratch_dir
 from ticklake.sources.layers import read_snapshot
 from ticklake.streaming.layers import TableLayout, run_layers_once
 from ticklake.streaming.progress import ProgressLog, observed_counts, totals
+from ticklake.streaming.replay import read_version, replay_layer
 from ticklake.streaming.state import open_windows
 from ticklake.streaming.sync import GOLD_SCHEMAS, SyncSpec, start_sync, sync_all
 
@@ -66,6 +67,7 @@ _FEED_SCHEMA = "frame string, received_at timestamp, seq long"
 # Late trades are replayed so many times as fast, from this instant on, so that
 # ten minutes of watermark hold hundreds of trades.
 REPLAY_SPEED, REPLAY_FROM = 500, datetime(2024, 1, 1)
+RESET_AT = datetime(2024, 1, 10, 7, 33)  # Silver is replayed when the feed has come so far (UTC)
 REPLAY_CUT = datetime(2024, 1, 1, 1, 10)  # the last arrival begins here
 
 # What follows the stream name in an odd frame.
@@ -395,6 +397,38 @@ def _late_trades(spark, sf_dir, late: Callable | None = None, log: ProgressLog |
     return layout
 
 
+def _replayed_silver(spark, sf_dir) -> TableLayout:
+    """The chain to the volatility table over a feed that arrives in two
+    parts; between them Silver is reset and replayed into a new version, while
+    Gold keeps its table, state and checkpoint."""
+    bronze, silver, gold = chain("gold_volatility")
+    whole = read_snapshot(spark, _bronze_tables(spark, sf_dir)["landing"], KAFKA_RECORD_SCHEMA)
+    # odd frames have no sequence and no time of their own
+    early = F.col("offset").isNull() | (F.col("timestamp") < instant_from_utc_wall_clock(F.lit(RESET_AT.isoformat(sep=" ")).cast("timestamp_ntz")))
+    layout = _layout(spark, "replay")
+    whole.where(early).write.format(layout.fmt).save(layout.table("landing"))
+    run_layers_once(spark, layout, [bronze, silver, gold])
+    layout = replay_layer(spark, layout, silver, [gold])
+    whole.where(~early).write.format(layout.fmt).mode("append").save(layout.table("landing"))
+    run_layers_once(spark, layout, [bronze, silver, gold])
+    return layout
+
+
+def q_gold_after_replay(spark, sf_dir):
+    """What the Gold table holds after ``_replayed_silver``: rows that Silver
+    made again must not count twice, in windows that were open at the reset."""
+    gold = read_snapshot(spark, _replayed_silver(spark, sf_dir).table("gold_volatility"), GOLD_SCHEMAS["gold_volatility"])
+    return for_compare(to_serving_contract(gold, "gold_volatility"))
+
+
+def q_silver_after_replay(spark, sf_dir):
+    """What the new version of the Silver table holds: all trades, once."""
+    layout = _replayed_silver(spark, sf_dir)
+    silver = read_version(spark, layout, "silver_agg_trade", SILVER_AGG_TRADE_SCHEMA)
+    # an odd frame's receive time is that of its landing
+    return for_compare(silver.where("trade_timestamp is not null"))
+
+
 def q_late_trades_stream(spark, sf_dir, late: Callable | None = None):
     """What the Gold table holds after the three arrivals of ``_late_trades``."""
     layout = _late_trades(spark, sf_dir, late)
@@ -516,6 +550,8 @@ QUERIES: dict[str, Query] = {
     "gold_volatility_stream": _q_gold_stream("gold_volatility"),
     "gold_spread_stream": _q_gold_stream("gold_spread"),
     "gold_liquidity_stream": _q_gold_stream("gold_liquidity"),
+    "gold_after_replay": q_gold_after_replay,
+    "silver_after_replay": q_silver_after_replay,
     "silver_quality": q_silver_quality,
     "late_trades_stream": q_late_trades_stream,
     "late_trades_dropped": q_late_trades_dropped,

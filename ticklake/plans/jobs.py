@@ -29,6 +29,7 @@ from ticklake.plans.medallion import LAYERS, bronze_from_records
 from ticklake.sources.kafka import read_topic
 from ticklake.sources.layers import write_layer
 from ticklake.streaming.layers import TableLayout, start_layer, wait_for_source
+from ticklake.streaming.replay import at_current_versions, replay_layer
 from ticklake.streaming.sync import serving_specs, sync_all, sync_until_stopped
 
 
@@ -81,6 +82,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--max-per-trigger", type=int, default=None)
     parser.add_argument("--frames", default=None, help="folder of text files with a frame per line (ingest)")
     parser.add_argument("--from-ingested", action="store_true", help="Bronze reads what ingest has written")
+    parser.add_argument("--replay", action="store_true", help="make the layer again from the one above, and switch to it; neither it nor those that read it may be running")
     parser.add_argument("--interval", type=float, default=30.0, help="seconds between serving cycles")
     parser.add_argument(
         "--shuffle-partitions", type=int, default=None,
@@ -97,7 +99,12 @@ def main(argv: list[str] | None = None) -> int:
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         )
     spark = builder.getOrCreate()
-    layout = TableLayout(args.root.rstrip("/"), args.format)
+    layout = at_current_versions(spark, TableLayout(args.root.rstrip("/"), args.format), LAYERS)
+    if args.replay:
+        if args.layer not in LAYERS:
+            parser.error("only a layer can be replayed")
+        replay_layer(spark, layout, LAYERS[args.layer], [s for s in LAYERS.values() if s.source == args.layer])
+        return 0
     if args.layer == "serving":
         if not args.available_now:
             sync_until_stopped(spark, serving_specs(layout), layout.fmt, args.interval)

@@ -287,6 +287,8 @@ WHERE json_extract_string(frame, '$.stream') IN (
         "gold_volatility_stream": _gold_stream("gold_volatility"),
         "gold_spread_stream": _gold_stream("gold_spread"),
         "gold_liquidity_stream": _gold_stream("gold_liquidity"),
+        "gold_after_replay": _gold_stream("gold_volatility"),
+        "silver_after_replay": _with(_M, _TRADES) + "SELECT * FROM trades",
         "silver_quality": _with(_M, _FRAMES, _ODD, _LEVELS).rstrip()
         + """, named AS (
   SELECT 'silver_' || CASE stream_type WHEN 'aggTrade' THEN 'agg_trade' WHEN 'bookTicker' THEN 'book_ticker' ELSE 'depth10' END AS layer,

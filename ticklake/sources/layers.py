@@ -85,7 +85,7 @@ def write_layer(
     path: str,
     checkpoint_path: str,
     trigger_interval: str | None = None,
-    partition_by: str | None = None,
+    partition_by: str | list[str] | None = None,
     fmt: str = DEFAULT_FORMAT,
     available_now: bool = False,
     query_name: str | None = None,
@@ -108,7 +108,7 @@ def write_layer(
         writer = writer.trigger(availableNow=True)
     elif trigger_interval is not None:
         writer = writer.trigger(processingTime=trigger_interval)
-    if partition_by is not None:
+    if partition_by:
         writer = writer.partitionBy(partition_by)
     if query_name is not None:
         writer = writer.queryName(query_name)

@@ -15,8 +15,9 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ticklake.contracts import assert_contract
 from ticklake.sources.layers import DEFAULT_FORMAT, read_layer, table_available, write_layer
@@ -54,27 +55,40 @@ class SourceNotReady(RuntimeError):
 @dataclass(frozen=True)
 class TableLayout:
     """Table and checkpoint paths under one root (on shared storage); ``at``
-    gives the path of tables that lie elsewhere."""
+    gives the path of tables that lie elsewhere, ``versions`` which version of a
+    replayed layer counts (``ticklake.streaming.replay``; 0 is the first)."""
 
     root: str
     fmt: str = DEFAULT_FORMAT
     at: Mapping[str, str] = field(default_factory=dict)
+    versions: Mapping[str, int] = field(default_factory=dict)
+
+    def _versioned(self, name: str) -> str:
+        return f"{name}__v{self.versions[name]}" if self.replayed(name) else name
+
+    def replayed(self, name: str) -> bool:
+        return self.versions.get(name, 0) > 0
 
     def table(self, name: str) -> str:
-        return self.at.get(name, f"{self.root}/tables/{name}")
+        return self.at.get(name, f"{self.root}/tables/{self._versioned(name)}")
 
     def checkpoint(self, name: str) -> str:
-        return f"{self.root}/checkpoints/{name}"
+        return f"{self.root}/checkpoints/{self._versioned(name)}"
+
+
+# Partition column of a replayed layer's table: rows made again by the replay, which the layers below have had.
+REPLAYED = "replayed"
 
 
 def source_ready(spark: SparkSession, layout: TableLayout, spec: LayerSpec) -> bool:
     """True when the layer can start: its source table exists and, when it
     is partitioned, its partition column can be discovered from the files."""
     path = layout.table(spec.source)
-    if spec.source_partitioned_by is None:
+    needed = {spec.source_partitioned_by} - {None} | ({REPLAYED} if layout.replayed(spec.source) else set())
+    if not needed:
         return table_available(spark, path, spec.source_schema, layout.fmt)
     try:
-        return spec.source_partitioned_by in spark.read.format(layout.fmt).load(path).columns
+        return needed <= set(spark.read.format(layout.fmt).load(path).columns)
     except AnalysisException:  # no table, or no data files yet to infer from
         return False
 
@@ -97,31 +111,39 @@ def start_layer(
     available_now: bool = False,
     max_files_per_trigger: int | None = None,
     known_ready: bool = False,
+    replay: bool = False,
 ) -> StreamingQuery:
     """Start one layer's streaming query and return its handle.  Raises
     ``SourceNotReady`` instead of starting on a source it would misread
     (``known_ready``: the caller has just looked), and ``ContractError`` if
-    the transform breaks the layer's output contract."""
+    the transform breaks the layer's output contract.  Of a source that was
+    replayed it reads what is new; ``replay`` (for ``replay_layer``) reads all
+    and marks its own rows as made again."""
     if not known_ready and not source_ready(spark, layout, spec):
         raise SourceNotReady(f"{spec.name}: source not ready: {layout.table(spec.source)}")
     stream = read_layer(
         spark,
         layout.table(spec.source),
-        spec.source_schema,
+        StructType([*spec.source_schema.fields, StructField(REPLAYED, BooleanType())]) if layout.replayed(spec.source) else spec.source_schema,
         layout.fmt,
         max_files_per_trigger=max_files_per_trigger,
     )
+    if layout.replayed(spec.source):  # folders that the scan leaves out
+        stream = (stream if replay else stream.where(~F.col(REPLAYED))).drop(REPLAYED)
     out = spec.transform(stream)
     if spec.output_schema is not None:
         assert_contract(out, spec.output_schema)
     if counted := spec.counts():
         out = out.observe(spec.name, *[c.alias(name) for name, c in counted.items()])
+    partition_by = [spec.partition_by] if spec.partition_by else []
+    if layout.replayed(spec.name):
+        out, partition_by = out.withColumn(REPLAYED, F.lit(replay)), [REPLAYED, *partition_by]
     return write_layer(
         out,
         layout.table(spec.name),
         layout.checkpoint(spec.name),
         trigger_interval=None if available_now else spec.trigger_interval,
-        partition_by=spec.partition_by,
+        partition_by=partition_by,
         fmt=layout.fmt,
         available_now=available_now,
         query_name=None,

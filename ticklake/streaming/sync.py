@@ -20,7 +20,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from ticklake.operators.serving import JdbcTarget, insert_absent
 from ticklake.schemas import (
@@ -29,7 +29,7 @@ from ticklake.schemas import (
     GOLD_VOLATILITY_SCHEMA,
 )
 from ticklake.sources.layers import DEFAULT_FORMAT, read_layer, table_available, try_read_snapshot
-from ticklake.streaming.layers import TableLayout
+from ticklake.streaming.layers import REPLAYED, TableLayout
 
 
 @dataclass(frozen=True)
@@ -189,9 +189,11 @@ def sync_until_stopped(
 
 def serving_specs(layout: TableLayout, targets: dict[str, "str | JdbcTarget"] | None = None) -> list[SyncSpec]:
     """The syncs of all Gold tables of a layout; a target is a table of the
-    same layout unless given."""
+    same layout unless given.  Of a replayed Gold table all rows are offered;
+    the insert takes those whose key is absent."""
     targets = targets or {}
+    with_mark = [StructField(REPLAYED, BooleanType())]
     return [
-        SyncSpec(t, layout.table(t), schema, targets.get(t, layout.table(f"serving_{t}")), layout.checkpoint(f"serving_{t}"))
+        SyncSpec(t, layout.table(t), StructType(schema.fields + with_mark) if layout.replayed(t) else schema, targets.get(t, layout.table(f"serving_{t}")), layout.checkpoint(f"serving_{t}"))
         for t, schema in GOLD_SCHEMAS.items()
     ]
