@@ -105,6 +105,28 @@ def test_source_that_grows_meanwhile(spark, scratch, monkeypatch):
     assert replay_layer(spark, now, SILVER, [GOLD]).versions["silver"] == 3  # begins anew
 
 
+def test_serving_sync_of_a_replayed_gold_table(spark, scratch):
+    from ticklake.operators.serving import read_serving
+    from ticklake.plans.medallion import LAYERS
+    from ticklake.streaming.sync import serving_specs, sync_all
+
+    gold = LAYERS["gold_volatility"]
+    layout = TableLayout(scratch("served"))
+    trades = TableLayout(layout.root, at={"above": layout.table(gold.source)})
+    served = []
+    for times in ([(10, 1), (10, 2), (10, 40)], [(10, 41), (11, 30)]):
+        arrive(spark, trades, *times)
+        run_layers_once(spark, layout, [gold])
+        if not served:
+            layout = replay_layer(spark, layout, gold, [])
+        (spec,) = [s for s in serving_specs(layout) if s.table == gold.name]
+        query = sync_all(spark, [spec], available_now=True)[gold.name]
+        assert query is not None and query.exception() is None
+        rows = read_serving(spark, spec.target_path, gold.name).collect()
+        served.append(sorted((r.window_start.strftime("%H:%M"), r.trade_count) for r in rows))
+    assert served == [[("10:00", 2)], [("10:00", 2), ("10:40", 2)]]
+
+
 def test_nothing_to_replay(spark, scratch):
     with pytest.raises(SourceNotReady):
         replay_layer(spark, TableLayout(scratch("none")), SILVER, [GOLD])
