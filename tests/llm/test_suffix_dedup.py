@@ -1,9 +1,11 @@
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 
 from ticklake.llm import suffix_dedup
-from ticklake.llm.suffix_dedup import LENGTH, repeated_passages
+from ticklake.llm.suffix_dedup import LENGTH, WINDOW, anchors, common_words, pieces, repeated_passages
 
 
 def brute(rows):
@@ -45,15 +47,49 @@ def texts():
     return out
 
 
-@pytest.mark.parametrize("held", [100_000, 2])
-def test_passages_equal_brute_force(docs, monkeypatch, held):
-    monkeypatch.setattr(suffix_dedup, "HELD", held)
+@pytest.mark.parametrize(("piece", "many", "places", "coalesce"), [(20_000, 1000, 1 << 20, True), (20_000, 1, 0, False), (2, 2, 1 << 20, True)])
+def test_passages_equal_brute_force(spark, docs, monkeypatch, piece, many, places, coalesce):
+    monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+    monkeypatch.setattr(suffix_dedup, "MANY", many)
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_PLACES", places)
     rows = list(enumerate(texts()))
-    out = repeated_passages(docs(rows)).collect()
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(coalesce).lower())  # without it the array is cut into partitions here too
+    try:
+        out = repeated_passages(docs(rows)).collect()
+    finally:
+        spark.conf.set(key, before)
     assert sorted((r.doc_id, r.start_word, r.end_word, r.first_id) for r in out) == brute(rows)
     assert all(r.n_words == r.end_word - r.start_word >= LENGTH for r in out)
 
 
+def test_every_window_has_one_anchor():
+    words = np.random.default_rng(8).integers(0, 40, 500).astype(np.uint64)  # many ties
+    places, first, last = anchors(words, chunk=64)
+    assert [s for a, b in zip(first, last) for s in range(a, b + 1)] == list(range(500 - LENGTH + 1))
+    assert ((first <= places) & (places - first < WINDOW) & (last <= places)).all()
+    for chosen, other in zip(anchors(words), (places, first, last)):
+        assert (chosen == other).all()
+    assert [len(x) for x in anchors(words[: LENGTH - 1])] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("size", [1, 3, 100])
+def test_pieces_hold_all_rows_and_mark_cut_intervals(size):
+    names = [1] * 4 + [2] * 2 + [3] * 9 + [4] + [5] * 3
+    frame = pd.DataFrame({"head": 0, "name": names, "row": range(len(names))})
+    got = list(pieces((frame.iloc[a : a + size] for a in range(0, len(frame), size)), 5))
+    assert [r for f, _ in got for r in f["row"]] == list(range(len(names)))
+    cut = {n for f, c in got for n in f["name"][c]}
+    assert {1, 5} <= cut and not cut & {2, 4}  # the partition's borders, and what is small
+    for name in {1, 2, 3, 4, 5} - cut:
+        assert sum(name in set(f["name"]) for f, _ in got) == 1
+
+
+def test_neighbours_common_words():
+    assert common_words(np.array([[1, 2, 3], [1, 2, 4], [1, 2, 4], [2, 2, 4]])).tolist() == [2, 3, 0]
+
+
 def test_repeated_rows_null_ids_and_an_empty_table(docs):
     text = " ".join(f"word{i}" for i in range(60))
     assert repeated_passages(docs([(1, text), (1, text), (None, text), (2, "x " + text[:100])])).count() == 0

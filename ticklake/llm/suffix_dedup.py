@@ -2,19 +2,26 @@
 
 Of each text only the suffixes that begin at minimiser positions are kept: the
 place of the smallest SEED-word hash in each window of WINDOW places.  The choice
-depends on the words there alone, so a passage of LENGTH words that stands in two
-documents has a kept suffix at the same place of its first WINDOW words in both,
-and the suffixes agree for at least LENGTH - WINDOW + 1 words (the depth).
-
-1. Suffixes are sorted by their words to that depth (as a hash) and go
-   on only where neighbours from different documents are equal.
-2. Those that are left fetch the words around them, and neighbours are compared
-   left and right: a place of the passage is repeated where all LENGTH words of
-   a window over the suffix are the same in another document.
+depends on the words there alone.  So the first WINDOW places of a passage of
+LENGTH words choose the same suffix (its anchor) in every document, and these
+suffixes agree for at least LENGTH - WINDOW + 1 words (the depth).
+
+1. Suffixes that share their first DEPTH words with no other document are left
+   out, by a count of a hash of these words.
+2. The others fetch the words around them and become a sorted array, dealt by
+   ranges: by their first words, the name (hash) of their first DEPTH words, and
+   on to LENGTH words.  Neighbours are compared: the number of words that they have in common cuts
+   the array into intervals for each length of a match to the right; in an
+   interval the match is extended to the left by the words before.  A place of
+   the passage is repeated where all LENGTH words of a window over the suffix
+   stand in another document.
 3. The windows of a document join to maximal passages.
 
-Equal texts of ids with one text are one document until the end.  A suffix shared by more rows than
-one task should hold goes window by window through a count instead.
+Tasks hold the array in pieces of bounded size.  An interval that a piece's border cuts is
+settled by a min and max id per window over the pieces, so a passage that
+stands in a third of all documents is spread over tasks like any other.
+
+Equal texts of ids with one text are one document until the end.
 """
 
 from __future__ import annotations
@@ -23,10 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import Work, broadcast_if_small, sliced, staged, whole_runs
+from ticklake.llm.common import Work, broadcast_if_small, sliced, staged
 from ticklake.llm.shingles import WordHashes, mixed, window_hashes, word_array
 
 #: Words of a passage, places of a minimiser window, words of a seed.
@@ -34,10 +42,12 @@ LENGTH, WINDOW, SEED = 50, 20, 5
 DEPTH = LENGTH - WINDOW + 1
 #: Texts whose results are handed to Spark together.
 SLICE = 1000
-#: Rows of one suffix that a task compares at once (500 bytes each).
-HELD = 100_000
-#: Documents whose ids (8 bytes), or suffix places (4 bytes each), may be broadcast.
-BROADCAST_IDS, BROADCAST_PLACES = 2_000_000, 100_000
+#: Rows of one interval (400 bytes each) that a task holds; a longer one is cut into pieces.
+PIECE = 20_000
+#: Documents whose ids (8 bytes) may be broadcast; bytes of suffix places that may be.
+BROADCAST_IDS, BROADCAST_PLACES = 2_000_000, 32 << 20
+#: Rows from which a key is kept out of the shuffle by key, and keys of that kind that may be broadcast.
+MANY, BROADCAST_KEYS = 1000, 500_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -56,17 +66,18 @@ def run_hashes(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray
     return mixed((sums[starts + length] - sums[starts]) * _powers(_BASE_INVERSE, len(words) + 1)[starts])
 
 
-def anchors(words: np.ndarray, chunk: int = 1 << 16) -> np.ndarray:
-    """Minimiser places of a text with a suffix of DEPTH words or more."""
-    seeds = mixed(window_hashes(words, SEED))
-    found = []
-    for at in range(0, len(seeds) - WINDOW + 1, chunk):
-        part = np.lib.stride_tricks.sliding_window_view(seeds[at : at + chunk + WINDOW - 1], WINDOW)
-        found.append(np.unique(part.argmin(axis=1) + np.arange(at, at + len(part))))
-    if not found:
-        return np.empty(0, np.int64)
-    out = np.unique(np.concatenate(found))
-    return out[out + DEPTH <= len(words)]
+def anchors(words: np.ndarray, chunk: int = 1 << 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Minimiser places of a text, and of each the first and the last start of
+    a window of LENGTH words that it is the anchor of (every start has one)."""
+    if len(words) < LENGTH:
+        return (np.empty(0, np.int64),) * 3
+    seeds, starts = mixed(window_hashes(words, SEED)), len(words) - LENGTH + 1
+    of = np.empty(starts, np.int64)
+    for at in range(0, starts, chunk):
+        part = np.lib.stride_tricks.sliding_window_view(seeds[at : min(at + chunk, starts) + WINDOW - 1], WINDOW)
+        of[at : at + len(part)] = part.argmin(axis=1) + np.arange(at, at + len(part))
+    places, first, n = np.unique(of, return_index=True, return_counts=True)
+    return places, first, first + n - 1
 
 
 def _suffixes(docs: DataFrame) -> DataFrame:
@@ -78,7 +89,8 @@ def _suffixes(docs: DataFrame) -> DataFrame:
             keys, ids, places = [], [], []
             for key, text in zip(batch["id"], batch["text"]):
                 words = word_array(text, hashes)
-                if len(words) >= LENGTH and len(at := anchors(words)):
+                if len(words) >= LENGTH:
+                    at = anchors(words)[0]
                     keys.append(run_hashes(words, at, DEPTH).view(np.int64))
                     ids.append(np.full(len(at), key, np.int64))
                     places.append(at.astype(np.int32))
@@ -89,85 +101,144 @@ def _suffixes(docs: DataFrame) -> DataFrame:
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
-    """The words around given places (column `places`): 32-bit
-    hashes of the WINDOW - 1 words before and the LENGTH from there on, and the
-    number of words there are on the left and on the right."""
+    """The suffixes at given places (column `places`): the first two words as a
+    number, the name of the first DEPTH words, the fewest and most words on the
+    left of windows that the suffix is the anchor of, and 32-bit hashes of the
+    LENGTH words from there on and of the WINDOW - 1 words before, nearest first
+    (zeros beyond the text)."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, before = WordHashes(), WINDOW - 1
+        hashes, left = WordHashes(), WINDOW - 1
         for batch in sliced(batches, SLICE):
             rows = []
             for key, text, places in zip(batch["id"], batch["text"], batch["places"]):
                 words = word_array(text, hashes)
-                small = np.concatenate([np.zeros(before, np.uint32), (words >> np.uint64(32)).astype(np.uint32), np.zeros(LENGTH, np.uint32)])
-                places = np.asarray(places, np.int64)
-                places = places[places + DEPTH <= len(words)]  # others are of another text with this id
-                for pos, suffix in zip(places.tolist(), run_hashes(words, places, DEPTH).view(np.int64).tolist()):
-                    around = small[pos : pos + before + LENGTH].tobytes()
-                    rows.append((suffix, key, pos, min(before, pos), min(LENGTH, len(words) - pos), around))
-            yield pd.DataFrame(rows, columns=["key", "id", "pos", "left", "right", "around"])
-
-    return docs.mapInPandas(cut, "key long, id long, pos int, left int, right int, around binary")
-
-
-def _windows(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """For each row and number of words l taken on the left: a hash of the
-    window of LENGTH words from there, and whether the text has it."""
-    around = np.stack([np.frombuffer(x, np.uint32) for x in rows["around"]]).astype(np.uint64)
-    terms = mixed(around + np.uint64(1)) * _powers(_BASE, around.shape[1])[None, :]
-    sums = np.concatenate([np.zeros((len(around), 1), np.uint64), np.cumsum(terms, axis=1, dtype=np.uint64)], axis=1)
-    starts = WINDOW - 1 - np.arange(WINDOW)
-    hashes = mixed((sums[:, starts + LENGTH] - sums[:, starts]) * _powers(_BASE_INVERSE, WINDOW)[starts][None, :])
+                at, first, last = anchors(words)
+                some = np.isin(at, np.asarray(places, np.int64))  # others are of another text with this id
+                at, first, last = at[some], first[some], last[some]
+                small = np.concatenate([np.zeros(left, np.uint32), (words >> np.uint64(32)).astype(np.uint32), np.zeros(LENGTH, np.uint32)])
+                heads = (words[at] & ~np.uint64(0xFFFFFFFF) | words[at + 1] >> np.uint64(32)).view(np.int64)
+                names = run_hashes(words, at, DEPTH).view(np.int64)
+                for pos, head, name, low, high in zip(at.tolist(), heads.tolist(), names.tolist(), (at - last).tolist(), (at - first).tolist()):
+                    middle = pos + left
+                    rows.append((head, name, key, pos, low, high, small[middle : middle + LENGTH].tobytes(), small[pos:middle][::-1].tobytes()))
+            yield pd.DataFrame(rows, columns=["head", "name", "id", "pos", "low", "high", "after", "before"])
+
+    return docs.mapInPandas(cut, "head long, name long, id long, pos int, low int, high int, after binary, before binary")
+
+
+def _matrix(column: pd.Series, n: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column), np.uint32).reshape(-1, n)
+
+
+def common_words(after: np.ndarray) -> np.ndarray:
+    """The number of first words that neighbours of a sorted array share."""
+    same = after[1:] == after[:-1]
+    return np.where(same.all(axis=1), after.shape[1], same.argmin(axis=1))
+
+
+def _names(words: np.ndarray) -> np.ndarray:
+    """Hashes of the first 0, 1, ... words of each row."""
+    terms = mixed(words.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, words.shape[1])[None, :]
+    return np.concatenate([np.zeros((len(words), 1), np.uint64), np.cumsum(terms, axis=1, dtype=np.uint64)], axis=1)
+
+
+def _windows(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every window that the rows' suffixes are the anchors of: its row, the
+    number of words on the left, and a hash of its words."""
+    sums = _names(np.hstack([_matrix(rows["before"], WINDOW - 1)[:, ::-1], _matrix(rows["after"], LENGTH)]))
     taken = np.arange(WINDOW)[None, :]
-    return hashes, (taken <= rows["left"].to_numpy()[:, None]) & (LENGTH - taken <= rows["right"].to_numpy()[:, None])
+    row, taken = np.nonzero((taken >= rows["low"].to_numpy()[:, None]) & (taken <= rows["high"].to_numpy()[:, None]))
+    start = WINDOW - 1 - taken
+    return row, taken, mixed((sums[row, start + LENGTH] - sums[row, start]) * _powers(_BASE_INVERSE, WINDOW)[start])
 
 
-def _compare(rows: pd.DataFrame) -> pd.DataFrame | None:
-    """Passages (id, start, end, first) of the rows of some suffixes (equal
-    windows are of one suffix, so many suffixes are compared at once)."""
-    hashes, there = _windows(rows)
-    ids, pos = rows["id"].to_numpy(), rows["pos"].to_numpy()
+def _compare(rows: pd.DataFrame) -> pd.DataFrame:
+    """Passages (id, start, end, first) of a sorted piece of the array."""
+    shared, names = common_words(_matrix(rows["after"], LENGTH)), _names(_matrix(rows["before"], WINDOW - 1))
+    ids, pos, low, high = (rows[c].to_numpy() for c in ("id", "pos", "low", "high"))
     least, most, first = np.full(len(rows), WINDOW), np.full(len(rows), -1), ids.copy()
     for taken in range(WINDOW):
-        at = np.flatnonzero(there[:, taken])
-        at = at[np.lexsort((ids[at], hashes[at, taken]))]  # neighbours: equal windows, by document
+        at = np.flatnonzero((low <= taken) & (taken <= high))
         if len(at) < 2:
             continue
-        starts = np.flatnonzero(np.r_[True, hashes[at[1:], taken] != hashes[at[:-1], taken]])
-        of = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(at)]))
-        low, high = ids[at[starts]], ids[at[np.r_[starts[1:], len(at)] - 1]]
-        some = (low != high)[of]
+        interval = np.r_[0, np.cumsum(shared < LENGTH - taken)]
+        at = at[np.lexsort((ids[at], names[at, taken], interval[at]))]
+        new = (interval[at[1:]] != interval[at[:-1]]) | (names[at[1:], taken] != names[at[:-1], taken])
+        starts = np.flatnonzero(np.r_[True, new])
+        of = np.cumsum(np.r_[0, new])
+        least_id, most_id = ids[at[starts]], ids[at[np.r_[starts[1:], len(at)] - 1]]
+        some = (least_id != most_id)[of]
         at, of = at[some], of[some]
         least[at], most[at] = np.minimum(least[at], taken), np.maximum(most[at], taken)
-        first[at] = np.minimum(first[at], low[of])
-    some = most >= 0
-    if not some.any():
-        return None
-    return pd.DataFrame({"id": ids, "start": pos - most, "end": pos - least + LENGTH, "first": first})[some]
+        first[at] = np.minimum(first[at], least_id[of])
+    return pd.DataFrame({"id": ids, "start": pos - most, "end": pos - least + LENGTH, "first": first})[most >= 0]
 
 
-def _passages(contexts: DataFrame, hot: DataFrame) -> DataFrame:
+def pieces(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """A sorted partition in pieces, and of each row whether its interval (equal
+    head and name) may go on in another piece or partition.  Only an interval
+    of `rows` rows or more is cut inside a partition."""
+    rest = opened = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        frame = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        names = frame[["head", "name"]].to_numpy()
+        opened = names[0] if opened is None else opened
+        begins = np.flatnonzero(np.r_[True, (names[1:] != names[:-1]).any(axis=1)])[-1]
+        cut = (names == opened).all(axis=1)
+        if len(frame) - begins >= rows:
+            opened, rest = names[-1], None
+            cut[begins:] = True
+            yield frame, cut
+        else:
+            rest = frame.iloc[begins:]
+            if begins:
+                yield frame.iloc[:begins], cut[:begins]
+    if rest is not None:
+        yield rest, np.ones(len(rest), bool)
+
+
+def _matches(contexts: DataFrame, work: Work) -> DataFrame:
     """(id, start, end, first): repeated windows, joined for each suffix."""
+    rows = PIECE
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in whole_runs(batches, ["key"]):
-            if len(rows) > 1 and (found := _compare(rows)) is not None:
-                yield found
-
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                hashes, there = _windows(batch)
-                x, taken = np.nonzero(there)
-                found = {"id": batch["id"].to_numpy()[x], "start": batch["pos"].to_numpy()[x] - taken, "window": hashes[x, taken].view(np.int64), "taken": taken}
-                yield pd.DataFrame(found)
-
-    usual = contexts.join(hot, "key", "left_anti").repartition("key").sortWithinPartitions("key")
-    found = usual.mapInPandas(compare, "id long, start int, end int, first long")
-    windows = contexts.join(hot, "key", "left_semi").mapInPandas(each, "id long, start int, window long, taken int")
-    shared = windows.groupBy("window", "taken").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first != last")
-    more = windows.join(shared.drop("last"), ["window", "taken"]).select("id", "start", (F.col("start") + LENGTH).alias("end"), "first")
-    return found.unionByName(more)
+        piece = TaskContext.get().partitionId() << 32
+        for frame, cut in pieces(batches, rows):
+            piece += 1
+            if not cut.all() and len(found := _compare(frame[~cut])):
+                yield found.assign(window=0, piece=-1)
+            if cut.any():
+                frame = frame[cut]
+                row, taken, window = _windows(frame)
+                ids, starts = frame["id"].to_numpy()[row], frame["pos"].to_numpy()[row] - taken
+                yield pd.DataFrame({"id": ids, "start": starts, "end": starts + LENGTH, "first": ids, "window": window.view(np.int64), "piece": piece})
+
+    # ranges may part an interval anywhere; the last column parts rows that repeat
+    array = contexts.withColumn("part", F.spark_partition_id()).withColumn("near", F.substring("before", 1, 8))
+    array = array.repartitionByRange("head", "name", "near", "id", "part").sortWithinPartitions("head", "name", "after").drop("part", "near")
+    found = work(array.mapInPandas(compare, "id long, start int, end int, first long, window long, piece long"), "suffix_matches")
+
+    cut = found.where("piece >= 0").drop("first")
+    parts = cut.groupBy("window", "piece").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    shared = parts.groupBy("window").agg(F.min("low").alias("first"), F.max("high").alias("last")).where("first != last").drop("last")
+    shared = parts.select("window", "piece").join(shared, "window")
+    settled = cut.join(shared, ["window", "piece"])
+    columns = ["id", "start", "end", "first"]
+    return found.where("piece < 0").select(columns).unionByName(settled.select(columns))
+
+
+def _with_shared_keys(suffixes: DataFrame, keys: DataFrame) -> DataFrame:
+    """The suffixes whose key is among the keys (key, n rows); those of keys with many rows aren't shuffled."""
+    usual = suffixes.join(keys.select("key"), "key", "left_semi")
+    hot = keys.where(F.col("n") >= MANY).select("key")
+    if not 0 < hot.count() <= BROADCAST_KEYS:
+        return usual
+    hot = F.broadcast(hot)
+    few = suffixes.join(hot, "key", "left_anti").join(keys.where(F.col("n") < MANY).select("key"), "key", "left_semi")
+    return few.unionByName(suffixes.join(hot, "key", "left_semi"))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -183,6 +254,19 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).where("id is not null and text is not null")
     work = Work(docs.sparkSession)
+    try:
+        out = _merged(docs, work)
+        out = out.select(
+            F.col("id").alias(id_col), F.col("start").alias("start_word"), F.col("end").alias("end_word"),
+            (F.col("end") - F.col("start")).alias("n_words"), F.col("first").alias("first_id"),
+        )
+        return staged(out, "suffix_result")
+    finally:
+        work.end()
+
+
+def _merged(docs: DataFrame, work: Work) -> DataFrame:
+    """Maximal passages (id, start, end, first)."""
     texts = work(docs.select("id", F.md5("text").alias("md5")), "suffix_texts")
     shared = texts.groupBy("md5").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("md5")
     members = work(texts.join(shared, "md5").distinct(), "suffix_members")
@@ -198,11 +282,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     suffixes = work(_suffixes(others), "suffixes")
     keys = suffixes.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n")).where("low != high")
     keys = work(keys.select("key", "n"), "suffix_keys")
-    places = suffixes.join(keys, "key").groupBy("id").agg(F.collect_set("pos").alias("places"))  # of one document
-    places = broadcast_if_small(work(places, "suffix_places"), BROADCAST_PLACES)
-    contexts = _contexts(others.join(places, "id")).dropDuplicates(["key", "id", "pos"])
-    hot = keys.where(F.col("n") > HELD).select("key")
-    found = _passages(work(contexts, "suffix_contexts"), hot)
+    places = _with_shared_keys(suffixes, keys).groupBy("id").agg(F.collect_set("pos").alias("places"))  # of one document
+    places = work(places, "suffix_places")
+    size = places.agg(F.sum(F.size("places") * 4 + 32).alias("bytes")).first()["bytes"] or 0
+    others = others.join(F.broadcast(places) if size <= BROADCAST_PLACES else places, "id")
+    found = _matches(work(_contexts(others), "suffix_contexts"), work)
 
     # a text with copies is a passage as a whole
     size = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
@@ -217,11 +301,4 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     merged = parts.groupBy("id", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("first").alias("first")).drop("part")
     merged = work(merged, "suffix_merged")
     of_copies = merged.join(copies.select(F.col("id").alias("copy"), F.col("rep").alias("id")), "id")
-    out = merged.unionByName(of_copies.select(F.col("copy").alias("id"), "start", "end", "first"))
-    out = out.select(
-        F.col("id").alias(id_col), F.col("start").alias("start_word"), F.col("end").alias("end_word"),
-        (F.col("end") - F.col("start")).alias("n_words"), F.col("first").alias("first_id"),
-    )
-    out = staged(out, "suffix_result")
-    work.end()
-    return out
+    return merged.unionByName(of_copies.select(F.col("copy").alias("id"), "start", "end", "first"))
