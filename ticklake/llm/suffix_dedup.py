@@ -18,8 +18,9 @@ suffixes agree for at least LENGTH - WINDOW + 1 words (the depth).
 3. The windows of a document join to maximal passages.
 
 Tasks hold the array in pieces of bounded size.  An interval that a piece's border cuts is
-settled by a min and max id per window over the pieces, so a passage that
-stands in a third of all documents is spread over tasks like any other.
+settled by a min and max id per window over the pieces, each of which sends a window
+once with its members; so a passage that stands in a third of all documents is
+spread over tasks like any other.
 
 Equal texts of ids with one text are one document until the end.
 """
@@ -153,6 +154,17 @@ def _windows(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, taken, mixed((sums[row, start + LENGTH] - sums[row, start]) * _powers(_BASE_INVERSE, WINDOW)[start])
 
 
+def _cut_windows(rows: pd.DataFrame) -> pd.DataFrame:
+    """The different windows of a piece, with their documents and starts."""
+    row, taken, window = _windows(rows)
+    ids, starts = rows["id"].to_numpy()[row], rows["pos"].to_numpy()[row] - taken
+    order = np.lexsort((ids, window))
+    window, ids, starts = window[order], ids[order], starts[order].astype(np.int32)
+    at = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
+    out = {"window": window[at].view(np.int64), "first": ids[at], "last": ids[np.r_[at[1:], len(ids)] - 1]}
+    return pd.DataFrame(out | {"ids": np.split(ids, at[1:]), "starts": np.split(starts, at[1:])})
+
+
 def _compare(rows: pd.DataFrame) -> pd.DataFrame:
     """Passages (id, start, end, first) of a sorted piece of the array."""
     shared, names = common_words(_matrix(rows["after"], LENGTH)), _names(_matrix(rows["before"], WINDOW - 1))
@@ -209,25 +221,23 @@ def _matches(contexts: DataFrame, work: Work) -> DataFrame:
         for frame, cut in pieces(batches, rows):
             piece += 1
             if not cut.all() and len(found := _compare(frame[~cut])):
-                yield found.assign(window=0, piece=-1)
+                yield found.assign(piece=-1, window=0, last=0, ids=None, starts=None)
             if cut.any():
-                frame = frame[cut]
-                row, taken, window = _windows(frame)
-                ids, starts = frame["id"].to_numpy()[row], frame["pos"].to_numpy()[row] - taken
-                yield pd.DataFrame({"id": ids, "start": starts, "end": starts + LENGTH, "first": ids, "window": window.view(np.int64), "piece": piece})
+                yield _cut_windows(frame[cut]).assign(piece=piece, id=0, start=0, end=0)
 
+    schema = "id long, start int, end int, first long, piece long, window long, last long, ids array<long>, starts array<int>"
     # ranges may part an interval anywhere; the last column parts rows that repeat
     array = contexts.withColumn("part", F.spark_partition_id()).withColumn("near", F.substring("before", 1, 8))
     array = array.repartitionByRange("head", "name", "near", "id", "part").sortWithinPartitions("head", "name", "after").drop("part", "near")
-    found = work(array.mapInPandas(compare, "id long, start int, end int, first long, window long, piece long"), "suffix_matches")
-
-    cut = found.where("piece >= 0").drop("first")
-    parts = cut.groupBy("window", "piece").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    shared = parts.groupBy("window").agg(F.min("low").alias("first"), F.max("high").alias("last")).where("first != last").drop("last")
-    shared = parts.select("window", "piece").join(shared, "window")
-    settled = cut.join(shared, ["window", "piece"])
-    columns = ["id", "start", "end", "first"]
-    return found.where("piece < 0").select(columns).unionByName(settled.select(columns))
+    found = work(array.mapInPandas(compare, schema), "suffix_matches")
+
+    cut = found.where("piece >= 0")
+    shared = cut.groupBy("window").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first != last").drop("last")
+    shared = cut.select("window", "piece").join(shared, "window")
+    settled = cut.select("window", "piece", "ids", "starts").join(shared, ["window", "piece"])
+    settled = settled.select("first", F.explode(F.arrays_zip("ids", "starts")).alias("of"))
+    settled = settled.select(F.col("of.ids").alias("id"), F.col("of.starts").alias("start"), (F.col("of.starts") + LENGTH).alias("end"), "first")
+    return found.where("piece < 0").select("id", "start", "end", "first").unionByName(settled)
 
 
 def _with_shared_keys(suffixes: DataFrame, keys: DataFrame) -> DataFrame:
