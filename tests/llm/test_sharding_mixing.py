@@ -136,6 +136,18 @@ def test_beyond_the_exact_sizes_bundles_come_out_alike(docs, monkeypatch):
     assert max(loads[100_000]) - min(loads[100_000]) < len("text 0 ") + 1  # the smallest group
 
 
+def test_shards_do_not_depend_on_the_number_of_sizes(docs, monkeypatch):
+    r = random.Random(8)
+    rows = [(i, f"{i:04d}" + "u" * r.randrange(900)) for i in range(500)] + [(700 + i, "copies") for i in range(90)]
+    monkeypatch.setattr(sharding, "LARGE_SHARE", 100)
+    monkeypatch.setattr(sharding, "BUNDLES", 64)
+    found = []
+    for most in (sharding.MAX_SIZES, 10):  # more sizes than this once were packed in bundles
+        monkeypatch.setattr(sharding, "MAX_SIZES", most)
+        found.append([sorted(map(tuple, sharded(docs(rows), shards=4, capacity=c).collect())) for c in (None, 3000)])
+    assert found[0] == found[1]
+
+
 ROWS = (
     [(i, "w " * (i % 37), f"s{i % 5}") for i in range(300)]
     + [(1000 + i, "tiny text", "zz") for i in range(3)]

@@ -8,10 +8,10 @@ the capacity is the smallest at which it is enough.
 
 Groups of equal size are interchangeable, so what is packed is the histogram
 (size, number of groups): the result is that of packing each group, and the
-packing holds one entry a distinct size.  The groups of a size then take its
-places by their rank among them, on the cluster.  Beyond MAX_SIZES distinct
-sizes the small groups first go by hash into BUNDLES bundles, which are packed
-in their place.
+packing holds one entry a distinct size.  That is done on the driver for any
+input: distinct sizes are at most the square root of twice all bytes (245,000
+of 30 GB, each of which would have to occur).  The groups of a size then take
+its places by their rank among them, on the cluster.
 """
 
 from __future__ import annotations
@@ -22,11 +22,10 @@ from pyspark.sql import functions as F
 from ticklake.llm.common import Work, staged
 
 SHARDS = 16
-#: Distinct group sizes that are packed exactly.
-MAX_SIZES = 100_000
-#: Beyond that, small groups go into so many bundles; a group is large from
-#: 1 / LARGE_SHARE of all bytes on.  At most BUNDLES + LARGE_SHARE sizes are packed.
-BUNDLES, LARGE_SHARE = 8192, 8192
+#: No longer looked at, as results depended on them: every input is packed exactly.
+MAX_SIZES, BUNDLES = 100_000, 8192
+#: A group with 1 / LARGE_SHARE of the rows is sent to all of them, as at most so many are.
+LARGE_SHARE = 8192
 #: Parts of a shard that are numbered apart from each other.
 PARTS = 1024
 #: Groups of a size that are numbered together.
@@ -171,31 +170,18 @@ def bins_of(packed: list[list[Run]]) -> int:
     return max((b + -(-n // per) for runs in packed for n, per, b in runs), default=0)
 
 
-def _items(work: Work, groups: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
-    """What is packed (item, bytes; one row a group or bundle) with column
-    `bundled`, and its sizes with their counts, largest first."""
-    sizes = work(groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("n")), "sharding_sizes")
-    items = groups.select(F.col("group").alias("item"), F.lit(False).alias("bundled"), "bytes")
-    if sizes.count() > MAX_SIZES:
-        total = sizes.agg(F.sum(F.col("bytes") * F.col("n"))).first()[0]
-        is_large = F.col("bytes") * LARGE_SHARE >= total
-        small = groups.where(~is_large).groupBy(_bundle().alias("item")).agg(F.sum("bytes").alias("bytes"))
-        items = items.where(is_large).unionByName(small.withColumn("bundled", F.lit(True)))
-        items = work(items, "sharding_items")  # at most BUNDLES + LARGE_SHARE
-        sizes = items.groupBy("bytes").agg(F.count(F.lit(1)).alias("n"))
-    return items, [(r["bytes"], r["n"]) for r in sizes.orderBy(F.desc("bytes")).collect()]  # bounded
-
-
-def _bundle():
-    return F.pmod(F.xxhash64(F.col("group"), F.lit(1)), F.lit(BUNDLES))
+def _sizes(groups: DataFrame) -> list[tuple[int, int]]:
+    """The sizes of the groups with their counts, largest first."""
+    found = groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("n")).toArrow()  # at most the square root of twice all bytes
+    return sorted(zip(found["bytes"].to_pylist(), found["n"].to_pylist()), reverse=True)
 
 
 def _if_bounded(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _placed(items: DataFrame, sizes: list[tuple[int, int]], packed: list[list[Run]]) -> DataFrame:
-    """The items with their shard: those of a size are ranked by their number,
+def _placed(groups: DataFrame, sizes: list[tuple[int, int]], packed: list[list[Run]]) -> DataFrame:
+    """The groups with their shard: those of a size are ranked by their number,
     in parts of about PART_GROUPS, and the ranks are dealt to the size's runs."""
     rows = []
     for (size, count), runs in zip(sizes, packed):
@@ -205,19 +191,19 @@ def _placed(items: DataFrame, sizes: list[tuple[int, int]], packed: list[list[Ru
             at += n
         rows.append((size, -(-count // PART_GROUPS), ends))
     runs = "array<struct<start:bigint,stop:bigint,per:bigint,first:int>>"
-    plan = items.sparkSession.createDataFrame(rows, f"bytes long, parts long, runs {runs}")
+    plan = groups.sparkSession.createDataFrame(rows, f"bytes long, parts long, runs {runs}")
     n_parts = sum(r[1] for r in rows)
-    dealt = items.join(_if_bounded(plan, sum(len(r[2]) for r in rows)), "bytes")
-    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("item", F.lit(2)), F.col("parts")))
-    counts = dealt.groupBy("bytes", "part").agg(F.count(F.lit(1)).alias("n"))
+    dealt = groups.join(_if_bounded(plan, sum(len(r[2]) for r in rows)), "bytes")
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("group", F.lit(2)), F.col("parts")))
+    counts = dealt.groupBy("bytes", "part").agg(F.count(F.lit(1)).alias("in_part"))
     earlier = Window.partitionBy("bytes").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select("bytes", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("bytes", "part").orderBy("item", "bundled")) - 1
+    before = counts.select("bytes", "part", F.coalesce(F.sum("in_part").over(earlier), F.lit(0)).alias("before"))
+    rank = F.row_number().over(Window.partitionBy("bytes", "part").orderBy("group")) - 1
     ranked = dealt.withColumn("rank", rank).join(_if_bounded(before, n_parts), ["bytes", "part"])
     ranked = ranked.withColumn("rank", F.col("rank") + F.col("before"))
     run = F.filter("runs", lambda r: F.col("rank") < r["stop"])[0]
     shard = run["first"] + F.floor((F.col("rank") - run["start"]) / run["per"])
-    return ranked.select("item", "bundled", "bytes", shard.cast("int").alias("shard"))
+    return ranked.select("group", "n", shard.cast("int").alias("shard"))
 
 
 def sharded(
@@ -250,10 +236,10 @@ def sharded(
         digests = work(digests, "sharding_digests")
         groups = digests.groupBy("group").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
         groups = work(groups, "sharding_groups")
-        items, sizes = _items(work, groups.select("group", "bytes"))
+        sizes = _sizes(groups)
         packed = pack(sizes, shards) if capacity is None else pack_into(sizes, capacity)
-        placed = work(_placed(items, sizes, packed), "sharding_placed")
-        out = _numbered(_sharded_rows(digests, groups, placed), bins_of(packed))
+        placed = work(_placed(groups, sizes, packed), "sharding_placed")
+        out = _numbered(_sharded_rows(digests, placed), bins_of(packed))
         return staged(
             out.select(
                 F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"),
@@ -266,17 +252,13 @@ def sharded(
         work.end()
 
 
-def _sharded_rows(digests: DataFrame, groups: DataFrame, placed: DataFrame) -> DataFrame:
+def _sharded_rows(digests: DataFrame, placed: DataFrame) -> DataFrame:
     """The rows with the shard of their group.  Groups that hold many of the
     rows are sent to all of them, so that the join on the group has no hot key."""
-    own = placed.where("not bundled").select(F.col("item").alias("group"), F.col("shard").alias("own"))
-    bundles = placed.where("bundled").select(F.col("item").alias("bundle"), F.col("shard").alias("shared"))
-    of_group = groups.withColumn("bundle", _bundle()).join(own, "group", "left").join(F.broadcast(bundles), "bundle", "left")
-    of_group = of_group.select("group", "n", F.coalesce("own", "shared").alias("shard"))
-    many = F.col("n") * LARGE_SHARE >= (groups.agg(F.sum("n")).first()[0] or 0)  # at most LARGE_SHARE groups
-    hot = F.broadcast(of_group.where(many).select("group", F.col("shard").alias("hot")))
+    many = F.col("n") * LARGE_SHARE >= (placed.agg(F.sum("n")).first()[0] or 0)  # at most LARGE_SHARE groups
+    hot = F.broadcast(placed.where(many).select("group", F.col("shard").alias("hot")))
     known = digests.join(hot, "group", "left")
-    rest = known.where("hot is null").join(of_group.where(~many).select("group", "shard"), "group")
+    rest = known.where("hot is null").join(placed.where(~many).select("group", "shard"), "group")
     columns = ["id", "size", "crc", "shard"]
     return known.where("hot is not null").withColumn("shard", F.col("hot")).select(columns).unionByName(rest.select(columns))
 
