@@ -69,6 +69,16 @@ def test_chunks_give_the_ids_of_whole_texts(monkeypatch):
     assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == found
 
 
+def test_only_chunks_that_occur_again_are_remembered():
+    whole, encoder = Tokenizer.from_file(PATH), ChunkEncoder(open(PATH, encoding="utf-8").read(), 2)
+    texts = [" ".join(f"once{i}x{j} the cat{i % 3}" for j in range(50)) for i in range(40)]
+    for _ in range(2):
+        found = [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)]
+        assert found == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+        assert set(encoder.places) == {"the", "cat0", "cat1", "cat2"}
+        assert len(encoder.ends) == 5 and len(encoder.ids) == encoder.ends[-1]
+
+
 @pytest.mark.parametrize("file_ids, file_docs, parts", [(1 << 22, 1 << 18, 4), (60, 5, 3)])
 def test_documents_read_back_equal_the_library(spark, scratch, monkeypatch, file_ids, file_docs, parts):
     monkeypatch.setattr(token_ids, "FILE_IDS", file_ids)

@@ -23,6 +23,7 @@ are bounded; a small index gives the ids before each file.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 import zlib
@@ -45,9 +46,9 @@ HEADER = struct.Struct(">8sQQQQqQ")
 #: Ids and documents in a file, at most (a longer document has a file of its own).
 FILE_IDS, FILE_DOCS = 1 << 22, 1 << 18
 #: Bytes that remembered chunks take in a worker, about.
-REMEMBERED_BYTES = 200 << 20
+REMEMBERED_BYTES = 60 << 20
 #: Characters whose chunks are looked up together.
-WINDOW = 1 << 22
+WINDOW = 1 << 23
 #: Files (under 100 bytes each in the index) whose starts may be broadcast.
 BROADCAST_FILES = 500_000
 
@@ -179,7 +180,8 @@ class ChunkEncoder:
     blanks once.  For a tokenizer whose pieces never hold white space, a text's
     ids are those of its chunks one after the other; `safe` says whether the
     tokenizer is known to be such, else whole texts are encoded.  A task
-    remembers the ids of chunks; when they take REMEMBERED_BYTES it starts anew.
+    remembers the ids of chunks that occur several times in a window; when they
+    take REMEMBERED_BYTES it starts anew.
 
     Chunks are made alike where the tokenizer would make them alike anyway: a
     full stop or the like behind a letter and before a blank is cut off, and
@@ -231,31 +233,42 @@ class ChunkEncoder:
             data = pc.ascii_lower(data)
         cut = pc.split_pattern(data, " ")
         coded = cut.flatten().dictionary_encode()
-        places = self._places(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
-        first, last = self.ends[places], self.ends[places + 1]
+        indices = coded.indices.to_numpy()
+        ids_of, ends_of, places = self._places(coded.dictionary.to_pylist(), np.bincount(indices, minlength=len(coded.dictionary)))
+        places = places[indices]
+        first, last = ends_of[places], ends_of[places + 1]
         ends = np.r_[0, np.cumsum(last - first)]
-        ids = self.ids[np.arange(ends[-1]) + np.repeat(first - ends[:-1], last - first)]
+        ids = ids_of[np.arange(ends[-1]) + np.repeat(first - ends[:-1], last - first)]
         bounds = ends[cut.offsets.to_numpy()]
         return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
 
-    def _places(self, chunks: list[str]) -> np.ndarray:
-        """Where the ids of different chunks are: place i has ids[ends[i] : ends[i + 1]]."""
+    def _places(self, chunks: list[str], times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, ends, places) of different chunks that occur so many times:
+        place i has ids[ends[i] : ends[i + 1]].  Those that occur once, most of
+        the different ones, aren't remembered."""
         if self.held > REMEMBERED_BYTES:
             self._start()
         known = self.places
-        new = [chunk for chunk in chunks if chunk not in known]
+        places = np.fromiter((known.get(chunk, -1) for chunk in chunks), np.int64, len(chunks))
+        new = np.flatnonzero(places < 0)
+        if not len(new):
+            return self.ids, self.ends, places
+        new = new[np.argsort(times[new] < 2, kind="stable")]  # what is remembered first
+        places[new] = np.arange(len(known), len(known) + len(new))
         ids, sizes = [self.ids], []
         for at in range(0, len(new), 10_000):
-            found = [x.ids for x in self.tokenizer.encode_batch_fast(new[at : at + 10_000], add_special_tokens=False)]
-            part = np.fromiter(map(len, found), np.int64, len(found))
-            ids.append(np.fromiter(chain.from_iterable(found), self.type, part.sum()))
-            sizes.append(part)
-        if new:
-            known.update(zip(new, range(len(known), len(known) + len(new))))
-            self.ids = np.concatenate(ids)
-            self.ends = np.r_[self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))]
-            self.held += sum(map(len, new)) + 190 * len(new)
-        return np.fromiter(map(known.__getitem__, chunks), np.int64, len(chunks))
+            part = [chunks[i] for i in new[at : at + 10_000].tolist()]
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), self.type, sizes[-1].sum()))
+        all_ids = np.concatenate(ids)
+        ends = np.r_[self.ends, self.ends[-1] + np.cumsum(np.concatenate(sizes))]
+        kept = [chunks[i] for i in new[times[new] > 1].tolist()]
+        known.update(zip(kept, range(len(known), len(known) + len(kept))))
+        self.ends = ends[: len(known) + 1].copy()
+        self.ids = all_ids[: self.ends[-1]].copy()
+        self.held += sum(map(len, kept)) + 190 * len(kept)
+        return all_ids, ends, places
 
 
 _MARK = r"([A-Za-z])([.,;:!?]) "
@@ -278,7 +291,9 @@ def _whole_differs(tokenizer: Tokenizer, parts) -> bool:
 
 @lru_cache(maxsize=1)
 def _encoder(tokenizer_file: str, width: int) -> ChunkEncoder:
-    """One for each worker process; it lives on over tasks."""
+    """One for each worker process; it lives on over tasks.  Spark keeps the
+    cores busy: the library's own threads would cost time and memory."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return ChunkEncoder(tokenizer_file, width)
 
 
