@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -47,6 +48,17 @@ def test_an_edit_redoes_little():
     assert live.ids() == REFERENCE.encode_ordinary(live.text)
 
 
+def test_a_piece_takes_one_path_with_few_pairs_looked_at(monkeypatch):
+    r = random.Random(4)
+    pieces = [" " + "".join(r.choice(["th", "an", "ing", "re", "x", "é", "qu", "中"]) for _ in range(r.randrange(1, 9))) for _ in range(2000)]
+    pieces += [" " * 300, "a" * 3000, "ab" * 500, "\U0001f600" * 40, "lele" * 99 + "e"]
+    rows = [BPE.tokens(last) for piece in pieces if [*BPE.extend(piece.encode().decode("latin-1"), last := [], 0)]]
+    pairs = []
+    monkeypatch.setattr(BPE, "stable", type("Pairs", (), {"__getitem__": lambda _, pair: pairs.append(pair) or BPE._follows(pair)})())
+    assert [list(BPE._piece(piece)) for piece in pieces] == rows == [REFERENCE.encode_ordinary(piece) for piece in pieces]
+    assert len(pairs) < 2.5 * sum(map(len, rows))  # the table looks at several pairs for each byte
+
+
 def test_digests(docs):
     rows = [(1, None), (2, ""), (3, "Hello, wörld 🎉"), (3, "Hello, wörld 🎉"), (None, "a  b"), (5, "word " * 50_000 + "x" * 100_000)]
     out = bpe_digests(docs(rows).withColumnRenamed("n", "n_tokens"), "text", PATH, PATTERN).collect()

@@ -1,4 +1,4 @@
-"""Byte-level BPE encoding and decoding by prefix dynamic programming.
+"""Byte-level BPE encoding and decoding by stable pairs of tokens.
 
 For every byte prefix of a piece there is exactly one token that can end its
 encoding: token t may follow the last token p of the shorter prefix iff the
@@ -9,6 +9,11 @@ there, and read back from the end.  Two things follow: appending bytes only
 extends the table, and after an edit only the rows from the edit on are filled
 again, until they agree with the old ones.
 
+A piece that is encoded once needs only one path through that table: from the
+start the longest token that fits the one before is taken, and where none does
+the last is given up for a shorter one.  A place from which no path reaches the
+end is not entered again, so the work stays in proportion to the piece.
+
 The text is cut into pieces by a pattern first (each piece is encoded alone);
 pieces of natural text repeat, so tasks remember the encodings of short ones.
 """
@@ -31,6 +36,8 @@ from pyspark.sql import functions as F
 LOOKAHEAD = 3
 #: Short pieces that a task remembers; memory only, results are the same.
 REMEMBERED, REMEMBERED_CHARS = 250_000, 64
+#: Pairs of tokens that it remembers.
+PAIRS = 500_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -43,16 +50,16 @@ class _Remembered(dict):
     """A dictionary that computes absent entries, in two generations: when the
     new one is full the one before goes, and what is met again moves on."""
 
-    def __init__(self, compute, key_fits=lambda key: True):
+    def __init__(self, compute, key_fits=lambda key: True, most=REMEMBERED):
         super().__init__()
-        self.compute, self.key_fits, self.before = compute, key_fits, {}
+        self.compute, self.key_fits, self.most, self.before = compute, key_fits, most, {}
 
     def __missing__(self, key):
         value = self.before.get(key)
         if value is None:
             value = self.compute(key)
         if self.key_fits(key):
-            if 2 * len(self) >= REMEMBERED:
+            if 2 * len(self) >= self.most:
                 self.before = dict(self)
                 self.clear()
             self[key] = value
@@ -86,7 +93,8 @@ class Bpe:
         self.ordered = all(len(h) == 1 or self.ranks[h] < self.ranks[token] for token, parts in halves.items() for h in parts)
         self.edges = _Remembered(self._edge)
         self.longest = max(map(len, self.ranks))
-        self.stable = _Remembered(self._follows)
+        self.has_bytes = all(bytes([b]) in self.ranks for b in range(256))  # else some texts have no encoding
+        self.stable = _Remembered(self._follows, most=PAIRS)
         self.known = _Remembered(self._piece, lambda piece: len(piece) <= REMEMBERED_CHARS)
         self.piece = self.known.__getitem__
 
@@ -167,11 +175,40 @@ class Bpe:
         data = piece.encode().decode("latin-1")
         if whole := self.whole.get(data):
             return whole
+        if self.has_bytes:
+            return tuple(self._path(data))
         last: list[int] = []
         for _ in self.extend(data, last, 0):
             pass
         return tuple(self.tokens(last))
 
+    def _path(self, data: str) -> list[int]:
+        """The only sequence of tokens of `data` (bytes as latin-1) whose
+        neighbours all are stable pairs, the longest tokens tried first."""
+        whole, stable, reach, longest = self.whole, self.stable, self.ending.longest_prefix, self.longest
+        out: list[int] = []
+        sizes: list[int] = []
+        dead: set[int] = set()
+        at, n = 0, len(data)
+        size = reach(data[:longest])
+        while at < n:
+            while size:
+                token = whole.get(data[at : at + size])
+                if token is not None and at + size not in dead and (not out or stable[out[-1], token[0]]):
+                    break
+                size -= 1
+            if size:
+                out.append(token[0])
+                sizes.append(size)
+                at += size
+                size = reach(data[at : at + longest])
+            else:
+                dead.add(at)
+                out.pop()
+                at -= sizes[-1]
+                size = sizes.pop() - 1
+        return out
+
     def pieces(self, text: str, window: int = 1 << 20) -> Iterator[list[str]]:
         """The pattern's matches in order, in blocks; a long text is matched
         in windows, keeping only matches that their window's end can't touch."""
