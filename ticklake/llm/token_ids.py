@@ -343,6 +343,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer_path: str, end_id: int
             done = [x + end for x in encoder.encode(texts)]
             columns = [pa.array(part), ids, pa.array(hashes), pa.array(done, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["part", "id", "hash", "ids"])
+            pa.default_memory_pool().release_unused()  # else it keeps what the largest window took
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_ids: list = []
