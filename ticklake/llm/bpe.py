@@ -32,6 +32,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticklake.llm.common import handing_back, kept_by_operator, trim
+
 #: Characters of look-ahead by which the pattern may decide on a piece's end.
 LOOKAHEAD = 3
 #: Short pieces that a task remembers; memory only, results are the same.
@@ -298,10 +300,13 @@ class LiveEncoding:
         return list(chain.from_iterable(map(self.bpe.tokens, self.tables)))
 
 
+@kept_by_operator
 @lru_cache(maxsize=2)
 def bpe_of(rank_file: bytes, pattern: str) -> Bpe:
     """One automaton for each worker process and rank file."""
-    return Bpe(rank_file, pattern)
+    bpe = Bpe(rank_file, pattern)
+    trim()
+    return bpe
 
 
 def _digest(bpe: Bpe, text: str) -> tuple[int, str, str]:
@@ -328,6 +333,7 @@ def bpe_digests(docs: DataFrame, text: str, rank_path: str, pattern: str) -> Dat
     ranks = _rank_broadcast(docs, rank_path)
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    @handing_back
     def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = bpe_of(ranks.value, pattern)
         for texts in batches:
@@ -346,6 +352,7 @@ def encoded(docs: DataFrame, text: str, rank_path: str, pattern: str, into: str
     ranks = _rank_broadcast(docs, rank_path)
 
     @F.pandas_udf("array<int>")
+    @handing_back
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = bpe_of(ranks.value, pattern)
         for texts in batches:
@@ -361,6 +368,7 @@ def decoded(docs: DataFrame, ids: str, rank_path: str, pattern: str, into: str =
     ranks = _rank_broadcast(docs, rank_path)
 
     @F.pandas_udf("string")
+    @handing_back
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bpe = bpe_of(ranks.value, pattern)
         for lists in batches:

@@ -4,13 +4,16 @@ tables to the shared folder, and distributed connected components."""
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -95,6 +98,50 @@ def sliced(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]
             yield batch.iloc[at : at + rows]
 
 
+#: (module, cached function) of what a worker keeps from task to task.
+_caches: list[tuple[str, Callable]] = []
+
+
+def kept_by_operator(cached: Callable) -> Callable:
+    """Marks an lru_cache whose values a worker keeps for further tasks of its
+    module, until a task of another one (handing_back) comes."""
+    _caches.append((cached.__module__, cached))
+    return cached
+
+
+def drop_kept(but: str) -> None:
+    """Forget what operators other than the module `but` keep in this worker."""
+    for module, cached in _caches:
+        if module != but:
+            cached.cache_clear()
+
+
+def trim() -> None:
+    """Give freed memory of Arrow and the C library back to the system."""
+    pa.default_memory_pool().release_unused()
+    if freed := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+        freed(0)
+
+
+def handing_back(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`task` (batches to batches) with memory that it no longer needs given back
+    to the system: before it what other operators keep, Arrow's after each
+    batch, at the end also what the C library keeps.  A worker lives on after its tasks, and all that it keeps counts as
+    its executor's memory, also in stages without Python."""
+
+    @wraps(task)
+    def run(batches: Iterator) -> Iterator:
+        drop_kept(task.__module__)
+        release = pa.default_memory_pool().release_unused
+        for done in task(batches):
+            yield done
+            del done
+            release()
+        trim()
+
+    return run
+
+
 def _starts(frame: pd.DataFrame, keys: list[str]) -> np.ndarray:
     values = frame[keys].to_numpy()
     return np.flatnonzero(np.r_[True, (values[1:] != values[:-1]).any(axis=1)])

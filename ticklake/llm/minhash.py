@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import Work, broadcast_if_small, connected_components, runs, sliced, staged
+from ticklake.llm.common import Work, broadcast_if_small, connected_components, handing_back, runs, sliced, staged
 from ticklake.llm.shingles import WordHashes, mixed, shingle_set, word_array
 
 #: SetSketch scale: base, rate, largest register; and bands x rows registers.
@@ -110,6 +110,7 @@ def _signatures(docs: DataFrame, k: int) -> DataFrame:
     texts' digests if `docs` has them."""
     extra = [c for c in docs.columns if c == "digest"]
 
+    @handing_back
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in sliced(batches, SLICE):
@@ -130,6 +131,7 @@ def _signatures(docs: DataFrame, k: int) -> DataFrame:
 def _sets(docs: DataFrame, k: int) -> DataFrame:
     """node and its whole set, one row for each text given."""
 
+    @handing_back
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in sliced(batches, SLICE):
@@ -231,6 +233,7 @@ def _rest(work: Work, banded: DataFrame, classes: DataFrame, component: DataFram
     cells = cells.select("band", "node", "component", "outside", "block", "shingles", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     cells = cells.repartition("band", "low", "high").sortWithinPartitions("band", "low", "high")
 
+    @handing_back
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for cell in runs(batches, ["band", "low", "high"]):
             if len(cell) > 1 and (found := _cell_links(cell, percent)) is not None:

@@ -25,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticklake.llm.common import handing_back
+
 ROUNDS = 10
 #: Symbols that are permuted as one number; longer values in pieces.
 PIECE = 64
@@ -362,6 +364,7 @@ def without_personal_data(docs: DataFrame, key: bytes, text_col: str = "text", f
     """
 
     @F.pandas_udf("text string, found map<string,int>")
+    @handing_back
     def replace(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         f = Feistel(key)
         for texts in batches:

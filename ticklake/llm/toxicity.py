@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticklake.llm.common import Work, sliced
+from ticklake.llm.common import Work, handing_back, sliced
 from ticklake.llm.shingles import WordHashes, mixed
 
 #: Hashed feature space.
@@ -173,12 +173,14 @@ def train(docs: DataFrame, labels: DataFrame) -> pd.DataFrame:
     labels (id, label), and that of the bias; without rows of both classes
     there are none."""
 
+    @handing_back
     def featurize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         for batch in sliced(batches, SLICE):
             found = [np.unique(features(t, hashes)) for t in batch["text"]]
             yield pd.DataFrame({"id": batch["id"].to_numpy(), "label": batch["label"].to_numpy(), "features": found})
 
+    @handing_back
     def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [(np.asarray(f), float(y)) for batch in batches for f, y in zip(batch["features"], batch["label"])]
         if len({y for _, y in rows}) == 2:
@@ -206,6 +208,7 @@ def scored(docs: DataFrame, weights: pd.DataFrame, into: str = "score", text_col
     held = docs.sparkSession.sparkContext.broadcast((at, dense[at]))
 
     @F.pandas_udf("double")
+    @handing_back
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         at, values = held.value
         table, hashes = np.zeros((1 << DIM_BITS) + 1, np.float32), WordHashes()
