@@ -96,3 +96,23 @@ def test_repeated_rows_null_ids_and_an_empty_table(docs):
     out = repeated_passages(docs([(4, text), (4, text), (2, text), (2, text)])).collect()
     assert sorted(map(tuple, out)) == [(2, 0, 60, 60, 2), (4, 0, 60, 60, 2)]
     assert repeated_passages(docs([])).count() == 0
+
+
+def test_only_intervals_too_large_for_a_task_are_cut(spark, docs, monkeypatch):
+    r = random.Random(4)
+    shared = [f"w{r.randrange(3000)}" for _ in range(60)]
+    rows = [(i, " ".join([f"a{i}", *shared, f"b{i}"])) for i in range(300)]
+    settled, settle = spark.sparkContext.accumulator(0), suffix_dedup._settle
+
+    def counted(suffixes, found):
+        settled.add(len(suffixes))
+        return settle(suffixes, found)
+
+    monkeypatch.setattr(suffix_dedup, "_settle", counted)
+    monkeypatch.setattr(suffix_dedup, "MANY", 1)
+    for piece, some in ((20_000, False), (100, True)):
+        monkeypatch.setattr(suffix_dedup, "PIECE", piece)
+        settled.value = 0
+        out = repeated_passages(docs(rows)).collect()
+        assert sorted(map(tuple, out)) == [(i, 1, 61, 60, 0) for i in range(300)]
+        assert (settled.value > 0) == some

@@ -17,9 +17,10 @@ suffixes agree for at least LENGTH - WINDOW + 1 words (the depth).
    stand in another document.
 3. The windows of a document join to maximal passages.
 
-Tasks hold the array in pieces of bounded size.  An interval that a piece's border cuts is
+Tasks hold the array in pieces of bounded size.  An interval of PIECE rows or more is cut and
 settled by a min and max id per window over the pieces, each of which sends a window
-once with its members; so a passage that stands in a third of all documents is
+once; the shared ones come back to their pieces, where each suffix that was cut takes
+its own and makes one passage of them.  So a passage that stands in a third of all documents is
 spread over tasks like any other.
 
 Equal texts of ids with one text are one document until the end.
@@ -154,15 +155,38 @@ def _windows(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, taken, mixed((sums[row, start + LENGTH] - sums[row, start]) * _powers(_BASE_INVERSE, WINDOW)[start])
 
 
-def _cut_windows(rows: pd.DataFrame) -> pd.DataFrame:
-    """The different windows of a piece, with their documents and starts."""
-    row, taken, window = _windows(rows)
-    ids, starts = rows["id"].to_numpy()[row], rows["pos"].to_numpy()[row] - taken
+def _cut_windows(rows: pd.DataFrame) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """The different windows of a piece, with the smallest and largest id of
+    each; and its suffixes, each with the start of the last window that it is
+    the anchor of and these windows, last first (each begins a word earlier)."""
+    row, _, window = _windows(rows)
+    ids, window = rows["id"].to_numpy()[row], window.view(np.int64)
     order = np.lexsort((ids, window))
-    window, ids, starts = window[order], ids[order], starts[order].astype(np.int32)
-    at = np.flatnonzero(np.r_[True, window[1:] != window[:-1]])
-    out = {"window": window[at].view(np.int64), "first": ids[at], "last": ids[np.r_[at[1:], len(ids)] - 1]}
-    return pd.DataFrame(out | {"ids": np.split(ids, at[1:]), "starts": np.split(starts, at[1:])})
+    sorted_ids, different = ids[order], window[order]
+    at = np.flatnonzero(np.r_[True, different[1:] != different[:-1]])
+    windows = pd.DataFrame({"window": different[at], "first": sorted_ids[at], "last": sorted_ids[np.r_[at[1:], len(ids)] - 1]})
+    of_row = np.split(window, np.searchsorted(row, np.arange(1, len(rows))))
+    return windows, pd.DataFrame({"id": rows["id"].to_numpy(), "start": (rows["pos"] - rows["low"]).to_numpy(), "windows": of_row})
+
+
+def _settle(suffixes: pd.DataFrame, shared: pd.DataFrame) -> pd.DataFrame:
+    """Passages (id, start, end, first) of a piece's suffixes (id, start,
+    windows), one of each that has a shared window (window, first)."""
+    if not len(suffixes) or not len(shared):
+        return pd.DataFrame({"id": [], "start": [], "end": [], "first": []}, dtype=np.int64)
+    sizes = np.array([len(x) for x in suffixes["windows"]])
+    row, window = np.repeat(np.arange(len(sizes)), sizes), np.concatenate(suffixes["windows"].to_list())
+    back = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    shared = shared.sort_values("window")
+    known, first = shared["window"].to_numpy(), shared["first"].to_numpy()
+    at = np.minimum(np.searchsorted(known, window), len(known) - 1)
+    some = known[at] == window
+    row, back, first = row[some], back[some], first[at[some]]
+    new = np.flatnonzero(np.r_[True, row[1:] != row[:-1]][: len(row)])
+    of, start = row[new], suffixes["start"].to_numpy()[row[new]]
+    least, most = back[new], back[np.r_[new[1:], len(row)][: len(new)] - 1]
+    first = np.minimum.reduceat(first, new) if len(new) else first
+    return pd.DataFrame({"id": suffixes["id"].to_numpy()[of], "start": start - most, "end": start - least + LENGTH, "first": first})
 
 
 def _compare(rows: pd.DataFrame) -> pd.DataFrame:
@@ -212,31 +236,36 @@ def pieces(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[tuple[pd.Data
         yield rest, np.ones(len(rest), bool)
 
 
-def _matches(contexts: DataFrame, work: Work) -> DataFrame:
-    """(id, start, end, first): repeated windows, joined for each suffix."""
+def _matches(contexts: DataFrame, keys: DataFrame, work: Work) -> DataFrame:
+    """(id, start, end, first): repeated windows, joined for each suffix.  Only
+    an interval of PIECE rows or more, by its key's count, is cut."""
     rows = PIECE
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         piece = TaskContext.get().partitionId() << 32
         for frame, cut in pieces(batches, rows):
             piece += 1
+            cut &= frame["large"].to_numpy()
             if not cut.all() and len(found := _compare(frame[~cut])):
-                yield found.assign(piece=-1, window=0, last=0, ids=None, starts=None)
+                yield found.assign(piece=-1, window=0, last=0, windows=None)
             if cut.any():
-                yield _cut_windows(frame[cut]).assign(piece=piece, id=0, start=0, end=0)
-
-    schema = "id long, start int, end int, first long, piece long, window long, last long, ids array<long>, starts array<int>"
-    # ranges may part an interval anywhere; the last column parts rows that repeat
-    array = contexts.withColumn("part", F.spark_partition_id()).withColumn("near", F.substring("before", 1, 8))
-    array = array.repartitionByRange("head", "name", "near", "id", "part").sortWithinPartitions("head", "name", "after").drop("part", "near")
+                windows, suffixes = _cut_windows(frame[cut])
+                yield windows.assign(piece=piece, id=0, start=0, end=0, windows=None)
+                yield suffixes.assign(piece=piece, end=0, first=0, window=0, last=0)
+
+    schema = "id long, start int, end int, first long, piece long, window long, last long, windows array<long>"
+    large = keys.where(F.col("n") >= rows).select(F.col("key").alias("name"), F.lit(True).alias("large"))  # few, by their size
+    array = contexts.join(F.broadcast(large), "name", "left").withColumn("large", F.coalesce("large", F.lit(False)))
+    # ranges may part a large interval anywhere; the last column parts rows that repeat
+    parted = F.when(F.col("large"), F.struct(F.substring("before", 1, 8), "id", F.spark_partition_id()))
+    array = array.withColumn("parted", parted).repartitionByRange("head", "name", "parted").sortWithinPartitions("head", "name", "after").drop("parted")
     found = work(array.mapInPandas(compare, schema), "suffix_matches")
 
-    cut = found.where("piece >= 0")
+    cut = found.where("piece >= 0 and windows is null")
     shared = cut.groupBy("window").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first != last").drop("last")
-    shared = cut.select("window", "piece").join(shared, "window")
-    settled = cut.select("window", "piece", "ids", "starts").join(shared, ["window", "piece"])
-    settled = settled.select("first", F.explode(F.arrays_zip("ids", "starts")).alias("of"))
-    settled = settled.select(F.col("of.ids").alias("id"), F.col("of.starts").alias("start"), (F.col("of.starts") + LENGTH).alias("end"), "first")
+    shared = cut.select("window", F.col("piece").alias("of_piece")).join(shared, "window")
+    suffixes = found.where("windows is not null").select("piece", "id", "start", "windows")
+    settled = suffixes.groupBy("piece").cogroup(shared.groupBy("of_piece")).applyInPandas(_settle, "id long, start int, end int, first long")
     return found.where("piece < 0").select("id", "start", "end", "first").unionByName(settled)
 
 
@@ -296,7 +325,7 @@ def _merged(docs: DataFrame, work: Work) -> DataFrame:
     places = work(places, "suffix_places")
     size = places.agg(F.sum(F.size("places") * 4 + 32).alias("bytes")).first()["bytes"] or 0
     others = others.join(F.broadcast(places) if size <= BROADCAST_PLACES else places, "id")
-    found = _matches(work(_contexts(others), "suffix_contexts"), work)
+    found = _matches(work(_contexts(others), "suffix_contexts"), keys, work)
 
     # a text with copies is a passage as a whole
     size = F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))
